@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from reportlake.operators.assemble import typed_columns
 from reportlake.operators.decode import decode_pages, explode_rows
-from reportlake.plans.encode import Field, encode_table
+from reportlake.functions.sqlx import json_value
+from reportlake.plans.encode import Field, build_pages, encode_table
 
 CHECKS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,3 +91,206 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedpri
 def q_decode_table(spark, sf_dir):
     """Flagship: lineitem encoded as pages (orderkey div 1000), decoded."""
     return decode_lineitem(lineitem_responses(spark, sf_dir))
+
+
+def jv(col_sql: str) -> str:
+    """JSON text of a column value (SQL)."""
+    return json_value(col_sql)
+
+
+def custom_pages(df: DataFrame, page_keys: list[str], order_by: list[str], entry_sql: str,
+                 descriptor, rt=None, dicts_sql: str | None = None) -> DataFrame:
+    """Pages whose entries are written by a SQL expression (for format features
+    the generic encoder does not produce: mid-page schemas, matrix entries,
+    bad entries, direct values)."""
+    entries = df.select(
+        *page_keys, *[c for c in order_by if c not in page_keys],
+        F.expr(entry_sql).alias("entry"),
+        (F.expr(dicts_sql) if dicts_sql else F.lit("{}")).alias("dicts"),
+    )
+    return build_pages(entries, page_keys, order_by, descriptor, rt=rt)
+
+
+def desc(*items: tuple[str, str]) -> str:
+    import json
+
+    return json.dumps({"Select": [{"Value": c, "Name": n} for c, n in items]})
+
+
+@check("Q_repeat_carry", """
+SELECT event_id, user_id, last_value(CASE WHEN event_id % 3 = 0 THEN event_type END IGNORE NULLS)
+  OVER (PARTITION BY user_id, event_id // 1000 ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS event_type
+FROM events
+""")
+def q_repeat_carry(spark, sf_dir):
+    """R bit on event_type unless event_id % 3 = 0; a page per (user, event_id div 1000)."""
+    ev = table(spark, sf_dir, "events").withColumn("b", F.expr("event_id div 1000"))
+    fields = [
+        Field("M0", "e.event_id", "event_id", repeat=None),
+        Field("M1", "e.user_id", "user_id", repeat=None),
+        Field("M2", "e.event_type", "event_type", dn="VType", repeat="event_id % 3 <> 0"),
+    ]
+    pages = encode_table(ev, ["user_id", "b"], ["event_id"], fields)
+    resp = responses_of(pages, "events", F.concat_ws("_", "user_id", "b"), 1)
+    rows = explode_rows(decode_pages(resp))
+    return typed_columns(rows, {"event_id": "bigint", "user_id": "bigint", "event_type": "string"})
+
+
+@check("Q_null_mask", """
+SELECT event_id, event_type, CASE WHEN value < 10 THEN NULL ELSE value END AS value FROM events
+""")
+def q_null_mask(spark, sf_dir):
+    """Ø bit where value < 10."""
+    ev = table(spark, sf_dir, "events").withColumn("p", F.expr("event_id div 1000"))
+    fields = [
+        Field("M0", "e.event_id", "event_id", repeat=None),
+        Field("M1", "e.event_type", "event_type", dn="VType"),
+        Field("M2", "e.value", "CASE WHEN value < 10 THEN NULL ELSE value END"),
+    ]
+    resp = responses_of(encode_table(ev, ["p"], ["event_id"], fields), "events", "events", F.col("p") + 1)
+    rows = explode_rows(decode_pages(resp))
+    return typed_columns(rows, {"event_id": "bigint", "event_type": "string", "value": "double"})
+
+
+@check("Q_dict_decode", """
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 11 = 0 THEN '999' ELSE o_orderpriority END AS o_orderpriority FROM orders
+""")
+def q_dict_decode(spark, sf_dir):
+    """Priority through its DN dictionary, status through a dictionary named
+    by its field code; index 999 (out of range) stays an integer."""
+    od = table(spark, sf_dir, "orders").withColumn("p", F.expr("o_orderkey div 1000"))
+    fields = [
+        Field("M0", "orders.o_orderkey", "o_orderkey", repeat=None),
+        Field("M1", "orders.o_orderstatus", "o_orderstatus", code_dict=True),
+        Field("M2", "orders.o_orderpriority", "o_orderpriority", dn="VPrio", repeat=None,
+              override="CASE WHEN o_orderkey % 11 = 0 THEN 999 END"),
+    ]
+    resp = responses_of(encode_table(od, ["p"], ["o_orderkey"], fields), "orders", "orders", F.col("p") + 1)
+    rows = explode_rows(decode_pages(resp))
+    return typed_columns(rows, {"o_orderkey": "bigint", "o_orderstatus": "string", "o_orderpriority": "string"})
+
+
+@check("Q_schema_change", """
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderkey // 4096 ORDER BY o_orderkey) AS rn FROM orders)
+SELECT o_orderkey, CASE WHEN rn > 1 AND rn % 4 IN (1, 3) THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN rn % 4 IN (3, 0) THEN o_totalprice END AS o_totalprice FROM r
+""")
+def q_schema_change(spark, sf_dir):
+    """A page per (customer, orderkey div 4096); row rn % 4 = 3 switches to three
+    fields, rn % 4 = 1 back to two; the status right after a switch is R-coded
+    (the length changed, so the carry is reset and it decodes as NULL)."""
+    from pyspark.sql import Window
+
+    od = table(spark, sf_dir, "orders").withColumn("b", F.expr("o_orderkey div 4096"))
+    od = od.withColumn("rn", F.row_number().over(Window.partitionBy("o_custkey", "b").orderBy("o_orderkey")))
+    s2 = '[{"N":"M0"},{"N":"M1"}]'
+    s3 = '[{"N":"M0"},{"N":"M1"},{"N":"M2"}]'
+    k, st, tp = jv("o_orderkey"), jv("o_orderstatus"), jv("o_totalprice")
+    entry = f"""CASE
+      WHEN rn = 1 THEN concat('{{"S":{s2},"C":[', {k}, ',', {st}, ']}}')
+      WHEN rn % 4 = 3 THEN concat('{{"S":{s3},"R":2,"C":[', {k}, ',', {tp}, ']}}')
+      WHEN rn % 4 = 0 THEN concat('{{"C":[', {k}, ',', {st}, ',', {tp}, ']}}')
+      WHEN rn % 4 = 1 THEN concat('{{"S":{s2},"R":2,"C":[', {k}, ']}}')
+      ELSE concat('{{"C":[', {k}, ',', {st}, ']}}') END"""
+    d = desc(("M0", "orders.o_orderkey"), ("M1", "orders.o_orderstatus"), ("M2", "orders.o_totalprice"))
+    pages = custom_pages(od, ["o_custkey", "b"], ["o_orderkey"], entry, d)
+    resp = responses_of(pages, "orders", F.concat_ws("_", "o_custkey", "b"), 1)
+    rows = explode_rows(decode_pages(resp))
+    return typed_columns(rows, {"o_orderkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double"})
+
+
+@check("Q_matrix_skip", """
+SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 7 <> 0
+""")
+def q_matrix_skip(spark, sf_dir):
+    """Entries of orders with o_orderkey % 7 = 0 are matrix entries (X, no C) and are skipped."""
+    od = table(spark, sf_dir, "orders").withColumn("p", F.expr("o_orderkey div 1000"))
+    k, tp = jv("o_orderkey"), jv("o_totalprice")
+    entry = f"""CASE WHEN o_orderkey % 7 = 0
+      THEN concat('{{"S":[{{"N":"M0"}}],"X":[{{"M0":', {k}, '}}]}}')
+      ELSE concat('{{"C":[', {k}, ',', {tp}, ']}}') END"""
+    d = desc(("M0", "orders.o_orderkey"), ("M1", "orders.o_totalprice"))
+    resp = responses_of(custom_pages(od, ["p"], ["o_orderkey"], entry, d), "orders", "orders", F.col("p") + 1)
+    rows = explode_rows(decode_pages(resp))
+    return typed_columns(rows, {"o_orderkey": "bigint", "o_totalprice": "double"})
+
+
+@check("Q_direct_value", """
+SELECT c_name FROM customer
+""")
+def q_direct_value(spark, sf_dir):
+    """Single-field entries without C; the value sits under the field code."""
+    cu = table(spark, sf_dir, "customer").withColumn("p", F.expr("c_custkey div 1000"))
+    entry = f"""concat('{{"M0":', {jv("c_name")}, '}}')"""
+    resp = responses_of(custom_pages(cu, ["p"], ["c_custkey"], entry, desc(("M0", "customer.c_name"))),
+                        "customer", "customer", F.col("p") + 1)
+    return typed_columns(explode_rows(decode_pages(resp)), {"c_name": "string"})
+
+
+@check("Q_short_c", """
+SELECT p_partkey, p_name, CASE WHEN p_size < 10 THEN NULL ELSE p_retailprice END AS p_retailprice FROM part
+""")
+def q_short_c(spark, sf_dir):
+    """The last field is missing from C for p_size < 10 -> NULL."""
+    pa = table(spark, sf_dir, "part").withColumn("p", F.expr("p_partkey div 1000"))
+    k, n, r = jv("p_partkey"), jv("p_name"), jv("p_retailprice")
+    entry = f"""concat('{{"C":[', {k}, ',', {n}, CASE WHEN p_size < 10 THEN '' ELSE concat(',', {r}) END, ']}}')"""
+    d = desc(("M0", "part.p_partkey"), ("M1", "part.p_name"), ("M2", "part.p_retailprice"))
+    resp = responses_of(custom_pages(pa, ["p"], ["p_partkey"], entry, d), "part", "part", F.col("p") + 1)
+    rows = explode_rows(decode_pages(resp))
+    return typed_columns(rows, {"p_partkey": "bigint", "p_name": "string", "p_retailprice": "double"})
+
+
+@check("Q_truncate", """
+SELECT event_id, value FROM (SELECT *, min(CASE WHEN value > 200 THEN event_id END) OVER (PARTITION BY event_id // 100) AS bad FROM events)
+WHERE bad IS NULL OR event_id < bad
+""")
+def q_truncate(spark, sf_dir):
+    """Pages of 100 events; an entry with value > 200 is malformed (C is null),
+    which cuts the rest of its page."""
+    ev = table(spark, sf_dir, "events").withColumn("p", F.expr("event_id div 100"))
+    entry = f"""CASE WHEN value > 200 THEN '{{"C":null}}'
+      ELSE concat('{{"C":[', {jv("event_id")}, ',', {jv("value")}, ']}}') END"""
+    d = desc(("M0", "e.event_id"), ("M1", "e.value"))
+    resp = responses_of(custom_pages(ev, ["p"], ["event_id"], entry, d), "events", "events", F.col("p") + 1)
+    rows = explode_rows(decode_pages(resp))
+    return typed_columns(rows, {"event_id": "bigint", "value": "double"})
+
+
+@check("Q_restart_tokens", """
+SELECT p AS page_no, CASE WHEN p < max(p) OVER () THEN last_id END AS restart_token
+FROM (SELECT event_id // 100 AS p, max(event_id) AS last_id FROM events GROUP BY 1)
+""")
+def q_restart_tokens(spark, sf_dir):
+    """Each page's RT holds its last event id, except on the last page."""
+    ev = table(spark, sf_dir, "events").withColumn("p", F.expr("event_id div 100"))
+    last_page = ev.agg(F.max("p")).first()[0]
+    rt = F.when(F.first("p") < F.lit(last_page), F.concat(F.lit("[["), F.max("event_id").cast("string"), F.lit("]]")))
+    entries = ev.select("p", "event_id", F.expr(f"""concat('{{"C":[', {jv("event_id")}, ']}}')""").alias("entry"))
+    pages = build_pages(entries, ["p"], ["event_id"], desc(("M0", "e.event_id")), rt=rt, dicts_col=None)
+    dec = decode_pages(responses_of(pages, "events", "events", F.col("p") + 1))
+    return dec.select(
+        (F.col("page_no") - 1).cast("bigint").alias("page_no"),
+        F.get_json_object("restart_tokens", "$[0][0]").cast("bigint").alias("restart_token"),
+    )
+
+
+@check("Q_column_names", """
+SELECT p_partkey, regexp_replace(p_brand || '.' || p_type || '.x', '^[^.]*\\.', '') AS col FROM part
+""")
+def q_column_names(spark, sf_dir):
+    """One page per part whose second descriptor name is brand.type.x;
+    the column name is the text after the first dot."""
+    pa = table(spark, sf_dir, "part")
+    d = F.concat(
+        F.lit('{"Select":[{"Value":"M0","Name":"part.key"},{"Value":"M1","Name":'),
+        F.expr(jv("concat(p_brand, '.', p_type, '.x')")),
+        F.lit("}]}"),
+    )
+    entries = pa.select("p_partkey", F.expr(f"""concat('{{"C":[', {jv("p_partkey")}, ',0]}}')""").alias("entry"), d.alias("d"))
+    pages = build_pages(entries, ["p_partkey"], ["p_partkey"], F.col("d"), dicts_col=None)
+    rows = explode_rows(decode_pages(responses_of(pages, "part", "part", F.col("p_partkey"))))
+    return rows.select(
+        F.expr("try_variant_get(vals[0], '$', 'bigint')").alias("p_partkey"),
+        F.expr("cols[1]").alias("col"),
+    )

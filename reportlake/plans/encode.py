@@ -31,6 +31,8 @@ class Field:
     dn        name of a page-local value dictionary (or None: value written as is)
     repeat    SQL boolean: write an ``R`` bit instead of the value.  ``"auto"``:
               when the value equals the previous row's value in the page.
+    code_dict the dictionary is named by the field code and no DN is written
+    override  SQL integer written instead of the dictionary index when not null
     """
 
     code: str
@@ -38,13 +40,19 @@ class Field:
     value: str
     dn: str | None = None
     repeat: str | None = "auto"
+    code_dict: bool = False
+    override: str | None = None
+
+    @property
+    def dict_name(self) -> str | None:
+        return self.code if self.code_dict else self.dn
 
 
 def descriptor_json(fields: list[Field]) -> str:
     items = []
     for f in fields:
         item = {"Value": f.code, "Name": f.name}
-        if f.dn:
+        if f.dn and not f.code_dict:
             item["DN"] = f.dn
         items.append(item)
     import json
@@ -56,7 +64,7 @@ def schema_json(fields: list[Field]) -> str:
     import json
 
     return json.dumps(
-        [{"N": f.code, **({"DN": f.dn} if f.dn else {})} for f in fields], ensure_ascii=False
+        [{"N": f.code, **({"DN": f.dn} if f.dn and not f.code_dict else {})} for f in fields], ensure_ascii=False
     )
 
 
@@ -71,7 +79,10 @@ def encode_entries(
     w_page = Window.partitionBy(*page_keys)
     w_ord = w_page.orderBy(*order_by)
     cols = {f"_v{i}": F.expr(f.value) for i, f in enumerate(fields)}
-    base = df.select(*page_keys, *[c for c in order_by if c not in page_keys], *[v.alias(k) for k, v in cols.items()])
+    base = df.select(
+        *page_keys, *[c for c in order_by if c not in page_keys], *[v.alias(k) for k, v in cols.items()],
+        *[F.expr(f.override).alias(f"_o{i}") for i, f in enumerate(fields) if f.override],
+    )
     exprs = []
     for i, f in enumerate(fields):
         v = F.col(f"_v{i}")
@@ -83,7 +94,7 @@ def encode_entries(
         else:
             rep = F.expr(f.repeat)
         exprs.append(rep.alias(f"_r{i}"))
-        if f.dn:
+        if f.dict_name:
             exprs.append(F.array_sort(F.collect_set(v).over(w_page)).alias(f"_d{i}"))
     exprs.append(F.row_number().over(w_ord).alias("_rn"))
     staged = base.select("*", *exprs)
@@ -91,8 +102,10 @@ def encode_entries(
     c_items, r_terms, z_terms = [], [], []
     for i, f in enumerate(fields):
         v, r = f"_v{i}", f"_r{i}"
-        if f.dn:
+        if f.dict_name:
             text = f"cast(array_position(_d{i}, {v}) - 1 AS string)"
+            if f.override:
+                text = f"coalesce(cast(_o{i} AS string), {text})"
         else:
             text = json_value(v)
         c_items.append(f"CASE WHEN NOT {r} AND {v} IS NOT NULL THEN {text} END")
@@ -110,7 +123,7 @@ def encode_entries(
         "'}')"
     )
     dict_parts = [
-        f"concat({json_string(repr(f.dn))}, ':', to_json(_d{i}))" for i, f in enumerate(fields) if f.dn
+        f"concat({json_string(repr(f.dict_name))}, ':', to_json(_d{i}))" for i, f in enumerate(fields) if f.dict_name
     ]
     dicts = f"concat('{{', concat_ws(',', {', '.join(dict_parts)}), '}}')" if dict_parts else "'{}'"
     return staged.select(
