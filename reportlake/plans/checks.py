@@ -13,10 +13,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportlake.operators.assemble import typed_columns
+from reportlake.functions.ranking import group_row_number
+from reportlake.operators.assemble import (
+    assembled_rows,
+    infer_schema,
+    module_status,
+    module_table,
+    page_meta,
+    page_plan,
+    typed_columns,
+)
+from reportlake.operators.attempts import resolve_attempts, with_retry_delay
 from reportlake.operators.decode import decode_pages, explode_rows
 from reportlake.functions.sqlx import json_value
-from reportlake.plans.encode import Field, build_pages, encode_table
+from reportlake.plans.encode import Field, build_pages, descriptor_json, encode_entries, encode_table
 
 CHECKS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -294,3 +304,170 @@ def q_column_names(spark, sf_dir):
         F.expr("try_variant_get(vals[0], '$', 'bigint')").alias("p_partkey"),
         F.expr("cols[1]").alias("col"),
     )
+
+
+# ---------------------------------------------------------------------------
+# 2.E page assembly, attempts, schema
+# ---------------------------------------------------------------------------
+
+def assemble_module_rows(resp: DataFrame, paginated: DataFrame | None = None):
+    """decode -> page plan -> kept rows."""
+    dec = decode_pages(resp)
+    pages, mods = page_plan(page_meta(dec, paginated))
+    return assembled_rows(dec, pages), pages, mods
+
+
+@check("Q_boundary", """
+SELECT event_id, user_id, event_type FROM events
+""")
+def q_boundary(spark, sf_dir):
+    """One module, pages of 100 events; each page starts with the last row of
+    the previous page (as the service repeats it); tokens on all but the last page."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.expr("event_id div 100").alias("p"))
+    last_page = ev.agg(F.max("p")).first()[0]
+    edge = (
+        ev.where(F.col("p") < last_page).groupBy("p")
+        .agg(F.max_by(F.struct("event_id", "user_id", "event_type"), "event_id").alias("r"))
+        .select((F.col("p") + 1).alias("p"), F.col("r.event_id").alias("event_id"), "r.user_id", "r.event_type",
+                F.lit(0).alias("o"))
+    )
+    rows = ev.withColumn("o", F.lit(1)).unionByName(edge)
+    fields = [
+        Field("M0", "e.event_id", "event_id", repeat=None),
+        Field("M1", "e.user_id", "user_id"),
+        Field("M2", "e.event_type", "event_type", dn="VType"),
+    ]
+    rt = F.when(F.first("p") < F.lit(last_page), F.concat(F.lit("[["), F.max("event_id").cast("string"), F.lit("]]")))
+    pages = encode_table(rows, ["p"], ["o", "event_id"], fields, rt=rt)
+    kept, _, _ = assemble_module_rows(responses_of(pages, "events", "events", F.col("p") + 1))
+    return typed_columns(kept, {"event_id": "bigint", "user_id": "bigint", "event_type": "string"})
+
+
+@check("Q_page_stop", """
+WITH p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS page_no FROM events),
+s AS (SELECT *, max(CASE WHEN event_type IN ('error', 'purchase') THEN 1 ELSE 0 END)
+  OVER (PARTITION BY user_id ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stopped FROM p)
+SELECT user_id, page_no, event_id FROM s
+WHERE coalesce(stopped, 0) = 0 AND event_type <> 'error' AND (user_id % 10 <> 0 OR page_no = 1)
+""")
+def q_page_stop(spark, sf_dir):
+    """module = user, one page per event (page_no = rank by event_id); status 500
+    for 'error' (stop before), no tokens for 'purchase' (stop after), single-shot
+    modules (user_id % 10 = 0) keep page 1 only."""
+    ev = group_row_number(table(spark, sf_dir, "events"), ["user_id"], "event_id", "page_no")
+    fields = [Field("M0", "e.user_id", "user_id", repeat=None), Field("M1", "e.event_id", "event_id", repeat=None)]
+    rt = F.when(F.first("event_type") != "purchase", F.lit("[[1]]"))
+    entries = encode_entries(ev, ["user_id", "page_no"], ["event_id"], fields)
+    ev_type = ev.select("user_id", "page_no", "event_type")
+    entries = entries.join(ev_type, ["user_id", "page_no"])
+    pages = build_pages(entries, ["user_id", "page_no"], ["event_id"], descriptor_json(fields), rt=rt,
+                        extra={"event_type": F.first("event_type")})
+    resp = responses_of(pages, "events", F.col("user_id"), F.col("page_no"),
+                        status=F.when(F.col("event_type") == "error", 500).otherwise(200))
+    paginated = table(spark, sf_dir, "events").select("user_id").distinct().select(
+        F.lit("events").alias("report_key"), F.col("user_id").cast("string").alias("module"),
+        (F.col("user_id") % 10 != 0).alias("paginated"))
+    kept, _, _ = assemble_module_rows(resp, paginated)
+    return kept.select(
+        F.col("module").cast("bigint").alias("user_id"),
+        F.col("page_no").cast("bigint").alias("page_no"),
+        F.expr("try_variant_get(get(vals, array_position(cols, 'event_id') - 1), '$', 'bigint')").alias("event_id"),
+    )
+
+
+@check("Q_attempts", """
+WITH a AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS k FROM events),
+b AS (SELECT user_id, k // 5 AS req, k % 5 AS attempt, CASE event_type WHEN 'view' THEN 200 WHEN 'error' THEN 503 WHEN 'signup' THEN 429 WHEN 'purchase' THEN 401 ELSE 404 END AS status FROM a),
+f AS (SELECT user_id, req, min(attempt) AS attempt FROM b WHERE status IN (200, 404) OR attempt = 4 GROUP BY 1, 2)
+SELECT b.user_id, b.req, b.attempt, b.status, CASE WHEN status = 200 THEN 'ok' WHEN status = 401 THEN 'auth_failed' ELSE 'gave_up' END AS outcome
+FROM b JOIN f USING (user_id, req, attempt)
+""")
+def q_attempts(spark, sf_dir):
+    """request = (user, block of 5 events), attempt = position in the block;
+    view 200, error 503, signup 429, purchase 401, click 404; max_retries = 4."""
+    ev = group_row_number(table(spark, sf_dir, "events"), ["user_id"], "event_id", "rn")
+    log = ev.select(
+        F.lit("events").alias("report_key"),
+        F.col("user_id").cast("string").alias("module"),
+        F.expr("(rn - 1) div 5").alias("page_no"),
+        F.expr("(rn - 1) % 5").cast("int").alias("attempt"),
+        F.expr("CASE event_type WHEN 'view' THEN 200 WHEN 'error' THEN 503 WHEN 'signup' THEN 429 "
+               "WHEN 'purchase' THEN 401 ELSE 404 END").alias("status"),
+        F.lit(None).cast("string").alias("retry_after"),
+        F.lit(None).cast("string").alias("body"),
+    )
+    res = resolve_attempts(log, max_retries=4).where(F.col("outcome") != "pending")
+    return res.select(
+        F.col("module").cast("bigint").alias("user_id"),
+        F.col("page_no").cast("bigint").alias("req"),
+        F.col("attempt").cast("bigint").alias("attempt"),
+        F.col("status").cast("int").alias("status"),
+        "outcome",
+    )
+
+
+@check("Q_retry_delay", """
+SELECT event_id, coalesce(TRY_CAST(CASE WHEN event_id % 2 = 0 THEN CAST(value AS VARCHAR) WHEN event_id % 4 = 1 THEN 'soon' END AS DOUBLE), power(2, event_id % 5)) AS delay_s FROM events
+""")
+def q_retry_delay(spark, sf_dir):
+    """Retry-After text is the value for even ids, 'soon' for ids % 4 = 1, absent
+    otherwise; attempt = id % 5; base delay 1.0."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.expr("CASE WHEN event_id % 2 = 0 THEN CAST(value AS STRING) WHEN event_id % 4 = 1 THEN 'soon' END").alias("retry_after"),
+        F.expr("event_id % 5").alias("attempt"),
+    )
+    return with_retry_delay(ev, out_col="delay_s").select("event_id", "delay_s")
+
+
+@check("Q_schema_union", """
+SELECT event_id, CASE WHEN event_type = 'view' THEN value END AS view_value,
+       CASE WHEN event_type = 'click' THEN user_id END AS click_user FROM events
+""")
+def q_schema_union(spark, sf_dir):
+    """Rows carry only the keys of their event type (their own S); the module's
+    table is the union of keys in first-seen order with types inferred from all values."""
+    ev = table(spark, sf_dir, "events").withColumn("p", F.expr("event_id div 1000"))
+    last_page = ev.agg(F.max("p")).first()[0]
+    k = jv("event_id")
+    entry = f"""CASE event_type
+      WHEN 'view' THEN concat('{{"S":[{{"N":"M0"}},{{"N":"M1"}}],"C":[', {k}, ',', {jv("value")}, ']}}')
+      WHEN 'click' THEN concat('{{"S":[{{"N":"M0"}},{{"N":"M2"}}],"C":[', {k}, ',', {jv("user_id")}, ']}}')
+      ELSE concat('{{"S":[{{"N":"M0"}}],"C":[', {k}, ']}}') END"""
+    d = desc(("M0", "e.event_id"), ("M1", "e.view_value"), ("M2", "e.click_user"))
+    rt = F.when(F.first("p") < F.lit(last_page), F.lit("[[1]]"))
+    pages = custom_pages(ev, ["p"], ["event_id"], entry, d, rt=rt)
+    kept, _, _ = assemble_module_rows(responses_of(pages, "events", "events", F.col("p") + 1))
+    schema = infer_schema(kept)
+    return module_table(kept, schema, "events", "events").drop("page_no", "pos")
+
+
+@check("Q_run_summary", """
+SELECT c_nationkey AS module, count(*) FILTER (WHERE c_acctbal > 0) AS n_rows,
+       CASE WHEN count(*) FILTER (WHERE c_acctbal > 0) = 0 THEN 'empty' ELSE 'ok' END AS status
+FROM customer GROUP BY 1
+""")
+def q_run_summary(spark, sf_dir):
+    """module = nation; its pages hold the customers with a positive balance
+    (pages of custkey div 100, tokens on all but the last); a nation without such
+    customers lands one empty page.  Status per module."""
+    cu = table(spark, sf_dir, "customer")
+    pos = cu.where("c_acctbal > 0").withColumn("b", F.expr("c_custkey div 100"))
+    buckets = group_row_number(pos.select("c_nationkey", "b").distinct(), ["c_nationkey"], "b", "page_no")
+    n_pages = buckets.groupBy("c_nationkey").agg(F.max("page_no").alias("n_pages"))
+    rows = pos.join(buckets, ["c_nationkey", "b"]).join(n_pages, "c_nationkey")
+    fields = [Field("M0", "c.c_custkey", "c_custkey", repeat=None), Field("M1", "c.c_acctbal", "c_acctbal", repeat=None)]
+    rt = F.when(F.first("page_no") < F.first("n_pages"), F.lit("[[1]]"))
+    entries = encode_entries(rows, ["c_nationkey", "page_no"], ["c_custkey"], fields).join(
+        n_pages, "c_nationkey")
+    pages = build_pages(entries, ["c_nationkey", "page_no"], ["c_custkey"], descriptor_json(fields), rt=rt)
+    nations = cu.select("c_nationkey").distinct()
+    empty = nations.join(pages.select("c_nationkey").distinct(), "c_nationkey", "left_anti").select(
+        "c_nationkey", F.lit(1).alias("page_no"),
+        F.lit('{"results":[{"result":{"data":{"descriptor":{"Select":[]},"dsr":{"DS":[{"PH":[{"DM0":[]}]}]}}}}]}').alias("body"))
+    resp = responses_of(pages.unionByName(empty), "customers", F.col("c_nationkey"), F.col("page_no"))
+    dec = decode_pages(resp)
+    pg, mods = page_plan(page_meta(dec))
+    modules = nations.select(F.lit("customers").alias("report_key"), F.col("c_nationkey").cast("string").alias("module"))
+    st = module_status(pg, mods, modules)
+    return st.select(F.col("module").cast("int").alias("module"), "n_rows", "status")
