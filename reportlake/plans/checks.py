@@ -23,7 +23,13 @@ from reportlake.operators.assemble import (
     page_plan,
     typed_columns,
 )
+from reportlake.functions.protocol import PAGE_SIZE, VIEW_URL_PREFIX
 from reportlake.operators.attempts import resolve_attempts, with_retry_delay
+from reportlake.operators.discover import discover, report_config
+from reportlake.operators.payloads import build_payloads, is_paginated, window_config
+from reportlake.operators.runs import select_modules
+from reportlake.sources.captures import filter_captures, har_entries, header_value
+from reportlake.sources.urls import extract_view_urls, resource_key
 from reportlake.operators.decode import decode_pages, explode_rows
 from reportlake.functions.sqlx import json_value
 from reportlake.plans.encode import Field, build_pages, descriptor_json, encode_entries, encode_table
@@ -471,3 +477,279 @@ def q_run_summary(spark, sf_dir):
     modules = nations.select(F.lit("customers").alias("report_key"), F.col("c_nationkey").cast("string").alias("module"))
     st = module_status(pg, mods, modules)
     return st.select(F.col("module").cast("int").alias("module"), "n_rows", "status")
+
+
+# ---------------------------------------------------------------------------
+# 2.C discovery, captures, URLs, payloads
+# ---------------------------------------------------------------------------
+
+QUERY_URL = "'https://api.example.com/public/reports/querydata?synchronous=true'"
+
+
+def _column_item(source: str, prop_sql: str) -> str:
+    return f"""concat('{{"Column":{{"Expression":{{"SourceRef":{{"Source":"{source}"}}}},"Property":', {prop_sql}, '}}}}')"""
+
+
+def _capture_body(command_sql: str, ctx_sql: str | None = None, extra_sql: str = "''") -> str:
+    ctx = ctx_sql or """'{"DatasetId":"ds","Sources":[{"ReportId":"rep","VisualId":"vis"}]}'"""
+    return (
+        """concat('{"version":"1.0.0","queries":[{"Query":{"Commands":[{"SemanticQueryDataShapeCommand":', """
+        f"{command_sql}, "
+        """'}]},"ApplicationContext":', """
+        f"{ctx}, "
+        """'}],"cancelQueries":[]', """
+        f"{extra_sql}, '}}')"
+    )
+
+
+@check("Q_capture_filter", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+WHERE event_type NOT IN ('view', 'signup') AND event_id % 13 <> 0 AND event_id % 17 <> 0
+""")
+def q_capture_filter(spark, sf_dir):
+    """Events as HAR documents (one per 100 events): GET for 'view', another
+    path for 'signup', body = props, broken when event_id % 13 = 0, empty when % 17 = 0."""
+    ev = table(spark, sf_dir, "events")
+    req = F.struct(
+        F.when(F.col("event_type") == "view", "GET").otherwise("POST").alias("method"),
+        F.when(F.col("event_type") == "signup", F.lit("https://api.example.com/other/path"))
+        .otherwise(F.expr(QUERY_URL)).alias("url"),
+        F.array(
+            F.struct(F.lit("X-Event-Id").alias("name"), F.col("event_id").cast("string").alias("value")),
+            F.struct(F.lit("Content-Type").alias("name"), F.lit("application/json").alias("value")),
+        ).alias("headers"),
+        F.struct(
+            F.expr("CASE WHEN event_id % 17 = 0 THEN '' WHEN event_id % 13 = 0 THEN concat(props, '}}') ELSE props END").alias("text")
+        ).alias("postData"),
+    )
+    docs = ev.groupBy(F.expr("event_id div 100").alias("doc")).agg(
+        F.array_sort(F.collect_list(F.struct("event_id", req.alias("request")))).alias("es")
+    )
+    texts = docs.select(
+        F.col("doc").cast("string").alias("source"),
+        F.to_json(F.struct(F.struct(F.expr("transform(es, x -> struct(x.request AS request))").alias("entries")).alias("log"))).alias("text"),
+    )
+    caps, _ = filter_captures(har_entries(texts))
+    return caps.select(
+        header_value("headers", "x-event-id").cast("bigint").alias("event_id"),
+        F.get_json_object("body", "$.k").cast("bigint").alias("k"),
+    )
+
+
+@check("Q_header_ci", """
+SELECT event_id, CASE WHEN event_id % 5 = 0 THEN '' ELSE event_type END AS resource_key FROM events
+""")
+def q_header_ci(spark, sf_dir):
+    """The key header is upper- or lower-case by event_id % 2, absent when
+    % 5 = 0; for % 3 = 0 an earlier exact duplicate holds a stale value."""
+    ev = table(spark, sf_dir, "events")
+    name = F.when(F.col("event_id") % 2 == 0, F.lit("X-RESOURCEKEY")).otherwise(F.lit("x-resourcekey"))
+    hdr = lambda n, v: F.struct(n.alias("name"), v.alias("value"))
+    headers = F.when(
+        F.col("event_id") % 5 == 0, F.array(hdr(F.lit("Accept"), F.lit("*/*")))
+    ).when(
+        F.col("event_id") % 3 == 0,
+        F.array(hdr(F.lit("Accept"), F.lit("*/*")), hdr(name, F.lit("stale")), hdr(F.lit("Origin"), F.lit("o")), hdr(name, F.col("event_type"))),
+    ).otherwise(F.array(hdr(F.lit("Accept"), F.lit("*/*")), hdr(name, F.col("event_type"))))
+    caps = ev.select("event_id", headers.alias("headers"))
+    return caps.select("event_id", F.coalesce(header_value("headers", "X-ResourceKey"), F.lit("")).alias("resource_key"))
+
+
+@check("Q_view_urls", """
+SELECT DISTINCT 'https://app.example.com/view?r=' || c_mktsegment || (c_custkey % 50) AS url FROM customer
+""")
+def q_view_urls(spark, sf_dir):
+    """C4: one text per customer naming its view URL twice among noise."""
+    cu = table(spark, sf_dir, "customer")
+    url = F.concat(F.lit(VIEW_URL_PREFIX), F.col("c_mktsegment"), (F.col("c_custkey") % 50).cast("string"))
+    texts = cu.select(
+        F.col("c_custkey").alias("source"),
+        F.concat(F.lit("see "), url, F.lit(' and <a href="'), url, F.lit('">noise</a> https://elsewhere.example.org/x')).alias("text"),
+    )
+    return extract_view_urls(texts).select("url")
+
+
+@check("Q_resource_key", """
+SELECT c_custkey, c_name AS resource_key FROM customer
+""")
+def q_resource_key(spark, sf_dir):
+    """r = unpadded base64 of {"k": c_name}."""
+    cu = table(spark, sf_dir, "customer")
+    r = F.regexp_replace(F.base64(F.to_json(F.struct(F.col("c_name").alias("k"))).cast("binary")), "=+$", "")
+    urls = cu.select("c_custkey", F.concat(F.lit(VIEW_URL_PREFIX), r, F.lit("&pageName=x")).alias("url"))
+    key, _ = resource_key(F.col("url"))
+    return urls.select("c_custkey", key.alias("resource_key"))
+
+
+def _event_captures(ev: DataFrame) -> DataFrame:
+    cmd = """'{"Query":{"Version":2,"From":[{"Name":"e","Entity":"Events","Type":0}],"Select":[{"Column":{"Expression":{"SourceRef":{"Source":"e"}},"Property":"value"}}]},"Binding":{"Primary":{"Groupings":[{"Projections":[0]}]},"DataReduction":{"DataVolume":3,"Primary":{"Window":{}}}}}'"""
+    ctx = """concat('{"DatasetId":"ds-', cast(user_id AS string), '","Sources":[{"ReportId":"rep-', cast(user_id AS string), '","VisualId":"vis-', cast(event_id AS string), '"}]}')"""
+    model = """CASE WHEN user_id % 2 = 1 THEN concat(',"modelId":', cast(cast(floor(value) AS bigint) AS string)) ELSE '' END"""
+    return ev.select(
+        F.col("user_id").cast("string").alias("report_key"),
+        F.col("event_id").alias("pos"),
+        F.expr(QUERY_URL).alias("url"),
+        F.array(F.struct(F.lit("X-ResourceKey").alias("name"), F.col("event_type").alias("value"))).alias("headers"),
+        F.expr(_capture_body(cmd, ctx, model)).alias("body"),
+    )
+
+
+@check("Q_report_config", """
+SELECT user_id, min(event_id) AS first_capture,
+       CASE WHEN user_id % 2 = 1 THEN CAST(floor(arg_min(value, event_id)) AS BIGINT) ELSE 598501 END AS model_id
+FROM events GROUP BY 1
+""")
+def q_report_config(spark, sf_dir):
+    """report = user, captures ordered by event_id; modelId present for odd users."""
+    cfg = report_config(_event_captures(table(spark, sf_dir, "events")))
+    return cfg.select(F.col("report_key").cast("bigint").alias("user_id"), F.col("first_capture").alias("first_capture"), "model_id")
+
+
+def _part_captures(pa: DataFrame, report_key, select_sql: str, from_sql: str, where_sql: str = "''") -> DataFrame:
+    cmd = f"""concat('{{"Query":{{"Version":2,"From":', {from_sql}, ',"Select":', {select_sql}, {where_sql}, '}},"Binding":{{"DataReduction":{{"DataVolume":3,"Primary":{{"Window":{{"Count":500}}}}}}}}}}')"""
+    return pa.select(
+        report_key.cast("string").alias("report_key"),
+        F.col("p_partkey").alias("pos"),
+        F.expr(QUERY_URL).alias("url"),
+        F.array().cast("array<struct<name:string,value:string>>").alias("headers"),
+        F.expr(_capture_body(cmd)).alias("body"),
+        "p_partkey",
+    )
+
+
+@check("Q_select_columns", """
+SELECT p_partkey, p_brand AS prop, p_size % 5 IN (1, 2) AS is_measure FROM part WHERE p_size % 5 < 3
+""")
+def q_select_columns(spark, sf_dir):
+    """One report per part; p_size % 5 picks the Select item kind: 0 Column,
+    1 Measure, 2 Aggregation over a Column, 3 an unknown kind, 4 a subquery source."""
+    pa = table(spark, sf_dir, "part")
+    b = jv("p_brand")
+    ref = """'{"Expression":{"SourceRef":{"Source":"p"}},"Property":'"""
+    select_sql = f"""CASE p_size % 5
+      WHEN 0 THEN concat('[{{"Column":', {ref}, {b}, '}}}}]')
+      WHEN 1 THEN concat('[{{"Measure":', {ref}, {b}, '}}}}]')
+      WHEN 2 THEN concat('[{{"Aggregation":{{"Expression":{{"Column":', {ref}, {b}, '}}}},"Function":5}}}}]')
+      WHEN 3 THEN concat('[{{"HierarchyLevel":', {ref}, {b}, '}}}}]')
+      ELSE concat('[{{"Column":', {ref}, {b}, '}}}}]') END"""
+    from_sql = """CASE WHEN p_size % 5 = 4 THEN '[{"Name":"p","Expression":{"Subquery":{}},"Type":2}]' ELSE '[{"Name":"p","Entity":"Parts","Type":0}]' END"""
+    caps = _part_captures(pa, F.col("p_partkey"), select_sql, from_sql)
+    mods = discover(caps)["modules"]
+    return mods.select(F.col("report_key").cast("bigint").alias("p_partkey"), F.explode("select_columns").alias("s")).select(
+        "p_partkey", F.col("s.prop").alias("prop"), F.col("s.is_measure").alias("is_measure"))
+
+
+@check("Q_module_names", """
+SELECT p_partkey, lower(replace(least(p_type, p_brand) || CASE WHEN p_type = p_brand THEN '' ELSE '_' || greatest(p_type, p_brand) END || '_' || p_name, ' ', '_')) AS name FROM part
+""")
+def q_module_names(spark, sf_dir):
+    """Entities {p_type, p_brand}, selected column p_name -> module name."""
+    pa = table(spark, sf_dir, "part")
+    from_sql = f"""concat('[{{"Name":"t","Entity":', {jv("p_type")}, ',"Type":0}},{{"Name":"b","Entity":', {jv("p_brand")}, ',"Type":0}}]')"""
+    select_sql = f"concat('[', {_column_item('t', jv('p_name'))}, ']')"
+    mods = discover(_part_captures(pa, F.col("p_partkey"), select_sql, from_sql))["modules"]
+    return mods.select(F.col("report_key").cast("bigint").alias("p_partkey"), "name")
+
+
+@check("Q_shape_dedupe", """
+SELECT event_type, CAST(floor(value / 10) AS BIGINT) AS bucket, min(event_id) AS kept FROM events GROUP BY 1, 2
+""")
+def q_shape_dedupe(spark, sf_dir):
+    """One report; the query shape is (event_type, value bucket), written with
+    its keys in a different order for odd and even event ids."""
+    ev = table(spark, sf_dir, "events")
+    sel = f"concat('[', {_column_item('e', jv('event_type'))}, ']')"
+    frm = """'[{"Name":"e","Entity":"Events","Type":0}]'"""
+    where = """concat('[{"Condition":{"Bucket":', cast(cast(floor(value / 10) AS bigint) AS string), '}}]')"""
+    cmd = f"""CASE WHEN event_id % 2 = 0
+      THEN concat('{{"Query":{{"Version":2,"From":', {frm}, ',"Select":', {sel}, ',"Where":', {where}, '}}}}')
+      ELSE concat('{{"Query":{{"Where":', {where}, ',"Select":', {sel}, ',"From":', {frm}, ',"Version":2}}}}') END"""
+    caps = ev.select(
+        F.lit("events").alias("report_key"), F.col("event_id").alias("pos"), F.expr(QUERY_URL).alias("url"),
+        F.array().cast("array<struct<name:string,value:string>>").alias("headers"),
+        F.expr(_capture_body(cmd)).alias("body"),
+    )
+    mods = discover(caps)["modules"]
+    return mods.select(
+        F.expr("select_columns[0].prop").alias("event_type"),
+        F.get_json_object("query_template", "$.Query.Where[0].Condition.Bucket").cast("bigint").alias("bucket"),
+        F.col("pos").alias("kept"),
+    )
+
+
+@check("Q_name_suffix", """
+SELECT c_custkey, n || CASE WHEN count(*) OVER (PARTITION BY n) = 1 THEN '' ELSE '_' || row_number() OVER (PARTITION BY n ORDER BY c_custkey) END AS name
+FROM (SELECT c_custkey, lower(c_mktsegment) || '_' || c_nationkey AS n FROM customer)
+""")
+def q_name_suffix(spark, sf_dir):
+    """C11: one report; a capture per customer named segment_nation (distinct shapes
+    through a Where on the customer); repeated names get _1, _2 ... in capture order."""
+    cu = table(spark, sf_dir, "customer")
+    frm = f"""concat('[{{"Name":"c","Entity":', {jv("c_mktsegment")}, ',"Type":0}}]')"""
+    sel = f"concat('[', {_column_item('c', jv('cast(c_nationkey AS string)'))}, ']')"
+    where = """concat('[{"Condition":{"Key":', cast(c_custkey AS string), '}}]')"""
+    cmd = f"""concat('{{"Query":{{"From":', {frm}, ',"Select":', {sel}, ',"Where":', {where}, '}}}}')"""
+    caps = cu.select(
+        F.lit("customers").alias("report_key"), F.col("c_custkey").alias("pos"), F.expr(QUERY_URL).alias("url"),
+        F.array().cast("array<struct<name:string,value:string>>").alias("headers"),
+        F.expr(_capture_body(cmd)).alias("body"),
+    )
+    mods = discover(caps)["modules"]
+    return mods.select(F.col("pos").alias("c_custkey"), "name")
+
+
+@check("Q_is_paginated", """
+SELECT event_id, event_id % 5 IN (0, 4) AS paginated FROM events
+""")
+def q_is_paginated(spark, sf_dir):
+    """event_id % 5: 0 Window, 1 Top, 2 Primary null, 3 Binding null, 4 Window null."""
+    ev = table(spark, sf_dir, "events")
+    tpl = F.expr("""CASE event_id % 5
+      WHEN 0 THEN '{"Query":{},"Binding":{"DataReduction":{"DataVolume":3,"Primary":{"Window":{"Count":500}}}}}'
+      WHEN 1 THEN '{"Query":{},"Binding":{"DataReduction":{"DataVolume":3,"Primary":{"Top":{}}}}}'
+      WHEN 2 THEN '{"Query":{},"Binding":{"DataReduction":{"Primary":null}}}'
+      WHEN 3 THEN '{"Query":{},"Binding":null}'
+      ELSE '{"Query":{},"Binding":{"DataReduction":{"Primary":{"Window":null}}}}' END""")
+    return ev.select("event_id", is_paginated(tpl).alias("paginated"))
+
+
+@check("Q_payload", """
+SELECT p_partkey, 30000 AS cnt, CASE WHEN p_size < 10 THEN NULL ELSE p_size END AS token, p_brand AS where_value FROM part
+""")
+def q_payload(spark, sf_dir):
+    """A module per part whose template filters on p_brand; its next-page
+    request carries tokens = p_size (none when p_size < 10); read back from the JSON."""
+    pa = table(spark, sf_dir, "part")
+    where = f"""concat(',"Where":[{{"Condition":{{"In":{{"Values":[[{{"Literal":{{"Value":', {jv("p_brand")}, '}}}}]]}}}}}}]')"""
+    caps = _part_captures(
+        pa, F.col("p_partkey"), f"concat('[', {_column_item('p', jv('p_name'))}, ']')",
+        """'[{"Name":"p","Entity":"Parts","Type":0}]'""", where)
+    found = discover(caps)
+    req = found["modules"].join(pa.select(F.col("p_partkey").cast("string").alias("report_key"), "p_size"), "report_key")
+    req = req.withColumn("rt", F.when(F.col("p_size") >= 10, F.col("p_size").cast("string")))
+    out = build_payloads(req, found["report_config"], window_config(PAGE_SIZE, F.col("rt")))
+    cmd = "$.queries[0].Query.Commands[0].SemanticQueryDataShapeCommand"
+    return out.select(
+        F.col("report_key").cast("bigint").alias("p_partkey"),
+        F.get_json_object("payload", f"{cmd}.Binding.DataReduction.Primary.Window.Count").cast("int").alias("cnt"),
+        F.get_json_object("payload", f"{cmd}.Binding.DataReduction.Primary.Window.RestartTokens").cast("int").alias("token"),
+        F.get_json_object("payload", f"{cmd}.Query.Where[0].Condition.In.Values[0][0].Literal.Value").alias("where_value"),
+    )
+
+
+@check("Q_module_selection", """
+SELECT p_partkey, p_name FROM part WHERE p_brand = 'Brand#13'
+""")
+def q_module_selection(spark, sf_dir):
+    """C17: modules = parts (one report); the request names every Brand#13 part (in
+    key order) plus three unknown names; selection keeps request order."""
+    pa = table(spark, sf_dir, "part")
+    modules = pa.select(F.lit("parts").alias("report_key"), F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("name"),
+                        "p_partkey", "p_name")
+    wanted = pa.where(F.col("p_brand") == "Brand#13").select(
+        F.lit("parts").alias("report_key"), F.col("p_partkey").alias("req_pos"),
+        F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("name"))
+    unknown = spark.createDataFrame([("parts", -3, "no_such_a"), ("parts", -2, "no_such_b"), ("parts", -1, "no_such_c")],
+                                    "report_key string, req_pos bigint, name string")
+    selected, _ = select_modules(modules, wanted.unionByName(unknown), raise_unknown=False)
+    return selected.select("p_partkey", "p_name")
