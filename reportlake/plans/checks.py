@@ -27,9 +27,12 @@ from reportlake.functions.protocol import PAGE_SIZE, VIEW_URL_PREFIX
 from reportlake.operators.attempts import resolve_attempts, with_retry_delay
 from reportlake.operators.discover import discover, report_config
 from reportlake.operators.payloads import build_payloads, is_paginated, window_config
-from reportlake.operators.runs import select_modules
+from reportlake.operators.runs import bulk_summary, report_status, select_modules
+from reportlake.session import scratch_dir
+from reportlake.sinks.tables import load_catalog, report_dirs, save_catalog, write_module_csv
 from reportlake.sources.captures import filter_captures, har_entries, header_value
 from reportlake.sources.urls import extract_view_urls, resource_key
+from reportlake.streaming.incremental import start_incremental_decode
 from reportlake.operators.decode import decode_pages, explode_rows
 from reportlake.functions.sqlx import json_value
 from reportlake.plans.encode import Field, build_pages, descriptor_json, encode_entries, encode_table
@@ -753,3 +756,96 @@ def q_module_selection(spark, sf_dir):
                                     "report_key string, req_pos bigint, name string")
     selected, _ = select_modules(modules, wanted.unionByName(unknown), raise_unknown=False)
     return selected.select("p_partkey", "p_name")
+
+
+# ---------------------------------------------------------------------------
+# 2.B sinks, 2.A catalog source, 2.F bulk runs, S1 streaming
+# ---------------------------------------------------------------------------
+
+@check("Q_csv_roundtrip", """
+SELECT s_suppkey, s_name, s_acctbal FROM supplier
+""")
+def q_csv_roundtrip(spark, sf_dir):
+    """B1: supplier pages decoded to a typed table, written as CSV, read back."""
+    su = table(spark, sf_dir, "supplier").withColumn("p", F.expr("s_suppkey div 1000"))
+    fields = [
+        Field("M0", "s.s_suppkey", "s_suppkey", repeat=None),
+        Field("M1", "s.s_name", "s_name", repeat=None),
+        Field("M2", "s.s_acctbal", "s_acctbal"),
+    ]
+    resp = responses_of(encode_table(su, ["p"], ["s_suppkey"], fields), "suppliers", "supplier", F.col("p") + 1)
+    rows = explode_rows(decode_pages(resp))
+    typed = typed_columns(rows, {"s_suppkey": "bigint", "s_name": "string", "s_acctbal": "double"}, ("page_no", "pos"))
+    path = scratch_dir(spark, "csv") + "/supplier.csv"
+    write_module_csv(typed, path)
+    return spark.read.schema("s_suppkey bigint, s_name string, s_acctbal double").option("header", True).csv(path)
+
+
+@check("Q_catalog_roundtrip", """
+SELECT DISTINCT p_brand AS module, 'parts_brand' AS name FROM part
+""")
+def q_catalog_roundtrip(spark, sf_dir):
+    """B2/A4: a report per brand; every part's capture has the same query shape, so
+    discovery keeps one module per report; saved as JSON and loaded back."""
+    pa = table(spark, sf_dir, "part")
+    sel = f"concat('[', {_column_item('p', jv(repr('Brand')))}, ']')"
+    caps = _part_captures(pa, F.col("p_brand"), sel, """'[{"Name":"p","Entity":"Parts","Type":0}]'""")
+    found = discover(caps)
+    path = scratch_dir(spark, "catalog")
+    save_catalog(found["report_config"], found["modules"], path, redact=True)
+    _, mods = load_catalog(spark, path)
+    return mods.select(F.col("report_key").alias("module"), "name")
+
+
+@check("Q_report_dirs", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'report_' || row_number() OVER (ORDER BY o_orderkey) ELSE o_orderpriority END AS report_dir FROM orders
+""")
+def q_report_dirs(spark, sf_dir):
+    """A URL per order, listed in key order; it carries r = base64 of
+    {"k": priority} unless o_orderkey % 9 = 0 (no r parameter)."""
+    od = table(spark, sf_dir, "orders")
+    r = F.regexp_replace(F.base64(F.to_json(F.struct(F.col("o_orderpriority").alias("k"))).cast("binary")), "=+$", "")
+    url = F.when(F.col("o_orderkey") % 9 == 0, F.concat(F.lit("https://app.example.com/view?id="), F.col("o_orderkey").cast("string"))) \
+        .otherwise(F.concat(F.lit(VIEW_URL_PREFIX), r))
+    urls = od.select("o_orderkey", url.alias("url"), F.col("o_orderkey").alias("url_index"))
+    return report_dirs(urls).select("o_orderkey", "report_dir")
+
+
+@check("Q_bulk_summary", """
+SELECT status, count(*) AS n FROM (SELECT o_custkey, CASE WHEN bool_and(o_orderstatus = 'F') THEN 'failed' ELSE 'ok' END AS status FROM orders GROUP BY 1) GROUP BY 1
+""")
+def q_bulk_summary(spark, sf_dir):
+    """report = customer, one capture per order; an order with status 'F'
+    captured a subquery-sourced query (unusable).  A report whose captures give no
+    module fails discovery; count reports per status."""
+    od = table(spark, sf_dir, "orders")
+    frm = """CASE WHEN o_orderstatus = 'F' THEN '[{"Name":"s","Expression":{"Subquery":{}},"Type":2}]' ELSE '[{"Name":"o","Entity":"Orders","Type":0}]' END"""
+    sel = f"concat('[', {_column_item('o', jv(repr('Total')))}, ']')"
+    cmd = f"""concat('{{"Query":{{"From":', {frm}, ',"Select":', {sel}, '}}}}')"""
+    caps = od.select(
+        F.col("o_custkey").cast("string").alias("report_key"), F.col("o_orderkey").alias("pos"),
+        F.expr(QUERY_URL).alias("url"), F.array().cast("array<struct<name:string,value:string>>").alias("headers"),
+        F.expr(_capture_body(cmd)).alias("body"),
+    )
+    found = discover(caps)
+    urls = od.select(F.col("o_custkey").cast("string").alias("report_key")).distinct().select(
+        F.concat(F.lit(VIEW_URL_PREFIX), F.col("report_key")).alias("url"), "report_key")
+    return bulk_summary(report_status(urls, found["report_discovery"]))
+
+
+@check("Q_stream_decode", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+       l_returnflag, l_linestatus FROM lineitem
+""")
+def q_stream_decode(spark, sf_dir):
+    """Lineitem pages landed as files, decoded incrementally by a stream
+    (available-now trigger, one micro-batch per landed file group), then typed."""
+    base = scratch_dir(spark, "stream")
+    lineitem_responses(spark, sf_dir).write.mode("overwrite").json(f"{base}/landing")
+    q = start_incremental_decode(spark, f"{base}/landing", f"{base}/decoded", f"{base}/_checkpoint",
+                                 max_files_per_trigger=2)
+    q.awaitTermination()
+    dec = spark.read.parquet(f"{base}/decoded")
+    rows = explode_rows(dec)
+    typed = typed_columns(rows, {c: ("bigint" if t == "int" else t) for c, t in LINEITEM_TYPES.items()})
+    return typed.select(*[F.col(c).cast(t).alias(c) for c, t in LINEITEM_TYPES.items()])
