@@ -33,22 +33,25 @@ def mask_struct(v: str) -> str:
     anything an integer ``&`` would reject (null, float, text, ...).
     Booleans behave as 0/1 like Python's bool.
     """
-    t = f"schema_of_variant({v})"
     dec = f"try_variant_get({v}, '$', 'decimal(38,0)')"
     two63 = "9223372036854775808BD"
     wide = (
-        f"({t} LIKE 'DECIMAL(%,0)' AND cast(regexp_extract({t}, 'DECIMAL\\\\((\\\\d+),0\\\\)', 1) AS int) >= 19 "
+        "(t LIKE 'DECIMAL(%,0)' AND cast(regexp_extract(t, 'DECIMAL\\\\((\\\\d+),0\\\\)', 1) AS int) >= 19 "
         f"AND {dec} IS NOT NULL AND {dec} >= 0)"
     )
     big = f"variant_get({v}, '$', 'bigint')"
     boo = f"CASE WHEN variant_get({v}, '$', 'boolean') THEN 1L ELSE 0L END"
+    body = (
+        "CASE WHEN t = 'BIGINT' THEN named_struct('ok', true, 'lo', b & " + LONG_MAX + ", 'hi', shiftright(b, 63)) "
+        "ELSE named_struct("
+        f"'ok', t = 'BOOLEAN' OR {wide}, "
+        f"'lo', CASE WHEN t = 'BOOLEAN' THEN {boo} WHEN {wide} THEN cast(pmod({dec}, {two63}) AS bigint) ELSE 0L END, "
+        f"'hi', CASE WHEN {wide} THEN cast(({dec} - pmod({dec}, {two63})) / {two63} AS bigint) ELSE 0L END) END"
+    )
     return (
-        "named_struct("
-        f"'ok', ({v}) IS NULL OR {t} IN ('BIGINT', 'BOOLEAN') OR {wide}, "
-        f"'lo', CASE WHEN ({v}) IS NULL THEN 0L WHEN {t} = 'BIGINT' THEN {big} & {LONG_MAX} "
-        f"WHEN {t} = 'BOOLEAN' THEN {boo} WHEN {wide} THEN cast(pmod({dec}, {two63}) AS bigint) ELSE 0L END, "
-        f"'hi', CASE WHEN ({v}) IS NULL THEN 0L WHEN {t} = 'BIGINT' THEN shiftright({big}, 63) "
-        f"WHEN {wide} THEN cast(({dec} - pmod({dec}, {two63})) / {two63} AS bigint) ELSE 0L END)"
+        f"CASE WHEN ({v}) IS NULL THEN named_struct('ok', true, 'lo', 0L, 'hi', 0L) ELSE "
+        + let([("t", f"schema_of_variant({v})"), ("b", f"CASE WHEN t = 'BIGINT' THEN {big} END")], body)
+        + " END"
     )
 
 

@@ -71,29 +71,35 @@ def _descriptor(data: str) -> str:
     )
 
 
-def _entry(e: str, p: str) -> str:
-    """D3/D4 + parse of one entry's keys (S, C, R, Ø)."""
-    m = "m"
-    s_raw = f"try_element_at({m}, 'S')"
+ENTRY_STRUCT = "struct<S:variant,C:variant,R:variant,`Ø`:variant,X:variant>"
+
+
+def _entry(e: str) -> str:
+    """D3/D4 + parse of one entry's keys (S, C, R, Ø) in one pass over the object.
+
+    The cast to a struct leaves a missing key as SQL NULL and a JSON null as a
+    VARIANT null, and gives NULL for an entry that is not an object.
+    """
+    s_raw = "es.S"
     s_arr = f"try_variant_get({s_raw}, '$', 'array<map<string,variant>>')"
-    c_raw = f"try_element_at({m}, 'C')"
-    c_arr = f"try_variant_get({c_raw}, '$', 'array<variant>')"
+    c_arr = "try_variant_get(es.C, '$', 'array<variant>')"
     s_present = f"({s_raw} IS NOT NULL AND NOT is_variant_null({s_raw}))"
     body = (
         "named_struct("
-        f"'p', {p}, 'm', {m}, 'obj', {m} IS NOT NULL, "
-        f"'skip', coalesce(map_contains_key({m}, 'X') AND NOT map_contains_key({m}, 'C'), false), "
+        "'obj', es IS NOT NULL, "
+        "'skip', coalesce(es.X IS NOT NULL AND es.C IS NULL, false), "
         f"'s_present', coalesce({s_present}, false), "
         f"'s_bad', coalesce({s_present} AND ({s_arr} IS NULL OR exists({s_arr}, f -> f IS NULL)), false), "
-        f"'s', transform({s_arr}, f -> named_struct("
-        f"'N', try_variant_get(try_element_at(f, 'N'), '$', 'string'), "
-        f"'DN', try_variant_get(try_element_at(f, 'DN'), '$', 'string'))), "
-        f"'r', {let([('rv', f"try_element_at({m}, 'R')")], mask_struct('rv'))}, "
-        f"'z', {let([('zv', f"try_element_at({m}, 'Ø')")], mask_struct('zv'))}, "
-        f"'c', coalesce({c_arr}, array()), "
-        f"'c_bad', coalesce({c_raw} IS NOT NULL AND {c_arr} IS NULL, false))"
+        f"'s', CASE WHEN {s_present} THEN transform({s_arr}, f -> named_struct("
+        "'N', try_variant_get(try_element_at(f, 'N'), '$', 'string'), "
+        "'DN', try_variant_get(try_element_at(f, 'DN'), '$', 'string'))) END, "
+        f"'r', {mask_struct('es.R')}, "
+        f"'z', {mask_struct('es.`Ø`')}, "
+        "'c', coalesce(ca, array()), "
+        "'c_bad', coalesce(es.C IS NOT NULL AND ca IS NULL, false))"
     )
-    return let([(m, f"try_variant_get({e}, '$', 'map<string,variant>')")], body)
+    return let([("es", f"try_variant_get({e}, '$', '{ENTRY_STRUCT}')"),
+                ("ca", f"CASE WHEN es.C IS NOT NULL THEN {c_arr} END")], body)
 
 
 def _dict_key(f: str, i: str) -> str:
@@ -114,22 +120,23 @@ def _cell(x: str, i: str) -> str:
     rank = count_free_below(f"{x}.r", f"{x}.z", i)
     raw = (
         f"CASE WHEN {bit(x + '.z', i)} THEN NULL "
-        f"WHEN rk < size({x}.c) THEN get({x}.c, rk) "
-        f"WHEN {f}.N IS NOT NULL AND coalesce(map_contains_key({x}.m, {f}.N), false) "
-        f"THEN try_element_at({x}.m, {f}.N) END"
+        f"WHEN rk < size(ec) THEN get(ec, rk) "
+        f"WHEN {f}.N IS NOT NULL "
+        f"THEN try_element_at(try_variant_get(get(g.dm0, {x}.p), '$', 'map<string,variant>'), {f}.N) END"
     )
     look = (
-        "CASE WHEN schema_of_variant(v) = 'BIGINT' AND d IS NOT NULL "
+        "CASE WHEN d IS NOT NULL AND schema_of_variant(v) = 'BIGINT' "
         "AND variant_get(v, '$', 'bigint') >= 0 AND variant_get(v, '$', 'bigint') < size(d) "
         "THEN get(d, cast(variant_get(v, '$', 'bigint') AS int)) ELSE v END"
     )
     dk = f"get(get(h.dkeys, {x}.sidx + 1), {i})"
     resolved = let(
         [
+            ("ec", f"get(g.ents, {x}.p).c"),
             ("rk", rank),
             ("v0", raw),
             ("v", "CASE WHEN is_variant_null(v0) THEN NULL ELSE v0 END"),
-            ("d", f"CASE WHEN {dk} IS NULL THEN NULL ELSE try_element_at(g.dicts, {dk}) END"),
+            ("d", f"CASE WHEN v IS NULL OR {dk} IS NULL THEN NULL ELSE try_element_at(g.dicts, {dk}) END"),
             ("w", look),
         ],
         "CASE WHEN is_variant_null(w) THEN NULL ELSE w END",
@@ -164,7 +171,8 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         "named_struct("
         f"'sel', {_descriptor('_data')}, "
         "'dicts', coalesce(_ds.ValueDicts, map()), "
-        "'ents', transform(coalesce(get(_ds.PH, 0).DM0, array()), (e, p) -> " + _entry("e", "p") + "), "
+        "'dm0', coalesce(get(_ds.PH, 0).DM0, array()), "
+        "'ents', transform(coalesce(get(_ds.PH, 0).DM0, array()), e -> " + _entry("e") + "), "
         "'n_all', coalesce(size(get(_ds.PH, 0).DM0), 0))"
     )
     df = df.select(
@@ -178,7 +186,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     # stage h: schema changes, schema per entry, first bad entry, emitted entries
     dflt = "transform(g.sel, x -> named_struct('N', x.code, 'DN', x.dn))"
     pre_bad = (
-        "coalesce(array_min(transform(filter(g.ents, x -> NOT x.obj OR (NOT x.skip AND x.s_bad)), x -> x.p)), g.n_all)"
+        "coalesce(array_position(transform(g.ents, x -> NOT x.obj OR (NOT x.skip AND x.s_bad)), true) - 1, -1)"
     )
     changes = (
         "transform(ch0, (c, k) -> named_struct('p', c.p, 's', c.s, "
@@ -200,33 +208,41 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     full_bad = (
         "NOT x.r.ok OR x.c_bad OR (NOT x.z.ok AND NOT " + all_bits_set("x.r", "L") + ")"
     )
+    si = "get(sidx, p)"
+    L = f"size(get(schemas, {si} + 1))"
     with_len = (
-        "transform(g.ents, x -> " + let(
-            [("si", "get(sidx, x.p)"), ("L", "size(get(schemas, get(sidx, x.p) + 1))")],
-            "named_struct('p', x.p, 'm', x.m, 'skip', x.skip, 'r', x.r, 'z', x.z, 'c', x.c, "
-            "'sidx', si, 'L', L, "
-            "'reset', x.s_present AND NOT x.skip AND coalesce(get(ch, si).reset, false), "
-            f"'bad', x.p < pre_bad AND NOT x.skip AND L > 0 AND ({full_bad}), "
-            "'why', CASE WHEN NOT x.obj THEN 'entry_not_object' WHEN x.s_bad THEN 'bad_schema' "
-            "WHEN NOT x.r.ok THEN 'bad_repeat_mask' WHEN x.c_bad THEN 'bad_values' "
-            "WHEN NOT x.z.ok THEN 'bad_null_mask' END)",
-        ) + ")"
+        "zip_with(g.ents, sidx, (x, si) -> named_struct('skip', x.skip, 'r', x.r, 'z', x.z, "
+        "'sidx', si, 'L', size(get(schemas, si + 1)), 's_present', x.s_present, "
+        "'obj', x.obj, 's_bad', x.s_bad, 'c_bad', x.c_bad))"
+    )
+    flag = (
+        "transform(wl, (x, p) -> named_struct('p', p, 'sidx', x.sidx, 'L', x.L, 'skip', x.skip, "
+        "'reset', x.s_present AND NOT x.skip AND coalesce(get(ch, x.sidx).reset, false), "
+        f"'bad', p < pre_bad AND NOT x.skip AND x.L > 0 AND ({full_bad.replace('L)', 'x.L)')}), "
+        "'why', CASE WHEN NOT x.obj THEN 'entry_not_object' WHEN x.s_bad THEN 'bad_schema' "
+        "WHEN NOT x.r.ok THEN 'bad_repeat_mask' WHEN x.c_bad THEN 'bad_values' "
+        "WHEN NOT x.z.ok THEN 'bad_null_mask' END, 'r', x.r, 'z', x.z))"
     )
     h = let(
         [
             ("dflt", dflt),
-            ("pre_bad", pre_bad),
-            ("ch0", "filter(g.ents, x -> x.p < pre_bad AND NOT x.skip AND x.s_present)"),
+            ("pre_bad0", pre_bad),
+            ("pre_bad", "CASE WHEN pre_bad0 < 0 THEN g.n_all ELSE pre_bad0 END"),
+            ("ch0", "filter(transform(g.ents, (x, p) -> named_struct('p', p, 'skip', x.skip, 's_present', x.s_present, 's', x.s)), "
+             "x -> x.p < pre_bad AND NOT x.skip AND x.s_present)"),
             ("ch", changes),
             ("sidx", sidx),
             ("schemas", "concat(array(dflt), transform(ch, c -> c.s))"),
-            ("wl", with_len),
-            ("first_bad", "least(pre_bad, coalesce(array_min(transform(filter(wl, x -> x.bad), x -> x.p)), g.n_all))"),
+            ("wl0", with_len),
+            ("wl", flag.replace("transform(wl,", "transform(wl0,")),
+            ("fb0", "array_position(transform(wl, x -> x.bad), true)"),
+            ("first_bad", "least(pre_bad, CASE WHEN fb0 > 0 THEN fb0 - 1 ELSE g.n_all END)"),
         ],
         "named_struct('schemas', schemas, 'scols', " + scols + ", 'dkeys', " + dkeys + ", "
         "'first_bad', CASE WHEN first_bad < g.n_all THEN first_bad END, "
         "'why', get(wl, first_bad).why, "
-        "'em', filter(wl, x -> x.p < first_bad AND NOT x.skip AND x.L > 0))",
+        "'em', transform(filter(wl, x -> x.p < first_bad AND NOT x.skip AND x.L > 0), "
+        "x -> named_struct('p', x.p, 'sidx', x.sidx, 'L', x.L, 'reset', x.reset, 'r', x.r, 'z', x.z)))",
     )
     df = df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens", "_g",
@@ -325,3 +341,27 @@ def quarantine(decoded: DataFrame, keys: tuple[str, ...] = PAGE_KEYS) -> DataFra
         F.col("bad_pos").alias("pos"),
         F.when(F.col("bad_json"), F.lit("bad_json")).otherwise(F.col("bad_reason")).alias("reason"),
     )
+
+
+def stage_pages(decoded: DataFrame, keys: tuple[str, ...] = PAGE_KEYS) -> DataFrame:
+    """Decoded pages in a compact, storable form (one row per page).
+
+    ``rows_json`` one JSON object per decoded row (deduplicated names, nulls as
+    ``null``) -- typed later by ``from_json`` with the module's inferred schema;
+    ``col_types`` per column of the page: its page-local first-seen ordinal ``k``
+    and the set of VARIANT types of its non-null values (input to E8); plus the
+    page facts the assembly rules need.  Everything is computed inside the page.
+    """
+    meta = [c for c in decoded.columns if c not in ("schemas", "rows")]
+    rows_json = "transform(rows, r -> to_json(map_from_arrays(get(schemas, r.sidx + 1), r.vals)))"
+    order = "array_distinct(flatten(transform(array_distinct(transform(rows, r -> r.sidx)), s -> get(schemas, s + 1))))"
+    pairs = (
+        "array_distinct(flatten(transform(rows, r -> filter(zip_with(get(schemas, r.sidx + 1), r.vals, "
+        "(c, v) -> named_struct('col', c, 't', schema_of_variant(v))), x -> x.t IS NOT NULL))))"
+    )
+    col_types = let(
+        [("ord", order), ("pr", pairs)],
+        "transform(ord, (c, k) -> named_struct('col', c, 'k', k, "
+        "'types', transform(filter(pr, x -> x.col = c), x -> x.t)))",
+    )
+    return decoded.select(*meta, F.expr(col_types).alias("col_types"), F.expr(rows_json).alias("rows_json"))

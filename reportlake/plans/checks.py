@@ -14,15 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportlake.functions.ranking import group_row_number
-from reportlake.operators.assemble import (
-    assembled_rows,
-    infer_schema,
-    module_status,
-    module_table,
-    page_meta,
-    page_plan,
-    typed_columns,
-)
+from reportlake.operators.assemble import typed_columns
 from reportlake.functions.protocol import PAGE_SIZE, VIEW_URL_PREFIX
 from reportlake.operators.attempts import resolve_attempts, with_retry_delay
 from reportlake.operators.discover import discover, report_config
@@ -35,6 +27,7 @@ from reportlake.sources.urls import extract_view_urls, resource_key
 from reportlake.streaming.incremental import start_incremental_decode
 from reportlake.operators.decode import decode_pages, explode_rows
 from reportlake.functions.sqlx import json_value
+from reportlake.plans.extract import extract
 from reportlake.plans.encode import Field, build_pages, descriptor_json, encode_entries, encode_table
 
 CHECKS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -319,13 +312,6 @@ def q_column_names(spark, sf_dir):
 # 2.E page assembly, attempts, schema
 # ---------------------------------------------------------------------------
 
-def assemble_module_rows(resp: DataFrame, paginated: DataFrame | None = None):
-    """decode -> page plan -> kept rows."""
-    dec = decode_pages(resp)
-    pages, mods = page_plan(page_meta(dec, paginated))
-    return assembled_rows(dec, pages), pages, mods
-
-
 @check("Q_boundary", """
 SELECT event_id, user_id, event_type FROM events
 """)
@@ -348,8 +334,8 @@ def q_boundary(spark, sf_dir):
     ]
     rt = F.when(F.first("p") < F.lit(last_page), F.concat(F.lit("[["), F.max("event_id").cast("string"), F.lit("]]")))
     pages = encode_table(rows, ["p"], ["o", "event_id"], fields, rt=rt)
-    kept, _, _ = assemble_module_rows(responses_of(pages, "events", "events", F.col("p") + 1))
-    return typed_columns(kept, {"event_id": "bigint", "user_id": "bigint", "event_type": "string"})
+    ex = extract(responses_of(pages, "events", "events", F.col("p") + 1))
+    return ex.table("events", "events")
 
 
 @check("Q_page_stop", """
@@ -376,11 +362,11 @@ def q_page_stop(spark, sf_dir):
     paginated = table(spark, sf_dir, "events").select("user_id").distinct().select(
         F.lit("events").alias("report_key"), F.col("user_id").cast("string").alias("module"),
         (F.col("user_id") % 10 != 0).alias("paginated"))
-    kept, _, _ = assemble_module_rows(resp, paginated)
-    return kept.select(
+    ex = extract(resp, paginated)
+    return ex.rows.select(
         F.col("module").cast("bigint").alias("user_id"),
         F.col("page_no").cast("bigint").alias("page_no"),
-        F.expr("try_variant_get(get(vals, array_position(cols, 'event_id') - 1), '$', 'bigint')").alias("event_id"),
+        F.get_json_object("row_json", "$.event_id").cast("bigint").alias("event_id"),
     )
 
 
@@ -446,9 +432,8 @@ def q_schema_union(spark, sf_dir):
     d = desc(("M0", "e.event_id"), ("M1", "e.view_value"), ("M2", "e.click_user"))
     rt = F.when(F.first("p") < F.lit(last_page), F.lit("[[1]]"))
     pages = custom_pages(ev, ["p"], ["event_id"], entry, d, rt=rt)
-    kept, _, _ = assemble_module_rows(responses_of(pages, "events", "events", F.col("p") + 1))
-    schema = infer_schema(kept)
-    return module_table(kept, schema, "events", "events").drop("page_no", "pos")
+    ex = extract(responses_of(pages, "events", "events", F.col("p") + 1))
+    return ex.table("events", "events")
 
 
 @check("Q_run_summary", """
@@ -475,10 +460,9 @@ def q_run_summary(spark, sf_dir):
         "c_nationkey", F.lit(1).alias("page_no"),
         F.lit('{"results":[{"result":{"data":{"descriptor":{"Select":[]},"dsr":{"DS":[{"PH":[{"DM0":[]}]}]}}}}]}').alias("body"))
     resp = responses_of(pages.unionByName(empty), "customers", F.col("c_nationkey"), F.col("page_no"))
-    dec = decode_pages(resp)
-    pg, mods = page_plan(page_meta(dec))
+    ex = extract(resp)
     modules = nations.select(F.lit("customers").alias("report_key"), F.col("c_nationkey").cast("string").alias("module"))
-    st = module_status(pg, mods, modules)
+    st = ex.status(modules)
     return st.select(F.col("module").cast("int").alias("module"), "n_rows", "status")
 
 
