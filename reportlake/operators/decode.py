@@ -30,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportlake.functions.jsonx import strict_json_ok
 from reportlake.functions.sqlx import (
     all_bits_set,
     bit,
@@ -159,11 +160,11 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     if keep is None:
         keep = tuple(c for c in responses.columns if c != body_col)
     env = F.from_json(F.col(body_col), ENVELOPE_DDL)
-    df = responses.select(*keep, env.alias("_env"), F.col(body_col).isNull().alias("_nobody"))
+    df = responses.select(*keep, env.alias("_env"), F.col(body_col), F.col(body_col).isNull().alias("_nobody"))
     df = df.select(
         *keep,
         F.expr("get(_env.results, 0).result.data").alias("_data"),
-        (F.col("_env").isNull() & ~F.col("_nobody")).alias("bad_json"),
+        (~F.col("_nobody") & ~strict_json_ok(F.col(body_col))).alias("bad_json"),
     ).select(*keep, "bad_json", "_data", F.expr("get(_data.dsr.DS, 0)").alias("_ds"))
 
     # stage g: descriptor, entries, dictionaries

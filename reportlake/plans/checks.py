@@ -355,7 +355,7 @@ def q_page_stop(spark, sf_dir):
     entries = encode_entries(ev, ["user_id", "page_no"], ["event_id"], fields)
     ev_type = ev.select("user_id", "page_no", "event_type")
     entries = entries.join(ev_type, ["user_id", "page_no"])
-    pages = build_pages(entries, ["user_id", "page_no"], ["event_id"], descriptor_json(fields), rt=rt,
+    pages = build_pages(entries, ["user_id", "page_no"], ["_rn"], descriptor_json(fields), rt=rt,
                         extra={"event_type": F.first("event_type")})
     resp = responses_of(pages, "events", F.col("user_id"), F.col("page_no"),
                         status=F.when(F.col("event_type") == "error", 500).otherwise(200))
@@ -454,7 +454,7 @@ def q_run_summary(spark, sf_dir):
     rt = F.when(F.first("page_no") < F.first("n_pages"), F.lit("[[1]]"))
     entries = encode_entries(rows, ["c_nationkey", "page_no"], ["c_custkey"], fields).join(
         n_pages, "c_nationkey")
-    pages = build_pages(entries, ["c_nationkey", "page_no"], ["c_custkey"], descriptor_json(fields), rt=rt)
+    pages = build_pages(entries, ["c_nationkey", "page_no"], ["_rn"], descriptor_json(fields), rt=rt)
     nations = cu.select("c_nationkey").distinct()
     empty = nations.join(pages.select("c_nationkey").distinct(), "c_nationkey", "left_anti").select(
         "c_nationkey", F.lit(1).alias("page_no"),

@@ -75,7 +75,12 @@ def encode_entries(
     fields: list[Field],
     schema_on_first: bool = True,
 ) -> DataFrame:
-    """Rows -> (page keys, order columns, ``entry`` JSON text, ``dicts`` JSON text)."""
+    """Rows -> (page keys, order columns, ``_rn``, ``entry`` JSON text, ``dicts`` JSON text).
+
+    ``_rn`` is the row's position in its page from the same window that sets
+    the repeat bits, so pages must be assembled in ``_rn`` order (ties of
+    ``order_by`` are broken once, consistently).
+    """
     w_page = Window.partitionBy(*page_keys)
     w_ord = w_page.orderBy(*order_by)
     cols = {f"_v{i}": F.expr(f.value) for i, f in enumerate(fields)}
@@ -129,6 +134,7 @@ def encode_entries(
     return staged.select(
         *page_keys,
         *[c for c in order_by if c not in page_keys],
+        "_rn",
         F.expr(entry).alias("entry"),
         F.expr(dicts).alias("dicts"),
     )
@@ -188,4 +194,4 @@ def encode_table(
 ) -> DataFrame:
     """Rows -> one response body per page, with a literal descriptor."""
     entries = encode_entries(df, page_keys, order_by, fields)
-    return build_pages(entries, page_keys, order_by, descriptor_json(fields), rt=rt)
+    return build_pages(entries, page_keys, ["_rn"], descriptor_json(fields), rt=rt)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportlake.functions.jsonx import strict_json_ok
 from reportlake.functions.protocol import QUERY_PATH
 
 HAR_DDL = (
@@ -48,20 +49,6 @@ def reject_reason(path_marker: str = QUERY_PATH) -> Column:
     )
 
 
-def strict_json_ok(text: Column) -> Column:
-    """True when ``text`` is exactly one JSON value.
-
-    Spark's JSON readers stop after the first complete value and ignore what
-    follows (``{"k":1}}}`` parses); a strict parser rejects trailing text.  The
-    text is wrapped as ``[text, 0]``: trailing text then breaks the array, and
-    a comma-separated list shows up as more than two elements.
-    """
-    wrapped = F.concat(F.lit("["), text, F.lit("\n,0]"))
-    return F.coalesce(F.call_function("json_array_length", wrapped) == 2, F.lit(False)) & F.call_function(
-        "try_parse_json", wrapped
-    ).isNotNull()
-
-
 def filter_captures(entries: DataFrame, path_marker: str = QUERY_PATH) -> tuple[DataFrame, DataFrame]:
     """Split entries into (captures, rejects with reason).  The same rule
     applies to live-captured requests landed in this shape."""
