@@ -61,7 +61,9 @@ def main():
     rt = F.when(F.first("p") < F.lit(last_page), F.lit("[[1]]"))
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     pages = encode_table(paged, ["p"], order, LINEITEM_FIELDS, rt=rt)
-    responses_of(pages, "lineitem", "lineitem", F.col("p") + 1).write.parquet(f"{base}/lineitem_pages")
+    # A landing zone holds many page files; land round-robin into 4 x cpus files.
+    n_files = 4 * int(cpus)
+    responses_of(pages, "lineitem", "lineitem", F.col("p") + 1).repartition(n_files).write.parquet(f"{base}/lineitem_pages")
     single = {}
     for n in (5000, 30000, 100000):
         if n > n_li:

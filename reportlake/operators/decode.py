@@ -75,32 +75,37 @@ def _descriptor(data: str) -> str:
 ENTRY_STRUCT = "struct<S:variant,C:variant,R:variant,`Ø`:variant,X:variant>"
 
 
-def _entry(e: str) -> str:
-    """D3/D4 + parse of one entry's keys (S, C, R, Ø) in one pass over the object.
+def _entries(dm0: str) -> str:
+    """D3/D4 + parse of every entry's keys (S, C, R, Ø) in one pass over each object.
 
     The cast to a struct leaves a missing key as SQL NULL and a JSON null as a
-    VARIANT null, and gives NULL for an entry that is not an object.
+    VARIANT null, and gives NULL for an entry that is not an object.  Chained
+    ``transform`` calls bind intermediate values as lambda variables.
     """
-    s_raw = "es.S"
-    s_arr = f"try_variant_get({s_raw}, '$', 'array<map<string,variant>>')"
-    c_arr = "try_variant_get(es.C, '$', 'array<variant>')"
-    s_present = f"({s_raw} IS NOT NULL AND NOT is_variant_null({s_raw}))"
+    s_arr = "try_variant_get(es.S, '$', 'array<map<string,variant>>')"
+    s_present = "(es.S IS NOT NULL AND NOT is_variant_null(es.S))"
+    stage1 = f"transform({dm0}, e -> try_variant_get(e, '$', '{ENTRY_STRUCT}'))"
+    stage2 = (
+        f"transform({stage1}, es -> named_struct('es', es, "
+        f"'sa', CASE WHEN {s_present} THEN {s_arr} END, "
+        "'ca', CASE WHEN es.C IS NOT NULL THEN try_variant_get(es.C, '$', 'array<variant>') END))"
+    )
     body = (
         "named_struct("
-        "'obj', es IS NOT NULL, "
-        "'skip', coalesce(es.X IS NOT NULL AND es.C IS NULL, false), "
-        f"'s_present', coalesce({s_present}, false), "
-        f"'s_bad', coalesce({s_present} AND ({s_arr} IS NULL OR exists({s_arr}, f -> f IS NULL)), false), "
-        f"'s', CASE WHEN {s_present} THEN transform({s_arr}, f -> named_struct("
+        "'obj', y.es IS NOT NULL, "
+        "'skip', coalesce(y.es.X IS NOT NULL AND y.es.C IS NULL, false), "
+        "'s_present', coalesce(y.es.S IS NOT NULL AND NOT is_variant_null(y.es.S), false), "
+        "'s_bad', coalesce(y.es.S IS NOT NULL AND NOT is_variant_null(y.es.S) "
+        "AND (y.sa IS NULL OR exists(y.sa, f -> f IS NULL)), false), "
+        "'s', transform(y.sa, f -> named_struct("
         "'N', try_variant_get(try_element_at(f, 'N'), '$', 'string'), "
-        "'DN', try_variant_get(try_element_at(f, 'DN'), '$', 'string'))) END, "
-        f"'r', {mask_struct('es.R')}, "
-        f"'z', {mask_struct('es.`Ø`')}, "
-        "'c', coalesce(ca, array()), "
-        "'c_bad', coalesce(es.C IS NOT NULL AND ca IS NULL, false))"
+        "'DN', try_variant_get(try_element_at(f, 'DN'), '$', 'string'))), "
+        f"'r', {mask_struct('y.es.R')}, "
+        f"'z', {mask_struct('y.es.`Ø`')}, "
+        "'c', coalesce(y.ca, array()), "
+        "'c_bad', coalesce(y.es.C IS NOT NULL AND y.ca IS NULL, false))"
     )
-    return let([("es", f"try_variant_get({e}, '$', '{ENTRY_STRUCT}')"),
-                ("ca", f"CASE WHEN es.C IS NOT NULL THEN {c_arr} END")], body)
+    return f"transform({stage2}, y -> {body})"
 
 
 def _dict_key(f: str, i: str) -> str:
@@ -115,34 +120,31 @@ def _dict_key(f: str, i: str) -> str:
     )
 
 
-def _cell(x: str, i: str) -> str:
-    """Own value of field i in emitted entry x (D6, D8, D9, D10, D11, D12), before the carry."""
+def _raw(x: str, i: str) -> str:
+    """The value field i of emitted entry x reads (NULL for repeat,
+    null bit, missing), before dictionaries."""
     f = f"get(get(h.schemas, {x}.sidx + 1), {i})"
     rank = count_free_below(f"{x}.r", f"{x}.z", i)
-    raw = (
-        f"CASE WHEN {bit(x + '.z', i)} THEN NULL "
-        f"WHEN rk < size(ec) THEN get(ec, rk) "
+    ec = f"get(g.ents, {x}.p).c"
+    return (
+        f"CASE WHEN {i} >= {x}.L OR {bit(x + '.r', i)} OR {bit(x + '.z', i)} THEN NULL "
+        f"WHEN {rank} < size({ec}) THEN get({ec}, {rank}) "
         f"WHEN {f}.N IS NOT NULL "
         f"THEN try_element_at(try_variant_get(get(g.dm0, {x}.p), '$', 'map<string,variant>'), {f}.N) END"
     )
-    look = (
-        "CASE WHEN d IS NOT NULL AND schema_of_variant(v) = 'BIGINT' "
-        "AND variant_get(v, '$', 'bigint') >= 0 AND variant_get(v, '$', 'bigint') < size(d) "
-        "THEN get(d, cast(variant_get(v, '$', 'bigint') AS int)) ELSE v END"
-    )
-    dk = f"get(get(h.dkeys, {x}.sidx + 1), {i})"
-    resolved = let(
-        [
-            ("ec", f"get(g.ents, {x}.p).c"),
-            ("rk", rank),
-            ("v0", raw),
-            ("v", "CASE WHEN is_variant_null(v0) THEN NULL ELSE v0 END"),
-            ("d", f"CASE WHEN v IS NULL OR {dk} IS NULL THEN NULL ELSE try_element_at(g.dicts, {dk}) END"),
-            ("w", look),
-        ],
-        "CASE WHEN is_variant_null(w) THEN NULL ELSE w END",
+
+
+def _resolve(x: str, v: str, i: str) -> str:
+    """An integer cell through its field's dictionary; JSON null -> SQL NULL."""
+    d = f"get(get(h.sdicts, {x}.sidx + 1), {i})"
+    iv = f"variant_get({v}, '$', 'bigint')"
+    hit = f"get({d}, cast({iv} AS int))"
+    return (
+        f"CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN NULL "
+        f"WHEN {d} IS NULL OR schema_of_variant({v}) <> 'BIGINT' THEN {v} "
+        f"WHEN {iv} >= 0 AND {iv} < size({d}) THEN CASE WHEN is_variant_null({hit}) THEN NULL ELSE {hit} END "
+        f"ELSE {v} END"
     )
-    return f"CASE WHEN {i} >= {x}.L OR {bit(x + '.r', i)} THEN NULL ELSE {resolved} END"
 
 
 def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str, ...] | None = None) -> DataFrame:
@@ -173,7 +175,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         f"'sel', {_descriptor('_data')}, "
         "'dicts', coalesce(_ds.ValueDicts, map()), "
         "'dm0', coalesce(get(_ds.PH, 0).DM0, array()), "
-        "'ents', transform(coalesce(get(_ds.PH, 0).DM0, array()), e -> " + _entry("e") + "), "
+        "'ents', " + _entries("coalesce(get(_ds.PH, 0).DM0, array())") + ", "
         "'n_all', coalesce(size(get(_ds.PH, 0).DM0), 0))"
     )
     df = df.select(
@@ -206,20 +208,14 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         ) + ")"
     )
     dkeys = "transform(schemas, s -> transform(s, (f, i) -> " + _dict_key("f", "i") + "))"
-    full_bad = (
-        "NOT x.r.ok OR x.c_bad OR (NOT x.z.ok AND NOT " + all_bits_set("x.r", "L") + ")"
-    )
-    si = "get(sidx, p)"
-    L = f"size(get(schemas, {si} + 1))"
-    with_len = (
-        "zip_with(g.ents, sidx, (x, si) -> named_struct('skip', x.skip, 'r', x.r, 'z', x.z, "
-        "'sidx', si, 'L', size(get(schemas, si + 1)), 's_present', x.s_present, "
-        "'obj', x.obj, 's_bad', x.s_bad, 'c_bad', x.c_bad))"
-    )
-    flag = (
-        "transform(wl, (x, p) -> named_struct('p', p, 'sidx', x.sidx, 'L', x.L, 'skip', x.skip, "
-        "'reset', x.s_present AND NOT x.skip AND coalesce(get(ch, x.sidx).reset, false), "
-        f"'bad', p < pre_bad AND NOT x.skip AND x.L > 0 AND ({full_bad.replace('L)', 'x.L)')}), "
+    def full_bad(n: str) -> str:
+        return "NOT x.r.ok OR x.c_bad OR (NOT x.z.ok AND NOT " + all_bits_set("x.r", n) + ")"
+
+    L = "size(get(schemas, get(sidx, p) + 1))"
+    flags = (
+        "transform(g.ents, (x, p) -> named_struct('p', p, 'sidx', get(sidx, p), 'L', " + L + ", 'skip', x.skip, "
+        "'reset', x.s_present AND NOT x.skip AND coalesce(get(ch, get(sidx, p)).reset, false), "
+        f"'bad', p < pre_bad AND NOT x.skip AND {L} > 0 AND ({full_bad(L)}), "
         "'why', CASE WHEN NOT x.obj THEN 'entry_not_object' WHEN x.s_bad THEN 'bad_schema' "
         "WHEN NOT x.r.ok THEN 'bad_repeat_mask' WHEN x.c_bad THEN 'bad_values' "
         "WHEN NOT x.z.ok THEN 'bad_null_mask' END, 'r', x.r, 'z', x.z))"
@@ -234,30 +230,31 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
             ("ch", changes),
             ("sidx", sidx),
             ("schemas", "concat(array(dflt), transform(ch, c -> c.s))"),
-            ("wl0", with_len),
-            ("wl", flag.replace("transform(wl,", "transform(wl0,")),
+            ("wl", flags),
             ("fb0", "array_position(transform(wl, x -> x.bad), true)"),
             ("first_bad", "least(pre_bad, CASE WHEN fb0 > 0 THEN fb0 - 1 ELSE g.n_all END)"),
         ],
-        "named_struct('schemas', schemas, 'scols', " + scols + ", 'dkeys', " + dkeys + ", "
+        "named_struct('schemas', schemas, 'scols', " + scols + ", "
+        "'sdicts', transform(" + dkeys + ", ks -> transform(ks, k -> CASE WHEN k IS NOT NULL THEN try_element_at(g.dicts, k) END)), "
         "'first_bad', CASE WHEN first_bad < g.n_all THEN first_bad END, "
         "'why', get(wl, first_bad).why, "
-        "'em', transform(filter(wl, x -> x.p < first_bad AND NOT x.skip AND x.L > 0), "
-        "x -> named_struct('p', x.p, 'sidx', x.sidx, 'L', x.L, 'reset', x.reset, 'r', x.r, 'z', x.z)))",
+        "'em', filter(wl, x -> x.p < first_bad AND NOT x.skip AND x.L > 0))",
     )
     df = df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens", "_g",
         F.expr(let([("g", "_g")], h)).alias("_h"),
     )
 
-    # stage values: the carry per field, then rows
+    # stage values: per field, raw values -> dictionary -> carry; then rows
     carried = (
         "transform(" + seq("nf") + ", i -> " + let(
-            [("st", "filter(" + seq("n") + ", q -> NOT (q > 0 AND NOT get(h.em, q).reset AND "
-              + bit("get(h.em, q).r", "i") + "))")],
-            "flatten(transform(st, (s, k) -> array_repeat("
-            + let([("ex", "get(h.em, s)")], _cell("ex", "i"))
-            + ", coalesce(get(st, k + 1), n) - s)))",
+            [
+                ("res", "zip_with(h.em, transform(h.em, x -> " + _raw("x", "i") + "), (x, v) -> "
+                 + _resolve("x", "v", "i") + ")"),
+                ("st", "filter(" + seq("n") + ", q -> NOT (q > 0 AND NOT get(h.em, q).reset AND "
+                 + bit("get(h.em, q).r", "i") + "))"),
+            ],
+            "flatten(transform(st, (s, k) -> array_repeat(get(res, s), coalesce(get(st, k + 1), n) - s)))",
         ) + ")"
     )
     rows = (
