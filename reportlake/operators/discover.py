@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reportlake.functions.protocol import DEFAULT_MODEL_ID, RESOURCE_KEY_HEADER
 from reportlake.functions.ranking import group_row_number
+from reportlake.session import stage
 from reportlake.sources.captures import header_value
 
 CMD_PATH = "$.queries[0].Query.Commands[0].SemanticQueryDataShapeCommand"
@@ -155,15 +156,18 @@ def suffix_names(mods: DataFrame) -> DataFrame:
     )
 
 
-def discover(captures: DataFrame, key_header: str = RESOURCE_KEY_HEADER) -> dict[str, DataFrame]:
+def discover(captures: DataFrame, key_header: str = RESOURCE_KEY_HEADER, materialize: bool = True) -> dict[str, DataFrame]:
     """Captures (report_key, pos, url, headers, body) -> tables.
 
     Returns ``report_config``, ``modules``, ``rejects`` (report_key, pos, reason)
     and ``report_discovery`` (report_key, n_captures, n_modules, status, detail)
     where a report without usable modules or without application context is
-    ``failed`` (C12).
+    ``failed`` (C12).  With ``materialize`` the per-capture analysis is written
+    once to the shared checkpoint folder (it feeds several branches).
     """
     analysed = analyse_captures(captures)
+    if materialize:
+        analysed = stage(analysed, "captures-analysed")
     modules = suffix_names(dedupe_shapes(analysed))
     config = report_config(captures, key_header)
     rejects = analysed.where(F.col("reject").isNotNull()).select("report_key", "pos", F.col("reject").alias("reason"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from reportlake.operators.assemble import MODULE_KEYS, module_status, page_meta, page_plan
 from reportlake.operators.decode import PAGE_KEYS, decode_pages, stage_pages
-from reportlake.session import scratch_dir
+from reportlake.session import stage
 
 _MERGE = (
     "CASE WHEN size(ts) = 0 THEN 'string' "
@@ -66,16 +66,13 @@ class Extraction:
 def extract(
     responses: DataFrame,
     paginated: DataFrame | None = None,
-    stage: bool = True,
+    materialize: bool = True,
     dedupe_boundary: bool = True,
 ) -> Extraction:
     """Run the whole page pipeline over every module in ``responses``."""
     staged = stage_pages(decode_pages(responses))
-    if stage:
-        spark = responses.sparkSession
-        path = scratch_dir(spark, "staged-pages")
-        staged.write.mode("overwrite").parquet(path)
-        staged = spark.read.parquet(path)
+    if materialize:
+        staged = stage(staged, "staged-pages")
     pages, mods = page_plan(page_meta(staged, paginated), dedupe_boundary=dedupe_boundary)
     kept = pages.where("keep").select(*PAGE_KEYS, "drop_first")
     k = list(PAGE_KEYS)

@@ -68,3 +68,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used where several downstream branches read the same costly result: the
+    work runs once, the lineage is cut (a lost executor re-reads files instead
+    of recomputing), and later reads are column-pruned Parquet scans.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
