@@ -3,10 +3,11 @@
 Landed pages arrive as files of the ``responses`` table (JSON lines or
 Parquet).  Decoding is stateless per page (all windows of the format are
 page-local), so each micro-batch is decoded by the batch operator and appended
-to a Parquet table; page assembly (boundary rows, stop rules, typing) reads
-that table.  Non-time windows are not allowed on streams, hence
-``foreachBatch``; the stream's checkpoint gives exactly-once appends per batch
-and restart after failure.
+to a Parquet table (one folder per batch id); page assembly (boundary rows,
+stop rules, typing) reads that table.  Non-time windows are not allowed on
+streams, hence ``foreachBatch``.  The stream's checkpoint records which files
+each batch took, and a batch's folder is overwritten on retry, so a restart
+after failure neither loses nor duplicates pages.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ RESPONSES_SCHEMA = T.StructType([
 
 
 def decoded_for_storage(decoded: DataFrame) -> DataFrame:
-    """Decoded pages in a storable shape (VARIANT values kept as Parquet VARIANT)."""
+    """Decoded pages as stored (VARIANT values kept as Parquet VARIANT)."""
     return decoded
 
 
@@ -46,7 +47,9 @@ def start_incremental_decode(
     stream = reader.load(landing)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        decoded_for_storage(decode_pages(batch)).write.mode("append").parquet(sink)
+        # One folder per micro-batch, overwritten: a retried batch replaces its
+        # own output instead of appending twice.
+        decoded_for_storage(decode_pages(batch)).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
