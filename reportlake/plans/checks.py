@@ -25,7 +25,7 @@ from reportlake.sinks.tables import load_catalog, report_dirs, save_catalog, wri
 from reportlake.sources.captures import filter_captures, har_entries, header_value
 from reportlake.sources.urls import extract_view_urls, resource_key
 from reportlake.streaming.incremental import start_incremental_decode
-from reportlake.operators.decode import decode_pages, explode_rows
+from reportlake.operators.decode import decode_pages, explode_rows, typed_rows
 from reportlake.functions.sqlx import json_value
 from reportlake.plans.extract import extract
 from reportlake.plans.encode import Field, build_pages, descriptor_json, encode_entries, encode_table
@@ -91,8 +91,8 @@ def lineitem_responses(spark: SparkSession, sf_dir: str, rows_per_page_key: int
 
 
 def decode_lineitem(responses: DataFrame) -> DataFrame:
-    rows = explode_rows(decode_pages(responses))
-    typed = typed_columns(rows, {c: ("bigint" if t == "int" else t) for c, t in LINEITEM_TYPES.items()})
+    cols = {c: ("bigint" if t == "int" else t) for c, t in LINEITEM_TYPES.items()}
+    typed = typed_rows(decode_pages(responses), cols)
     return typed.select(*[F.col(c).cast(t).alias(c) for c, t in LINEITEM_TYPES.items()])
 
 
