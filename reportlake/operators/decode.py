@@ -368,28 +368,3 @@ def stage_pages(decoded: DataFrame, keys: tuple[str, ...] = PAGE_KEYS) -> DataFr
     )
     return decoded.select(*meta, F.expr(col_types).alias("col_types"), F.expr(rows_json).alias("rows_json"))
 
-
-def typed_rows(decoded: DataFrame, columns: dict[str, str], keys: tuple[str, ...] = PAGE_KEYS,
-               with_pos: bool = False) -> DataFrame:
-    """Decoded pages -> one typed row per decoded row, for a known column list.
-
-    Each page first maps every requested column to its position in each of its
-    schemas (a small per-page table); each row then reads its values by
-    position.  A column a row's schema lacks is NULL.
-    """
-    names = list(columns)
-    lit_names = "array(" + ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in names) + ")"
-    pos_table = f"transform(schemas, s -> transform({lit_names}, c -> array_position(s, c) - 1))"
-    exploded = decoded.select(*keys, F.expr(pos_table).alias("_pt"), F.explode_outer("rows").alias("_r"))
-    exploded = exploded.where(F.col("_r").isNotNull())
-    out = []
-    for k, (c, t) in enumerate(columns.items()):
-        cell = f"get(_r.vals, get(get(_pt, _r.sidx + 1), {k}))"
-        if t == "string":
-            e = (f"CASE WHEN schema_of_variant({cell}) = 'STRING' THEN variant_get({cell}, '$', 'string') "
-                 f"ELSE to_json({cell}) END")
-        else:
-            e = f"try_variant_get({cell}, '$', '{t}')"
-        out.append(F.expr(e).alias(c))
-    extra = [F.col("_r.pos").alias("pos")] if with_pos else []
-    return exploded.select(*keys, *extra, *out)

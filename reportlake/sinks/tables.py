@@ -102,3 +102,49 @@ def report_dirs(urls: DataFrame, order_col: str = "url_index", base: str | Colum
         b = F.lit(base) if isinstance(base, str) else base
         out = out.withColumn("report_path", F.concat_ws("/", b, F.col("report_dir")))
     return out
+
+
+def write_rows_by_report(rows: DataFrame, dirs: DataFrame, path: str) -> None:
+    """B3 long form: every kept row of every module in one write job.
+
+    ``rows``: (report_key, module, page_no, pos, row_json) as produced by
+    ``plans.extract``; ``dirs``: (report_key, report_dir).  Output is JSON lines
+    under ``path/report_dir=.../module=...``; no loop over modules.
+    """
+    out = rows.join(dirs.select("report_key", "report_dir").dropDuplicates(["report_key"]), "report_key", "left").withColumn(
+        "report_dir", F.coalesce("report_dir", F.col("report_key"))
+    )
+    (
+        out.select("report_dir", "module", "page_no", "pos", "row_json")
+        .repartition("report_dir", "module", "page_no")
+        .sortWithinPartitions("page_no", "pos")
+        .write.mode("overwrite")
+        .partitionBy("report_dir", "module")
+        .json(path)
+    )
+
+
+def write_module_csvs(extraction, dirs: DataFrame | None, base: str) -> DataFrame:
+    """B1 + B3: one CSV folder per non-empty module under its report folder.
+
+    Loops on the driver over the (small) module list only; each module's table
+    is its own distributed write.  Returns the module status table with the
+    output path of each written module.
+    """
+    status = extraction.status()
+    mods = status.where(F.col("n_rows") > 0).select("report_key", "module").collect()
+    dir_of = {}
+    if dirs is not None:
+        keys = [m.report_key for m in mods]
+        for r in dirs.where(F.col("report_key").isin(keys)).select("report_key", "report_dir").collect():
+            dir_of.setdefault(r.report_key, r.report_dir)
+    written = []
+    for m in mods:
+        folder = dir_of.get(m.report_key, m.report_key)
+        path = f"{base.rstrip('/')}/{folder}/{m.module}.csv"
+        table = extraction.table(m.report_key, m.module, with_order=True)
+        if write_module_csv(table, path):
+            written.append((m.report_key, m.module, path))
+    spark = status.sparkSession
+    paths = spark.createDataFrame(written, "report_key string, module string, output_path string")
+    return status.join(paths, ["report_key", "module"], "left")

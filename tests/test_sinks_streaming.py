@@ -27,3 +27,27 @@ def test_incremental_decode(spark):
     q.awaitTermination()
     rows = explode_rows(spark.read.parquet(f"{base}/out"))
     assert sorted(r.page_no for r in rows.collect()) == [1, 2, 3, 4]
+
+
+def test_module_csvs_and_long_form(spark):
+    from reportlake.plans.extract import extract
+    from reportlake.sinks.tables import write_module_csvs, write_rows_by_report
+
+    def body(rows, rt=None):
+        ds = {"ValueDicts": {}, "PH": [{"DM0": [{"S": [{"N": "G0"}, {"N": "G1"}], "C": list(rows[0])}] + [{"C": list(r)} for r in rows[1:]]}]}
+        if rt:
+            ds["RT"] = rt
+        return wrap(ds)
+
+    resp = responses(spark, [("a", 1, body([("x", 1)], rt=[[1]])), ("a", 2, body([("y", 2)])), ("b", 1, "{broken")])
+    ex = extract(resp)
+    dirs = spark.createDataFrame([("r", "report_1")], "report_key string, report_dir string")
+    base = scratch_dir(spark, "out")
+    st = {r.module: (r.status, r.output_path) for r in write_module_csvs(ex, dirs, base).collect()}
+    assert st["a"][0] == "ok" and st["a"][1].endswith("/report_1/a.csv")
+    assert st["b"] == ("failed", None)
+    back = spark.read.option("header", True).csv(st["a"][1])
+    assert sorted(tuple(r) for r in back.collect()) == [("x", "1"), ("y", "2")]
+    write_rows_by_report(ex.rows, dirs, base + "/long")
+    long = spark.read.json(base + "/long")
+    assert sorted((r.report_dir, r.module, r.pos) for r in long.collect()) == [("report_1", "a", 0), ("report_1", "a", 0)]
