@@ -25,34 +25,38 @@ def seq(n: str) -> str:
     return f"CASE WHEN ({n}) > 0 THEN sequence(0, ({n}) - 1) ELSE array() END"
 
 
-def mask_struct(v: str) -> str:
-    """An integer bit mask held in a VARIANT, split into two 63-bit halves.
-
-    JSON integers that fit a BIGINT parse as BIGINT; wider ones as
-    DECIMAL(p,0) with p >= 19.  A missing key is mask 0.  ``ok`` is false for
-    anything an integer ``&`` would reject (null, float, text, ...).
-    Booleans behave as 0/1 like Python's bool.
-    """
+def _mask_body(v: str, t: str, b: str) -> str:
     dec = f"try_variant_get({v}, '$', 'decimal(38,0)')"
     two63 = "9223372036854775808BD"
     wide = (
-        "(t LIKE 'DECIMAL(%,0)' AND cast(regexp_extract(t, 'DECIMAL\\\\((\\\\d+),0\\\\)', 1) AS int) >= 19 "
+        f"({t} LIKE 'DECIMAL(%,0)' AND cast(regexp_extract({t}, 'DECIMAL\\\\((\\\\d+),0\\\\)', 1) AS int) >= 19 "
         f"AND {dec} IS NOT NULL AND {dec} >= 0)"
     )
-    big = f"variant_get({v}, '$', 'bigint')"
     boo = f"CASE WHEN variant_get({v}, '$', 'boolean') THEN 1L ELSE 0L END"
-    body = (
-        "CASE WHEN t = 'BIGINT' THEN named_struct('ok', true, 'lo', b & " + LONG_MAX + ", 'hi', shiftright(b, 63)) "
+    return (
+        f"CASE WHEN {t} = 'BIGINT' THEN named_struct('ok', true, 'lo', {b} & {LONG_MAX}, 'hi', shiftright({b}, 63)) "
         "ELSE named_struct("
-        f"'ok', t = 'BOOLEAN' OR {wide}, "
-        f"'lo', CASE WHEN t = 'BOOLEAN' THEN {boo} WHEN {wide} THEN cast(pmod({dec}, {two63}) AS bigint) ELSE 0L END, "
+        f"'ok', {t} = 'BOOLEAN' OR {wide}, "
+        f"'lo', CASE WHEN {t} = 'BOOLEAN' THEN {boo} WHEN {wide} THEN cast(pmod({dec}, {two63}) AS bigint) ELSE 0L END, "
         f"'hi', CASE WHEN {wide} THEN cast(({dec} - pmod({dec}, {two63})) / {two63} AS bigint) ELSE 0L END) END"
     )
-    return (
-        f"CASE WHEN ({v}) IS NULL THEN named_struct('ok', true, 'lo', 0L, 'hi', 0L) ELSE "
-        + let([("t", f"schema_of_variant({v})"), ("b", f"CASE WHEN t = 'BIGINT' THEN {big} END")], body)
-        + " END"
-    )
+
+
+def mask_struct(v: str, t: str | None = None) -> str:
+    """An integer bit mask held in a VARIANT, split into two 63-bit halves.
+
+    JSON integers that fit a BIGINT parse as BIGINT; wider ones as
+    DECIMAL(p,0) with p >= 19.  A missing key is mask 0.  ``ok`` is false for
+    anything an integer ``&`` would reject (null, float, text, ...).
+    Booleans behave as 0/1 like Python's bool.  ``t``: an expression already
+    holding ``schema_of_variant(v)`` (else it is bound here).
+    """
+    empty = "named_struct('ok', true, 'lo', 0L, 'hi', 0L)"
+    big = f"variant_get({v}, '$', 'bigint')"
+    if t is not None:
+        return f"CASE WHEN ({v}) IS NULL THEN {empty} ELSE {_mask_body(v, t, big)} END"
+    inner = let([("t", f"schema_of_variant({v})"), ("b", f"CASE WHEN t = 'BIGINT' THEN {big} END")], _mask_body(v, "t", "b"))
+    return f"CASE WHEN ({v}) IS NULL THEN {empty} ELSE {inner} END"
 
 
 def bit(m: str, i: str) -> str:

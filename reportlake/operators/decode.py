@@ -88,7 +88,9 @@ def _entries(dm0: str) -> str:
     stage2 = (
         f"transform({stage1}, es -> named_struct('es', es, "
         f"'sa', CASE WHEN {s_present} THEN {s_arr} END, "
-        "'ca', CASE WHEN es.C IS NOT NULL THEN try_variant_get(es.C, '$', 'array<variant>') END))"
+        "'ca', CASE WHEN es.C IS NOT NULL THEN try_variant_get(es.C, '$', 'array<variant>') END, "
+        "'rt', CASE WHEN es.R IS NOT NULL THEN schema_of_variant(es.R) END, "
+        "'zt', CASE WHEN es.`Ø` IS NOT NULL THEN schema_of_variant(es.`Ø`) END))"
     )
     body = (
         "named_struct("
@@ -100,8 +102,8 @@ def _entries(dm0: str) -> str:
         "'s', transform(y.sa, f -> named_struct("
         "'N', try_variant_get(try_element_at(f, 'N'), '$', 'string'), "
         "'DN', try_variant_get(try_element_at(f, 'DN'), '$', 'string'))), "
-        f"'r', {mask_struct('y.es.R')}, "
-        f"'z', {mask_struct('y.es.`Ø`')}, "
+        f"'r', {mask_struct('y.es.R', 'y.rt')}, "
+        f"'z', {mask_struct('y.es.`Ø`', 'y.zt')}, "
         "'c', coalesce(y.ca, array()), "
         "'c_bad', coalesce(y.es.C IS NOT NULL AND y.ca IS NULL, false))"
     )
@@ -120,14 +122,20 @@ def _dict_key(f: str, i: str) -> str:
     )
 
 
-def _raw(x: str, i: str) -> str:
+def _raw(x: str, i: str, narrow: bool = False) -> str:
     """The value field i of emitted entry x reads (NULL for repeat,
-    null bit, missing), before dictionaries."""
+    null bit, missing), before dictionaries.  ``narrow``: all masks of the page
+    fit one 63-bit word (pages of at most 63 fields), so simpler bit tests."""
     f = f"get(get(h.schemas, {x}.sidx + 1), {i})"
-    rank = count_free_below(f"{x}.r", f"{x}.z", i)
     ec = f"get(g.ents, {x}.p).c"
+    if narrow:
+        taken = f"((shiftright({x}.r.lo | {x}.z.lo, {i}) & 1L) = 1L)"
+        rank = f"bit_count(~({x}.r.lo | {x}.z.lo) & (shiftleft(1L, {i}) - 1L))"
+    else:
+        taken = f"({bit(x + '.r', i)} OR {bit(x + '.z', i)})"
+        rank = count_free_below(f"{x}.r", f"{x}.z", i)
     return (
-        f"CASE WHEN {i} >= {x}.L OR {bit(x + '.r', i)} OR {bit(x + '.z', i)} THEN NULL "
+        f"CASE WHEN {i} >= {x}.L OR {taken} THEN NULL "
         f"WHEN {rank} < size({ec}) THEN get({ec}, {rank}) "
         f"WHEN {f}.N IS NOT NULL "
         f"THEN try_element_at(try_variant_get(get(g.dm0, {x}.p), '$', 'map<string,variant>'), {f}.N) END"
@@ -147,7 +155,8 @@ def _resolve(x: str, v: str, i: str) -> str:
     )
 
 
-def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str, ...] | None = None) -> DataFrame:
+def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str, ...] | None = None,
+                 _stop_after_h: bool = False) -> DataFrame:
     """Decode every page of ``responses`` into a page-level row.
 
     Output columns (besides the input columns in ``keep``, default all but body):
@@ -216,9 +225,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         "transform(g.ents, (x, p) -> named_struct('p', p, 'sidx', get(sidx, p), 'L', " + L + ", 'skip', x.skip, "
         "'reset', x.s_present AND NOT x.skip AND coalesce(get(ch, get(sidx, p)).reset, false), "
         f"'bad', p < pre_bad AND NOT x.skip AND {L} > 0 AND ({full_bad(L)}), "
-        "'why', CASE WHEN NOT x.obj THEN 'entry_not_object' WHEN x.s_bad THEN 'bad_schema' "
-        "WHEN NOT x.r.ok THEN 'bad_repeat_mask' WHEN x.c_bad THEN 'bad_values' "
-        "WHEN NOT x.z.ok THEN 'bad_null_mask' END, 'r', x.r, 'z', x.z))"
+        "'r', x.r, 'z', x.z))"
     )
     h = let(
         [
@@ -237,28 +244,40 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         "named_struct('schemas', schemas, 'scols', " + scols + ", "
         "'sdicts', transform(" + dkeys + ", ks -> transform(ks, k -> CASE WHEN k IS NOT NULL THEN try_element_at(g.dicts, k) END)), "
         "'first_bad', CASE WHEN first_bad < g.n_all THEN first_bad END, "
-        "'why', get(wl, first_bad).why, "
+        "'why', " + let([("x", "get(g.ents, first_bad)")],
+                        "CASE WHEN x IS NULL THEN NULL WHEN NOT x.obj THEN 'entry_not_object' "
+                        "WHEN x.s_bad THEN 'bad_schema' WHEN NOT x.r.ok THEN 'bad_repeat_mask' "
+                        "WHEN x.c_bad THEN 'bad_values' WHEN NOT x.z.ok THEN 'bad_null_mask' END") + ", "
         "'em', filter(wl, x -> x.p < first_bad AND NOT x.skip AND x.L > 0))",
     )
     df = df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens", "_g",
         F.expr(let([("g", "_g")], h)).alias("_h"),
     )
+    if _stop_after_h:
+        return df
 
     # stage values: per field, raw values -> dictionary -> carry; then rows
-    run_carry = let(
-        [("st", "filter(" + seq("n") + ", q -> NOT (q > 0 AND NOT get(h.em, q).reset AND "
-          + bit("get(h.em, q).r", "i") + "))")],
-        "flatten(transform(st, (s, k) -> array_repeat(get(res, s), coalesce(get(st, k + 1), n) - s)))",
-    )
-    carried = (
-        "transform(" + seq("nf") + ", i -> " + let(
-            [("res", "zip_with(h.em, transform(h.em, x -> " + _raw("x", "i") + "), (x, v) -> "
-              + _resolve("x", "v", "i") + ")")],
-            # a field with no repeat bit anywhere in the page needs no carry pass
-            f"CASE WHEN {bit('rany', 'i')} THEN {run_carry} ELSE res END",
-        ) + ")"
-    )
+    def carried(narrow: bool) -> str:
+        rbit = "((shiftright(get(h.em, q).r.lo, i) & 1L) = 1L)" if narrow else bit("get(h.em, q).r", "i")
+        run_carry = let(
+            [("st", "filter(" + seq("n") + ", q -> NOT (q > 0 AND NOT get(h.em, q).reset AND " + rbit + "))")],
+            "flatten(transform(st, (s, k) -> array_repeat(get(res, s), coalesce(get(st, k + 1), n) - s)))",
+        )
+        raw = "transform(h.em, x -> " + _raw("x", "i", narrow) + ")"
+        # fields without a dictionary in any schema of the page only need null normalisation
+        plain = "transform(" + raw + ", v -> CASE WHEN is_variant_null(v) THEN NULL ELSE v END)"
+        looked = "zip_with(h.em, " + raw + ", (x, v) -> " + _resolve("x", "v", "i") + ")"
+        has_dict = "exists(h.sdicts, ds -> get(ds, i) IS NOT NULL)"
+        any_r = "((shiftright(rany.lo, i) & 1L) = 1L)" if narrow else bit("rany", "i")
+        return (
+            "transform(" + seq("nf") + ", i -> " + let(
+                [("res", f"CASE WHEN {has_dict} THEN {looked} ELSE {plain} END")],
+                # a field with no repeat bit anywhere in the page needs no carry pass
+                f"CASE WHEN {any_r} THEN {run_carry} ELSE res END",
+            ) + ")"
+        )
+
     rows = (
         "transform(h.em, (x, q) -> named_struct('pos', q, 'sidx', x.sidx, "
         "'vals', transform(get(h.scols, x.sidx + 1).idx, j -> get(get(cv, j), q))))"
@@ -271,7 +290,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
             ("nf", "coalesce(array_max(transform(h.em, x -> x.L)), 0)"),
             ("rany", "aggregate(h.em, named_struct('lo', 0L, 'hi', 0L), "
              "(a, x) -> named_struct('lo', a.lo | x.r.lo, 'hi', a.hi | x.r.hi))"),
-            ("cv", carried),
+            ("cv", f"CASE WHEN nf <= 63 THEN {carried(True)} ELSE {carried(False)} END"),
         ],
         rows,
     )
