@@ -27,7 +27,7 @@ from reportlake.sources.urls import extract_view_urls, resource_key
 from reportlake.streaming.incremental import start_incremental_decode
 from reportlake.operators.decode import decode_pages, explode_rows
 from reportlake.functions.sqlx import json_value
-from reportlake.plans.extract import extract
+from reportlake.plans.extract import extract, staged_rows, typed_from_json
 from reportlake.plans.encode import Field, build_pages, descriptor_json, encode_entries, encode_table
 
 CHECKS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -829,7 +829,6 @@ def q_stream_decode(spark, sf_dir):
     q = start_incremental_decode(spark, f"{base}/landing", f"{base}/decoded", f"{base}/_checkpoint",
                                  max_files_per_trigger=2)
     q.awaitTermination()
-    dec = spark.read.parquet(f"{base}/decoded")
-    rows = explode_rows(dec)
-    typed = typed_columns(rows, {c: ("bigint" if t == "int" else t) for c, t in LINEITEM_TYPES.items()})
+    staged = spark.read.parquet(f"{base}/decoded")
+    typed = typed_from_json(staged_rows(staged), {c: ("bigint" if t == "int" else t) for c, t in LINEITEM_TYPES.items()})
     return typed.select(*[F.col(c).cast(t).alias(c) for c, t in LINEITEM_TYPES.items()])

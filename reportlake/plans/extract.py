@@ -63,16 +63,39 @@ class Extraction:
         return out
 
 
+def typed_from_json(rows: DataFrame, columns: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with ``row_json`` -> typed columns for a known column -> type list."""
+    ddl = ", ".join(f"{_q(c)} {t}" for c, t in columns.items())
+    return rows.select(*keep, F.from_json("row_json", ddl).alias("_t")).select(
+        *keep, *[F.col("_t").getField(c).alias(c) for c in columns]
+    )
+
+
+def staged_rows(staged: DataFrame) -> DataFrame:
+    """Every decoded row of staged pages (no paging rules): keys, pos, row_json."""
+    return staged.select(*PAGE_KEYS, F.posexplode_outer("rows_json").alias("pos", "row_json")).where(
+        F.col("row_json").isNotNull()
+    )
+
+
 def extract(
     responses: DataFrame,
     paginated: DataFrame | None = None,
     materialize: bool = True,
     dedupe_boundary: bool = True,
 ) -> Extraction:
-    """Run the whole page pipeline over every module in ``responses``."""
-    staged = stage_pages(decode_pages(responses))
-    if materialize:
-        staged = stage(staged, "staged-pages")
+    """Run the whole page pipeline over every module in ``responses``.
+
+    ``responses`` are landed pages (with ``body``), or pages already in staged
+    form (with ``rows_json``, e.g. the incremental decode's sink), which are
+    used as they are.
+    """
+    if "rows_json" in responses.columns:
+        staged = responses
+    else:
+        staged = stage_pages(decode_pages(responses))
+        if materialize:
+            staged = stage(staged, "staged-pages")
     pages, mods = page_plan(page_meta(staged, paginated), dedupe_boundary=dedupe_boundary)
     kept = pages.where("keep").select(*PAGE_KEYS, "drop_first")
     k = list(PAGE_KEYS)

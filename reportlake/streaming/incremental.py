@@ -3,8 +3,9 @@
 Landed pages arrive as files of the ``responses`` table (JSON lines or
 Parquet).  Decoding is stateless per page (all windows of the format are
 page-local), so each micro-batch is decoded by the batch operator and appended
-to a Parquet table (one folder per batch id); page assembly (boundary rows,
-stop rules, typing) reads that table.  Non-time windows are not allowed on
+to a Parquet table in staged form (one folder per batch id); page assembly
+(boundary rows, stop rules, typing: ``plans.extract.extract(sink_table)``)
+reads that table, so boundary rows across batches are handled there.  Non-time windows are not allowed on
 streams, hence ``foreachBatch``.  The stream's checkpoint records which files
 each batch took, and a batch's folder is overwritten on retry, so a restart
 after failure neither loses nor duplicates pages.
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from reportlake.operators.decode import decode_pages
+from reportlake.operators.decode import decode_pages, stage_pages
 
 RESPONSES_SCHEMA = T.StructType([
     T.StructField("report_key", T.StringType()),
@@ -27,8 +28,9 @@ RESPONSES_SCHEMA = T.StructType([
 
 
 def decoded_for_storage(decoded: DataFrame) -> DataFrame:
-    """Decoded pages as stored (VARIANT values kept as Parquet VARIANT)."""
-    return decoded
+    """Decoded pages in the compact staged form read by ``plans.extract``
+    (JSON text per row, per-page column types, page facts)."""
+    return stage_pages(decoded)
 
 
 def start_incremental_decode(
