@@ -24,7 +24,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if os.environ.get("EXACT") else round(v, 6)
     return v
 
 
