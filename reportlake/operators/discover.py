@@ -78,17 +78,17 @@ def _select_columns() -> str:
 
 
 def analyse_captures(captures: DataFrame) -> DataFrame:
-    """C7-C9 and C13 per capture: entities, select columns, base name, shape key.
+    """C7-C9 and C13 per capture: entities, select columns, name parts, shape key.
 
     Adds ``reject`` (``no_command``, ``subquery_source``, ``no_columns``) -- NULL
-    when the capture yields a module.
+    when the capture yields a module.  A pure projection: no shuffle.  The name
+    of a capture without entities needs its index among the report's captures;
+    that is attached later by ``name_captures``.
     """
-    idx = group_row_number(captures.select("report_key", "pos", "body"), ["report_key"], "pos", "rn")
     b = F.call_function("try_parse_json", F.col("body"))
-    df = idx.select(
+    df = captures.select(
         "report_key",
         "pos",
-        (F.col("rn") - 1).alias("capture_index"),
         F.call_function("try_variant_get", b, F.lit(CMD_PATH)).alias("cmd"),
         F.get_json_object("body", CMD_PATH).alias("query_template"),
     )
@@ -102,11 +102,7 @@ def analyse_captures(captures: DataFrame) -> DataFrame:
         "map_from_entries(transform(array_distinct(transform(_ents, e -> e.name)), "
         "n -> struct(n, element_at(filter(_ents, e -> e.name <=> n), -1).entity)))"
     )
-    entity_part = F.array_join(F.array_sort(F.array_distinct(F.map_values("from_entities"))), "_")
-    column_part = F.array_join(F.expr("transform(select_columns, s -> s.prop)"), "_")
     df = df.withColumn("from_entities", from_entities)
-    ep = F.when(entity_part == "", F.concat(F.lit("query_"), F.col("capture_index").cast("string"))).otherwise(entity_part)
-    base = F.when(column_part != "", F.concat(ep, F.lit("_"), column_part)).otherwise(ep)
     reject = (
         F.when(F.col("cmd").isNull() | F.expr("try_variant_get(cmd, '$.Query') IS NULL"), F.lit("no_command"))
         .when(F.expr("exists(_ents, e -> NOT e.has_entity)"), F.lit("subquery_source"))
@@ -115,11 +111,11 @@ def analyse_captures(captures: DataFrame) -> DataFrame:
     return df.select(
         "report_key",
         "pos",
-        "capture_index",
         "from_entities",
         "select_columns",
         "query_template",
-        F.replace(F.lower(base), F.lit(" "), F.lit("_")).alias("base_name"),
+        F.array_join(F.array_sort(F.array_distinct(F.map_values("from_entities"))), "_").alias("entity_part"),
+        F.array_join(F.expr("transform(select_columns, s -> s.prop)"), "_").alias("column_part"),
         # V4: the key-sorted text alone would equate 1 and 1.0; the type string keeps them apart.
         F.sha2(F.concat_ws("|", F.to_json("cmd"), F.call_function("schema_of_variant", F.col("cmd"))), 256).alias("shape_key"),
         F.expr("try_variant_get(cmd, '$.Binding.DataReduction.Primary.Window') IS NOT NULL").alias("paginated"),
@@ -127,6 +123,28 @@ def analyse_captures(captures: DataFrame) -> DataFrame:
     )
 
 
+def name_captures(captures: DataFrame, analysed: DataFrame) -> DataFrame:
+    """Base module name = entities + '_' + properties, lower-case, spaces -> '_'.
+
+    Without entities the entity part is ``query_{index}``, index = 0-based
+    position of the capture among all captures of its report.  The index is a
+    bucketed rank over the narrow (report_key, pos) columns and is joined only
+    to the captures that need it.
+    """
+    def base(ep):
+        b = F.when(F.col("column_part") != "", F.concat(ep, F.lit("_"), F.col("column_part"))).otherwise(ep)
+        return F.replace(F.lower(b), F.lit(" "), F.lit("_")).alias("base_name")
+
+    cols = [c for c in analysed.columns if c not in ("entity_part", "column_part")]
+    named = analysed.where(F.col("entity_part") != "").select(*cols, base(F.col("entity_part")))
+    bare = analysed.where(F.col("entity_part") == "")
+    ranks = group_row_number(captures.select("report_key", "pos"), ["report_key"], "pos", "rn")
+    indexed = bare.join(ranks, ["report_key", "pos"], "left").select(
+        *cols, base(F.concat(F.lit("query_"), (F.col("rn") - 1).cast("string")))
+    )
+    return named.unionByName(indexed)
+
+
 def dedupe_shapes(analysed: DataFrame) -> DataFrame:
     """First capture of each distinct query shape per report."""
     usable = analysed.where(F.col("reject").isNull()).drop("reject")
@@ -168,6 +186,7 @@ def discover(captures: DataFrame, key_header: str = RESOURCE_KEY_HEADER, materia
     analysed = analyse_captures(captures)
     if materialize:
         analysed = stage(analysed, "captures-analysed")
+    analysed = name_captures(captures, analysed)
     modules = suffix_names(dedupe_shapes(analysed))
     config = report_config(captures, key_header)
     rejects = analysed.where(F.col("reject").isNotNull()).select("report_key", "pos", F.col("reject").alias("reason"))
