@@ -97,6 +97,11 @@ def extract(
         if materialize:
             staged = stage(staged, "staged-pages")
     pages, mods = page_plan(page_meta(staged, paginated), dedupe_boundary=dedupe_boundary)
+    if materialize:
+        # one small row per page / per module; staged so schema, rows and
+        # status do not each recompute the plan's joins
+        pages = stage(pages, "page-plan")
+        mods = stage(mods, "module-plan")
     kept = pages.where("keep").select(*PAGE_KEYS, "drop_first")
     k = list(PAGE_KEYS)
     facts = staged.select(*PAGE_KEYS, F.explode_outer("col_types").alias("ct")).where(F.col("ct").isNotNull())
