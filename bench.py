@@ -73,7 +73,7 @@ def main():
             F.lit("one").alias("report_key"), F.lit(f"page{n}").alias("module"), F.lit(1).alias("page_no"),
             F.lit(200).alias("status"), "body").write.parquet(f"{base}/page_{n}")
         single[n] = f"{base}/page_{n}"
-    _event_captures(table(spark, sf_dir, "events")).write.parquet(f"{base}/captures")
+    _event_captures(table(spark, sf_dir, "events")).repartition(n_files).write.parquet(f"{base}/captures")
     n_caps = spark.read.parquet(f"{base}/captures").count()
 
     resp = spark.read.parquet(f"{base}/lineitem_pages")

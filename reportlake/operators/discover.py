@@ -137,8 +137,11 @@ def name_captures(captures: DataFrame, analysed: DataFrame) -> DataFrame:
 
     cols = [c for c in analysed.columns if c not in ("entity_part", "column_part")]
     named = analysed.where(F.col("entity_part") != "").select(*cols, base(F.col("entity_part")))
-    bare = analysed.where(F.col("entity_part") == "")
+    bare = analysed.where((F.col("entity_part") == "") & F.col("reject").isNull())
+    if bare.isEmpty():
+        return named.unionByName(analysed.where(F.col("entity_part") == "").select(*cols, base(F.lit("query_"))))
     ranks = group_row_number(captures.select("report_key", "pos"), ["report_key"], "pos", "rn")
+    bare = analysed.where(F.col("entity_part") == "")
     indexed = bare.join(ranks, ["report_key", "pos"], "left").select(
         *cols, base(F.concat(F.lit("query_"), (F.col("rn") - 1).cast("string")))
     )
