@@ -74,3 +74,18 @@ def with_retry_delay(attempts: DataFrame, retry_after_col: str = "retry_after",
     parsed = F.when(ra.isNotNull() & (ra != ""), ra.try_cast("double"))
     backoff = F.lit(base_delay) * F.pow(F.lit(2.0), F.col(attempt_col).cast("double"))
     return attempts.withColumn(out_col, F.coalesce(parsed, backoff))
+
+
+def responses_from_attempts(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
+    """E5 -> E1: the landed ``responses`` table implied by an attempt log.
+
+    Each request contributes its ending attempt's status and body; a request
+    still pending gives no page (assembly then stops before it).  An
+    authorisation failure keeps its 401/403 status, which fails the module.
+    """
+    res = resolve_attempts(attempts, max_retries=max_retries)
+    body = F.col("body") if "body" in res.columns else F.lit(None).cast("string")
+    return res.where(F.col("outcome") != "pending").select(
+        "report_key", "module", F.col("page_no").cast("int").alias("page_no"),
+        F.col("status").cast("int").alias("status"), body.alias("body"),
+    )

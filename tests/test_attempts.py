@@ -46,3 +46,30 @@ def test_backoff_schedule(spark):
     assert got == [1.0, 2.0, 4.0, 7.0, 1.5, 2.0]
     got2 = [r.planned_delay_s for r in with_retry_delay(df.limit(3), base_delay=2.0).collect()]
     assert got2 == [2.0, 4.0, 8.0]
+
+
+def test_attempt_log_feeds_extraction(spark):
+    import json
+
+    from conftest import wrap
+
+    from reportlake.operators.attempts import responses_from_attempts
+    from reportlake.plans.extract import extract
+
+    def page(v, rt):
+        ds = {"ValueDicts": {}, "PH": [{"DM0": [{"S": [{"N": "G0"}], "C": [v]}]}]}
+        if rt:
+            ds["RT"] = rt
+        return wrap(ds, [{"Value": "G0", "Name": "T.Name"}])
+
+    rows = [
+        ("r", "m", 1, 0, 503, "2", None), ("r", "m", 1, 1, 200, None, page("a", [[1]])),
+        ("r", "m", 2, 0, 200, None, page("b", [[2]])),
+        ("r", "m", 3, 0, 429, None, None),  # still pending: the module stops before page 3
+        ("r", "n", 1, 0, 401, None, None), ("r", "n", 1, 1, 401, None, None),
+    ]
+    log = spark.createDataFrame(rows, "report_key string, module string, page_no int, attempt int, status int, retry_after string, body string")
+    ex = extract(responses_from_attempts(log, max_retries=1))
+    st = {r.module: (r.status, r.n_rows) for r in ex.status().collect()}
+    assert st == {"m": ("incomplete", 2), "n": ("failed", 0)}
+    assert [r.Name for r in ex.table("r", "m", with_order=True).orderBy("page_no").collect()] == ["a", "b"]
