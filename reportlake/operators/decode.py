@@ -144,12 +144,13 @@ def _raw(x: str, i: str, narrow: bool = False) -> str:
 
 def _resolve(x: str, v: str, i: str) -> str:
     """An integer cell through its field's dictionary; JSON null -> SQL NULL."""
-    d = f"get(get(h.sdicts, {x}.sidx + 1), {i})"
+    di = f"get(get(h.sdidx, {x}.sidx + 1), {i})"
+    d = f"get(g.dvals, {di})"
     iv = f"variant_get({v}, '$', 'bigint')"
     hit = f"get({d}, cast({iv} AS int))"
     return (
         f"CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN NULL "
-        f"WHEN {d} IS NULL OR schema_of_variant({v}) <> 'BIGINT' THEN {v} "
+        f"WHEN {di} < 0 OR {d} IS NULL OR schema_of_variant({v}) <> 'BIGINT' THEN {v} "
         f"WHEN {iv} >= 0 AND {iv} < size({d}) THEN CASE WHEN is_variant_null({hit}) THEN NULL ELSE {hit} END "
         f"ELSE {v} END"
     )
@@ -183,6 +184,8 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         "named_struct("
         f"'sel', {_descriptor('_data')}, "
         "'dicts', coalesce(_ds.ValueDicts, map()), "
+        "'dnames', map_keys(coalesce(_ds.ValueDicts, map())), "
+        "'dvals', map_values(coalesce(_ds.ValueDicts, map())), "
         "'dm0', coalesce(get(_ds.PH, 0).DM0, array()), "
         "'ents', " + _entries("coalesce(get(_ds.PH, 0).DM0, array())") + ", "
         "'n_all', coalesce(size(get(_ds.PH, 0).DM0), 0))"
@@ -242,7 +245,9 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
             ("first_bad", "least(pre_bad, CASE WHEN fb0 > 0 THEN fb0 - 1 ELSE g.n_all END)"),
         ],
         "named_struct('schemas', schemas, 'scols', " + scols + ", "
-        "'sdicts', transform(" + dkeys + ", ks -> transform(ks, k -> CASE WHEN k IS NOT NULL THEN try_element_at(g.dicts, k) END)), "
+        # per (schema, field): index of its dictionary in the page's list (-1: none);
+        # indexes, not copies, so many schema changes do not copy dictionaries
+        "'sdidx', transform(" + dkeys + ", ks -> transform(ks, k -> coalesce(array_position(g.dnames, k), 0) - 1)), "
         "'first_bad', CASE WHEN first_bad < g.n_all THEN first_bad END, "
         "'why', " + let([("x", "get(g.ents, first_bad)")],
                         "CASE WHEN x IS NULL THEN NULL WHEN NOT x.obj THEN 'entry_not_object' "
@@ -268,7 +273,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         # fields without a dictionary in any schema of the page only need null normalisation
         plain = "transform(" + raw + ", v -> CASE WHEN is_variant_null(v) THEN NULL ELSE v END)"
         looked = "zip_with(h.em, " + raw + ", (x, v) -> " + _resolve("x", "v", "i") + ")"
-        has_dict = "exists(h.sdicts, ds -> get(ds, i) IS NOT NULL)"
+        has_dict = "exists(h.sdidx, ds -> coalesce(get(ds, i), -1) >= 0)"
         any_r = "((shiftright(rany.lo, i) & 1L) = 1L)" if narrow else bit("rany", "i")
         return (
             "transform(" + seq("nf") + ", i -> " + let(

@@ -179,3 +179,16 @@ def test_wide_masks_63_and_70_fields(spark):
         second = [rows[1][f"M{i}"] for i in range(n)]
         expect = [0] + list(range(100, 100 + n - 4)) + [None, 100 + n - 4, n - 1]
         assert second == expect, n
+
+
+def test_schema_on_every_entry_with_large_dictionary(spark):
+    """Many schema changes must not copy the page's dictionaries per schema."""
+    n = 6000
+    dm0 = [{"S": [{"N": "G0", "DN": "D0"}, {"N": "G1"}], "C": [i % n, i]} for i in range(n)]
+    body = wrap(page(dm0, {"D0": [f"name{j}" for j in range(n)]}))
+    import time
+
+    t = time.time()
+    rows = decoded_rows(spark, body)
+    assert len(rows) == n and rows[-1] == {"Name": f"name{n - 1}", "Score": n - 1}
+    assert time.time() - t < 60
