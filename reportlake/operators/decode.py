@@ -7,9 +7,10 @@ default), so per-row arrays stay small whatever the total data volume.
 
 Sequential rules of the format, and how they are done without a loop:
 
-* mid-page schema ``S`` (D5): the list of schema changes is small; the schema
-  index of every entry is built by repeating change ``k`` over its span
-  (``array_repeat`` + ``flatten``) -- linear in the page size;
+* mid-page schema ``S`` (D5): the schema index of every entry is built by
+  repeating change ``k`` over its span (``array_repeat`` + ``flatten``) --
+  linear in the page size for any number of changes; dictionaries are referred
+  to by index per (schema, field), never copied per schema;
 * repeat bit ``R`` (D7): per field, the entries that do *not* continue a carry
   are run starts; each run start's value is repeated over its run, again with
   ``array_repeat`` + ``flatten``.  A change of schema *length* starts a new run
@@ -156,8 +157,7 @@ def _resolve(x: str, v: str, i: str) -> str:
     )
 
 
-def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str, ...] | None = None,
-                 _stop_after_h: bool = False) -> DataFrame:
+def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str, ...] | None = None) -> DataFrame:
     """Decode every page of ``responses`` into a page-level row.
 
     Output columns (besides the input columns in ``keep``, default all but body):
@@ -220,6 +220,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         ) + ")"
     )
     dkeys = "transform(schemas, s -> transform(s, (f, i) -> " + _dict_key("f", "i") + "))"
+
     def full_bad(n: str) -> str:
         return "NOT x.r.ok OR x.c_bad OR (NOT x.z.ok AND NOT " + all_bits_set("x.r", n) + ")"
 
@@ -259,8 +260,6 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         *keep, "bad_json", "envelope_ok", "restart_tokens", "_g",
         F.expr(let([("g", "_g")], h)).alias("_h"),
     )
-    if _stop_after_h:
-        return df
 
     # stage values: per field, raw values -> dictionary -> carry; then rows
     def carried(narrow: bool) -> str:
