@@ -25,7 +25,7 @@ from reportlake.sinks.tables import load_catalog, report_dirs, save_catalog, wri
 from reportlake.sources.captures import filter_captures, har_entries, header_value
 from reportlake.sources.urls import extract_view_urls, resource_key
 from reportlake.streaming.incremental import start_incremental_decode
-from reportlake.operators.decode import decode_pages, explode_rows
+from reportlake.operators.decode import decode_pages, explode_rows, quarantine
 from reportlake.functions.sqlx import json_value
 from reportlake.plans.extract import extract, staged_rows, typed_from_json
 from reportlake.plans.encode import Field, build_pages, descriptor_json, encode_entries, encode_table
@@ -832,3 +832,48 @@ def q_stream_decode(spark, sf_dir):
     staged = spark.read.parquet(f"{base}/decoded")
     typed = typed_from_json(staged_rows(staged), {c: ("bigint" if t == "int" else t) for c, t in LINEITEM_TYPES.items()})
     return typed.select(*[F.col(c).cast(t).alias(c) for c, t in LINEITEM_TYPES.items()])
+
+
+@check("Q_quarantine", """
+SELECT event_id // 100 + 1 AS page_no, min(event_id % 100) AS pos, 'bad_values' AS reason
+FROM events WHERE value > 200 GROUP BY 1
+""")
+def q_quarantine(spark, sf_dir):
+    """The quarantine table of the Q_truncate pages: per page, the position
+    of the first malformed entry and its reason."""
+    ev = table(spark, sf_dir, "events").withColumn("p", F.expr("event_id div 100"))
+    entry = f"""CASE WHEN value > 200 THEN '{{"C":null}}'
+      ELSE concat('{{"C":[', {jv("event_id")}, ',', {jv("value")}, ']}}') END"""
+    d = desc(("M0", "e.event_id"), ("M1", "e.value"))
+    resp = responses_of(custom_pages(ev, ["p"], ["event_id"], entry, d), "events", "events", F.col("p") + 1)
+    q = quarantine(decode_pages(resp))
+    return q.select(F.col("page_no").cast("bigint").alias("page_no"), F.col("pos").cast("bigint").alias("pos"), "reason")
+
+
+@check("Q_module_outcome", """
+WITH p AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS page_no,
+                  count(*) OVER (PARTITION BY user_id) AS n FROM events),
+f AS (SELECT user_id, min(page_no) FILTER (WHERE event_type IN ('error', 'purchase')) AS stop_page, max(n) AS n FROM p GROUP BY 1),
+t AS (SELECT f.user_id, f.stop_page, f.n, p.event_type AS stop_type FROM f LEFT JOIN p ON p.user_id = f.user_id AND p.page_no = f.stop_page)
+SELECT user_id AS module,
+       CASE WHEN stop_type = 'purchase' THEN 0 WHEN stop_type = 'error' THEN stop_page - 1 ELSE n END AS n_rows,
+       CASE WHEN stop_type = 'purchase' THEN 'failed' WHEN stop_type = 'error' AND stop_page = 1 THEN 'empty'
+            WHEN stop_type = 'error' THEN 'partial' ELSE 'ok' END AS status
+FROM t
+""")
+def q_module_outcome(spark, sf_dir):
+    """module = user, one page per event (page_no = rank by event_id), tokens
+    on every page but the user's last; 'error' pages answered 500 (the module stops
+    there, earlier pages kept), 'purchase' pages answered 401 after retries (the
+    whole module fails).  Per-module status and row count."""
+    ev = group_row_number(table(spark, sf_dir, "events"), ["user_id"], "event_id", "page_no")
+    last = ev.groupBy("user_id").agg(F.max("page_no").alias("n_pages"))
+    fields = [Field("M0", "e.user_id", "user_id", repeat=None), Field("M1", "e.event_id", "event_id", repeat=None)]
+    entries = encode_entries(ev, ["user_id", "page_no"], ["event_id"], fields)
+    entries = entries.join(ev.select("user_id", "page_no", "event_type"), ["user_id", "page_no"]).join(last, "user_id")
+    rt = F.when(F.first("page_no") < F.first("n_pages"), F.lit("[[1]]"))
+    pages = build_pages(entries, ["user_id", "page_no"], ["_rn"], descriptor_json(fields), rt=rt,
+                        extra={"event_type": F.first("event_type")})
+    status = F.when(F.col("event_type") == "error", 500).when(F.col("event_type") == "purchase", 401).otherwise(200)
+    ex = extract(responses_of(pages, "events", F.col("user_id"), F.col("page_no"), status=status))
+    return ex.status().select(F.col("module").cast("bigint").alias("module"), "n_rows", "status")
