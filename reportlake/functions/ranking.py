@@ -31,8 +31,7 @@ def group_row_number(
     w = Window.partitionBy(*group_cols).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group_cols, b, F.coalesce(F.sum("_rk_n").over(w), F.lit(0)).alias("_rk_off"))
     keys = [*group_cols, b]
-    if not group_cols:
-        # A single global group: the bucket table is small (rows / bucket_size).
-        offsets = F.broadcast(offsets)
+    # The bucket table has rows / bucket_size rows -- small, but it grows with
+    # the data, so no broadcast hint: AQE broadcasts it when it is small at run time.
     out = local.join(offsets, keys, "inner")
     return out.select(*df.columns, (F.col("_rk_off") + F.col("_rk_local")).cast("long").alias(out_col))
