@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportlake.functions.jsonx import strict_json_ok
+from reportlake.session import json_parity
 from reportlake.functions.sqlx import (
     all_bits_set,
     bit,
@@ -169,6 +170,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     ``vals`` line up with ``schemas[sidx]``, and ``first_key`` / ``last_key``
     canonical JSON of the first and last row (for the page-boundary rule).
     """
+    json_parity(responses.sparkSession)
     if keep is None:
         keep = tuple(c for c in responses.columns if c != body_col)
     env = F.from_json(F.col(body_col), ENVELOPE_DDL)

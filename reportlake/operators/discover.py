@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reportlake.functions.protocol import DEFAULT_MODEL_ID, RESOURCE_KEY_HEADER
 from reportlake.functions.ranking import group_row_number
-from reportlake.session import stage
+from reportlake.session import json_parity, stage
 from reportlake.sources.captures import header_value
 
 CMD_PATH = "$.queries[0].Query.Commands[0].SemanticQueryDataShapeCommand"
@@ -27,6 +27,7 @@ def report_config(captures: DataFrame, key_header: str = RESOURCE_KEY_HEADER) ->
     default.  ``error`` is set when the first capture has no application
     context (the whole report's discovery then fails).
     """
+    json_parity(captures.sparkSession)
     first = captures.groupBy("report_key").agg(
         F.min_by(F.struct("url", "headers", "body", "pos"), F.col("pos")).alias("f")
     )
@@ -85,6 +86,7 @@ def analyse_captures(captures: DataFrame) -> DataFrame:
     of a capture without entities needs its index among the report's captures;
     that is attached later by ``name_captures``.
     """
+    json_parity(captures.sparkSession)
     b = F.call_function("try_parse_json", F.col("body"))
     df = captures.select(
         "report_key",

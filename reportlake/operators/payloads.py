@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportlake.functions.protocol import DATA_VOLUME, PAGE_SIZE, PAYLOAD_VERSION
+from reportlake.session import json_parity
 
 
 def is_paginated(template_json: Column | str) -> Column:
@@ -85,6 +86,7 @@ def build_payloads(
     ``window_config``) it is applied to paginated templates only (a single-shot
     template is replayed as captured) unless ``paginated_only`` is False.
     """
+    json_parity(requests.sparkSession)
     cfg = config.select("report_key", "dataset_id", "report_id", "visual_id", "model_id")
     df = requests.join(cfg, "report_key", "inner")
     df = df.withColumn("__tpl", F.col("query_template"))

@@ -47,7 +47,17 @@ def get_session(master: str | None = None, app: str = "reportlake", **conf) -> S
 
 
 def _session_defaults(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    json_parity(spark)
+
+
+def json_parity(spark: SparkSession) -> None:
+    """Parse JSON objects with repeated keys as Python does: the last one wins.
+
+    Without this, Spark's VARIANT parser turns such an object into NULL, which
+    would make an entry look malformed or a capture unreadable.
+    """
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
