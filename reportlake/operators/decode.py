@@ -226,7 +226,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     def full_bad(n: str) -> str:
         return "NOT x.r.ok OR x.c_bad OR (NOT x.z.ok AND NOT " + all_bits_set("x.r", n) + ")"
 
-    L = "size(get(schemas, get(sidx, p) + 1))"
+    L = "get(lens, get(sidx, p) + 1)"
     flags = (
         "transform(g.ents, (x, p) -> named_struct('p', p, 'sidx', get(sidx, p), 'L', " + L + ", 'skip', x.skip, "
         "'reset', x.s_present AND NOT x.skip AND coalesce(get(ch, get(sidx, p)).reset, false), "
@@ -238,11 +238,12 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
             ("dflt", dflt),
             ("pre_bad0", pre_bad),
             ("pre_bad", "CASE WHEN pre_bad0 < 0 THEN g.n_all ELSE pre_bad0 END"),
-            ("ch0", "filter(transform(g.ents, (x, p) -> named_struct('p', p, 'skip', x.skip, 's_present', x.s_present, 's', x.s)), "
-             "x -> x.p < pre_bad AND NOT x.skip AND x.s_present)"),
+            ("ch0", "transform(filter(" + seq("cast(pre_bad AS int)") + ", p -> get(g.ents, p).s_present AND NOT get(g.ents, p).skip), "
+             "p -> named_struct('p', p, 's', get(g.ents, p).s))"),
             ("ch", changes),
             ("sidx", sidx),
             ("schemas", "concat(array(dflt), transform(ch, c -> c.s))"),
+            ("lens", "transform(schemas, s -> size(s))"),
             ("wl", flags),
             ("fb0", "array_position(transform(wl, x -> x.bad), true)"),
             ("first_bad", "least(pre_bad, CASE WHEN fb0 > 0 THEN fb0 - 1 ELSE g.n_all END)"),
