@@ -126,7 +126,7 @@ def _dict_key(f: str, i: str) -> str:
 
 def _raw(x: str, i: str, narrow: bool = False) -> str:
     """The value field i of emitted entry x reads (NULL for repeat,
-    null bit, missing), before dictionaries.  ``narrow``: all masks of the page
+    null bit, missing or JSON null), before dictionaries.  ``narrow``: all masks of the page
     fit one 63-bit word (pages of at most 63 fields), so simpler bit tests."""
     f = f"get(get(h.schemas, {x}.sidx + 1), {i})"
     ec = f"get(g.ents, {x}.p).c"
@@ -136,22 +136,24 @@ def _raw(x: str, i: str, narrow: bool = False) -> str:
     else:
         taken = f"({bit(x + '.r', i)} OR {bit(x + '.z', i)})"
         rank = count_free_below(f"{x}.r", f"{x}.z", i)
+    cv = f"get({ec}, {rank})"
+    direct = f"try_element_at(try_variant_get(get(g.dm0, {x}.p), '$', 'map<string,variant>'), {f}.N)"
+    # JSON nulls become SQL NULL here, so plain fields need no second pass
     return (
         f"CASE WHEN {i} >= {x}.L OR {taken} THEN NULL "
-        f"WHEN {rank} < size({ec}) THEN get({ec}, {rank}) "
-        f"WHEN {f}.N IS NOT NULL "
-        f"THEN try_element_at(try_variant_get(get(g.dm0, {x}.p), '$', 'map<string,variant>'), {f}.N) END"
+        f"WHEN {rank} < size({ec}) THEN CASE WHEN is_variant_null({cv}) THEN NULL ELSE {cv} END "
+        f"WHEN {f}.N IS NOT NULL THEN CASE WHEN is_variant_null({direct}) THEN NULL ELSE {direct} END END"
     )
 
 
 def _resolve(x: str, v: str, i: str) -> str:
-    """An integer cell through its field's dictionary; JSON null -> SQL NULL."""
+    """An integer cell through its field's dictionary (a null dictionary item -> SQL NULL)."""
     di = f"get(get(h.sdidx, {x}.sidx + 1), {i})"
     d = f"get(g.dvals, {di})"
     iv = f"variant_get({v}, '$', 'bigint')"
     hit = f"get({d}, cast({iv} AS int))"
     return (
-        f"CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN NULL "
+        f"CASE WHEN {v} IS NULL THEN NULL "
         f"WHEN {di} < 0 OR {d} IS NULL OR schema_of_variant({v}) <> 'BIGINT' THEN {v} "
         f"WHEN {iv} >= 0 AND {iv} < size({d}) THEN CASE WHEN is_variant_null({hit}) THEN NULL ELSE {hit} END "
         f"ELSE {v} END"
@@ -273,7 +275,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         )
         raw = "transform(h.em, x -> " + _raw("x", "i", narrow) + ")"
         # fields without a dictionary in any schema of the page only need null normalisation
-        plain = "transform(" + raw + ", v -> CASE WHEN is_variant_null(v) THEN NULL ELSE v END)"
+        plain = raw
         looked = "zip_with(h.em, " + raw + ", (x, v) -> " + _resolve("x", "v", "i") + ")"
         has_dict = "exists(h.sdidx, ds -> coalesce(get(ds, i), -1) >= 0)"
         any_r = "((shiftright(rany.lo, i) & 1L) = 1L)" if narrow else bit("rany", "i")
