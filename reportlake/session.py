@@ -41,7 +41,10 @@ def get_session(master: str | None = None, app: str = "reportlake", **conf) -> S
     for k, v in {**_LOCAL_DEFAULTS, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 -- no SparkContext on Spark Connect
+        pass
     _session_defaults(spark)
     return spark
 
@@ -63,14 +66,18 @@ def json_parity(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; configured locally only when unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- e.g. a Spark Connect session has no SparkContext
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="reportlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
