@@ -77,6 +77,19 @@ def _descriptor(data: str) -> str:
 ENTRY_STRUCT = "struct<S:variant,C:variant,R:variant,`Ø`:variant,X:variant>"
 
 
+def _descriptor_bad(data: str) -> str:
+    """D2 parity: an item the scalar decoder cannot read -- a truthy non-object, or
+    an object with a truthy ``Value`` whose ``Name`` is present but not text --
+    makes it give up on the whole page (no rows; tokens are kept)."""
+    truthy = "(x IS NOT NULL AND NOT is_variant_null(x) AND to_json(x) NOT IN ('false', '0', '\"\"', '[]', '{}', '0.0'))"
+    item_bad = let(
+        [("o", "try_variant_get(x, '$', 'map<string,variant>')")],
+        f"{truthy} AND (o IS NULL OR (coalesce(try_variant_get(try_element_at(o, 'Value'), '$', 'string'), '') <> '' "
+        "AND map_contains_key(o, 'Name') AND coalesce(schema_of_variant(o['Name']), 'VOID') <> 'STRING'))",
+    )
+    return f"exists(coalesce({data}.descriptor.Select, array()), x -> {item_bad})"
+
+
 def _entries(dm0: str) -> str:
     """D3/D4 + parse of every entry's keys (S, C, R, Ø) in one pass over each object.
 
@@ -187,6 +200,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     g = (
         "named_struct("
         f"'sel', {_descriptor('_data')}, "
+        f"'desc_bad', coalesce({_descriptor_bad('_data')}, false), "
         "'dicts', coalesce(_ds.ValueDicts, map()), "
         "'dnames', map_keys(coalesce(_ds.ValueDicts, map())), "
         "'dvals', map_values(coalesce(_ds.ValueDicts, map())), "
@@ -256,10 +270,11 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         "'sdidx', transform(" + dkeys + ", ks -> transform(ks, k -> coalesce(array_position(g.dnames, k), 0) - 1)), "
         "'first_bad', CASE WHEN first_bad < g.n_all THEN first_bad END, "
         "'why', " + let([("x", "get(g.ents, first_bad)")],
-                        "CASE WHEN x IS NULL THEN NULL WHEN NOT x.obj THEN 'entry_not_object' "
+                        "CASE WHEN g.desc_bad THEN 'bad_descriptor' WHEN x IS NULL THEN NULL "
+                        "WHEN NOT x.obj THEN 'entry_not_object' "
                         "WHEN x.s_bad THEN 'bad_schema' WHEN NOT x.r.ok THEN 'bad_repeat_mask' "
                         "WHEN x.c_bad THEN 'bad_values' WHEN NOT x.z.ok THEN 'bad_null_mask' END") + ", "
-        "'em', filter(wl, x -> x.p < first_bad AND NOT x.skip AND x.L > 0))",
+        "'em', filter(wl, x -> NOT g.desc_bad AND x.p < first_bad AND NOT x.skip AND x.L > 0))",
     )
     df = df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens", "_g",
@@ -365,8 +380,9 @@ def value_of(col_name: str, spark_type: str = "string") -> Column:
 
 
 def quarantine(decoded: DataFrame, keys: tuple[str, ...] = PAGE_KEYS) -> DataFrame:
-    """Pages cut by a malformed entry, or whose body is not JSON (reason, position)."""
-    return decoded.where("bad_json OR bad_pos IS NOT NULL").select(
+    """Pages cut by a malformed entry, with an unreadable descriptor (no position),
+    or whose body is not JSON (reason, position)."""
+    return decoded.where("bad_json OR bad_pos IS NOT NULL OR bad_reason IS NOT NULL").select(
         *keys,
         F.col("bad_pos").alias("pos"),
         F.when(F.col("bad_json"), F.lit("bad_json")).otherwise(F.col("bad_reason")).alias("reason"),
