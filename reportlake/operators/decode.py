@@ -294,11 +294,17 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         looked = "zip_with(h.em, " + raw + ", (x, v) -> " + _resolve("x", "v", "i") + ")"
         has_dict = "exists(h.sdidx, ds -> coalesce(get(ds, i), -1) >= 0)"
         any_r = "((shiftright(rany.lo, i) & 1L) = 1L)" if narrow else bit("rany", "i")
+        # (schema, VARIANT type) pairs of the field's own values: the carry only
+        # copies these values, so they are the types of all its cells (E8 input)
+        types = (
+            "array_distinct(filter(zip_with(h.em, res, (x, v) -> CASE WHEN v IS NOT NULL THEN "
+            "named_struct('s', x.sidx, 't', schema_of_variant(v)) END), y -> y IS NOT NULL))"
+        )
         return (
             "transform(" + seq("nf") + ", i -> " + let(
                 [("res", f"CASE WHEN {has_dict} THEN {looked} ELSE {plain} END")],
                 # a field with no repeat bit anywhere in the page needs no carry pass
-                f"CASE WHEN {any_r} THEN {run_carry} ELSE res END",
+                f"named_struct('v', CASE WHEN {any_r} THEN {run_carry} ELSE res END, 't', {types})",
             ) + ")"
         )
 
@@ -314,9 +320,10 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
             ("nf", "coalesce(array_max(transform(h.em, x -> x.L)), 0)"),
             ("rany", "aggregate(h.em, named_struct('lo', 0L, 'hi', 0L), "
              "(a, x) -> named_struct('lo', a.lo | x.r.lo, 'hi', a.hi | x.r.hi))"),
-            ("cv", f"CASE WHEN nf <= 63 THEN {carried(True)} ELSE {carried(False)} END"),
+            ("cvs", f"CASE WHEN nf <= 63 THEN {carried(True)} ELSE {carried(False)} END"),
+            ("cv", "transform(cvs, c -> c.v)"),
         ],
-        rows,
+        "named_struct('rows', " + rows + ", 'ftypes', transform(cvs, c -> c.t))",
     )
     df = df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens",
@@ -324,7 +331,11 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         F.expr("_h.first_bad").alias("bad_pos"),
         F.expr("_h.why").alias("bad_reason"),
         F.expr("transform(_h.scols, s -> s.names)").alias("schemas"),
-        F.expr(vals).alias("rows"),
+        F.expr("transform(_h.scols, s -> s.idx)").alias("schema_fields"),
+        F.expr(vals).alias("_v"),
+    ).select(
+        *keep, "bad_json", "envelope_ok", "restart_tokens", "n_entries", "bad_pos", "bad_reason",
+        "schemas", "schema_fields", F.col("_v.rows").alias("rows"), F.col("_v.ftypes").alias("field_types"),
     )
     has_tokens = (
         "restart_tokens IS NOT NULL AND restart_tokens NOT IN "
@@ -333,7 +344,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     return df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens",
         F.expr(has_tokens).alias("has_tokens"),
-        "n_entries", "bad_pos", "bad_reason", "schemas", "rows",
+        "n_entries", "bad_pos", "bad_reason", "schemas", "schema_fields", "field_types", "rows",
         F.size("rows").alias("n_rows"),
         F.expr(_row_key("get(rows, 0)")).alias("first_key"),
         F.expr(_row_key("get(rows, size(rows) - 1)")).alias("last_key"),
@@ -395,20 +406,26 @@ def stage_pages(decoded: DataFrame, keys: tuple[str, ...] = PAGE_KEYS) -> DataFr
     ``rows_json`` one JSON object per decoded row (deduplicated names, nulls as
     ``null``) -- typed later by ``from_json`` with the module's inferred schema;
     ``col_types`` per column of the page: its page-local first-seen ordinal ``k``
-    and the set of VARIANT types of its non-null values (input to E8); plus the
-    page facts the assembly rules need.  Everything is computed inside the page.
+    and the set of VARIANT types of its non-null values (input to E8, taken from
+    the per-field type sets the decode computed); plus the page facts the
+    assembly rules need.  Everything is computed inside the page.
     """
-    meta = [c for c in decoded.columns if c not in ("schemas", "rows")]
+    meta = [c for c in decoded.columns if c not in ("schemas", "rows", "schema_fields", "field_types")]
     rows_json = "transform(rows, r -> to_json(map_from_arrays(get(schemas, r.sidx + 1), r.vals)))"
-    order = "array_distinct(flatten(transform(array_distinct(transform(rows, r -> r.sidx)), s -> get(schemas, s + 1))))"
-    pairs = (
-        "array_distinct(flatten(transform(rows, r -> filter(zip_with(get(schemas, r.sidx + 1), r.vals, "
-        "(c, v) -> named_struct('col', c, 't', schema_of_variant(v))), x -> x.t IS NOT NULL))))"
+    used = "array_distinct(transform(rows, r -> r.sidx))"
+    order = f"array_distinct(flatten(transform({used}, s -> get(schemas, s + 1))))"
+    # a column's types: for each schema the page's rows use, the (schema, type)
+    # pairs of the field that holds the column in that schema
+    types_of = (
+        "array_distinct(flatten(transform(us, s -> " + let(
+            [("j", "coalesce(array_position(get(schemas, s + 1), c), 0) - 1")],
+            "CASE WHEN j < 0 THEN array() ELSE transform(filter(get(field_types, get(get(schema_fields, s + 1), j)), "
+            "y -> y.s = s), y -> y.t) END",
+        ) + ")))"
     )
     col_types = let(
-        [("ord", order), ("pr", pairs)],
-        "transform(ord, (c, k) -> named_struct('col', c, 'k', k, "
-        "'types', transform(filter(pr, x -> x.col = c), x -> x.t)))",
+        [("us", used), ("ord", order)],
+        f"transform(ord, (c, k) -> named_struct('col', c, 'k', k, 'types', {types_of}))",
     )
     return decoded.select(*meta, F.expr(col_types).alias("col_types"), F.expr(rows_json).alias("rows_json"))
 
