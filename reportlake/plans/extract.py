@@ -95,7 +95,9 @@ def extract(
     else:
         staged = stage_pages(decode_pages(responses))
         if materialize:
-            staged = stage(staged, "staged-pages")
+            # sorted inside each file by module: Parquet row-group statistics then
+            # let a per-module read skip every other module's pages
+            staged = stage(staged.sortWithinPartitions(*PAGE_KEYS), "staged-pages")
     pages, mods = page_plan(page_meta(staged, paginated), dedupe_boundary=dedupe_boundary)
     if materialize:
         # one small row per page / per module; staged so schema, rows and
