@@ -173,7 +173,8 @@ def _resolve(x: str, v: str, i: str) -> str:
     )
 
 
-def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str, ...] | None = None) -> DataFrame:
+def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str, ...] | None = None,
+                 with_types: bool = False) -> DataFrame:
     """Decode every page of ``responses`` into a page-level row.
 
     Output columns (besides the input columns in ``keep``, default all but body):
@@ -184,6 +185,9 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     first position kept), ``rows`` array<struct<pos, sidx, vals>> where
     ``vals`` line up with ``schemas[sidx]``, and ``first_key`` / ``last_key``
     canonical JSON of the first and last row (for the page-boundary rule).
+    ``with_types`` adds ``field_types``, per field the (schema, VARIANT type)
+    pairs of its values, needed by ``stage_pages`` (it costs a type probe per
+    cell, so plain decoding leaves it out).
     """
     json_parity(responses.sparkSession)
     if keep is None:
@@ -282,7 +286,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     )
 
     # stage values: per field, raw values -> dictionary -> carry; then rows
-    def carried(narrow: bool) -> str:
+    def carried(narrow: bool, with_types: bool) -> str:
         rbit = "((shiftright(get(h.em, q).r.lo, i) & 1L) = 1L)" if narrow else bit("get(h.em, q).r", "i")
         run_carry = let(
             [("st", "filter(" + seq("n") + ", q -> NOT (q > 0 AND NOT get(h.em, q).reset AND " + rbit + "))")],
@@ -299,12 +303,14 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         types = (
             "array_distinct(filter(zip_with(h.em, res, (x, v) -> CASE WHEN v IS NOT NULL THEN "
             "named_struct('s', x.sidx, 't', schema_of_variant(v)) END), y -> y IS NOT NULL))"
+            if with_types else None
         )
         return (
             "transform(" + seq("nf") + ", i -> " + let(
                 [("res", f"CASE WHEN {has_dict} THEN {looked} ELSE {plain} END")],
                 # a field with no repeat bit anywhere in the page needs no carry pass
-                f"named_struct('v', CASE WHEN {any_r} THEN {run_carry} ELSE res END, 't', {types})",
+                (f"named_struct('v', CASE WHEN {any_r} THEN {run_carry} ELSE res END, 't', {types})"
+                 if with_types else f"named_struct('v', CASE WHEN {any_r} THEN {run_carry} ELSE res END)"),
             ) + ")"
         )
 
@@ -320,10 +326,10 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
             ("nf", "coalesce(array_max(transform(h.em, x -> x.L)), 0)"),
             ("rany", "aggregate(h.em, named_struct('lo', 0L, 'hi', 0L), "
              "(a, x) -> named_struct('lo', a.lo | x.r.lo, 'hi', a.hi | x.r.hi))"),
-            ("cvs", f"CASE WHEN nf <= 63 THEN {carried(True)} ELSE {carried(False)} END"),
+            ("cvs", f"CASE WHEN nf <= 63 THEN {carried(True, with_types)} ELSE {carried(False, with_types)} END"),
             ("cv", "transform(cvs, c -> c.v)"),
         ],
-        "named_struct('rows', " + rows + ", 'ftypes', transform(cvs, c -> c.t))",
+        ("named_struct('rows', " + rows + ", 'ftypes', transform(cvs, c -> c.t))") if with_types else rows,
     )
     df = df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens",
@@ -333,9 +339,15 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         F.expr("transform(_h.scols, s -> s.names)").alias("schemas"),
         F.expr("transform(_h.scols, s -> s.idx)").alias("schema_fields"),
         F.expr(vals).alias("_v"),
-    ).select(
+    )
+    if with_types:
+        rows_col, types_col = F.col("_v.rows"), F.col("_v.ftypes")
+    else:
+        # no wrapper struct: the rows array is not copied by an extra projection
+        rows_col, types_col = F.col("_v"), F.lit(None).cast("array<array<struct<s:int,t:string>>>")
+    df = df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens", "n_entries", "bad_pos", "bad_reason",
-        "schemas", "schema_fields", F.col("_v.rows").alias("rows"), F.col("_v.ftypes").alias("field_types"),
+        "schemas", "schema_fields", rows_col.alias("rows"), types_col.alias("field_types"),
     )
     has_tokens = (
         "restart_tokens IS NOT NULL AND restart_tokens NOT IN "
@@ -410,6 +422,8 @@ def stage_pages(decoded: DataFrame, keys: tuple[str, ...] = PAGE_KEYS) -> DataFr
     the per-field type sets the decode computed); plus the page facts the
     assembly rules need.  Everything is computed inside the page.
     """
+    if "field_types" not in decoded.columns:
+        raise ValueError("stage_pages needs decode_pages(..., with_types=True)")
     meta = [c for c in decoded.columns if c not in ("schemas", "rows", "schema_fields", "field_types")]
     rows_json = "transform(rows, r -> to_json(map_from_arrays(get(schemas, r.sidx + 1), r.vals)))"
     used = "array_distinct(transform(rows, r -> r.sidx))"

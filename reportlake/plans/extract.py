@@ -93,7 +93,7 @@ def extract(
     if "rows_json" in responses.columns:
         staged = responses
     else:
-        staged = stage_pages(decode_pages(responses))
+        staged = stage_pages(decode_pages(responses, with_types=True))
         if materialize:
             # sorted inside each file by module: Parquet row-group statistics then
             # let a per-module read skip every other module's pages

@@ -51,7 +51,7 @@ def start_incremental_decode(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # One folder per micro-batch, overwritten: a retried batch replaces its
         # own output instead of appending twice.
-        decoded_for_storage(decode_pages(batch)).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        decoded_for_storage(decode_pages(batch, with_types=True)).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
