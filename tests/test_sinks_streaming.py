@@ -56,3 +56,26 @@ def test_module_csvs_and_long_form(spark):
     write_rows_by_report(ex.rows, dirs, base + "/long")
     long = spark.read.json(base + "/long")
     assert sorted((r.report_dir, r.module, r.pos) for r in long.collect()) == [("report_1", "a", 0), ("report_1", "a", 0)]
+
+
+def test_stream_boundary_row_across_batches(spark):
+    from reportlake.plans.extract import extract
+
+    base = scratch_dir(spark, "stream-boundary")
+
+    def page(rows, rt=None):
+        ds = {"ValueDicts": {}, "PH": [{"DM0": [{"S": [{"N": "G0"}, {"N": "G1"}], "C": list(rows[0])}] + [{"C": list(r)} for r in rows[1:]]}]}
+        if rt:
+            ds["RT"] = rt
+        return wrap(ds)
+
+    # each page is its own landed file, taken by its own micro-batch
+    responses(spark, [("m", 1, page([("A", 1), ("B", 2)], [[1]]))]).coalesce(1).write.json(f"{base}/landing/p1")
+    responses(spark, [("m", 2, page([("B", 2), ("C", 3)]))]).coalesce(1).write.json(f"{base}/landing/p2")
+    q = start_incremental_decode(spark, f"{base}/landing/*", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=1)
+    q.awaitTermination()
+    sink = spark.read.parquet(f"{base}/out")
+    assert sink.select("batch_id").distinct().count() == 2
+    ex = extract(sink.drop("batch_id"))
+    got = [tuple(r)[2:] for r in ex.table("r", "m", with_order=True).orderBy("page_no", "pos").collect()]
+    assert got == [("A", 1), ("B", 2), ("C", 3)]
