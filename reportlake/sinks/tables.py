@@ -125,26 +125,65 @@ def write_rows_by_report(rows: DataFrame, dirs: DataFrame, path: str) -> None:
 
 
 def write_module_csvs(extraction, dirs: DataFrame | None, base: str) -> DataFrame:
-    """B1 + B3: one CSV folder per non-empty module under its report folder.
-
-    Loops on the driver over the (small) module list only; each module's table
-    is its own distributed write.  Returns the module status table with the
-    output path of each written module.
+    """B1 + B3: every non-empty module as CSV under ``base/report_dir=.../module=...``.
+
+    Modules with the same typed column list are written by one job
+    (``partitionBy(report_dir, module)``), so the number of jobs is the number
+    of distinct column signatures, not of modules; only those signatures reach
+    the driver.  Rows are range-partitioned by (report, module, page_no, pos)
+    and sorted inside files, so part files read back in row order and a large
+    module is spread over many tasks.  Returns the module status table with
+    each written module's ``output_path``.
     """
+    from reportlake.plans.extract import _q  # column quoting for the from_json DDL
+
     status = extraction.status()
-    mods = status.where(F.col("n_rows") > 0).select("report_key", "module").collect()
-    dir_of = {}
-    if dirs is not None:
-        keys = [m.report_key for m in mods]
-        for r in dirs.where(F.col("report_key").isin(keys)).select("report_key", "report_dir").collect():
-            dir_of.setdefault(r.report_key, r.report_dir)
-    written = []
-    for m in mods:
-        folder = dir_of.get(m.report_key, m.report_key)
-        path = f"{base.rstrip('/')}/{folder}/{m.module}.csv"
-        table = extraction.table(m.report_key, m.module, with_order=True)
-        if write_module_csv(table, path):
-            written.append((m.report_key, m.module, path))
+    nonempty = status.where(F.col("n_rows") > 0).select("report_key", "module")
+    sigs = (
+        extraction.schema.join(nonempty, ["report_key", "module"], "inner")
+        .groupBy("report_key", "module")
+        .agg(F.array_sort(F.collect_list(F.struct("first_seen", "col", "spark_type"))).alias("cols"))
+        .select("report_key", "module", F.to_json(F.expr("transform(cols, c -> struct(c.col, c.spark_type))")).alias("sig"))
+    )
+    folder = (
+        dirs.select("report_key", "report_dir").dropDuplicates(["report_key"])
+        if dirs is not None else None
+    )
     spark = status.sparkSession
-    paths = spark.createDataFrame(written, "report_key string, module string, output_path string")
+    import json
+
+    for (sig,) in sigs.select("sig").distinct().collect():
+        cols = [(c["col"], c["spark_type"]) for c in json.loads(sig)]
+        ddl = ", ".join(f"{_q(c)} {t}" for c, t in cols)
+        members = sigs.where(F.col("sig") == sig).select("report_key", "module")
+        rows = extraction.rows.join(members, ["report_key", "module"], "left_semi")
+        if folder is not None:
+            rows = rows.join(folder, "report_key", "left")
+            rows = rows.withColumn("report_dir", F.coalesce("report_dir", "report_key"))
+        else:
+            rows = rows.withColumn("report_dir", F.col("report_key"))
+        typed = rows.select(
+            "report_dir", "module", "report_key", "page_no", "pos", F.from_json("row_json", ddl).alias("_t")
+        ).select("report_dir", "module", "report_key", "page_no", "pos", *[F.col("_t").getField(c).alias(c) for c, _ in cols])
+        (
+            typed.repartitionByRange("report_key", "module", "page_no", "pos")
+            .sortWithinPartitions("report_key", "module", "page_no", "pos")
+            .drop("report_key", "page_no", "pos")
+            # dynamic: each job replaces only the module folders it writes (re-runs are idempotent)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("report_dir", "module")
+            .option("header", True)
+            .option("escape", '"')
+            .csv(base)
+        )
+    paths = sigs.select("report_key", "module")
+    if folder is not None:
+        paths = paths.join(folder, "report_key", "left").withColumn("report_dir", F.coalesce("report_dir", "report_key"))
+    else:
+        paths = paths.withColumn("report_dir", F.col("report_key"))
+    paths = paths.select(
+        "report_key", "module",
+        F.concat(F.lit(base.rstrip("/") + "/report_dir="), F.col("report_dir"), F.lit("/module="), F.col("module")).alias("output_path"),
+    )
     return status.join(paths, ["report_key", "module"], "left")

@@ -49,7 +49,7 @@ def test_module_csvs_and_long_form(spark):
     dirs = spark.createDataFrame([("r", "report_1")], "report_key string, report_dir string")
     base = scratch_dir(spark, "out")
     st = {r.module: (r.status, r.output_path) for r in write_module_csvs(ex, dirs, base).collect()}
-    assert st["a"][0] == "ok" and st["a"][1].endswith("/report_1/a.csv")
+    assert st["a"][0] == "ok" and st["a"][1].endswith("/report_dir=report_1/module=a")
     assert st["b"] == ("failed", None)
     back = spark.read.option("header", True).csv(st["a"][1])
     assert sorted(tuple(r) for r in back.collect()) == [("x", "1"), ("y", "2")]
@@ -79,3 +79,20 @@ def test_stream_boundary_row_across_batches(spark):
     ex = extract(sink.drop("batch_id"))
     got = [tuple(r)[2:] for r in ex.table("r", "m", with_order=True).orderBy("page_no", "pos").collect()]
     assert got == [("A", 1), ("B", 2), ("C", 3)]
+
+
+def test_module_csvs_rerun_is_idempotent_and_keeps_other_modules(spark):
+    from reportlake.plans.extract import extract
+    from reportlake.sinks.tables import write_module_csvs
+
+    def body(vals, name):
+        return wrap({"ValueDicts": {}, "PH": [{"DM0": [{"S": [{"N": "G0"}], "C": [vals[0]]}] + [{"C": [v]} for v in vals[1:]]}]},
+                    [{"Value": "G0", "Name": f"T.{name}"}])
+
+    resp = responses(spark, [("a", 1, body(["x", "y"], "S")), ("b", 1, body([1, 2, 3], "N"))])
+    base = scratch_dir(spark, "rerun")
+    ex = extract(resp)
+    for _ in range(2):
+        out = {r.module: r.output_path for r in write_module_csvs(ex, None, base).collect()}
+    assert spark.read.option("header", True).csv(out["a"]).count() == 2
+    assert spark.read.option("header", True).csv(out["b"]).count() == 3
