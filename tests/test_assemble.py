@@ -1,9 +1,6 @@
 """Paging rules, module outcome and typing (E1-E9), through the extraction plan."""
 
-import json
-
 from conftest import responses, wrap
-from pyspark.sql import functions as F
 
 from reportlake.operators.assemble import assembled_rows, infer_schema, module_table, page_meta, page_plan
 from reportlake.operators.decode import decode_pages

@@ -1,6 +1,5 @@
 """Attempt resolution and back-off."""
 
-from pyspark.sql import functions as F
 
 from reportlake.operators.attempts import resolve_attempts, with_retry_delay
 
@@ -49,8 +48,6 @@ def test_backoff_schedule(spark):
 
 
 def test_attempt_log_feeds_extraction(spark):
-    import json
-
     from conftest import wrap
 
     from reportlake.operators.attempts import responses_from_attempts

@@ -1,9 +1,7 @@
 """Captures, URLs and discovery."""
 
 import json
-import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from reportlake.operators.discover import discover

@@ -1,9 +1,7 @@
 """CSV sink (B1) and incremental decode."""
 
 from conftest import responses, wrap
-from pyspark.sql import functions as F
 
-from reportlake.operators.decode import explode_rows
 from reportlake.session import scratch_dir
 from reportlake.sinks.tables import write_module_csv
 from reportlake.streaming.incremental import start_incremental_decode
