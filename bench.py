@@ -4,7 +4,7 @@
 
 Stand-in inputs (landed response pages, captures) are encoded from the driver
 tables and written to a scratch folder first; only the library's jobs are
-timed (best of two runs, results to the ``noop`` sink).  Prints one JSON line.
+timed (best of three runs, results to the ``noop`` sink).  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from reportlake.plans.encode import encode_table  # noqa: E402
 from reportlake.session import scratch_dir  # noqa: E402
 
 
-def timed(fn, repeat=2):
+def timed(fn, repeat=3):
     best = None
     for _ in range(repeat):
         t = time.time()
