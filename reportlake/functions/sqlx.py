@@ -28,17 +28,20 @@ def seq(n: str) -> str:
 def _mask_body(v: str, t: str, b: str) -> str:
     dec = f"try_variant_get({v}, '$', 'decimal(38,0)')"
     two63 = "9223372036854775808BD"
+    two126 = "85070591730234615865843651857942052864BD"
     wide = (
         f"({t} LIKE 'DECIMAL(%,0)' AND cast(regexp_extract({t}, 'DECIMAL\\\\((\\\\d+),0\\\\)', 1) AS int) >= 19 "
-        f"AND {dec} IS NOT NULL AND {dec} >= 0)"
+        f"AND {dec} IS NOT NULL AND {dec} >= 0 AND {dec} < {two126})"
     )
     boo = f"CASE WHEN variant_get({v}, '$', 'boolean') THEN 1L ELSE 0L END"
     return (
-        f"CASE WHEN {t} = 'BIGINT' THEN named_struct('ok', true, 'lo', {b} & {LONG_MAX}, 'hi', shiftright({b}, 63)) "
+        f"CASE WHEN {t} = 'BIGINT' THEN named_struct('ok', true, 'lo', {b} & {LONG_MAX}, 'hi', shiftright({b}, 63), 'too_wide', false) "
         "ELSE named_struct("
         f"'ok', {t} = 'BOOLEAN' OR {wide}, "
         f"'lo', CASE WHEN {t} = 'BOOLEAN' THEN {boo} WHEN {wide} THEN cast(pmod({dec}, {two63}) AS bigint) ELSE 0L END, "
-        f"'hi', CASE WHEN {wide} THEN cast(({dec} - pmod({dec}, {two63})) / {two63} AS bigint) ELSE 0L END) END"
+        f"'hi', CASE WHEN {wide} THEN try_cast(({dec} - pmod({dec}, {two63})) / {two63} AS bigint) ELSE 0L END, "
+        f"'too_wide', {t} LIKE 'DECIMAL(%,0)' "
+        f"AND cast(regexp_extract({t}, 'DECIMAL\\\\((\\\\d+),0\\\\)', 1) AS int) >= 19 AND NOT {wide}) END"
     )
 
 
@@ -47,11 +50,12 @@ def mask_struct(v: str, t: str | None = None) -> str:
 
     JSON integers that fit a BIGINT parse as BIGINT; wider ones as
     DECIMAL(p,0) with p >= 19.  A missing key is mask 0.  ``ok`` is false for
-    anything an integer ``&`` would reject (null, float, text, ...).
+    anything an integer ``&`` would reject (null, float, text, ...) and for
+    integers of 2**126 or more (``too_wide``: beyond the two halves).
     Booleans behave as 0/1 like Python's bool.  ``t``: an expression already
     holding ``schema_of_variant(v)`` (else it is bound here).
     """
-    empty = "named_struct('ok', true, 'lo', 0L, 'hi', 0L)"
+    empty = "named_struct('ok', true, 'lo', 0L, 'hi', 0L, 'too_wide', false)"
     big = f"variant_get({v}, '$', 'bigint')"
     if t is not None:
         return f"CASE WHEN ({v}) IS NULL THEN {empty} ELSE {_mask_body(v, t, big)} END"

@@ -276,8 +276,10 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         "'why', " + let([("x", "get(g.ents, first_bad)")],
                         "CASE WHEN g.desc_bad THEN 'bad_descriptor' WHEN x IS NULL THEN NULL "
                         "WHEN NOT x.obj THEN 'entry_not_object' "
-                        "WHEN x.s_bad THEN 'bad_schema' WHEN NOT x.r.ok THEN 'bad_repeat_mask' "
-                        "WHEN x.c_bad THEN 'bad_values' WHEN NOT x.z.ok THEN 'bad_null_mask' END") + ", "
+                        "WHEN x.s_bad THEN 'bad_schema' WHEN NOT x.r.ok AND x.r.too_wide THEN 'mask_too_wide' "
+                        "WHEN NOT x.r.ok THEN 'bad_repeat_mask' "
+                        "WHEN x.c_bad THEN 'bad_values' WHEN NOT x.z.ok AND x.z.too_wide THEN 'mask_too_wide' "
+                        "WHEN NOT x.z.ok THEN 'bad_null_mask' END") + ", "
         "'em', filter(wl, x -> NOT g.desc_bad AND x.p < first_bad AND NOT x.skip AND x.L > 0))",
     )
     df = df.select(
