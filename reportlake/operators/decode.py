@@ -85,7 +85,7 @@ def _descriptor_bad(data: str) -> str:
     item_bad = let(
         [("o", "try_variant_get(x, '$', 'map<string,variant>')")],
         f"{truthy} AND (o IS NULL OR (coalesce(try_variant_get(try_element_at(o, 'Value'), '$', 'string'), '') <> '' "
-        "AND map_contains_key(o, 'Name') AND coalesce(schema_of_variant(o['Name']), 'VOID') <> 'STRING'))",
+        "AND map_contains_key(o, 'Name') AND coalesce(schema_of_variant(try_element_at(o, 'Name')), 'VOID') <> 'STRING'))",
     )
     return f"exists(coalesce({data}.descriptor.Select, array()), x -> {item_bad})"
 

@@ -81,8 +81,9 @@ def _select_columns() -> str:
 def analyse_captures(captures: DataFrame) -> DataFrame:
     """C7-C9 and C13 per capture: entities, select columns, name parts, shape key.
 
-    Adds ``reject`` (``no_command``, ``subquery_source``, ``no_columns``) -- NULL
-    when the capture yields a module.  A pure projection: no shuffle.  The name
+    Adds ``reject`` (``no_command``, ``subquery_source``, ``bad_source`` for a
+    source without a name, ``no_columns``) -- NULL when the capture yields a
+    module.  A pure projection: no shuffle.  The name
     of a capture without entities needs its index among the report's captures;
     that is attached later by ``name_captures``.
     """
@@ -100,14 +101,16 @@ def analyse_captures(captures: DataFrame) -> DataFrame:
         "'entity', try_variant_get(x, '$.Entity', 'string'), 'has_entity', try_variant_get(x, '$.Entity') IS NOT NULL))"
     )
     df = df.withColumn("_ents", F.expr(ents)).withColumn("select_columns", F.expr(_select_columns()))
+    # a source without a Name cannot key the map (the capture is rejected below)
     from_entities = F.expr(
-        "map_from_entries(transform(array_distinct(transform(_ents, e -> e.name)), "
+        "map_from_entries(transform(array_distinct(filter(transform(_ents, e -> e.name), n -> n IS NOT NULL)), "
         "n -> struct(n, element_at(filter(_ents, e -> e.name <=> n), -1).entity)))"
     )
     df = df.withColumn("from_entities", from_entities)
     reject = (
         F.when(F.col("cmd").isNull() | F.expr("try_variant_get(cmd, '$.Query') IS NULL"), F.lit("no_command"))
         .when(F.expr("exists(_ents, e -> NOT e.has_entity)"), F.lit("subquery_source"))
+        .when(F.expr("exists(_ents, e -> e.name IS NULL)"), F.lit("bad_source"))
         .when(F.size("select_columns") == 0, F.lit("no_columns"))
     )
     return df.select(

@@ -54,7 +54,7 @@ def apply_window(template_col: str, window_col: str) -> Column:
     the template JSON text and of the window VARIANT.
     """
     expr = f"""
-    element_at(transform(array(named_struct('cmd', parse_json(`{template_col}`), 'w', `{window_col}`)), s ->
+    element_at(transform(array(named_struct('cmd', try_parse_json(`{template_col}`), 'w', `{window_col}`)), s ->
       element_at(transform(array(named_struct(
           'c', {_as_map('s.cmd')},
           'b', {_as_map("try_variant_get(s.cmd, '$.Binding')")},
@@ -95,9 +95,9 @@ def build_payloads(
         edited = apply_window("__tpl", "__win")
         cmd = edited if not paginated_only else F.when(
             is_paginated("query_template"), edited
-        ).otherwise(F.call_function("parse_json", F.col("__tpl")))
+        ).otherwise(F.call_function("try_parse_json", F.col("__tpl")))
     else:
-        cmd = F.call_function("parse_json", F.col("__tpl"))
+        cmd = F.call_function("try_parse_json", F.col("__tpl"))
     payload = F.struct(
         F.lit(PAYLOAD_VERSION).alias("version"),
         F.array(

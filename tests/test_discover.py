@@ -146,3 +146,11 @@ def test_catalog_round_trip_and_report_dirs(spark):
     assert (m.name, m.output_filename, [tuple(s) for s in m.select_columns]) == ("units_name", "units_name.csv", [("u", "Name", False)])
     urls = spark.createDataFrame([("https://app.example.com/view?q=1", 1)], "url string, url_index long")
     assert report_dirs(urls).first().report_dir == "report_1"
+
+
+def test_source_without_name_is_rejected_not_a_crash(spark):
+    cmd = command([("u", "Units")], [col("u", "Name")])
+    cmd["Query"]["From"].append({"Entity": "Other", "Type": 0})
+    out = discover(captures(spark, [body(cmd), body(command([("p", "People")], [col("p", "Email")]))]))
+    assert [r.name for r in out["modules"].collect()] == ["people_email"]
+    assert [r.reason for r in out["rejects"].collect()] == ["bad_source"]
