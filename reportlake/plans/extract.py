@@ -88,7 +88,9 @@ def extract(
 
     ``responses`` are landed pages (with ``body``), or pages already in staged
     form (with ``rows_json``, e.g. the incremental decode's sink), which are
-    used as they are.
+    used as they are.  One row per (report_key, module, page_no) is expected --
+    ``operators.attempts.responses_from_attempts`` yields exactly that from an
+    attempt log.
     """
     if "rows_json" in responses.columns:
         staged = responses
