@@ -182,7 +182,9 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     ``bad_reason`` first malformed entry (D14), ``bad_json`` body unreadable
     (A2), ``envelope_ok``, ``restart_tokens`` JSON text (D15), ``has_tokens``
     (Python truthiness), ``schemas`` per-schema column names (deduplicated,
-    first position kept), ``rows`` array<struct<pos, sidx, vals>> where
+    first position kept), ``schema_fields`` per schema the field index each of
+    those names reads (the last field of a repeated name), ``rows``
+    array<struct<pos, sidx, vals>> where
     ``vals`` line up with ``schemas[sidx]``, and ``first_key`` / ``last_key``
     canonical JSON of the first and last row (for the page-boundary rule).
     ``with_types`` adds ``field_types``, per field the (schema, VARIANT type)
