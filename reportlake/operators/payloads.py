@@ -112,5 +112,9 @@ def build_payloads(
         F.array().cast("array<string>").alias("cancelQueries"),
         F.col("model_id").alias("modelId"),
     )
-    return df.withColumn("payload", F.to_json(payload)).drop("__tpl", "__win", "dataset_id", "report_id", "visual_id", "model_id")
+    ok = F.call_function("try_parse_json", F.col("__tpl")).isNotNull()
+    # an unreadable template gives no payload (NULL) rather than a made-up command
+    return df.withColumn("payload", F.when(ok, F.to_json(payload))).drop(
+        "__tpl", "__win", "dataset_id", "report_id", "visual_id", "model_id"
+    )
 

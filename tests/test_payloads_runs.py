@@ -76,3 +76,10 @@ def test_summaries_and_exit_code(spark):
     assert got == {"u1": ("ok", 1), "u2": ("failed", 0), "u3": ("failed", 0)}
     assert {r.status: r.n for r in bulk_summary(rs).collect()} == {"ok": 1, "failed": 2}
     assert exit_code(rs) == 0 and exit_code(rs.where("status = 'failed'")) == 1
+
+
+def test_unreadable_template_gives_null_payload(spark):
+    req = spark.createDataFrame([("r", 0, "{not json", None)], "report_key string, i int, query_template string, rt string")
+    cfg = spark.createDataFrame([CFG], "report_key string, dataset_id string, report_id string, visual_id string, model_id bigint")
+    out = build_payloads(req, cfg, window_config(30000, F.col("rt")), paginated_only=False).collect()
+    assert [r.payload for r in out] == [None]
