@@ -39,7 +39,7 @@ def discover_har(spark: SparkSession, path: str, path_marker: str = QUERY_PATH,
 @dataclass
 class RunResult:
     extraction: Extraction
-    status: DataFrame      # per module: status, n_rows, n_pages, detail, output_path
+    status: DataFrame      # per module, in module order: status, n_rows, n_pages, detail, output_path
     summary: DataFrame     # per report: n_modules, n_failed, all_failed
     exit_code: int         # non-zero only if every selected module failed (or none ran)
 
@@ -61,13 +61,22 @@ def run_extraction(
     chosen = modules
     if requested is not None:
         chosen, _ = select_modules(modules, requested)
-    chosen = chosen.select("report_key", F.col("name").alias("module"), "paginated").dropDuplicates(["report_key", "module"])
+        order = F.col("req_pos")
+    else:
+        order = F.col("pos")
+    # results in module order (request order when a selection is given)
+    chosen = (
+        chosen.groupBy("report_key", F.col("name").alias("module"))
+        .agg(F.min(order).alias("module_order"), F.first("paginated").alias("paginated"))
+    )
     resp = responses.join(chosen.select("report_key", "module"), ["report_key", "module"], "left_semi")
     ex = extract(resp, chosen)
     status = write_module_csvs(ex, dirs, out_dir)
-    expected = chosen.select("report_key", "module")
-    full = expected.join(status, ["report_key", "module"], "left").fillna(
-        {"status": "empty", "n_rows": 0, "n_pages": 0, "detail": "no_pages"}
+    expected = chosen.select("report_key", "module", "module_order")
+    full = (
+        expected.join(status, ["report_key", "module"], "left")
+        .fillna({"status": "empty", "n_rows": 0, "n_pages": 0, "detail": "no_pages"})
+        .orderBy("report_key", "module_order")
     )
     # zero selected modules count as "all failed" (all([]) is true)
     some_ok = not full.where(F.col("status") != "failed").isEmpty()

@@ -43,7 +43,21 @@ def test_har_to_csvs(spark, tmp_path):
             (key, "totals_sum", 1, 200, page([42], [[9]])), (key, "totals_sum", 2, 200, page([43]))]
     resp = spark.createDataFrame(rows, "report_key string, module string, page_no int, status int, body string")
     res = run_extraction(resp, found["modules"], scratch_dir(spark, "job"))
-    st = {r.module: (r.status, r.n_rows) for r in res.status.collect()}
-    assert st == {"units_name": ("ok", 3), "totals_sum": ("ok", 1)}
+    st = [(r.module, r.status, r.n_rows) for r in res.status.collect()]
+    assert st == [("units_name", "ok", 3), ("totals_sum", "ok", 1)]  # module (capture) order
     assert res.exit_code == 0
     assert [r.Value for r in res.extraction.table(key, "units_name", with_order=True).orderBy("page_no", "pos").collect()] == ["a", "b", "c"]
+
+
+def test_selected_modules_follow_request_order(spark, tmp_path):
+    entries = [{"request": {"method": "POST", "url": QURL, "postData": {"text": b}}}
+               for b in (_body("Units", "Name"), _body("People", "Email"), _body("Totals", "Sum"))]
+    har = tmp_path / "r.har"
+    har.write_text(json.dumps({"log": {"entries": entries}}))
+    found = discover_har(spark, str(har))
+    key = found["modules"].first().report_key
+    req = spark.createDataFrame([(key, 0, "totals_sum"), (key, 1, "units_name")], "report_key string, req_pos int, name string")
+    empty = spark.createDataFrame([], "report_key string, module string, page_no int, status int, body string")
+    res = run_extraction(empty, found["modules"], scratch_dir(spark, "job2"), requested=req)
+    assert [(r.module, r.status) for r in res.status.collect()] == [("totals_sum", "empty"), ("units_name", "empty")]
+    assert res.exit_code == 0  # nothing failed (empty modules are not failures)
