@@ -226,3 +226,13 @@ def test_float_mask_is_a_bad_mask(spark):
     body = wrap(page([{"S": P2, "C": ["a", 1]}, {"R": 1.0, "C": [2]}]))
     q = quarantine(decode_pages(responses(spark, [body]))).collect()
     assert [(r.pos, r.reason) for r in q] == [(1, "bad_repeat_mask")]
+
+
+def test_decode_plan_has_no_shuffle_and_parses_once(spark):
+    from reportlake.operators.decode import explode_rows
+
+    body = wrap(page([{"S": S2, "C": [0, 85]}, {"C": [1, 92]}], {"D0": ["Ann", "Bo"]}))
+    plan = explode_rows(decode_pages(responses(spark, [body]))).select("pos", "vals")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    # an inferred filter under the explode would repeat the whole decode expression
+    assert plan.count("from_json(") == 1
