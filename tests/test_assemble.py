@@ -119,3 +119,11 @@ def test_variant_path_matches_staged_path(spark):
     rows = assembled_rows(dec, pages)
     t = module_table(rows, infer_schema(rows), "r", "m").orderBy("page_no", "pos").drop("page_no", "pos")
     assert [tuple(r) for r in t.collect()] == [("A", 1), ("B", 2), ("C", 3)]
+
+
+def test_assembly_plans_have_no_window(spark):
+    resp = responses(spark, [body([("A", 1), ("B", 2)], rt=[[1]]), body([("B", 2), ("C", 3)])])
+    ex = extract(resp)
+    for df in (ex.pages, ex.rows, ex.schema, ex.status(), ex.table("r", "m")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan
