@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportlake.operators.assemble import MODULE_KEYS, module_status, page_meta, page_plan
-from reportlake.operators.decode import PAGE_KEYS, decode_pages, stage_pages
+from reportlake.operators.decode import PAGE_KEYS, decode_pages, quarantine, stage_pages
 from reportlake.session import stage
 
 _MERGE = (
@@ -49,6 +49,10 @@ class Extraction:
         """Per-module status table."""
         return module_status(self.pages, self.modules, expected)
 
+    def quarantine(self) -> DataFrame:
+        """Pages cut by a malformed entry, with an unreadable descriptor, or not JSON."""
+        return quarantine(self.staged)
+
     def columns(self, report_key: str, module: str) -> list[tuple[str, str]]:
         sch = self.schema.where((F.col("report_key") == report_key) & (F.col("module") == module))
         return [(r.col, r.spark_type) for r in sch.orderBy("first_seen").select("col", "spark_type").collect()]

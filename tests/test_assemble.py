@@ -127,3 +127,10 @@ def test_assembly_plans_have_no_window(spark):
     for df in (ex.pages, ex.rows, ex.schema, ex.status(), ex.table("r", "m")):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Window" not in plan
+
+
+def test_extraction_quarantine_report(spark):
+    bad_entry = wrap({"ValueDicts": {}, "RT": [[1]], "PH": [{"DM0": [{"S": P2, "C": ["a", 1]}, {"C": None}]}]})
+    resp = responses(spark, [bad_entry, "{broken"])
+    q = sorted((r.page_no, r.pos, r.reason) for r in extract(resp).quarantine().collect())
+    assert q == [(1, 1, "bad_values"), (2, None, "bad_json")]
