@@ -1,6 +1,10 @@
 """Run registered queries and compare each with its DuckDB SQL (sorted rows).
 
     python scripts/check_sql.py [sf_dir] [name ...]
+    EXACT=1 python scripts/check_sql.py ...     # compare floats exactly
+
+Floats are rounded to 6 decimals unless EXACT is set; columns are matched by
+name, rows compared as sorted multisets.
 """
 
 from __future__ import annotations
