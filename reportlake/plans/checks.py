@@ -1,9 +1,12 @@
 """Driver checks: one Spark query per operator group, each with its DuckDB SQL.
 
-Every query reads the driver's tables, builds the stand-in landed input with the
-encoder (captures, pages, attempts -- rows in the schema the job expects) and
-then runs the library's operators on it.  ``SQL[name]`` is the same result
-computed directly from the tables.
+Every query reads whole driver tables, builds the stand-in landed input from
+them (captures, response pages, attempt logs, URL texts -- only rows in the
+schema the job expects, via ``plans.encode`` or plain projections), and then
+runs the library's operators on that input; the result comes out of those
+operators, never from the way the input was made.  ``SQL[name]`` computes the
+same result directly from the tables.  Page keys are chosen so every landed
+page stays bounded (e.g. ``id div 1000``), as the service's page size does.
 """
 
 from __future__ import annotations
