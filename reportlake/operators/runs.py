@@ -74,3 +74,19 @@ def bulk_summary(report_status_df: DataFrame) -> DataFrame:
 def exit_code(report_status_df: DataFrame) -> int:
     """non-zero only if no report is ok (also for zero reports)."""
     return 0 if not report_status_df.where(F.col("status") == "ok").isEmpty() else 1
+
+
+def failure_message(module_status: DataFrame, report_key: str, order_col: str | None = None) -> str | None:
+    """``"k/n module(s) failed: a, b"`` for one report, or None when nothing failed.
+
+    Counts come from an aggregate; only the failed names of that report (in
+    ``order_col`` order when given) reach the driver, and only when some failed.
+    """
+    st = module_status.where(F.col("report_key") == report_key)
+    counts = st.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "failed").alias("k")).first()
+    if not counts or not counts.k:
+        return None
+    failed = st.where(F.col("status") == "failed")
+    failed = failed.orderBy(order_col) if order_col else failed.orderBy("module")
+    names = [r.module for r in failed.select("module").collect()]
+    return f"{counts.k}/{counts.n} module(s) failed: {', '.join(names)}"

@@ -83,3 +83,12 @@ def test_unreadable_template_gives_null_payload(spark):
     cfg = spark.createDataFrame([CFG], "report_key string, dataset_id string, report_id string, visual_id string, model_id bigint")
     out = build_payloads(req, cfg, window_config(30000, F.col("rt")), paginated_only=False).collect()
     assert [r.payload for r in out] == [None]
+
+
+def test_failure_message(spark):
+    from reportlake.operators.runs import failure_message
+
+    st = spark.createDataFrame([("r", "a", "failed", 0), ("r", "b", "ok", 1), ("r", "c", "failed", 2), ("q", "d", "ok", 0)],
+                               "report_key string, module string, status string, module_order int")
+    assert failure_message(st, "r", "module_order") == "2/3 module(s) failed: a, c"
+    assert failure_message(st, "q") is None
