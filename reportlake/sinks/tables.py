@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportlake.functions.ranking import group_row_number
+from reportlake.session import stage
 from reportlake.sources.urls import resource_key
 
 
@@ -145,6 +146,8 @@ def write_module_csvs(extraction, dirs: DataFrame | None, base: str) -> DataFram
         .agg(F.array_sort(F.collect_list(F.struct("first_seen", "col", "spark_type"))).alias("cols"))
         .select("report_key", "module", F.to_json(F.expr("transform(cols, c -> struct(c.col, c.spark_type))")).alias("sig"))
     )
+    # one small row per module, read once per signature below: written once
+    sigs = stage(sigs, "csv-signatures")
     folder = (
         dirs.select("report_key", "report_dir").dropDuplicates(["report_key"])
         if dirs is not None else None
