@@ -167,7 +167,7 @@ RULES = (
     QualityRule("shouting", lambda b: 2 * b.n_upper > b.word_chars),
     QualityRule("exclaims", lambda b: 5 * b.n_exclaims > b.n_words),
     QualityRule("word_length", lambda b: (b.word_chars < 2 * b.n_words) | (b.word_chars > 15 * b.n_words)),
-    QualityRule("dup_lines", lambda b: 10 * b.n_dup_lines > 3 * b.n_lines),
+    QualityRule("dup_lines", lambda b: (b.n_dup_lines > 3) & (10 * b.n_dup_lines > 3 * b.n_lines)),
     QualityRule("doubled_words", lambda b: 10 * b.doubled_words > 3 * b.n_words),
     QualityRule("digits", lambda b: 10 * b.n_digits > 3 * b.word_chars),
 )
