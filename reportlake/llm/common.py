@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: inputs, batches by bytes, distributed ranks."""
+"""Helpers shared by the operators: inputs, batches by bytes, distributed running totals."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 #: Rows an Arrow batch holds at most; whole texts, so far below Spark's default.
 BATCH_ROWS = 2000
 
-#: Target rows of a rank block (see ``ranked``).
+#: Target rows of a block (see ``running_totals``).
 RANK_BLOCK_ROWS = 20_000
 
 
@@ -42,30 +42,30 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: int, budget: int) -> Ite
             yield batch.slice(start)
 
 
-def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, n_rows: int,
-           block_rows: int = RANK_BLOCK_ROWS) -> DataFrame:
-    """Add ``out``: a gapless 0-based rank within ``keys``, without one task per key.
+def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, n_rows: int,
+                   weight: Column | None = None, block_rows: int = RANK_BLOCK_ROWS) -> DataFrame:
+    """Add ``out``: the total weight (1 a row by default) of the rows before a row within its ``keys``.
 
-    Rows are dealt to blocks by a hash of ``order``; each (keys, block) is ranked
-    by itself and starts after the rows of the earlier blocks of its key.  A key
-    with a third of all rows is ranked by many tasks.  Only the counts of the
-    blocks, ``n_rows / block_rows`` per key at most, meet in one window.
-    The rank is the same on every run as long as ``order`` is a total order; rows
-    equal in all of ``order`` are interchangeable.
+    Rows are dealt to blocks by a hash of ``order``; each (keys, block) is summed up
+    by itself and starts after the totals of the earlier blocks of its key, so a
+    key with a third of all rows is done by many tasks.  Only the totals of the
+    blocks, ``n_rows / block_rows`` a key at most, meet in one window.  The order
+    of a key's rows is that of (block, ``order``): the same on every run if
+    ``order`` is a total order; rows equal in all of it are interchangeable.
     """
     n_blocks = max(1, -(-n_rows // block_rows))
     names = [f"__o{i}" for i in range(len(order))]
-    df = df.withColumns(dict(zip(names, order)))
+    df = df.withColumns({**dict(zip(names, order)), "__w": F.lit(1).cast("long") if weight is None else weight})
     df = df.withColumn("__block", F.pmod(F.xxhash64(*names), F.lit(n_blocks)).cast("int"))
-    counts = df.groupBy(*keys, "__block").agg(F.count(F.lit(1)).alias("__n"))
+    totals = df.groupBy(*keys, "__block").agg(F.sum("__w").alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__block").alias("__b"),
+    starts = totals.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__block").alias("__b"),
                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    within = Window.partitionBy(*keys, "__block").orderBy(*names)
-    numbered = df.withColumn("__rn", F.row_number().over(within) - 1)
+    within = Window.partitionBy(*keys, "__block").orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    summed = df.withColumn("__before", F.coalesce(F.sum("__w").over(within), F.lit(0)))
     same = F.col("__block") == F.col("__b")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    joined = numbered.join(starts, same)
-    gone = [*names, "__block", "__b", "__start", "__rn", *[f"__k_{k}" for k in keys]]
-    return joined.withColumn(out, (F.col("__start") + F.col("__rn")).cast("long")).drop(*gone)
+    joined = summed.join(starts, same)
+    gone = [*names, "__w", "__block", "__b", "__start", "__before", *[f"__k_{k}" for k in keys]]
+    return joined.withColumn(out, (F.col("__start") + F.col("__before")).cast("long")).drop(*gone)

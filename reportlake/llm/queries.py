@@ -7,8 +7,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportlake.llm.common import table
+from reportlake.llm.fingerprints import fingerprint_documents
+from reportlake.llm.html_text import extract_main_text
+from reportlake.llm.mixing import pfair_mix
+from reportlake.llm.order_minhash import order_minhash_classes
+from reportlake.llm.packing import pack_documents
 from reportlake.llm.quality_rules import quality
 from reportlake.llm.secret_scan import BASE_RULES, scan_secrets
+from reportlake.llm.sharding import propagate_shards
 from reportlake.llm.token_counts import count_tokens
 
 
@@ -43,10 +49,47 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins of all documents; copies of a text and documents of a source lie in different bins."""
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness to each other and the next document."""
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document; one row of each class is kept."""
+    return order_minhash_classes(table(spark, sf_dir, "documents"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards 0 to 39 of even counts, copies together where the counts allow."""
+    return propagate_shards(table(spark, sf_dir, "documents"), 40)
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot of every document in the mixture of all sources to tempered weights."""
+    return pfair_mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "mix_block", "mix_place", "mix_release", "mix_deadline", "mix_slot")
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op5_token_counts": op5_token_counts,
+    "op6_order_minhash": op6_order_minhash,
+    "op8_sharding": op8_sharding,
+    "op9_mixing": op9_mixing,
+    "op10_html_text": op10_html_text,
 }
 
 SQL: dict[str, str] = {}
