@@ -86,7 +86,7 @@ def jaccard_near(x: str, y: str) -> bool:
 
 
 def minhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, class_id, is_kept, by bands and verified Jaccard similarity."""
+    """One row per row of ``docs``: id, digest, class_id, is_kept, by bands and verified Jaccard similarity."""
     return near_duplicate_classes(docs, band_keys, jaccard_near, id_col, text_col)
 
 

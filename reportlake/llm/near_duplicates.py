@@ -106,7 +106,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, verify: Verifier) -> DataFrame
 
 def near_duplicate_classes(docs: DataFrame, sign: Signer, verify: Verifier, id_col: str = "doc_id",
                            text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, class_id, is_kept.
+    """One row per row of ``docs``: id, digest of the text, class_id, is_kept.
 
     class_id is the least id of the class, over copies and near duplicates; ids
     must be of an orderable type.  is_kept marks one row of each class: the first
@@ -139,13 +139,13 @@ def near_duplicate_classes(docs: DataFrame, sign: Signer, verify: Verifier, id_c
 
 
 def _keep_one(tagged: DataFrame) -> DataFrame:
-    """(id, class_id, is_kept) of rows with the first row of their class; of equal first rows one is kept."""
+    """(id, digest, class_id, is_kept) of rows with the first row of their class; of equal first rows one is kept."""
     same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("digest") == F.col("first.digest"))
     # Rows equal to the first in id and text are numbered; as a rule there is one of them a class.
-    firsts = tagged.where(same).groupBy("label", "id", F.col("first.id").alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
-    firsts = firsts.select("id", "class_id", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("k"))
-    kept = firsts.select("id", "class_id", (F.col("k") == 1).alias("is_kept"))
-    return tagged.where(~same).select("id", F.col("first.id").alias("class_id"), F.lit(False).alias("is_kept")).unionByName(kept)
+    firsts = tagged.where(same).groupBy("label", "id", "digest", F.col("first.id").alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
+    firsts = firsts.select("id", "digest", "class_id", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("k"))
+    kept = firsts.select("id", "digest", "class_id", (F.col("k") == 1).alias("is_kept"))
+    return tagged.where(~same).select("id", "digest", F.col("first.id").alias("class_id"), F.lit(False).alias("is_kept")).unionByName(kept)
 
 
 def _links(members: DataFrame, once: DataFrame, plain: DataFrame, verify: Verifier) -> DataFrame | None:

@@ -119,7 +119,7 @@ def near(x: str, y: str) -> bool:
 
 
 def order_minhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, class_id (least id of the class) and is_kept (one row a class).
+    """One row per row of ``docs``: id, digest, class_id (least id of the class) and is_kept (one row a class).
 
     Cases of nulls, empty texts, repeated rows and empty tables: see
     ``near_duplicates.near_duplicate_classes``.

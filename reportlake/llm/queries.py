@@ -16,6 +16,7 @@ from reportlake.llm.quality_rules import quality
 from reportlake.llm.secret_scan import BASE_RULES, scan_secrets
 from reportlake.llm.sharding import propagate_shards
 from reportlake.llm.token_counts import count_tokens
+from reportlake.llm.toxicity import held_out, score_documents, train_on
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +62,15 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near duplicates of every document; one row of each class is kept."""
-    return order_minhash_classes(table(spark, sf_dir, "documents"))
+    return order_minhash_classes(table(spark, sf_dir, "documents")).drop("digest")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a network trained on labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    net = train_on(docs, table(spark, sf_dir, "labels"))
+    return score_documents(docs.select("doc_id", "text"), net).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity_score").alias("score"), F.col("toxicity").alias("predicted"))
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +96,7 @@ QUERIES = {
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_token_counts": op5_token_counts,
     "op6_order_minhash": op6_order_minhash,
+    "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_html_text": op10_html_text,

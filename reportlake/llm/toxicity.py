@@ -260,6 +260,17 @@ def _coded(texts: Sequence[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
 # --- training -----------------------------------------------------------------------------
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
+def _add_rows(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """table[rows] += values, where rows may repeat."""
+    for k in range(table.shape[1]):
+        table[:, k] += np.bincount(rows, weights=values[:, k], minlength=len(table))
+
+
 class Adam:
     def __init__(self, params: dict[str, np.ndarray], rate: float):
         self.rate, self.t = rate, 0
@@ -274,9 +285,9 @@ class Adam:
             params[k] -= self.rate * (self.m[k] / (1 - 0.9 ** self.t)) / (np.sqrt(self.v[k] / (1 - 0.99 ** self.t)) + 1e-7)
 
 
-def _log_odds(buckets: np.ndarray, docs: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+def _log_odds(slots: np.ndarray, docs: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Smoothed log-odds of each slot, by the documents that have it."""
-    pairs = np.unique(buckets * len(toxic) + docs)
+    pairs = _distinct(slots * len(toxic) + docs)
     b, d = pairs // len(toxic), pairs % len(toxic)
     hits = np.bincount(b[toxic[d]], minlength=SLOTS).astype(float)
     rest = np.bincount(b[~toxic[d]], minlength=SLOTS).astype(float)
@@ -314,9 +325,9 @@ def train(texts: Sequence[str], toxic: Sequence[bool], seed: int = 11, rounds: i
     use = fit[word_doc]
     net.word_evidence = _log_odds(vocabulary.word_ids[codes][use], word_doc[use], toxic & fit)
     # Grams count by the distinct rare words of a document.
-    pairs = np.unique(codes[use] * len(texts) + word_doc[use])
+    pairs = _distinct(codes[use] * len(texts) + word_doc[use])
     pw, pd_ = pairs // len(texts), pairs % len(texts)
-    n_docs = np.bincount(np.unique(vocabulary.word_ids[pw] * len(texts) + pd_) // len(texts), minlength=SLOTS)
+    n_docs = np.bincount(_distinct(vocabulary.word_ids[pw] * len(texts) + pd_) // len(texts), minlength=SLOTS)
     net.frequent = n_docs >= max(MIN_FREQUENT, FREQUENT_SHARE * fit.sum())
     rare = ~net.frequent[vocabulary.word_ids[pw]]
     pw, pd_ = pw[rare], pd_[rare]
@@ -358,8 +369,8 @@ def train(texts: Sequence[str], toxic: Sequence[bool], seed: int = 11, rounds: i
                 cut = min(1.0, 1.0 / max(norm, 1e-9))
                 adam.step(net.p, {k: g[k] * np.float32(cut) for k in dense})
                 # Plain steps for the sparse vectors.
-                np.add.at(net.p["words"], vocabulary.word_ids[own_words] % VECTORS, -0.2 * dx[:, :WORD_DIM])
-                np.add.at(net.p["grams"], gram_ids % VECTORS, -0.2 * dx[gram_of, WORD_DIM:WORD_DIM + GRAM_DIM] / per[own_words][gram_of][:, None])
+                _add_rows(net.p["words"], vocabulary.word_ids[own_words] % VECTORS, -0.2 * dx[:, :WORD_DIM])
+                _add_rows(net.p["grams"], gram_ids % VECTORS, -0.2 * dx[gram_of, WORD_DIM:WORD_DIM + GRAM_DIM] / per[own_words][gram_of][:, None])
         score = _logits(net, word_inputs(), at)
     top = np.full(len(texts), -np.inf, np.float32)
     np.maximum.at(top, docs, score)
