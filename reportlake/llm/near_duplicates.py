@@ -2,12 +2,12 @@
 
 Shared by the MinHash and the Order MinHash operators.  Exact copies collapse to
 one text first (128-bit digest).  Texts that share a key share a bucket.  A
-bucket is never expanded into all its pairs: its members are checked against the
-bucket's leader, the least member; members that did not get into the leader's
-class go on with a leader of their own, until no bucket has open members.  In
-the first round a text is checked against its least leader only, since most
-buckets of a class repeat the same pair.  Links make classes by connected
-components.  All state is in tables below ``spark.checkpoint.dir``.
+bucket is never expanded into all its pairs.  In the first round a text is checked
+against the least member of its buckets, since most buckets of a class repeat the
+same pair.  Then members are checked against the least members of the other
+classes in their bucket, until every member has met all of those.  Links make
+classes by connected components.  All state is in tables below
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reportlake.llm.common import arrow_batches, by_bytes
@@ -148,8 +148,23 @@ def _keep_one(tagged: DataFrame) -> DataFrame:
     return tagged.where(~same).select("id", "digest", F.col("first.id").alias("class_id"), F.lit(False).alias("is_kept")).unionByName(kept)
 
 
+def _near_labels(links: DataFrame) -> DataFrame:
+    """(uid, label): the least uid within a few links.  Equal labels mean one class; the reverse need not hold."""
+    both = links.union(links.select("b", "a"))
+    label = both.groupBy(F.col("a").alias("uid")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
+    for _ in range(2):
+        label = stage(label, "labels")
+        far = label.select(F.col("uid").alias("label"), F.col("label").alias("far"))
+        label = label.join(far, "label").select("uid", F.col("far").alias("label"))
+    return stage(label, "labels")
+
+
 def _links(members: DataFrame, once: DataFrame, plain: DataFrame, verify: Verifier) -> DataFrame | None:
-    """Verified pairs (a, b) of uids that connect all classes; None if there are no candidates."""
+    """Verified pairs (a, b) of uids that connect all classes; None if there are no candidates.
+
+    After the first round each round takes twice as many leaders of every open
+    bucket, so there are about as many rounds as the largest bucket has binary digits.
+    """
     if members.isEmpty():
         return None
     wanted = members.select("uid").distinct().join(once.select("uid", "digest"), "uid")
@@ -158,23 +173,22 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, verify: Verifi
     pairs = members.where("uid != lo").groupBy(F.col("uid").alias("a")).agg(F.min("lo").alias("b"))
     tested = stage(pairs, "pairs")
     links = stage(_verified(tested, texts, verify), "links")
-    members = members.select("key", "uid")
+    members, leaders = members.select("key", "uid"), 1
     while True:
-        label = stage(components(links), "labels") if not links.isEmpty() else None
-        if label is None:
-            m = members.withColumn("label", F.col("uid"))
+        m = members.join(_near_labels(links), "uid", "left").select("key", "uid", F.coalesce("label", "uid").alias("label"))
+        # A class has one entry in a bucket; a bucket with one class is done.
+        classes = stage(m.groupBy("key", "label").agg(F.min("uid").alias("uid")), "open-classes")
+        several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        classes = classes.join(several, "key")
+        lead = classes.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("uid"))).where(F.col("nth") <= leaders)
+        lead = lead.select("key", F.col("uid").alias("lo"), F.col("label").alias("lead"))
+        asked = m.join(lead, "key").where("label != lead AND uid > lo").select(F.col("uid").alias("a"), F.col("lo").alias("b"))
+        new = stage(asked.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        if new.isEmpty():
+            if several.where(F.col("n") > leaders).isEmpty():
+                return links
         else:
-            m = (members.join(label.withColumnRenamed("node", "uid"), "uid", "left")
-                 .select("key", "uid", F.coalesce("label", "uid").alias("label")))
-        lead = m.groupBy("key").agg(F.min(F.struct("uid", "label")).alias("lead"))
-        # Members outside the class of their bucket's leader stay; the leader and its class leave.
-        still = stage(m.join(lead, "key").where("label != lead.label")
-                      .select("key", "uid", F.col("lead.uid").alias("lo")), "open")
-        if still.isEmpty():
-            return links
-        pairs = still.select(F.col("uid").alias("a"), F.col("lo").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        new = stage(pairs, "pairs")
-        more = stage(_verified(new, texts, verify), "links")
-        tested = stage(tested.unionByName(new), "tested")
-        links = stage(links.unionByName(more), "links")
-        members = still.select("key", "uid")
+            links = stage(links.unionByName(_verified(new, texts, verify)), "links")
+            tested = stage(tested.unionByName(new), "tested")
+        members = stage(m.join(several.select("key"), "key").select("key", "uid"), "open")
+        leaders *= 2

@@ -29,11 +29,11 @@ WINDOW = 64
 STRIDE = 52
 
 #: Most documents of either class that training takes (chosen by a hash of their id).
-TOXIC_DOCS = 1200
-OTHER_DOCS = 2400
+TOXIC_DOCS = 800
+OTHER_DOCS = 1600
 
 #: Most windows of one sampled document that training looks at, evenly spread.
-DOC_WINDOWS = 400
+DOC_WINDOWS = 200
 
 #: A text is toxic from this score on.
 THRESHOLD = 0.7
@@ -66,7 +66,7 @@ def words_of(text: str) -> list[str]:
 
 
 def _slot(h: np.ndarray) -> np.ndarray:
-    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
 
 
 def hashed_words(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,7 +80,7 @@ def hashed_words(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     codes = np.frombuffer("".join(f"^{w}$$$" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     ends = np.cumsum(lens)
     starts = ends - lens
-    owner = np.repeat(np.arange(n), lens)
+    owner = np.repeat(np.arange(n, dtype=np.int32), lens)
     place = np.arange(len(codes)) - starts[owner]
     factor = np.uint64(0xD1B54A32D192ED03) ** np.arange(1, int(lens.max(initial=1)) + 1, dtype=np.uint64)
     word_ids = _slot(np.add.reduceat(codes * factor[place], starts) if n else np.zeros(0, np.uint64))
@@ -97,7 +97,7 @@ def hashed_words(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarr
         head = head * np.uint64(0x100000001B3) + np.where(k < lens, codes[np.minimum(starts + k, len(codes) - 1)], np.uint64(0))
         if k in (5, 7, 9):
             ids.append(_slot(head))
-            of.append(np.arange(n))
+            of.append(np.arange(n, dtype=np.int32))
     of = np.concatenate(of)
     order = np.argsort(of, kind="stable")
     return word_ids, np.concatenate(ids)[order], of[order]
@@ -232,7 +232,10 @@ class Vocabulary:
     words: list[str]
 
     def __post_init__(self):
-        self.word_ids, self.gram_ids, self.gram_of = hashed_words(self.words)
+        parts = [hashed_words(self.words[i:i + 20_000]) for i in range(0, len(self.words), 20_000)] or [hashed_words([])]
+        self.word_ids = np.concatenate([p[0] for p in parts])
+        self.gram_ids = np.concatenate([p[1] for p in parts])
+        self.gram_of = np.concatenate([p[2] + np.int32(20_000 * i) for i, p in enumerate(parts)])
 
 
 def _windows(codes: np.ndarray, offsets: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -285,12 +288,8 @@ class Adam:
             params[k] -= self.rate * (self.m[k] / (1 - 0.9 ** self.t)) / (np.sqrt(self.v[k] / (1 - 0.99 ** self.t)) + 1e-7)
 
 
-def _log_odds(slots: np.ndarray, docs: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Smoothed log-odds of each slot, by the documents that have it."""
-    pairs = _distinct(slots * len(toxic) + docs)
-    b, d = pairs // len(toxic), pairs % len(toxic)
-    hits = np.bincount(b[toxic[d]], minlength=SLOTS).astype(float)
-    rest = np.bincount(b[~toxic[d]], minlength=SLOTS).astype(float)
+def _log_odds(hits: np.ndarray, rest: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Smoothed log-odds by how many toxic (``hits``) and other documents have each slot."""
     base = (toxic.sum() + 0.5) / (len(toxic) + 1)
     n = np.maximum(hits + rest, 1)
     # Shrunk by the likelihood ratio against the base rate, so chance finds carry no evidence.
@@ -323,18 +322,22 @@ def train(texts: Sequence[str], toxic: Sequence[bool], seed: int = 11, rounds: i
     fit = ~back
     word_doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
     use = fit[word_doc]
-    net.word_evidence = _log_odds(vocabulary.word_ids[codes][use], word_doc[use], toxic & fit)
-    # Grams count by the distinct rare words of a document.
+    # Documents that have each word; an n-gram counts with each rare word that has it.
     pairs = _distinct(codes[use] * len(texts) + word_doc[use])
-    pw, pd_ = pairs // len(texts), pairs % len(texts)
-    n_docs = np.bincount(_distinct(vocabulary.word_ids[pw] * len(texts) + pd_) // len(texts), minlength=SLOTS)
-    net.frequent = n_docs >= max(MIN_FREQUENT, FREQUENT_SHARE * fit.sum())
-    rare = ~net.frequent[vocabulary.word_ids[pw]]
-    pw, pd_ = pw[rare], pd_[rare]
+    of_word, bad = pairs // len(texts), toxic[pairs % len(texts)]
+    hits, rest = np.bincount(of_word[bad], minlength=len(words)), np.bincount(of_word[~bad], minlength=len(words))
+
+    def per_slot(slots: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return np.bincount(slots, weights=counts, minlength=SLOTS)
+
+    base = toxic[fit]
+    net.word_evidence = _log_odds(per_slot(vocabulary.word_ids, hits), per_slot(vocabulary.word_ids, rest), base)
+    net.frequent = per_slot(vocabulary.word_ids, hits + rest) >= max(MIN_FREQUENT, FREQUENT_SHARE * fit.sum())
+    rare = ~net.frequent[vocabulary.word_ids]
+    net.gram_evidence = _log_odds(per_slot(vocabulary.gram_ids, (hits * rare)[vocabulary.gram_of]),
+                                  per_slot(vocabulary.gram_ids, (rest * rare)[vocabulary.gram_of]), base)
     per = np.bincount(vocabulary.gram_of, minlength=len(words))
-    first = np.concatenate(([0], np.cumsum(per)[:-1]))
-    take = np.repeat(first[pw] - np.concatenate(([0], np.cumsum(per[pw])[:-1])), per[pw]) + np.arange(per[pw].sum())
-    net.gram_evidence = _log_odds(vocabulary.gram_ids[take], np.repeat(pd_, per[pw]), toxic & fit)
+    first = np.cumsum(per) - per
 
     def word_inputs() -> np.ndarray:
         return net.inputs(vocabulary.word_ids, vocabulary.gram_ids, vocabulary.gram_of, len(words))
