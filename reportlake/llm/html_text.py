@@ -263,15 +263,15 @@ def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html
             hosts, hashes = [], []
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = subtree_hashes(parse(html or ""))
-                hosts += [host] * (len(found) + 1)
-                hashes += [None, *found]  # the null stands for the page itself
+                hosts += [host] * len(found)
+                hashes += found
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
 
-    seen = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).mapInArrow(run, "host string, hash long")
+    host = host_of(F.col(url_col)).alias("host")
+    seen = pages.select(host, F.col(html_col).alias("html")).mapInArrow(run, "host string, hash long")
     counts = seen.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    # One shuffle by host and hash; the sizes of hosts come from the null rows of the same counts.
-    sizes = counts.where("hash IS NULL").select("host", F.col("n").alias("n_pages"))
-    often = counts.where(F.col("hash").isNotNull() & (F.col("n") >= MIN_PAGES)).join(sizes, "host")
+    sizes = pages.groupBy(host).agg(F.count(F.lit(1)).alias("n_pages"))  # reads the URLs alone
+    often = counts.where(F.col("n") >= MIN_PAGES).join(sizes, "host")
     return often.where(F.col("n") >= SHARE * F.col("n_pages")).groupBy("host").agg(F.collect_list("hash").alias("templates"))
 
 
