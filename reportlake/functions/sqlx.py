@@ -20,78 +20,103 @@ def let(bindings: list[tuple[str, str]], body: str) -> str:
     return out
 
 
+def quoted(name: str) -> str:
+    """A column name as an SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def seq(n: str) -> str:
     """``0 .. n-1`` (empty for n <= 0; ``sequence(0, -1)`` would count down)."""
     return f"CASE WHEN ({n}) > 0 THEN sequence(0, ({n}) - 1) ELSE array() END"
 
 
-def _mask_body(v: str, t: str, b: str) -> str:
-    dec = f"try_variant_get({v}, '$', 'decimal(38,0)')"
-    two63 = "9223372036854775808BD"
-    two126 = "85070591730234615865843651857942052864BD"
-    wide = (
-        f"({t} LIKE 'DECIMAL(%,0)' AND cast(regexp_extract({t}, 'DECIMAL\\\\((\\\\d+),0\\\\)', 1) AS int) >= 19 "
-        f"AND {dec} IS NOT NULL AND {dec} >= 0 AND {dec} < {two126})"
+#: Bits in a word of a wide mask: a word times 10**9 stays a BIGINT.
+WORD = 31
+WORD_MAX = "2147483647L"
+
+
+def _digit_words(d: str) -> str:
+    """A decimal integer text as 31-bit words, lowest first: word array times 10**9 plus the next nine digits."""
+    return let(
+        [
+            ("dg", f"lpad({d}, cast(9 * ceil(length({d}) / 9.0) AS int), '0')"),
+            ("nw", "cast((length(dg) * 108) div 1000 + 1 AS int)"),
+        ],
+        "aggregate(transform(sequence(0, length(dg) div 9 - 1), k -> cast(substr(dg, cast(k * 9 + 1 AS int), 9) AS bigint)), "
+        "array_repeat(0L, nw), (acc, nine) -> aggregate(acc, "
+        "named_struct('c', nine, 'o', cast(array() AS array<bigint>)), (st, w) -> named_struct("
+        f"'c', shiftright(w * 1000000000L + st.c, {WORD}), 'o', concat(st.o, array((w * 1000000000L + st.c) & {WORD_MAX}))"
+        ")).o)",
+    )
+
+
+def _mask_body(v: str, t: str, b: str, text: str) -> str:
+    digits = (
+        f"CASE WHEN {t} LIKE 'DECIMAL(%,0)' THEN cast(try_variant_get({v}, '$', 'decimal(38,0)') AS string) "
+        f"WHEN {t} NOT IN ('STRING', 'VOID') THEN {text} END"
     )
     boo = f"CASE WHEN variant_get({v}, '$', 'boolean') THEN 1L ELSE 0L END"
+    wide = let(
+        [("d", digits), ("ws", f"CASE WHEN d RLIKE '^[0-9]{{19,}}$' THEN {_digit_words('d')} END")],
+        f"named_struct('ok', {t} = 'BOOLEAN' OR ws IS NOT NULL, "
+        f"'lo', CASE WHEN {t} = 'BOOLEAN' THEN {boo} WHEN ws IS NOT NULL THEN get(ws, 0) | shiftleft(coalesce(get(ws, 1), 0L), 31) "
+        "| shiftleft(coalesce(get(ws, 2), 0L) & 1L, 62) ELSE 0L END, 'neg', false, 'ws', ws)",
+    )
     return (
-        f"CASE WHEN {t} = 'BIGINT' THEN named_struct('ok', true, 'lo', {b} & {LONG_MAX}, 'hi', shiftright({b}, 63), 'too_wide', false) "
-        "ELSE named_struct("
-        f"'ok', {t} = 'BOOLEAN' OR {wide}, "
-        f"'lo', CASE WHEN {t} = 'BOOLEAN' THEN {boo} WHEN {wide} THEN cast(pmod({dec}, {two63}) AS bigint) ELSE 0L END, "
-        f"'hi', CASE WHEN {wide} THEN try_cast(({dec} - pmod({dec}, {two63})) / {two63} AS bigint) ELSE 0L END, "
-        f"'too_wide', {t} LIKE 'DECIMAL(%,0)' "
-        f"AND cast(regexp_extract({t}, 'DECIMAL\\\\((\\\\d+),0\\\\)', 1) AS int) >= 19 AND NOT {wide}) END"
+        f"CASE WHEN {t} = 'BIGINT' THEN named_struct('ok', true, 'lo', {b} & {LONG_MAX}, 'neg', {b} < 0, 'ws', cast(NULL AS array<bigint>)) "
+        f"ELSE {wide} END"
     )
 
 
-def mask_struct(v: str, t: str | None = None) -> str:
-    """An integer bit mask held in a VARIANT, split into two 63-bit halves.
+def mask_struct(v: str, t: str, text: str = "cast(NULL AS string)") -> str:
+    """An integer bit mask held in a VARIANT, of any width.
 
-    JSON integers that fit a BIGINT parse as BIGINT; wider ones as
-    DECIMAL(p,0) with p >= 19.  A missing key is mask 0.  ``ok`` is false for
-    anything an integer ``&`` would reject (null, float, text, ...) and for
-    integers of 2**126 or more (``too_wide``: beyond the two halves).
-    Booleans behave as 0/1 like Python's bool.  ``t``: an expression already
-    holding ``schema_of_variant(v)`` (else it is bound here).
+    ``lo`` holds the bits below 63; ``ws`` the whole mask in 31-bit words where it
+    does not fit a BIGINT; ``neg`` that all higher bits are set.  ``text`` is the mask as
+    it stands in the body, for integers beyond 38 digits, which a VARIANT does not
+    keep.  A missing key is mask 0.  ``ok`` is false for anything an integer ``&``
+    would reject (null, float, text, ...).  Booleans behave as 0/1 like Python's
+    bool.  ``t``: an expression already holding ``schema_of_variant(v)``.
     """
-    empty = "named_struct('ok', true, 'lo', 0L, 'hi', 0L, 'too_wide', false)"
+    empty = "named_struct('ok', true, 'lo', 0L, 'neg', false, 'ws', cast(NULL AS array<bigint>))"
     big = f"variant_get({v}, '$', 'bigint')"
-    if t is not None:
-        return f"CASE WHEN ({v}) IS NULL THEN {empty} ELSE {_mask_body(v, t, big)} END"
-    inner = let([("t", f"schema_of_variant({v})"), ("b", f"CASE WHEN t = 'BIGINT' THEN {big} END")], _mask_body(v, "t", "b"))
-    return f"CASE WHEN ({v}) IS NULL THEN {empty} ELSE {inner} END"
+    return f"CASE WHEN ({v}) IS NULL THEN {empty} ELSE {_mask_body(v, t, big, text)} END"
 
 
-def bit(m: str, i: str) -> str:
-    """Is bit ``i`` set in mask struct ``m``."""
+def mask_words(m: str, n: str) -> str:
+    """Mask struct ``m`` as 31-bit words for ``n`` fields (one word more than they need)."""
+    own = (
+        f"CASE k WHEN 0 THEN {m}.lo & {WORD_MAX} WHEN 1 THEN shiftright({m}.lo, 31) & {WORD_MAX} "
+        f"WHEN 2 THEN shiftright({m}.lo, 62) | CASE WHEN {m}.neg THEN 2147483646L ELSE 0L END "
+        f"ELSE CASE WHEN {m}.neg THEN {WORD_MAX} ELSE 0L END END"
+    )
     return (
-        f"(CASE WHEN ({i}) < 63 THEN shiftright({m}.lo, {i}) & 1L "
-        f"ELSE shiftright({m}.hi, least(({i}) - 63, 63)) & 1L END) = 1L"
+        f"transform(sequence(0, cast(({n}) div {WORD} AS int)), k -> "
+        f"CASE WHEN {m}.ws IS NOT NULL THEN coalesce(get({m}.ws, k), 0L) ELSE {own} END)"
     )
 
 
-def low_bits(i: str) -> str:
-    """Mask of the bits below ``i`` inside the low 63-bit half."""
-    return f"(CASE WHEN ({i}) >= 63 THEN {LONG_MAX} ELSE shiftleft(1L, {i}) - 1L END)"
+def word_bit(ws: str, i: str) -> str:
+    """Is bit ``i`` set in a word array."""
+    return f"((shiftright(coalesce(get({ws}, cast(({i}) div {WORD} AS int)), 0L), ({i}) % {WORD}) & 1L) = 1L)"
 
 
-def high_bits(i: str) -> str:
-    """Mask of the bits below ``i`` inside the high half (bit 63 is its bit 0)."""
-    return f"(CASE WHEN ({i}) <= 63 THEN 0L WHEN ({i}) - 63 >= 63 THEN -1L ELSE shiftleft(1L, ({i}) - 63) - 1L END)"
+def words_below(ws: str) -> str:
+    """For each word: the number of bits set in the words before it."""
+    return f"transform({ws}, (w, k) -> aggregate(slice({ws}, 1, k), 0, (acc, y) -> acc + bit_count(y)))"
 
 
-def count_free_below(r: str, z: str, i: str) -> str:
-    """Fields below ``i`` that are neither repeat (r) nor null (z) -- the C index of field i."""
-    return (
-        f"(bit_count(~({r}.lo | {z}.lo) & {low_bits(i)}) "
-        f"+ bit_count(~({r}.hi | {z}.hi) & {high_bits(i)}))"
-    )
+def word_rank(ws: str, below: str, i: str) -> str:
+    """``i`` less the number of bits set below ``i``: the C index of field i, where ``ws`` are the taken fields."""
+    k = f"cast(({i}) div {WORD} AS int)"
+    return f"(({i}) - get({below}, {k}) - bit_count(get({ws}, {k}) & (shiftleft(1L, ({i}) % {WORD}) - 1L)))"
 
 
 def all_bits_set(m: str, n: str) -> str:
-    """All of bits ``0..n-1`` set in ``m``."""
-    return f"(({m}.lo & {low_bits(n)}) = {low_bits(n)} AND ({m}.hi & {high_bits(n)}) = {high_bits(n)})"
+    """All of bits ``0..n-1`` set in mask struct ``m``."""
+    low = f"(CASE WHEN ({n}) >= 63 THEN {LONG_MAX} ELSE shiftleft(1L, {n}) - 1L END)"
+    wide = f"forall({seq(n)}, bi -> {word_bit('mw', 'bi')})"
+    return f"(({m}.lo & {low}) = {low} AND (({n}) <= 63 OR {let([('mw', mask_words(m, n))], wide)}))"
 
 
 def json_value(col_sql: str) -> str:

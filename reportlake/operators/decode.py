@@ -35,11 +35,14 @@ from reportlake.functions.jsonx import strict_json_ok
 from reportlake.session import json_parity
 from reportlake.functions.sqlx import (
     all_bits_set,
-    bit,
-    count_free_below,
     let,
     mask_struct,
+    mask_words,
+    quoted,
     seq,
+    word_bit,
+    word_rank,
+    words_below,
 )
 
 # Typed envelope: only the parts the decoder reads.  Leaves are VARIANT so each
@@ -49,9 +52,16 @@ ENVELOPE_DDL = (
     "results array<struct<result:struct<data:struct<"
     "descriptor:struct<Select:array<variant>>,"
     "dsr:struct<DS:array<struct<PH:array<struct<DM0:array<variant>>>,"
-    "RT:variant,ValueDicts:map<string,array<variant>>>>>>>>>"
+    "RT:variant,ValueDicts:map<string,variant>>>>>>>>"
 )
 
+# Masks as text, read only from bodies that have an integer a VARIANT cannot keep.
+MASK_DDL = (
+    "results array<struct<result:struct<data:struct<dsr:struct<DS:array<struct<PH:array<struct<"
+    "DM0:array<struct<R:string,`Ø`:string>>>>>>>>>>>"
+)
+WIDE_MASK = r'"(R|Ø)"\s*:\s*[0-9]{39}'
+
 PAGE_KEYS = ("report_key", "module", "page_no")
 
 
@@ -90,7 +100,7 @@ def _descriptor_bad(data: str) -> str:
     return f"exists(coalesce({data}.descriptor.Select, array()), x -> {item_bad})"
 
 
-def _entries(dm0: str) -> str:
+def _entries(dm0: str, texts: str) -> str:
     """D3/D4 + parse of every entry's keys (S, C, R, Ø) in one pass over each object.
 
     The cast to a struct leaves a missing key as SQL NULL and a JSON null as a
@@ -101,7 +111,7 @@ def _entries(dm0: str) -> str:
     s_present = "(es.S IS NOT NULL AND NOT is_variant_null(es.S))"
     stage1 = f"transform({dm0}, e -> try_variant_get(e, '$', '{ENTRY_STRUCT}'))"
     stage2 = (
-        f"transform({stage1}, es -> named_struct('es', es, "
+        f"transform({stage1}, (es, p) -> named_struct('es', es, 'tx', get({texts}, p), "
         f"'sa', CASE WHEN {s_present} THEN {s_arr} END, "
         "'ca', CASE WHEN es.C IS NOT NULL THEN try_variant_get(es.C, '$', 'array<variant>') END, "
         "'rt', CASE WHEN es.R IS NOT NULL THEN schema_of_variant(es.R) END, "
@@ -117,8 +127,8 @@ def _entries(dm0: str) -> str:
         "'s', transform(y.sa, f -> named_struct("
         "'N', try_variant_get(try_element_at(f, 'N'), '$', 'string'), "
         "'DN', try_variant_get(try_element_at(f, 'DN'), '$', 'string'))), "
-        f"'r', {mask_struct('y.es.R', 'y.rt')}, "
-        f"'z', {mask_struct('y.es.`Ø`', 'y.zt')}, "
+        f"'r', {mask_struct('y.es.R', 'y.rt', 'y.tx.R')}, "
+        f"'z', {mask_struct('y.es.`Ø`', 'y.zt', 'y.tx.`Ø`')}, "
         "'c', coalesce(y.ca, array()), "
         "'c_bad', coalesce(y.es.C IS NOT NULL AND y.ca IS NULL, false))"
     )
@@ -147,8 +157,8 @@ def _raw(x: str, i: str, narrow: bool = False) -> str:
         taken = f"((shiftright({x}.r.lo | {x}.z.lo, {i}) & 1L) = 1L)"
         rank = f"bit_count(~({x}.r.lo | {x}.z.lo) & (shiftleft(1L, {i}) - 1L))"
     else:
-        taken = f"({bit(x + '.r', i)} OR {bit(x + '.z', i)})"
-        rank = count_free_below(f"{x}.r", f"{x}.z", i)
+        taken = word_bit(f"{x}.tw", i)
+        rank = word_rank(f"{x}.tw", f"{x}.tb", i)
     cv = f"get({ec}, {rank})"
     direct = f"try_element_at(try_variant_get(get(g.dm0, {x}.p), '$', 'map<string,variant>'), {f}.N)"
     # JSON nulls become SQL NULL here, so plain fields need no second pass
@@ -195,12 +205,15 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     if keep is None:
         keep = tuple(c for c in responses.columns if c != body_col)
     env = F.from_json(F.col(body_col), ENVELOPE_DDL)
-    df = responses.select(*keep, env.alias("_env"), F.col(body_col), F.col(body_col).isNull().alias("_nobody"))
+    texts = F.when(F.col(body_col).rlike(WIDE_MASK), F.expr(
+        f"get(get(get(from_json({quoted(body_col)}, '{MASK_DDL}').results, 0).result.data.dsr.DS, 0).PH, 0).DM0"))
+    df = responses.select(*keep, env.alias("_env"), F.col(body_col), F.col(body_col).isNull().alias("_nobody"), texts.alias("_texts"))
     df = df.select(
         *keep,
         F.expr("get(_env.results, 0).result.data").alias("_data"),
         (~F.col("_nobody") & ~strict_json_ok(F.col(body_col))).alias("bad_json"),
-    ).select(*keep, "bad_json", "_data", F.expr("get(_data.dsr.DS, 0)").alias("_ds"))
+        "_texts",
+    ).select(*keep, "bad_json", "_data", F.expr("get(_data.dsr.DS, 0)").alias("_ds"), "_texts")
 
     # stage g: descriptor, entries, dictionaries
     g = (
@@ -209,9 +222,10 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         f"'desc_bad', coalesce({_descriptor_bad('_data')}, false), "
         "'dicts', coalesce(_ds.ValueDicts, map()), "
         "'dnames', map_keys(coalesce(_ds.ValueDicts, map())), "
-        "'dvals', map_values(coalesce(_ds.ValueDicts, map())), "
+        # a dictionary that is not an array reads as NULL, and only it: its cells stay as they are
+        "'dvals', transform(map_values(coalesce(_ds.ValueDicts, map())), d -> try_variant_get(d, '$', 'array<variant>')), "
         "'dm0', coalesce(get(_ds.PH, 0).DM0, array()), "
-        "'ents', " + _entries("coalesce(get(_ds.PH, 0).DM0, array())") + ", "
+        "'ents', " + _entries("coalesce(get(_ds.PH, 0).DM0, array())", "_texts") + ", "
         "'n_all', coalesce(size(get(_ds.PH, 0).DM0), 0))"
     )
     df = df.select(
@@ -255,6 +269,13 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         f"'bad', p < pre_bad AND NOT x.skip AND {L} > 0 AND ({full_bad(L)}), "
         "'r', x.r, 'z', x.z))"
     )
+    # pages with a schema of more than 63 fields: masks as words, on the emitted entries
+    widened = let(
+        [("rw", f"CASE WHEN wide THEN {mask_words('x.r', 'nmax')} ELSE cast(array() AS array<bigint>) END"),
+         ("tw", f"CASE WHEN wide THEN zip_with(rw, {mask_words('x.z', 'nmax')}, (a, b) -> a | b) ELSE cast(array() AS array<bigint>) END")],
+        "named_struct('p', x.p, 'sidx', x.sidx, 'L', x.L, 'reset', x.reset, 'r', x.r, 'z', x.z, "
+        f"'rw', rw, 'tw', tw, 'tb', {words_below('tw')})",
+    )
     h = let(
         [
             ("dflt", dflt),
@@ -266,6 +287,8 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
             ("sidx", sidx),
             ("schemas", "concat(array(dflt), transform(ch, c -> c.s))"),
             ("lens", "transform(schemas, s -> size(s))"),
+            ("nmax", "coalesce(array_max(lens), 0)"),
+            ("wide", "nmax > 63"),
             ("wl", flags),
             ("fb0", "array_position(transform(wl, x -> x.bad), true)"),
             ("first_bad", "least(pre_bad, CASE WHEN fb0 > 0 THEN fb0 - 1 ELSE g.n_all END)"),
@@ -278,11 +301,9 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         "'why', " + let([("x", "get(g.ents, first_bad)")],
                         "CASE WHEN g.desc_bad THEN 'bad_descriptor' WHEN x IS NULL THEN NULL "
                         "WHEN NOT x.obj THEN 'entry_not_object' "
-                        "WHEN x.s_bad THEN 'bad_schema' WHEN NOT x.r.ok AND x.r.too_wide THEN 'mask_too_wide' "
-                        "WHEN NOT x.r.ok THEN 'bad_repeat_mask' "
-                        "WHEN x.c_bad THEN 'bad_values' WHEN NOT x.z.ok AND x.z.too_wide THEN 'mask_too_wide' "
-                        "WHEN NOT x.z.ok THEN 'bad_null_mask' END") + ", "
-        "'em', filter(wl, x -> NOT g.desc_bad AND x.p < first_bad AND NOT x.skip AND x.L > 0))",
+                        "WHEN x.s_bad THEN 'bad_schema' WHEN NOT x.r.ok THEN 'bad_repeat_mask' "
+                        "WHEN x.c_bad THEN 'bad_values' WHEN NOT x.z.ok THEN 'bad_null_mask' END") + ", "
+        "'em', transform(filter(wl, x -> NOT g.desc_bad AND x.p < first_bad AND NOT x.skip AND x.L > 0), x -> " + widened + "))",
     )
     df = df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens", "_g",
@@ -291,7 +312,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
 
     # stage values: per field, raw values -> dictionary -> carry; then rows
     def carried(narrow: bool, with_types: bool) -> str:
-        rbit = "((shiftright(get(h.em, q).r.lo, i) & 1L) = 1L)" if narrow else bit("get(h.em, q).r", "i")
+        rbit = "((shiftright(get(h.em, q).r.lo, i) & 1L) = 1L)" if narrow else word_bit("get(h.em, q).rw", "i")
         run_carry = let(
             [("st", "filter(" + seq("n") + ", q -> NOT (q > 0 AND NOT get(h.em, q).reset AND " + rbit + "))")],
             "flatten(transform(st, (s, k) -> array_repeat(get(res, s), coalesce(get(st, k + 1), n) - s)))",
@@ -301,7 +322,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         plain = raw
         looked = "zip_with(h.em, " + raw + ", (x, v) -> " + _resolve("x", "v", "i") + ")"
         has_dict = "exists(h.sdidx, ds -> coalesce(get(ds, i), -1) >= 0)"
-        any_r = "((shiftright(rany.lo, i) & 1L) = 1L)" if narrow else bit("rany", "i")
+        any_r = "((shiftright(rany.lo, i) & 1L) = 1L)" if narrow else word_bit("rany.w", "i")
         # (schema, VARIANT type) pairs of the field's own values: the carry only
         # copies these values, so they are the types of all its cells (E8 input)
         types = (
@@ -328,8 +349,8 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
             ("h", "_h"),
             ("n", "size(h.em)"),
             ("nf", "coalesce(array_max(transform(h.em, x -> x.L)), 0)"),
-            ("rany", "aggregate(h.em, named_struct('lo', 0L, 'hi', 0L), "
-             "(a, x) -> named_struct('lo', a.lo | x.r.lo, 'hi', a.hi | x.r.hi))"),
+            ("rany", "aggregate(h.em, named_struct('lo', 0L, 'w', cast(array() AS array<bigint>)), (a, x) -> named_struct("
+             "'lo', a.lo | x.r.lo, 'w', zip_with(a.w, x.rw, (p, q) -> coalesce(p, 0L) | coalesce(q, 0L))))"),
             ("cvs", f"CASE WHEN nf <= 63 THEN {carried(True, with_types)} ELSE {carried(False, with_types)} END"),
             ("cv", "transform(cvs, c -> c.v)"),
         ],
@@ -408,7 +429,10 @@ def value_of(col_name: str, spark_type: str = "string") -> Column:
 
 def quarantine(decoded: DataFrame, keys: tuple[str, ...] = PAGE_KEYS) -> DataFrame:
     """Pages cut by a malformed entry, with an unreadable descriptor (no position),
-    or whose body is not JSON (reason, position)."""
+    or whose body is not JSON (reason, position).  The body of a page that came with an
+    HTTP error is no response and is not reported here."""
+    if "status" in decoded.columns:
+        decoded = decoded.where("status IS NULL OR status BETWEEN 200 AND 299")
     return decoded.where("bad_json OR bad_pos IS NOT NULL OR bad_reason IS NOT NULL").select(
         *keys,
         F.col("bad_pos").alias("pos"),

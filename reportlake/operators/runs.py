@@ -6,25 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Names an error message lists; the tables of the error hold all of them.
+MESSAGE_NAMES = 100
+
+
 class UnknownModules(ValueError):
-    """Requested module names that no module has."""
+    """Requested module names that no module has.
+
+    ``unknown`` and ``available``: tables (name) of all distinct names.
+    """
+
+    def __init__(self, unknown: DataFrame, available: DataFrame):
+        self.unknown, self.available = unknown, available
+        super().__init__(f"Unknown module(s): {_some(unknown)}. Available: {_some(available)}")
+
+
+def _some(names: DataFrame) -> str:
+    n = names.count()
+    if n > MESSAGE_NAMES:
+        return f"{n} names (see the tables of this error)"
+    return ", ".join(sorted(r.name for r in names.collect()))
 
 
 def select_modules(modules: DataFrame, requested: DataFrame, raise_unknown: bool = True) -> tuple[DataFrame, DataFrame]:
     """C17: keep the requested modules, in request order and with repeats.
 
     ``requested``: (report_key, req_pos, name).  Returns ``(selected, unknown)``;
-    with ``raise_unknown`` a non-empty ``unknown`` raises, listing the unknown
-    names (sorted) and the available ones (sorted).  Both are joins on
-    (report_key, name); no list goes through the driver except on that error.
+    with ``raise_unknown`` a non-empty ``unknown`` raises.  The error carries two
+    tables of distinct names, ``unknown`` and ``available``, and says how many there
+    are of each; its message lists them if they are few.  Both results are joins on
+    (report_key, name).
     """
     on = ["report_key", "name"]
     selected = requested.join(modules, on, "inner")
     unknown = requested.join(modules.select(*on), on, "left_anti")
     if raise_unknown and not unknown.isEmpty():
-        bad = sorted({r.name for r in unknown.select("name").distinct().limit(1000).collect()})
-        avail = sorted({r.name for r in modules.select("name").distinct().limit(1000).collect()})
-        raise UnknownModules(f"Unknown module(s): {', '.join(bad)}. Available: {', '.join(avail)}")
+        raise UnknownModules(unknown.select("name").distinct(), modules.select("name").distinct())
     return selected, unknown
 
 

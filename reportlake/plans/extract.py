@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from reportlake.operators.assemble import MODULE_KEYS, module_status, page_meta, page_plan
 from reportlake.operators.decode import PAGE_KEYS, decode_pages, quarantine, stage_pages
-from reportlake.session import stage
+from reportlake.functions.sqlx import quoted
+from reportlake.session import exact_case, stage
 
 _MERGE = (
     "CASE WHEN size(ts) = 0 THEN 'string' "
@@ -33,10 +34,6 @@ _MERGE = (
 )
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 @dataclass
 class Extraction:
     staged: DataFrame      # one row per landed page (meta, col_types, rows_json)
@@ -58,18 +55,18 @@ class Extraction:
         return [(r.col, r.spark_type) for r in sch.orderBy("first_seen").select("col", "spark_type").collect()]
 
     def table(self, report_key: str, module: str, with_order: bool = False) -> DataFrame:
-        """The typed table of one module, columns in first-seen order."""
+        """The typed table of one module, columns in first-seen order (names may differ in case alone)."""
         cols = self.columns(report_key, module)
-        ddl = ", ".join(f"{_q(c)} {t}" for c, t in cols) or "_empty string"
+        ddl = ", ".join(f"{quoted(c)} {t}" for c, t in cols) or "_empty string"
         sub = self.rows.where((F.col("report_key") == report_key) & (F.col("module") == module))
-        typed = sub.select("page_no", "pos", F.from_json("row_json", ddl).alias("_t"))
-        out = typed.select(*(["page_no", "pos"] if with_order else []), *[F.col("_t").getField(c).alias(c) for c, _ in cols])
-        return out
+        with exact_case(sub.sparkSession):
+            typed = sub.select("page_no", "pos", F.from_json("row_json", ddl).alias("_t"))
+            return typed.select(*(["page_no", "pos"] if with_order else []), *[F.col("_t").getField(c).alias(c) for c, _ in cols])
 
 
 def typed_from_json(rows: DataFrame, columns: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows with ``row_json`` -> typed columns for a known column -> type list."""
-    ddl = ", ".join(f"{_q(c)} {t}" for c, t in columns.items())
+    ddl = ", ".join(f"{quoted(c)} {t}" for c, t in columns.items())
     return rows.select(*keep, F.from_json("row_json", ddl).alias("_t")).select(
         *keep, *[F.col("_t").getField(c).alias(c) for c in columns]
     )

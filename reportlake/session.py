@@ -1,8 +1,8 @@
 """Session and scratch-location helpers.
 
 Shared scratch space always comes from ``spark.checkpoint.dir`` (the cluster's
-shared folder).  Only when that setting is missing -- local tests -- a fresh
-temporary folder is configured, once per session.
+shared folder).  Only when that setting is missing and the master is ``local`` a
+fresh temporary folder is configured, once per session; elsewhere it is an error.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -28,17 +29,24 @@ _LOCAL_DEFAULTS = {
 
 
 def get_session(master: str | None = None, app: str = "reportlake", **conf) -> SparkSession:
-    """Return the active session, or build a local one with sane defaults."""
+    """Return the active session, or build one.
+
+    The local defaults (partitions, memory) apply only if the master is a local one:
+    the one asked for, or, where neither an argument, ``SPARK_MASTER`` nor a submit
+    tool names one, ``local``.
+    """
     active = SparkSession.getActiveSession()
     if active is not None:
         _session_defaults(active)
         return active
     builder = SparkSession.builder.appName(app)
+    submitted = os.environ.get("SPARK_MASTER") or os.environ.get("PYSPARK_GATEWAY_PORT")
+    if master is None and not submitted:
+        master = f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     if master:
         builder = builder.master(master)
-    elif not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
-    for k, v in {**_LOCAL_DEFAULTS, **conf}.items():
+    local = master is not None and master.startswith("local") and not master.startswith("local-cluster")
+    for k, v in {**(_LOCAL_DEFAULTS if local else {}), **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     try:
@@ -63,6 +71,17 @@ def json_parity(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
+@contextmanager
+def exact_case(spark: SparkSession):
+    """Within the block names are told apart by case, for tables whose columns need it."""
+    before = spark.conf.get("spark.sql.caseSensitive", "false")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", before)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; configured locally only when unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -74,6 +93,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="reportlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():

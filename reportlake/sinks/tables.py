@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+import json
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportlake.functions.ranking import group_row_number
-from reportlake.session import stage
+from reportlake.functions.sqlx import quoted
+from reportlake.session import exact_case, scratch_dir, stage
 from reportlake.sources.urls import resource_key
 
 
+#: Options of every module CSV: text is kept as it is, blanks at its ends too.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "nullValue": "",
+    "emptyValue": '""',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_module_csv(table: DataFrame, path: str, order_cols: tuple[str, ...] = ("page_no", "pos")) -> bool:
     """B1: write one module's table as CSV (header, null -> empty, true/false).
 
@@ -25,10 +41,7 @@ def write_module_csv(table: DataFrame, path: str, order_cols: tuple[str, ...] =
     (
         ordered.select(*cols)
         .write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
-        .option("nullValue", "")
-        .option("emptyValue", '""')
+        .options(**CSV_OPTIONS)
         .csv(path)
     )
     return True
@@ -125,68 +138,86 @@ def write_rows_by_report(rows: DataFrame, dirs: DataFrame, path: str) -> None:
     )
 
 
+def safe_name(name: Column) -> Column:
+    """A folder name for any text: itself if it is plain, else its plain characters and a hash."""
+    plain = F.regexp_replace(name, "[^A-Za-z0-9_.-]", "_")
+    return F.when(name.rlike("^[A-Za-z0-9_-][A-Za-z0-9_.-]{0,99}$"), name).otherwise(
+        F.concat(F.substring(plain, 1, 60), F.lit("-"), F.substring(F.md5(name), 1, 12)))
+
+
 def write_module_csvs(extraction, dirs: DataFrame | None, base: str) -> DataFrame:
-    """B1 + B3: every non-empty module as CSV under ``base/report_dir=.../module=...``.
-
-    Modules with the same typed column list are written by one job
-    (``partitionBy(report_dir, module)``), so the number of jobs is the number
-    of distinct column signatures, not of modules; only those signatures reach
-    the driver.  Rows are range-partitioned by (report, module, page_no, pos)
-    and sorted inside files, so part files read back in row order and a large
-    module is spread over many tasks.  Returns the module status table with
-    each written module's ``output_path``.
+    """B1 + B3: every non-empty module as CSV under ``base/__report_dir=.../__report=.../__module=...``.
+
+    ``report`` is a hash of the report key, so reports that share a folder name keep
+    files of their own; folder and module names that a path cannot hold are made
+    safe (``safe_name``).  Modules with the same typed column list are written by
+    one job.  The rows are first staged by column list, so each job reads only its
+    own files however many there are; only the column lists reach the driver.
+    Rows are range-partitioned by (report, module, page_no, pos) and sorted inside
+    files, so part files read back in row order and a large module is spread over
+    many tasks.  Columns that differ only in case, or are named like a key, are
+    written as they are.  A column list that cannot be written makes its modules
+    ``failed`` with the reason and leaves the others alone.  Returns the module
+    status table with each written module's ``output_path``.
     """
-    from reportlake.plans.extract import _q  # column quoting for the from_json DDL
-
     status = extraction.status()
+    spark = status.sparkSession
     nonempty = status.where(F.col("n_rows") > 0).select("report_key", "module")
+    columns = F.expr("transform(array_sort(collect_list(struct(first_seen, col, spark_type))), c -> struct(c.col, c.spark_type))")
     sigs = (
         extraction.schema.join(nonempty, ["report_key", "module"], "inner")
         .groupBy("report_key", "module")
-        .agg(F.array_sort(F.collect_list(F.struct("first_seen", "col", "spark_type"))).alias("cols"))
-        .select("report_key", "module", F.to_json(F.expr("transform(cols, c -> struct(c.col, c.spark_type))")).alias("sig"))
+        .agg(F.to_json(columns).alias("sig"))
+        .withColumn("sig_id", F.substring(F.md5("sig"), 1, 16))
     )
+    if dirs is not None:
+        folder = dirs.select("report_key", "report_dir").dropDuplicates(["report_key"])
+        sigs = sigs.join(folder, "report_key", "left").withColumn("report_dir", F.coalesce("report_dir", "report_key"))
+    else:
+        sigs = sigs.withColumn("report_dir", F.col("report_key"))
+    sigs = sigs.select(
+        "report_key", "module", "sig", "sig_id", safe_name(F.col("report_dir")).alias("__report_dir"),
+        F.substring(F.md5("report_key"), 1, 16).alias("__report"), safe_name(F.col("module")).alias("__module"))
     # one small row per module, read once per signature below: written once
     sigs = stage(sigs, "csv-signatures")
-    folder = (
-        dirs.select("report_key", "report_dir").dropDuplicates(["report_key"])
-        if dirs is not None else None
+    keys = ["__report_dir", "__report", "__module"]
+    # the rows, once, in a folder per column list
+    by_sig = scratch_dir(spark, "csv-rows")
+    (
+        extraction.rows.join(sigs.select("report_key", "module", "sig_id", *keys), ["report_key", "module"])
+        .select("sig_id", *keys, "page_no", "pos", "row_json")
+        .write.partitionBy("sig_id").parquet(by_sig)
     )
-    spark = status.sparkSession
-    import json
-
-    for (sig,) in sigs.select("sig").distinct().collect():
-        cols = [(c["col"], c["spark_type"]) for c in json.loads(sig)]
-        ddl = ", ".join(f"{_q(c)} {t}" for c, t in cols)
-        members = sigs.where(F.col("sig") == sig).select("report_key", "module")
-        rows = extraction.rows.join(members, ["report_key", "module"], "left_semi")
-        if folder is not None:
-            rows = rows.join(folder, "report_key", "left")
-            rows = rows.withColumn("report_dir", F.coalesce("report_dir", "report_key"))
-        else:
-            rows = rows.withColumn("report_dir", F.col("report_key"))
-        typed = rows.select(
-            "report_dir", "module", "report_key", "page_no", "pos", F.from_json("row_json", ddl).alias("_t")
-        ).select("report_dir", "module", "report_key", "page_no", "pos", *[F.col("_t").getField(c).alias(c) for c, _ in cols])
-        (
-            typed.repartitionByRange("report_key", "module", "page_no", "pos")
-            .sortWithinPartitions("report_key", "module", "page_no", "pos")
-            .drop("report_key", "page_no", "pos")
-            # dynamic: each job replaces only the module folders it writes (re-runs are idempotent)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("report_dir", "module")
-            .option("header", True)
-            .option("escape", '"')
-            .csv(base)
-        )
-    paths = sigs.select("report_key", "module")
-    if folder is not None:
-        paths = paths.join(folder, "report_key", "left").withColumn("report_dir", F.coalesce("report_dir", "report_key"))
-    else:
-        paths = paths.withColumn("report_dir", F.col("report_key"))
-    paths = paths.select(
-        "report_key", "module",
-        F.concat(F.lit(base.rstrip("/") + "/report_dir="), F.col("report_dir"), F.lit("/module="), F.col("module")).alias("output_path"),
+    failed = []
+    for r in sigs.select("sig_id", "sig").distinct().collect():
+        cols = [(c["col"], c["spark_type"]) for c in json.loads(r.sig)]
+        try:
+            with exact_case(spark):
+                ddl = ", ".join(f"{quoted(c)} {t}" for c, t in cols)
+                rows = spark.read.parquet(f"{by_sig}/sig_id={r.sig_id}")
+                typed = rows.select(*keys, F.col("page_no").alias("__page"), F.col("pos").alias("__pos"), F.from_json("row_json", ddl).alias("__t"))
+                (
+                    typed.select(*keys, "__page", "__pos", *[F.col("__t").getField(c).alias(c) for c, _ in cols])
+                    .repartitionByRange(*keys, "__page", "__pos")
+                    .sortWithinPartitions(*keys, "__page", "__pos")
+                    .drop("__page", "__pos")
+                    # dynamic: each job replaces only the module folders it writes (re-runs are idempotent)
+                    .write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy(*keys)
+                    .options(**CSV_OPTIONS)
+                    .csv(base)
+                )
+        except (PySparkException, Py4JJavaError) as e:
+            failed.append((r.sig_id, f"write_failed: {str(e).splitlines()[0][:300]}"))
+    errors = spark.createDataFrame(failed, "sig_id string, error string")
+    paths = sigs.join(F.broadcast(errors), "sig_id", "left").select(
+        "report_key", "module", "error",
+        F.when(F.col("error").isNull(), F.concat_ws(
+            "/", F.lit(base.rstrip("/")), *[F.concat(F.lit(f"{k}="), F.col(k)) for k in keys])).alias("output_path"),
     )
-    return status.join(paths, ["report_key", "module"], "left")
+    out = status.join(paths, ["report_key", "module"], "left")
+    return out.withColumns({
+        "status": F.when(F.col("error").isNotNull(), F.lit("failed")).otherwise(F.col("status")),
+        "detail": F.coalesce("error", "detail"),
+    }).drop("error")
