@@ -125,6 +125,7 @@ def module_status(pages: DataFrame, mods: DataFrame, modules: DataFrame | None =
         )
     status = (
         F.when(F.col("failed"), F.lit("failed"))
+        .when(F.col("stop_reason") == "missing_first_page", F.lit("incomplete"))
         .when(F.col("n_rows") == 0, F.lit("empty"))
         .when(F.col("stop_reason") == "http_error", F.lit("partial"))
         .when(F.col("stop_reason") == "landing_end", F.lit("incomplete"))

@@ -79,6 +79,21 @@ def staged_rows(staged: DataFrame) -> DataFrame:
     )
 
 
+def one_landing(staged: DataFrame) -> DataFrame:
+    """One row per page key: of several landings a status of 200 wins, then most rows, then by content.
+
+    Only the keys are counted; the rows of pages with one landing do not move.
+    """
+    keys = list(PAGE_KEYS)
+    again = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
+    if again.isEmpty():
+        return staged
+    content = F.xxhash64(F.to_json(F.struct(*[c for c in staged.columns if c not in keys])))
+    best = F.struct((F.col("status") == 200).alias("ok"), "n_rows", content.alias("h"))
+    chosen = staged.join(again, keys, "left_semi").groupBy(*keys).agg(F.max_by(F.struct(*staged.columns), best).alias("r")).select("r.*")
+    return staged.join(again, keys, "left_anti").unionByName(chosen)
+
+
 def extract(
     responses: DataFrame,
     paginated: DataFrame | None = None,
@@ -89,9 +104,9 @@ def extract(
 
     ``responses`` are landed pages (with ``body``), or pages already in staged
     form (with ``rows_json``, e.g. the incremental decode's sink), which are
-    used as they are.  One row per (report_key, module, page_no) is expected --
-    ``operators.attempts.responses_from_attempts`` yields exactly that from an
-    attempt log.
+    used as they are.  Of a page that has landed more than once one landing counts
+    (``one_landing``); ``operators.attempts.responses_from_attempts`` yields one row
+    per page from an attempt log.
     """
     if "rows_json" in responses.columns:
         staged = responses
@@ -101,6 +116,7 @@ def extract(
             # sorted inside each file by module: Parquet row-group statistics then
             # let a per-module read skip every other module's pages
             staged = stage(staged.sortWithinPartitions(*PAGE_KEYS), "staged-pages")
+    staged = one_landing(staged)
     pages, mods = page_plan(page_meta(staged, paginated), dedupe_boundary=dedupe_boundary)
     if materialize:
         # one small row per page / per module; staged so schema, rows and

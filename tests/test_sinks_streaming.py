@@ -1,96 +1,100 @@
-"""CSV sink (B1) and incremental decode."""
+"""CSV sink (B1, B3, F1) and incremental decode."""
 
-from conftest import responses, wrap
+import glob
 
+from conftest import depot_page, page, responses, wrap
+
+from reportlake.plans.extract import extract, staged_rows
 from reportlake.session import scratch_dir
-from reportlake.sinks.tables import write_module_csv
+from reportlake.sinks.tables import write_module_csv, write_module_csvs, write_rows_by_report
 from reportlake.streaming.incremental import start_incremental_decode
 
+MORE = [[2, "'z'"]]
 
-def test_csv_written_only_when_rows(spark):
-    df = spark.createDataFrame([(1, 0, "a", True, None), (1, 1, "b,c", False, 1.5)],
-                               "page_no int, pos int, s string, b boolean, d double")
-    path = scratch_dir(spark, "csv")
-    assert write_module_csv(df, path)
-    text = "".join(sorted(open(p).read() for p in __import__("glob").glob(path + "/*.csv")))
-    assert "s,b,d" in text and '"b,c",false,1.5' in text and "a,true," in text
-    assert not write_module_csv(df.where("false"), scratch_dir(spark, "csv-empty"))
 
+def body_of(name, values, rt=None):
+    return wrap(page([{"S": [{"N": "G0"}], "C": [values[0]]}, *({"C": [v]} for v in values[1:])], rt=rt), [{"Value": "G0", "Name": f"Depot.{name}"}])
 
-def test_incremental_decode(spark):
-    base = scratch_dir(spark, "stream-test")
-    pages = [wrap({"ValueDicts": {}, "PH": [{"DM0": [{"S": [{"N": "G0"}, {"N": "G1"}], "C": [f"n{i}", i]}]}]}) for i in range(4)]
-    responses(spark, pages).repartition(4).write.json(f"{base}/landing")
-    q = start_incremental_decode(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=1)
-    q.awaitTermination()
-    from reportlake.plans.extract import extract, staged_rows
 
-    sink = spark.read.parquet(f"{base}/out")
-    assert sorted(r.page_no for r in staged_rows(sink).collect()) == [1, 2, 3, 4]
-    # assembly straight from the sink: no tokens on page 1, so only page 1 counts
-    st = extract(sink.drop("batch_id")).status().collect()[0]
-    assert (st.status, st.n_rows, st.n_pages) == ("ok", 1, 1)
-
-
-def test_module_csvs_and_long_form(spark):
-    from reportlake.plans.extract import extract
-    from reportlake.sinks.tables import write_module_csvs, write_rows_by_report
-
-    def body(rows, rt=None):
-        ds = {"ValueDicts": {}, "PH": [{"DM0": [{"S": [{"N": "G0"}, {"N": "G1"}], "C": list(rows[0])}] + [{"C": list(r)} for r in rows[1:]]}]}
-        if rt:
-            ds["RT"] = rt
-        return wrap(ds)
-
-    resp = responses(spark, [("a", 1, body([("x", 1)], rt=[[1]])), ("a", 2, body([("y", 2)])), ("b", 1, "{broken")])
-    ex = extract(resp)
-    dirs = spark.createDataFrame([("r", "report_1")], "report_key string, report_dir string")
-    base = scratch_dir(spark, "out")
-    st = {r.module: (r.status, r.output_path) for r in write_module_csvs(ex, dirs, base).collect()}
-    assert st["a"][0] == "ok" and st["a"][1].endswith("/report_dir=report_1/module=a")
-    assert st["b"] == ("failed", None)
-    back = spark.read.option("header", True).csv(st["a"][1])
-    assert sorted(tuple(r) for r in back.collect()) == [("x", "1"), ("y", "2")]
-    write_rows_by_report(ex.rows, dirs, base + "/long")
-    long = spark.read.json(base + "/long")
-    assert sorted((r.report_dir, r.module, r.pos) for r in long.collect()) == [("report_1", "a", 0), ("report_1", "a", 0)]
+def read_csv(spark, path):
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-def test_stream_boundary_row_across_batches(spark):
-    from reportlake.plans.extract import extract
+def paths_of(status):
+    return {(r.report_key, r.module): r.output_path for r in status.collect()}
 
-    base = scratch_dir(spark, "stream-boundary")
 
-    def page(rows, rt=None):
-        ds = {"ValueDicts": {}, "PH": [{"DM0": [{"S": [{"N": "G0"}, {"N": "G1"}], "C": list(rows[0])}] + [{"C": list(r)} for r in rows[1:]]}]}
-        if rt:
-            ds["RT"] = rt
-        return wrap(ds)
+def test_csv_text_and_no_file_without_rows(spark):
+    rows = [(1, 0, "Oslo, Alnabru", True, None), (1, 1, 'the "old" yard', None, 4.25), (2, 0, " Lima ", False, -1.0)]
+    df = spark.createDataFrame(rows, "page_no int, pos int, yard string, open boolean, rate double")
+    path = scratch_dir(spark, "csv")
+    assert write_module_csv(df, path)
+    lines = [x for p in sorted(glob.glob(path + "/*.csv")) for x in open(p).read().splitlines()]
+    assert [x for x in lines if x != "yard,open,rate"] == ['"Oslo, Alnabru",true,', '"the ""old"" yard",,4.25', " Lima ,false,-1.0"]
+    assert not write_module_csv(df.where("pos > 5"), scratch_dir(spark, "csv-none"))
+
+
+def test_blanks_quotes_and_newlines_come_back(spark):
+    texts = ["  two before", "behind ", " ", "a,b", 'say "x"', "line\nbreak", "Ärger"]
+    ex = extract(responses(spark, [("texts", 1, body_of("Note", texts))]))
+    out = paths_of(write_module_csvs(ex, None, scratch_dir(spark, "texts")))["r", "texts"]
+    assert sorted(r.Note for r in read_csv(spark, out).collect()) == sorted(texts)
+
+
+def test_reports_that_share_a_folder_keep_their_files(spark):
+    a, b = responses(spark, [("load", 1, body_of("Tonnes", [4, 5]))]), responses(spark, [("load", 1, body_of("Gate", ["N7"]))])
+    resp = a.unionByName(b.replace("r", "other", ["report_key"]))
+    dirs = spark.createDataFrame([("r", "yard"), ("other", "yard")], "report_key string, report_dir string")
+    paths = paths_of(write_module_csvs(extract(resp), dirs, scratch_dir(spark, "shared")))
+    assert sorted(r.Tonnes for r in read_csv(spark, paths["r", "load"]).collect()) == ["4", "5"]
+    assert [r.Gate for r in read_csv(spark, paths["other", "load"]).collect()] == ["N7"]
+
+
+def test_names_that_a_path_cannot_hold(spark):
+    names = ["cost/unit_%", "a:b?c", "plain", "..", "Übersicht 1"]
+    ex = extract(responses(spark, [(n, 1, body_of("Rate", [i])) for i, n in enumerate(names)]))
+    paths = paths_of(write_module_csvs(ex, None, scratch_dir(spark, "names")))
+    assert len(set(paths.values())) == len(names)
+    for i, n in enumerate(names):
+        assert [r.Rate for r in read_csv(spark, paths["r", n]).collect()] == [str(i)], n
+
+
+def test_columns_named_like_keys_or_in_two_cases(spark):
+    names = ["module", "report_dir", "pos", "Rate", "rate"]
+    select = [{"Value": f"G{i}", "Name": f"Depot.{n}"} for i, n in enumerate(names)]
+    odd = wrap(page([{"S": [{"N": f"G{i}"} for i in range(5)], "C": ["m1", "d1", 8, 0.5, "half"]}]), select)
+    ex = extract(responses(spark, [("odd", 1, odd), ("fine", 1, body_of("Tonnes", [3])), ("bad", 1, "x{")]))
+    st = {r.module: r for r in write_module_csvs(ex, None, scratch_dir(spark, "odd")).collect()}
+    assert [st[m].status for m in ("odd", "fine", "bad")] == ["ok", "ok", "failed"]
+    text = "".join(open(p).read() for p in glob.glob(st["odd"].output_path + "/*.csv"))
+    assert text.splitlines() == ["module,report_dir,pos,Rate,rate", "m1,d1,8,0.5,half"]
+    assert [r.Tonnes for r in read_csv(spark, st["fine"].output_path).collect()] == ["3"]
+
+
+def test_writing_again_changes_nothing_and_long_form(spark):
+    resp = responses(spark, [("in", 1, body_of("Tonnes", [4, 8], MORE)), ("in", 2, body_of("Tonnes", [15])), ("out", 1, body_of("Gate", ["N7", "S2", "S9"]))])
+    ex, base = extract(resp), scratch_dir(spark, "again")
+    for _ in range(2):
+        paths = paths_of(write_module_csvs(ex, None, base))
+    assert [read_csv(spark, paths["r", m]).count() for m in ("in", "out")] == [3, 3]
+    dirs = spark.createDataFrame([("r", "yard")], "report_key string, report_dir string")
+    write_rows_by_report(ex.rows, dirs, base + "/long")
+    long = spark.read.json(base + "/long").groupBy("report_dir", "module").count()
+    assert sorted(tuple(r) for r in long.collect()) == [("yard", "in", 3), ("yard", "out", 3)]
+
 
-    # each page is its own landed file, taken by its own micro-batch
-    responses(spark, [("m", 1, page([("A", 1), ("B", 2)], [[1]]))]).coalesce(1).write.json(f"{base}/landing/p1")
-    responses(spark, [("m", 2, page([("B", 2), ("C", 3)]))]).coalesce(1).write.json(f"{base}/landing/p2")
+def test_incremental_decode_feeds_the_assembly(spark):
+    base = scratch_dir(spark, "stream")
+    pages = [depot_page([("Oslo", i), ("Lima", i + 1)], MORE) for i in range(3)] + [depot_page([("Lima", 3), ("Bern", 50)])]
+    for i, body in enumerate(pages):  # each page lands in a file of its own
+        responses(spark, [("m", i + 1, body)]).coalesce(1).write.json(f"{base}/landing/p{i}")
     q = start_incremental_decode(spark, f"{base}/landing/*", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=1)
     q.awaitTermination()
     sink = spark.read.parquet(f"{base}/out")
-    assert sink.select("batch_id").distinct().count() == 2
+    assert sink.select("batch_id").distinct().count() == 4
+    assert staged_rows(sink).count() == 8
     ex = extract(sink.drop("batch_id"))
     got = [tuple(r)[2:] for r in ex.table("r", "m", with_order=True).orderBy("page_no", "pos").collect()]
-    assert got == [("A", 1), ("B", 2), ("C", 3)]
-
-
-def test_module_csvs_rerun_is_idempotent_and_keeps_other_modules(spark):
-    from reportlake.plans.extract import extract
-    from reportlake.sinks.tables import write_module_csvs
-
-    def body(vals, name):
-        return wrap({"ValueDicts": {}, "PH": [{"DM0": [{"S": [{"N": "G0"}], "C": [vals[0]]}] + [{"C": [v]} for v in vals[1:]]}]},
-                    [{"Value": "G0", "Name": f"T.{name}"}])
-
-    resp = responses(spark, [("a", 1, body(["x", "y"], "S")), ("b", 1, body([1, 2, 3], "N"))])
-    base = scratch_dir(spark, "rerun")
-    ex = extract(resp)
-    for _ in range(2):
-        out = {r.module: r.output_path for r in write_module_csvs(ex, None, base).collect()}
-    assert spark.read.option("header", True).csv(out["a"]).count() == 2
-    assert spark.read.option("header", True).csv(out["b"]).count() == 3
+    # the first row of page 4 is the last one of page 3
+    assert got == [("Oslo", 0), ("Lima", 1), ("Oslo", 1), ("Lima", 2), ("Oslo", 2), ("Lima", 3), ("Bern", 50)]
