@@ -78,25 +78,27 @@ def pfair_mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "
     gives no rows.
     """
     names = [c for c in docs.columns if not c.startswith("mix_")]
-    docs = docs.select(*names)
-    n = docs.count()
-    sources = docs.groupBy(F.col(source_col).alias("source")).agg(F.count(F.lit(1)).alias("n"))
-    given = tempered_weights(docs, source_col) if weights is None else weights
+    # Columns go by position inside, so that no name of theirs meets one of ours.
+    own = [f"__c{i}" for i in range(len(names))]
+    rows = docs.select(*[F.col(f"`{c}`") for c in names]).toDF(*own)
+    key, source = own[names.index(id_col)], own[names.index(source_col)]
+    n = rows.count()
+    sources = rows.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n"))
+    given = tempered_weights(rows, source) if weights is None else weights
     given = given.select(F.col("source").alias("__s"), "weight")
     asked = sources.join(given, F.col("source").eqNullSafe(F.col("__s")), "left").select("source", "weight")
     # Rows by the grain and the number of sources, so it may be broadcast.
-    schedule = stage(period_schedule(asked, grain), "schedule").select(F.col("source").alias("__source"), "a", "period", "k", "release", "deadline", "slot")
-    order = [F.col(id_col), F.xxhash64(*names)]
-    dealt = running_totals(docs, [source_col], order, "__nth", n)
-    dealt = dealt.withColumn("mix_block", F.expr(f"__nth div {block_docs}")).withColumn("mix_place", F.col("__nth") % block_docs)
+    schedule = stage(period_schedule(asked, grain), "schedule").withColumnRenamed("source", "__source")
+    dealt = running_totals(rows, [source], [F.col(key), F.xxhash64(*own)], "nth", n)
+    dealt = dealt.withColumn("block", F.expr(f"nth div {block_docs}")).withColumn("place", F.col("nth") % block_docs)
     shares = schedule.select("__source", "a", "period").distinct()
-    dealt = dealt.join(F.broadcast(shares), F.col(source_col).eqNullSafe(F.col("__source"))).drop("__source")
-    dealt = dealt.withColumns({"__turn": F.expr("mix_block div a"), "__k": F.expr("mix_block % a")}).drop("a")
-    turn = F.broadcast(schedule.drop("a", "period"))
-    out = dealt.join(turn, F.col(source_col).eqNullSafe(F.col("__source")) & (F.col("__k") == F.col("k")))
-    start = F.col("__turn") * F.col("period")
-    return out.select(*names, "mix_block", "mix_place", (start + F.col("release")).alias("mix_release"),
-                      (start + F.col("deadline")).alias("mix_deadline"), (start + F.col("slot")).alias("mix_slot"))
+    dealt = dealt.join(F.broadcast(shares), F.col(source).eqNullSafe(F.col("__source"))).drop("__source")
+    dealt = dealt.withColumns({"turn": F.expr("block div a"), "turn_k": F.expr("block % a")}).drop("a")
+    turns = F.broadcast(schedule.drop("a", "period"))
+    out = dealt.join(turns, F.col(source).eqNullSafe(F.col("__source")) & (F.col("turn_k") == F.col("k")))
+    start = F.col("turn") * F.col("period")
+    return out.select(*own, "block", "place", start + F.col("release"), start + F.col("deadline"), start + F.col("slot")).toDF(
+        *names, "mix_block", "mix_place", "mix_release", "mix_deadline", "mix_slot")
 
 
 def in_mixed_order(mixed: DataFrame) -> DataFrame:
