@@ -79,15 +79,20 @@ def band_keys(texts: Sequence[str]) -> list[np.ndarray]:
     return [keys[i].view(np.int64) if not (sig[i] == 0xFFFF).all() else empty for i in range(len(texts))]
 
 
-def jaccard_near(x: str, y: str) -> bool:
-    hashes, at = shingle_hashes([x, y])
-    a, b = set(hashes[:at[1]].tolist()), set(hashes[at[1]:].tolist())
-    return len(a & b) >= SIMILARITY * len(a | b)
+def shingle_sets(texts: Sequence[str]) -> list[np.ndarray]:
+    """The distinct shingle hashes of each text, ascending."""
+    hashes, at = shingle_hashes(texts)
+    return [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(at[:-1], at[1:])]
+
+
+def jaccard_near(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= SIMILARITY * (len(a) + len(b) - both)
 
 
 def minhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, digest, class_id, is_kept, by bands and verified Jaccard similarity."""
-    return near_duplicate_classes(docs, band_keys, jaccard_near, id_col, text_col)
+    return near_duplicate_classes(docs, band_keys, shingle_sets, jaccard_near, id_col, text_col)
 
 
 # --- each document, its edited text and the next document ------------------------------------

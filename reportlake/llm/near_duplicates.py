@@ -32,8 +32,11 @@ FILTER_BITS = 1 << 23
 #: (texts) -> an array of keys (int64) for each text.
 Signer = Callable[[Sequence[str]], list[np.ndarray]]
 
-#: (text, text) -> whether the two are near duplicates.
-Verifier = Callable[[str, str], bool]
+#: (texts) -> the items of each text (int64) that the check compares.
+Preparer = Callable[[Sequence[str]], list[np.ndarray]]
+
+#: (items, items) -> whether the two are near duplicates.
+Verifier = Callable[[np.ndarray, np.ndarray], bool]
 
 
 def digest(text_col: str):
@@ -64,8 +67,8 @@ def _filter_of(hashes: DataFrame) -> np.ndarray:
     return out
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(uid, text), one row for each of ``wanted`` (uid, digest), from rows (digest, text)."""
+def _items(docs: DataFrame, wanted: DataFrame, prepare: Preparer) -> DataFrame:
+    """(uid, items), one row for each of ``wanted`` (uid, digest), from rows (digest, text)."""
     bits = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted.select(F.xxhash64("digest").alias("h"))))
 
     @F.pandas_udf("boolean")
@@ -74,7 +77,14 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         return pd.Series((bits.value[at >> 6] >> (at & 63)) & 1 == 1)
 
     some = docs.select("digest", "text").where(may_be(F.xxhash64("digest")))
-    return some.join(wanted, "digest").groupBy("uid").agg(F.first("text").alias("text"))
+    once = some.join(wanted, "digest").groupBy("uid").agg(F.first("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, 1, SIGN_BYTES):
+            items = pa.array(prepare(batch.column(1).to_pylist()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), items], names=["uid", "items"])
+
+    return once.mapInArrow(run, "uid long, items array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -91,28 +101,38 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("node", F.col("new").alias("label"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, verify: Verifier) -> DataFrame:
-    """The pairs (a, b) whose texts pass."""
-    joined = (pairs.join(texts.select(F.col("uid").alias("a"), F.col("text").alias("ta")), "a")
-              .join(texts.select(F.col("uid").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
+def _side(table: DataFrame, uid: str, value: str) -> DataFrame:
+    """``table`` (uid, value) with its columns named for one side of a pair."""
+    return table.toDF(uid, value)
+
+
+def _verified(pairs: DataFrame, keys: DataFrame, items: DataFrame, verify: Verifier, shared: int) -> DataFrame:
+    """The pairs (a, b) that share ``shared`` keys at least and whose items pass."""
+    if shared > 1:
+        both = pairs.join(_side(keys, "a", "ka"), "a").join(_side(keys, "b", "kb"), "b")
+        pairs = both.where(F.size(F.array_intersect("ka", "kb")) >= shared).select("a", "b")
+    joined = pairs.join(_side(items, "a", "ia"), "a").join(_side(items, "b", "ib"), "b").select("a", "b", "ia", "ib")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = [verify(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            x, y = (c.values.to_numpy() for c in batch.columns[2:])
+            i, j = (c.offsets.to_numpy() for c in batch.columns[2:])
+            ok = [verify(x[i[k]:i[k + 1]], y[j[k]:j[k + 1]]) for k in range(batch.num_rows)]
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     return joined.mapInArrow(run, "a long, b long")
 
 
-def near_duplicate_classes(docs: DataFrame, sign: Signer, verify: Verifier, id_col: str = "doc_id",
-                           text_col: str = "text") -> DataFrame:
+def near_duplicate_classes(docs: DataFrame, sign: Signer, prepare: Preparer, verify: Verifier, id_col: str = "doc_id",
+                           text_col: str = "text", shared: int = 1) -> DataFrame:
     """One row per row of ``docs``: id, digest of the text, class_id, is_kept.
 
     class_id is the least id of the class, over copies and near duplicates; ids
     must be of an orderable type.  is_kept marks one row of each class: the first
     by id, then text digest; of rows equal in both, one.  A null text is like an
     empty one; all texts without words form one class with their equals only.
-    Null ids sort first.  Other columns are ignored; an empty table gives no rows.
+    A pair is checked if it shares ``shared`` keys at least.  Null ids sort first.
+    Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
@@ -126,7 +146,7 @@ def near_duplicate_classes(docs: DataFrame, sign: Signer, verify: Verifier, id_c
     buckets = keyed.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("key", "lo")
     members = stage(keyed.join(buckets, "key"), "members")
 
-    links = _links(members, once, plain, verify)
+    links = _links(members, once, plain, prepare, verify, shared)
     label = (components(links).select(F.col("node").alias("uid"), "label") if links is not None
              else spark.createDataFrame([], "uid long, label long"))
     classes = stage(once.select("uid", "digest").join(label, "uid", "left")
@@ -159,21 +179,22 @@ def _near_labels(links: DataFrame) -> DataFrame:
     return stage(label, "labels")
 
 
-def _links(members: DataFrame, once: DataFrame, plain: DataFrame, verify: Verifier) -> DataFrame | None:
+def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Preparer, verify: Verifier, shared: int) -> DataFrame | None:
     """Verified pairs (a, b) of uids that connect all classes; None if there are no candidates.
 
-    After the first round each round takes twice as many leaders of every open
-    bucket, so there are about as many rounds as the largest bucket has binary digits.
+    Each later round takes four times as many leaders of every open bucket, so their
+    number grows with the logarithm of the largest bucket.
     """
     if members.isEmpty():
         return None
-    wanted = members.select("uid").distinct().join(once.select("uid", "digest"), "uid")
-    texts = stage(_texts(plain, wanted), "candidate-texts")
+    wanted = stage(members.select("uid").distinct().join(once, "uid"), "candidates")
+    keys = wanted.select("uid", "keys")
+    items = stage(_items(plain, wanted.select("uid", "digest"), prepare), "items")
 
     pairs = members.where("uid != lo").groupBy(F.col("uid").alias("a")).agg(F.min("lo").alias("b"))
     tested = stage(pairs, "pairs")
-    links = stage(_verified(tested, texts, verify), "links")
-    members, leaders = members.select("key", "uid"), 1
+    links = stage(_verified(tested, keys, items, verify, shared), "links")
+    members, leaders = members.select("key", "uid"), 4
     while True:
         m = members.join(_near_labels(links), "uid", "left").select("key", "uid", F.coalesce("label", "uid").alias("label"))
         # A class has one entry in a bucket; a bucket with one class is done.
@@ -188,7 +209,7 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, verify: Verifi
             if several.where(F.col("n") > leaders).isEmpty():
                 return links
         else:
-            links = stage(links.unionByName(_verified(new, texts, verify)), "links")
+            links = stage(links.unionByName(_verified(new, keys, items, verify, shared)), "links")
             tested = stage(tested.unionByName(new), "tested")
         members = stage(m.join(several.select("key"), "key").select("key", "uid"), "open")
-        leaders *= 2
+        leaders *= 4

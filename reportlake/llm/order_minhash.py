@@ -21,9 +21,13 @@ from reportlake.llm.near_duplicates import near_duplicate_classes
 from reportlake.llm.shingles import mix, shingle_hashes
 
 #: Sampled k-mers of a sketch and sketches of a text.  At a similarity of 0.8 a
-#: sketch agrees with probability about 0.8 ** 8 = 0.17, one of 32 with 0.997.
+#: sketch agrees with probability about 0.8 ** 8 = 0.17, two of 40 with 0.994; at 0.5
+#: two agree with probability 0.01.
 LENGTH = 8
-SKETCHES = 32
+SKETCHES = 40
+
+#: Sketches a pair shares at least to be verified.
+SHARED = 2
 
 #: Near duplicates have at least this similarity.
 SIMILARITY = 0.8
@@ -113,9 +117,14 @@ def similarity_at_least(a: Sequence[int], b: Sequence[int], least: float = SIMIL
     return head + tail + aligned(a[head:n - tail], b[head:m - tail], band) >= need
 
 
-def near(x: str, y: str) -> bool:
-    hashes, at = shingle_hashes([x, y])
-    return similarity_at_least(hashes[:at[1]].tolist(), hashes[at[1]:].tolist())
+def kmers(texts: Sequence[str]) -> list[np.ndarray]:
+    """The 5-mer hashes of each text, in text order."""
+    hashes, at = shingle_hashes(texts)
+    return [hashes[a:b].view(np.int64) for a, b in zip(at[:-1], at[1:])]
+
+
+def near(a: np.ndarray, b: np.ndarray) -> bool:
+    return similarity_at_least(a.tolist(), b.tolist())
 
 
 def order_minhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,4 +133,4 @@ def order_minhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Cases of nulls, empty texts, repeated rows and empty tables: see
     ``near_duplicates.near_duplicate_classes``.
     """
-    return near_duplicate_classes(docs, sign, near, id_col, text_col)
+    return near_duplicate_classes(docs, sign, kmers, near, id_col, text_col, SHARED)
