@@ -19,7 +19,7 @@ def command(entities, selects, where=None, window=True):
         q["Where"] = where
     cmd = {"Query": q}
     if window:
-        cmd["Binding"] = {"DataReduction": {"DataVolume": 3, "Primary": {"Window": {"Count": 500}}}}
+        cmd["Binding"] = {"DataReduction": {"DataVolume": 3, "Primary": {"Window": {"Count": 120}}}}
     return cmd
 
 
@@ -27,9 +27,9 @@ def col(src, prop):
     return {"Column": {"Expression": {"SourceRef": {"Source": src}}, "Property": prop}}
 
 
-def body(cmd, model_id=None, ds="ds1"):
+def body(cmd, model_id=None, ds="set-7"):
     b = {"version": "1.0.0", "queries": [{"Query": {"Commands": [{"SemanticQueryDataShapeCommand": cmd}]},
-                                         "ApplicationContext": {"DatasetId": ds, "Sources": [{"ReportId": "rep", "VisualId": "vis"}]}}],
+                                         "ApplicationContext": {"DatasetId": ds, "Sources": [{"ReportId": "rp-2", "VisualId": "vs-9"}]}}],
          "cancelQueries": []}
     if model_id is not None:
         b["modelId"] = model_id
@@ -37,120 +37,119 @@ def body(cmd, model_id=None, ds="ds1"):
 
 
 def captures(spark, bodies, headers=None, report="r"):
-    rows = [(report, i, QURL, headers or [("X-ResourceKey", "key1")], b) for i, b in enumerate(bodies)]
+    rows = [(report, i, QURL, headers or [("X-ResourceKey", "yard-key")], b) for i, b in enumerate(bodies)]
     return spark.createDataFrame(rows, "report_key string, pos int, url string, headers array<struct<name:string,value:string>>, body string")
 
 
-def test_har_source_and_capture_filter(spark, tmp_path):
-    good = body(command([("u", "Units")], [col("u", "Name")]))
-    entries = [
-        {"request": {"method": "POST", "url": QURL, "headers": [{"name": "a", "value": "b"}], "postData": {"text": good}}},
-        {"request": {"method": "GET", "url": QURL}},
-        {"request": {"method": "POST", "url": "https://x/other", "postData": {"text": good}}},
-        {"request": {"method": "POST", "url": QURL, "postData": {"text": ""}}},
-        {"request": {"method": "POST", "url": QURL, "postData": {"text": "{bad"}}},
-        {"request": {"method": "POST", "url": QURL, "postData": {"text": good + "}}"}}},
+DEPOTS = command([("d", "Depots")], [col("d", "Gate"), col("d", "Crane")])
+TRAINS = command([("t", "Trains"), ("w", "Wagons"), ("d", "Depots")], [col("w", "Axles"), col("t", "Line"), col("d", "Gate")])
+CREWS = command([("c", "Crews")], [col("c", "Shift")])
+
+
+def names_of(found):
+    return [r.name for r in found["modules"].orderBy("pos").collect()]
+
+
+def test_har_entries_that_are_query_captures(spark, tmp_path):
+    good = body(TRAINS)
+    post = {"method": "POST", "url": QURL}
+    requests = [
+        {"method": "OPTIONS", "url": QURL, "postData": {"text": good}},
+        {**post, "postData": {"text": good[:-3]}},
+        {**post, "headers": [{"name": "x-a", "value": "1"}], "postData": {"text": good}},
+        {**post, "url": "https://api.example.com/other", "postData": {"text": good}},
+        {**post, "postData": {"text": ""}},
+        {**post, "postData": {"text": good}},
     ]
-    p = tmp_path / "one.har"
-    p.write_text(json.dumps({"log": {"entries": entries}}))
-    caps, rejects = filter_captures(har_entries(read_har_texts(spark, str(p))))
-    assert [r.pos for r in caps.collect()] == [0]
-    assert sorted(r.reject for r in rejects.collect()) == ["bad_json", "bad_json", "empty_body", "not_post", "not_query_path"]
+    (tmp_path / "yard.har").write_text(json.dumps({"log": {"entries": [{"request": r} for r in requests]}}))
+    caps, rejects = filter_captures(har_entries(read_har_texts(spark, str(tmp_path / "yard.har"))))
+    assert sorted(r.pos for r in caps.collect()) == [2, 5]
+    assert {r.pos: r.reject for r in rejects.collect()} == {0: "not_post", 1: "bad_json", 3: "not_query_path", 4: "empty_body"}
 
 
-def test_header_lookup_case_insensitive_last_duplicate(spark):
-    df = spark.createDataFrame([([("Accept", "x"), ("x-resourcekey", "old"), ("X-RESOURCEKEY", "other"), ("x-resourcekey", "new")],)],
+def test_headers_are_found_in_any_case_and_the_last_counts(spark):
+    df = spark.createDataFrame([([("X-Trace", "t1"), ("x-yard", "first"), ("X-YARD", "other case"), ("x-yard", "last")],)],
                                "h array<struct<name:string,value:string>>")
-    assert df.select(header_value("h", "X-ResourceKey")).first()[0] == "new"
-    assert df.select(header_value("h", "Missing")).first()[0] is None
+    assert [df.select(header_value("h", n)).first()[0] for n in ("X-Yard", "x-trace", "absent")] == ["last", "t1", None]
 
 
-def test_two_equal_queries_and_one_other(spark):
-    a = body(command([("u", "Units"), ("t", "Totals")], [col("u", "Name"), col("t", "Total")]))
-    b = body(command([("p", "People")], [col("p", "Email")]))
-    out = discover(captures(spark, [a, a, b], headers=[("x-resourcekey", "key1")]))
-    names = [r.name for r in out["modules"].orderBy("pos").collect()]
-    assert names == ["totals_units_name_total", "people_email"]
-    cfg = out["report_config"].first()
-    assert (cfg.resource_key, cfg.model_id, cfg.dataset_id) == ("key1", 598501, "ds1")
+def test_modules_of_a_report_and_its_config(spark):
+    found = discover(captures(spark, [body(TRAINS), body(CREWS), body(TRAINS), body(DEPOTS), body(CREWS)], headers=[("X-RESOURCEKEY", "yard-key")]))
+    assert names_of(found) == ["depots_trains_wagons_axles_line_gate", "crews_shift", "depots_gate_crane"]
+    c = found["report_config"].first()
+    assert (c.resource_key, c.dataset_id, c.report_id, c.visual_id, c.model_id) == ("yard-key", "set-7", "rp-2", "vs-9", 598501)
 
 
-def test_model_id_taken_when_present(spark):
-    a = body(command([("u", "Units")], [col("u", "Name")]), model_id=1234)
-    assert discover(captures(spark, [a]))["report_config"].first().model_id == 1234
+def test_model_of_the_capture_is_kept(spark):
+    assert discover(captures(spark, [body(CREWS, model_id=42)]))["report_config"].first().model_id == 42
 
 
-def test_subquery_and_unusable_reports_fail(spark):
-    sub = command([("u", "Units")], [col("u", "Name")])
-    sub["Query"]["From"].append({"Name": "s", "Expression": {"Subquery": {}}, "Type": 2})
-    out = discover(captures(spark, [body(sub)]))
-    assert out["modules"].count() == 0
-    st = out["report_discovery"].first()
-    assert (st.status, st.detail) == ("failed", "no_usable_modules")
-    assert out["rejects"].first().reason == "subquery_source"
+def test_report_of_subqueries_only_fails(spark):
+    nested = json.loads(json.dumps(TRAINS))
+    nested["Query"]["From"].insert(1, {"Name": "q", "Type": 2, "Expression": {"Subquery": {"Query": {}}}})
+    found = discover(captures(spark, [body(nested), body(nested)]))
+    st = found["report_discovery"].first()
+    assert (names_of(found), st.status, st.detail) == ([], "failed", "no_usable_modules")
+    assert {r.reason for r in found["rejects"].collect()} == {"subquery_source"}
 
 
-def test_no_entities_gives_query_index_name(spark):
-    a = body(command([("u", "Units")], [col("u", "Name")]))
-    b = body(command([], [col("x", "Name")]))
-    names = {r.pos: r.name for r in discover(captures(spark, [a, b]))["modules"].collect()}
-    assert names[1] == "query_1_name"
+def test_module_without_a_source_is_named_by_its_place(spark):
+    bare = command([], [col("z", "Weight"), col("z", "Seal")])
+    assert names_of(discover(captures(spark, [body(CREWS), body(DEPOTS), body(bare)])))[2] == "query_2_weight_seal"
 
 
-def test_same_name_different_shape_gets_suffixes(spark):
-    a = body(command([("u", "Units")], [col("u", "Name")], where=[{"Condition": 1}]))
-    b = body(command([("u", "Units")], [col("u", "Name")], where=[{"Condition": 2}]))
-    c = body(command([("p", "People")], [col("p", "Email")]))
-    names = [r.name for r in discover(captures(spark, [a, c, b]))["modules"].orderBy("pos").collect()]
-    assert names == ["units_name_1", "people_email", "units_name_2"]
+def test_equal_names_of_different_queries_are_numbered(spark):
+    filtered = [command([("c", "Crews")], [col("c", "Shift")], where=[{"Condition": {"Not": i}}]) for i in range(3)]
+    found = discover(captures(spark, [body(filtered[0]), body(filtered[1]), body(DEPOTS), body(filtered[2]), body(filtered[0])]))
+    assert names_of(found) == ["crews_shift_1", "crews_shift_2", "depots_gate_crane", "crews_shift_3"]
 
 
-def test_where_kept_in_template(spark):
-    where = [{"Condition": {"Comparison": {"ComparisonKind": 0, "Right": {"Literal": {"Value": "'x'"}}}}}]
-    m = discover(captures(spark, [body(command([("u", "Units")], [col("u", "Name")], where=where))]))["modules"].first()
+def test_filter_stays_in_the_template(spark):
+    where = [{"Condition": {"In": {"Expressions": [col("c", "Shift")], "Values": [[{"Literal": {"Value": "2L"}}]]}}}]
+    m = discover(captures(spark, [body(command([("c", "Crews")], [col("c", "Shift")], where=where))]))["modules"].first()
     assert json.loads(m.query_template)["Query"]["Where"] == where
 
 
-def test_select_kinds(spark):
-    sel = [col("u", "A"), {"Measure": {"Expression": {"SourceRef": {"Source": "u"}}, "Property": "B"}},
-           {"Aggregation": {"Expression": col("u", "C"), "Function": 5}},
-           {"Aggregation": {"Expression": {"Measure": {"Expression": {"SourceRef": {"Source": "u"}}, "Property": "D"}}}},
-           {"HierarchyLevel": {}}, {"Column": {"Property": "E"}}]
-    m = discover(captures(spark, [body(command([("u", "Units")], sel))]))["modules"].first()
-    assert [(s.alias, s.prop, s.is_measure) for s in m.select_columns] == [("u", "A", False), ("u", "B", True), ("u", "C", True)]
+def test_kinds_of_selected_columns(spark):
+    measure = {"Measure": {"Expression": {"SourceRef": {"Source": "w"}}, "Property": "Load"}}
+    items = [{"Aggregation": {"Expression": col("w", "Axles"), "Function": 0}}, {"Arithmetic": {}}, measure, col("w", "Seal"), {"Column": {"Property": "Lost"}}]
+    m = discover(captures(spark, [body(command([("w", "Wagons")], items))]))["modules"].first()
+    assert [tuple(c) for c in m.select_columns] == [("w", "Axles", True), ("w", "Load", True), ("w", "Seal", False)]
 
 
-def test_url_list_dedupe_in_order(spark, tmp_path):
-    pre = "https://app.example.com/view?r="
-    p = tmp_path / "urls.txt"
-    p.write_text(f"noise {pre}AAA more\n\"{pre}BBB\" and {pre}AAA again <{pre}CCC&x=1> {pre}DDD,\u00a0x\n")
-    got = [r.url for r in extract_view_urls(read_texts(spark, str(p))).orderBy("first_seen").collect()]
-    assert got == [f"{pre}AAA", f"{pre}BBB", f"{pre}CCC&x=1", f"{pre}DDD,"]
+def test_links_of_a_text_in_order_without_repeats(spark, tmp_path):
+    link = "https://app.example.com/view?r="
+    (tmp_path / "list.txt").write_text(f"see {link}N7, then <{link}S2&lang=no>\n'{link}N7' {link}S2&lang=no\t{link}W1\n")
+    got = [r.url for r in extract_view_urls(read_texts(spark, str(tmp_path / "list.txt"))).orderBy("first_seen").collect()]
+    assert got[-1] == f"{link}W1" and f"{link}S2&lang=no" in got and len(got) == len(set(got))
 
 
-def test_resource_key_unpadded_base64(spark):
+def test_resource_key_in_a_link(spark):
     import base64
-    r = base64.b64encode(json.dumps({"k": "abc-123"}).encode()).decode().rstrip("=")
-    df = spark.createDataFrame([(f"https://app.example.com/view?r={r}",), ("https://app.example.com/view?x=1",)], "url string")
+
+    links = ["https://app.example.com/view?r=" + base64.b64encode(json.dumps({"t": "x", "k": k}).encode()).decode().rstrip("=") for k in ("n-7", "south-22")]
+    df = spark.createDataFrame([(u,) for u in [*links, "https://app.example.com/view?page=3"]], "url string")
     key, reason = resource_key(F.col("url"))
-    assert [(a.k, a.why) for a in df.select(key.alias("k"), reason.alias("why")).collect()] == [("abc-123", None), (None, "no_r_param")]
-
-
-def test_catalog_round_trip_and_report_dirs(spark):
-    out = discover(captures(spark, [body(command([("u", "Units")], [col("u", "Name")]))]))
-    path = scratch_dir(spark, "cat")
-    save_catalog(out["report_config"], out["modules"], path)
-    cfg, mods = load_catalog(spark, path)
-    assert cfg.first().resource_key == "key1"
-    m = mods.first()
-    assert (m.name, m.output_filename, [tuple(s) for s in m.select_columns]) == ("units_name", "units_name.csv", [("u", "Name", False)])
-    urls = spark.createDataFrame([("https://app.example.com/view?q=1", 1)], "url string, url_index long")
-    assert report_dirs(urls).first().report_dir == "report_1"
-
-
-def test_source_without_name_is_rejected_not_a_crash(spark):
-    cmd = command([("u", "Units")], [col("u", "Name")])
-    cmd["Query"]["From"].append({"Entity": "Other", "Type": 0})
-    out = discover(captures(spark, [body(cmd), body(command([("p", "People")], [col("p", "Email")]))]))
-    assert [r.name for r in out["modules"].collect()] == ["people_email"]
-    assert [r.reason for r in out["rejects"].collect()] == ["bad_source"]
+    assert [tuple(r) for r in df.select(key, reason).collect()] == [("n-7", None), ("south-22", None), (None, "no_r_param")]
+
+
+def test_saved_catalog_comes_back(spark):
+    found = discover(captures(spark, [body(DEPOTS), body(TRAINS)]))
+    path = scratch_dir(spark, "catalog")
+    save_catalog(found["report_config"], found["modules"], path)
+    config, modules = load_catalog(spark, path)
+    assert config.first().asDict() == found["report_config"].select(*config.columns).first().asDict()
+    assert sorted((m.name, m.output_filename) for m in modules.collect()) == [
+        ("depots_gate_crane", "depots_gate_crane.csv"), ("depots_trains_wagons_axles_line_gate", "depots_trains_wagons_axles_line_gate.csv")]
+
+
+def test_folder_of_a_link_without_key(spark):
+    urls = spark.createDataFrame([("https://app.example.com/view?page=3", 10), ("https://app.example.com/none", 4)], "url string, url_index long")
+    assert {r.url_index: r.report_dir for r in report_dirs(urls).collect()} == {4: "report_1", 10: "report_2"}
+
+
+def test_source_without_a_name_rejects_its_capture_only(spark):
+    odd = json.loads(json.dumps(CREWS))
+    odd["Query"]["From"].append({"Entity": "Rosters", "Type": 0})
+    found = discover(captures(spark, [body(odd), body(DEPOTS)]))
+    assert (names_of(found), [r.reason for r in found["rejects"].collect()]) == (["depots_gate_crane"], ["bad_source"])
