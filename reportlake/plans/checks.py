@@ -880,3 +880,69 @@ def q_module_outcome(spark, sf_dir):
     status = F.when(F.col("event_type") == "error", 500).when(F.col("event_type") == "purchase", 401).otherwise(200)
     ex = extract(responses_of(pages, "events", F.col("user_id"), F.col("page_no"), status=status))
     return ex.status().select(F.col("module").cast("bigint").alias("module"), "n_rows", "status")
+
+
+# ---------------------------------------------------------------------------
+# wide pages, text in CSVs
+# ---------------------------------------------------------------------------
+
+WIDE = 130
+
+
+def _wide_value(i: int) -> str:
+    return f"s_suppkey * {i + 1} + s_nationkey"
+
+
+def _wide_repeated(i: int) -> bool:
+    """Columns with a repeat bit on rows of kind 1 (s_suppkey % 3)."""
+    return i % 5 == 0
+
+
+def _wide_null(i: int) -> bool:
+    """Columns with a null bit on rows of kind 2."""
+    return i % 7 == 3
+
+
+def _wide_sql(i: int) -> str:
+    v = _wide_value(i)
+    before = f"lag({v}) OVER (PARTITION BY s_suppkey // 99 ORDER BY s_suppkey)" if _wide_repeated(i) else v
+    null = "NULL" if _wide_null(i) else v
+    return f"CASE s_suppkey % 3 WHEN 1 THEN {before} WHEN 2 THEN {null} ELSE {v} END AS w{i}"
+
+
+@check("Q_wide_page", "SELECT s_suppkey, " + ", ".join(map(_wide_sql, range(WIDE))) + " FROM supplier")
+def q_wide_page(spark, sf_dir):
+    """Supplier pages of 131 columns; rows of kind 1 and 2 have repeat and null masks beyond 126 bits."""
+    su = table(spark, sf_dir, "supplier").withColumn("p", F.expr("s_suppkey div 99"))
+    values = ["CAST(s_suppkey AS STRING)"]
+    for i in range(WIDE):
+        left_out = [k for k, out in ((1, _wide_repeated(i)), (2, _wide_null(i))) if out]
+        v = f"CAST({_wide_value(i)} AS STRING)"
+        values.append(f"CASE WHEN s_suppkey % 3 IN ({', '.join(map(str, left_out))}) THEN NULL ELSE {v} END" if left_out else v)
+    repeat, null = (sum(1 << i + 1 for i in range(WIDE) if bit(i)) for bit in (_wide_repeated, _wide_null))
+    schema = "[" + ",".join(f'{{"N":"M{i}"}}' for i in range(WIDE + 1)) + "]"
+    entry = (
+        "concat('{', CASE WHEN s_suppkey = min(s_suppkey) OVER (PARTITION BY p) THEN '\"S\":" + schema + ",' ELSE '' END, "
+        f"CASE s_suppkey % 3 WHEN 1 THEN '\"R\":{repeat},' WHEN 2 THEN '\"Ø\":{null},' ELSE '' END, "
+        "'\"C\":[', concat_ws(',', " + ", ".join(values) + "), ']}')"
+    )
+    names = desc(("M0", "s.s_suppkey"), *[(f"M{i + 1}", f"s.w{i}") for i in range(WIDE)])
+    pages = custom_pages(su, ["p"], ["s_suppkey"], entry, names)
+    rows = explode_rows(decode_pages(responses_of(pages, "wide", "supplier", F.col("p") + 1)))
+    return typed_columns(rows, {"s_suppkey": "bigint", **{f"w{i}": "bigint" for i in range(WIDE)}})
+
+
+_BLANKS = "concat('  ', c_name, ', \"', c_mktsegment, '\" ')"
+
+
+@check("Q_csv_text", f"SELECT c_custkey, {_BLANKS} AS note, c_acctbal > 0 AS solvent FROM customer")
+def q_csv_text(spark, sf_dir):
+    """B1: blanks at both ends, quotes, commas and booleans come back from a module CSV as they were."""
+    cu = table(spark, sf_dir, "customer").withColumn("p", F.expr("c_custkey div 1000"))
+    fields = [Field("M0", "c.c_custkey", "c_custkey", repeat=None), Field("M1", "c.note", _BLANKS), Field("M2", "c.solvent", "c_acctbal > 0")]
+    resp = responses_of(encode_table(cu, ["p"], ["c_custkey"], fields), "customers", "customer", F.col("p") + 1)
+    typed = typed_columns(explode_rows(decode_pages(resp)), {"c_custkey": "bigint", "note": "string", "solvent": "boolean"}, ("page_no", "pos"))
+    path = scratch_dir(spark, "csv") + "/customer.csv"
+    write_module_csv(typed, path)
+    return (spark.read.schema("c_custkey bigint, note string, solvent boolean").option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
