@@ -4,10 +4,13 @@ Shared by the MinHash and the Order MinHash operators.  Exact copies collapse to
 one text first (128-bit digest).  Texts that share a key share a bucket.  A
 bucket is never expanded into all its pairs.  In the first round a text is checked
 against the least member of its buckets, since most buckets of a class repeat the
-same pair.  Then members are checked against the least members of the other
-classes in their bucket, until every member has met all of those.  Links make
-classes by connected components.  All state is in tables below
-``spark.checkpoint.dir``.
+same pair.  Texts whose buckets still hold several classes then meet by their
+rarest items: near texts share ``OVERLAP`` of the items of each, so of any common
+order of all items they share one of the first of both (prefix filter), and texts
+that share no more than a frequent passage do not meet.  Members are checked against
+the least members of the other classes at their item, if they share enough keys,
+until every member has met all of those.  Links make classes by connected
+components.  All state is in tables below ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -29,6 +32,13 @@ SIGN_BYTES = 2 << 20
 #: Bits of the filter that keeps texts without candidates out of the shuffle (fixed size: 1 MB).
 FILTER_BITS = 1 << 23
 
+#: Counters of items (fixed size: 8 MB).  Items that share a counter count as more
+#: frequent than they are, which costs checks but loses no pair.
+COUNTERS = 1 << 20
+
+#: Near texts share at least this part of the items of each.
+OVERLAP = 0.8
+
 #: (texts) -> an array of keys (int64) for each text.
 Signer = Callable[[Sequence[str]], list[np.ndarray]]
 
@@ -87,6 +97,41 @@ def _items(docs: DataFrame, wanted: DataFrame, prepare: Preparer) -> DataFrame:
     return once.mapInArrow(run, "uid long, items array<long>")
 
 
+def _item_counts(items: DataFrame) -> np.ndarray:
+    """How often the items of each counter occur; ``COUNTERS`` numbers come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            n += np.bincount(batch.column(0).flatten().to_numpy() & (COUNTERS - 1), minlength=COUNTERS)
+        slot = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n[slot])], names=["slot", "n"])
+
+    found = items.select("items").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COUNTERS, np.int64)
+    out[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def _rare_items(items: DataFrame) -> DataFrame:
+    """(key, uid): the rarest items of each text, as many as near texts can differ in and one more."""
+    counts = items.sparkSession.sparkContext.broadcast(_item_counts(items))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, at = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
+            rare = []
+            for own in (values[a:b] for a, b in zip(at[:-1], at[1:])):
+                first = len(own) - int(np.ceil(OVERLAP * len(own) - 1e-9)) + 1
+                rare.append(np.unique(own[np.lexsort((own, counts.value[own & (COUNTERS - 1)]))[:first]]))
+            uids = np.repeat(batch.column(0).to_numpy(), [len(r) for r in rare])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rare)), pa.array(uids)], names=["key", "uid"])
+
+    keyed = items.select("uid", "items").mapInArrow(run, "key long, uid long")
+    several = keyed.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi")
+    return keyed.join(several.select("key"), "key")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of rows (a, b): label is the least node of the component.  Nodes are longs."""
     both = stage(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
@@ -194,7 +239,11 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Prepa
     pairs = members.where("uid != lo").groupBy(F.col("uid").alias("a")).agg(F.min("lo").alias("b"))
     tested = stage(pairs, "pairs")
     links = stage(_verified(tested, keys, items, verify, shared), "links")
-    members, leaders = members.select("key", "uid"), 4
+    m = members.join(_near_labels(links), "uid", "left").select("key", "uid", F.coalesce("label", "uid").alias("label"))
+    m = stage(m, "first-classes")
+    several = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    unsettled = m.join(several, "key").select("uid").distinct()
+    members, leaders = stage(_rare_items(stage(items.join(unsettled, "uid"), "unsettled")), "rare"), 4
     while True:
         m = members.join(_near_labels(links), "uid", "left").select("key", "uid", F.coalesce("label", "uid").alias("label"))
         # A class has one entry in a bucket; a bucket with one class is done.
