@@ -152,7 +152,10 @@ def _side(table: DataFrame, uid: str, value: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, keys: DataFrame, items: DataFrame, verify: Verifier, shared: int) -> DataFrame:
-    """The pairs (a, b) that share ``shared`` keys at least and whose items pass."""
+    """The pairs (a, b) that share ``shared`` keys at least and whose items pass.
+
+    ``keys`` has 32 bits of each key; a chance match costs a check and no more.
+    """
     if shared > 1:
         both = pairs.join(_side(keys, "a", "ka"), "a").join(_side(keys, "b", "kb"), "b")
         pairs = both.where(F.size(F.array_intersect("ka", "kb")) >= shared).select("a", "b")
@@ -218,7 +221,6 @@ def _near_labels(links: DataFrame) -> DataFrame:
     both = links.union(links.select("b", "a"))
     label = both.groupBy(F.col("a").alias("uid")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
     for _ in range(2):
-        label = stage(label, "labels")
         far = label.select(F.col("uid").alias("label"), F.col("label").alias("far"))
         label = label.join(far, "label").select("uid", F.col("far").alias("label"))
     return stage(label, "labels")
@@ -227,13 +229,13 @@ def _near_labels(links: DataFrame) -> DataFrame:
 def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Preparer, verify: Verifier, shared: int) -> DataFrame | None:
     """Verified pairs (a, b) of uids that connect all classes; None if there are no candidates.
 
-    Each later round takes four times as many leaders of every open bucket, so their
-    number grows with the logarithm of the largest bucket.
+    Each later round takes 16 times as many leaders of every open group, so the number
+    of rounds grows with the logarithm of the largest group.
     """
     if members.isEmpty():
         return None
     wanted = stage(members.select("uid").distinct().join(once, "uid"), "candidates")
-    keys = wanted.select("uid", "keys")
+    keys = stage(wanted.select("uid", F.transform("keys", lambda k: F.shiftright(k, 32).cast("int")).alias("keys")), "keys-32")
     items = stage(_items(plain, wanted.select("uid", "digest"), prepare), "items")
 
     pairs = members.where("uid != lo").groupBy(F.col("uid").alias("a")).agg(F.min("lo").alias("b"))
@@ -243,7 +245,7 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Prepa
     m = stage(m, "first-classes")
     several = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     unsettled = m.join(several, "key").select("uid").distinct()
-    members, leaders = stage(_rare_items(stage(items.join(unsettled, "uid"), "unsettled")), "rare"), 4
+    members, leaders = stage(_rare_items(stage(items.join(unsettled, "uid"), "unsettled")), "rare"), 16
     while True:
         m = members.join(_near_labels(links), "uid", "left").select("key", "uid", F.coalesce("label", "uid").alias("label"))
         # A class has one entry in a bucket; a bucket with one class is done.
@@ -258,7 +260,7 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Prepa
             if several.where(F.col("n") > leaders).isEmpty():
                 return links
         else:
-            links = stage(links.unionByName(_verified(new, keys, items, verify, shared)), "links")
-            tested = stage(tested.unionByName(new), "tested")
+            links = links.unionByName(stage(_verified(new, keys, items, verify, shared), "links"))
+            tested = tested.unionByName(new)
         members = stage(m.join(several.select("key"), "key").select("key", "uid"), "open")
-        leaders *= 4
+        leaders *= 16
