@@ -11,7 +11,6 @@ verified by a banded alignment of the two 5-mer sequences.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
@@ -102,7 +101,7 @@ def similarity_at_least(a: Sequence[int], b: Sequence[int], least: float = SIMIL
     if not n or not m:
         return n == m
     need = int(np.ceil(least * (n + m) / (1 + least) - 1e-9))  # matches that give the similarity
-    if min(n, m) < need or sum((Counter(a) & Counter(b)).values()) < need:
+    if min(n, m) < need:
         return False
     head = 0
     while head < min(n, m) and a[head] == b[head]:
@@ -124,6 +123,13 @@ def kmers(texts: Sequence[str]) -> list[np.ndarray]:
 
 
 def near(a: np.ndarray, b: np.ndarray) -> bool:
+    """``similarity_at_least``, but pairs with too few items in common are not aligned."""
+    need = SIMILARITY * (len(a) + len(b)) / (1 + SIMILARITY) - 1e-9
+    if min(len(a), len(b)) < need:
+        return False
+    x, y = np.sort(a), np.sort(b)
+    if len(y) and np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x) < need:
+        return False
     return similarity_at_least(a.tolist(), b.tolist())
 
 
