@@ -124,8 +124,9 @@ def _rare_items(items: DataFrame) -> DataFrame:
             for own in (values[a:b] for a, b in zip(at[:-1], at[1:])):
                 first = len(own) - int(np.ceil(OVERLAP * len(own) - 1e-9)) + 1
                 rare.append(np.unique(own[np.lexsort((own, counts.value[own & (COUNTERS - 1)]))[:first]]))
-            uids = np.repeat(batch.column(0).to_numpy(), [len(r) for r in rare])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rare)), pa.array(uids)], names=["key", "uid"])
+            if rare:
+                uids = np.repeat(batch.column(0).to_numpy(), [len(r) for r in rare])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rare)), pa.array(uids)], names=["key", "uid"])
 
     keyed = items.select("uid", "items").mapInArrow(run, "key long, uid long")
     several = keyed.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi")
@@ -229,7 +230,7 @@ def _near_labels(links: DataFrame) -> DataFrame:
 def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Preparer, verify: Verifier, shared: int) -> DataFrame | None:
     """Verified pairs (a, b) of uids that connect all classes; None if there are no candidates.
 
-    Each later round takes 16 times as many leaders of every open group, so the number
+    Each later round takes 64 times as many leaders of every open group, so the number
     of rounds grows with the logarithm of the largest group.
     """
     if members.isEmpty():
@@ -245,7 +246,7 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Prepa
     m = stage(m, "first-classes")
     several = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     unsettled = m.join(several, "key").select("uid").distinct()
-    members, leaders = stage(_rare_items(stage(items.join(unsettled, "uid"), "unsettled")), "rare"), 16
+    members, leaders = stage(_rare_items(stage(items.join(unsettled, "uid"), "unsettled")), "rare"), 32
     while True:
         m = members.join(_near_labels(links), "uid", "left").select("key", "uid", F.coalesce("label", "uid").alias("label"))
         # A class has one entry in a bucket; a bucket with one class is done.
@@ -256,11 +257,9 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Prepa
         lead = lead.select("key", F.col("uid").alias("lo"), F.col("label").alias("lead"))
         asked = m.join(lead, "key").where("label != lead AND uid > lo").select(F.col("uid").alias("a"), F.col("lo").alias("b"))
         new = stage(asked.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if new.isEmpty():
-            if several.where(F.col("n") > leaders).isEmpty():
-                return links
-        else:
-            links = links.unionByName(stage(_verified(new, keys, items, verify, shared), "links"))
-            tested = tested.unionByName(new)
+        links = links.unionByName(stage(_verified(new, keys, items, verify, shared), "links"))
+        if several.where(F.col("n") > leaders).isEmpty():
+            return links  # all classes of all groups were leaders
+        tested = tested.unionByName(new)
         members = stage(m.join(several.select("key"), "key").select("key", "uid"), "open")
-        leaders *= 16
+        leaders *= 64
