@@ -8,8 +8,9 @@ same pair.  Texts whose buckets still hold several classes then meet by their
 rarest items: near texts share ``OVERLAP`` of the items of each, so of any common
 order of all items they share one of the first of both (prefix filter), and texts
 that share no more than a frequent passage do not meet.  Members are checked against
-the least members of the other classes at their item, if they share enough keys,
-until every member has met all of those.  Links make classes by connected
+leaders of the other classes at their item, if they share enough keys; leaders are
+the least member of each class, then the next ones, until one class is left or
+every member has met all members of other classes.  Links make classes by connected
 components.  All state is in tables below ``spark.checkpoint.dir``.
 """
 
@@ -39,6 +40,9 @@ COUNTERS = 1 << 20
 #: Near texts share at least this part of the items of each.
 OVERLAP = 0.8
 
+#: Leaders of a group in the first round of leaders.
+LEADERS = 32
+
 #: (texts) -> an array of keys (int64) for each text.
 Signer = Callable[[Sequence[str]], list[np.ndarray]]
 
@@ -231,7 +235,9 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Prepa
     """Verified pairs (a, b) of uids that connect all classes; None if there are no candidates.
 
     Each later round takes 64 times as many leaders of every open group, so the number
-    of rounds grows with the logarithm of the largest group.
+    of rounds grows with the logarithm of the largest group.  A group is done when it
+    holds one class or every member has been a leader: then all pairs of two classes
+    have been checked.
     """
     if members.isEmpty():
         return None
@@ -246,20 +252,28 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Prepa
     m = stage(m, "first-classes")
     several = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     unsettled = m.join(several, "key").select("uid").distinct()
-    members, leaders = stage(_rare_items(stage(items.join(unsettled, "uid"), "unsettled")), "rare"), 32
+    # led marks members that have met all others at their item.
+    members = stage(_rare_items(stage(items.join(unsettled, "uid"), "unsettled")).withColumn("led", F.lit(False)), "rare")
+    leaders = LEADERS
     while True:
-        m = members.join(_near_labels(links), "uid", "left").select("key", "uid", F.coalesce("label", "uid").alias("label"))
-        # A class has one entry in a bucket; a bucket with one class is done.
-        classes = stage(m.groupBy("key", "label").agg(F.min("uid").alias("uid")), "open-classes")
-        several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        classes = classes.join(several, "key")
-        lead = classes.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("uid"))).where(F.col("nth") <= leaders)
-        lead = lead.select("key", F.col("uid").alias("lo"), F.col("label").alias("lead"))
-        asked = m.join(lead, "key").where("label != lead AND uid > lo").select(F.col("uid").alias("a"), F.col("lo").alias("b"))
-        new = stage(asked.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        label = _near_labels(links) if leaders == LEADERS else components(links).withColumnRenamed("node", "uid")
+        m = members.join(label, "uid", "left").select("key", "uid", "led", F.coalesce("label", "uid").alias("label"))
+        # An item with one class, or with leaders only, is done.
+        open_ = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("led").alias("all_led"))
+        m = stage(m.join(open_.where("lo < hi AND NOT all_led").select("key"), "key"), "open")
+        if m.isEmpty():
+            return links
+        # The next leaders: first one member of each class, then a second one of each, and so on.
+        rest = m.where("NOT led").withColumn("nth", F.row_number().over(Window.partitionBy("key", "label").orderBy("uid")))
+        rest = rest.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("nth", "uid")))
+        rest = stage(rest.select("key", "uid", "label", (F.col("place") <= leaders).alias("leads")), "leaders")
+        lead = rest.where("leads").select("key", F.col("uid").alias("lo"), F.col("label").alias("lead"))
+        # Members that led before have met these; two leaders meet once.
+        asked = rest.join(lead, "key").where("label != lead AND (uid > lo OR NOT leads)")
+        asked = asked.select(F.greatest("uid", "lo").alias("a"), F.least("uid", "lo").alias("b")).distinct()
+        new = stage(asked.join(tested, ["a", "b"], "left_anti"), "pairs")
         links = links.unionByName(stage(_verified(new, keys, items, verify, shared), "links"))
-        if several.where(F.col("n") > leaders).isEmpty():
-            return links  # all classes of all groups were leaders
         tested = tested.unionByName(new)
-        members = stage(m.join(several.select("key"), "key").select("key", "uid"), "open")
+        led = m.where("led").select("key", "uid", "led").unionByName(rest.select("key", "uid", F.col("leads").alias("led")))
+        members = stage(led, "members")
         leaders *= 64

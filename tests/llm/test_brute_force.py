@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from reportlake.llm import html_text, order_minhash, packing, quality_rules, secret_scan, toxicity
+from reportlake.llm import html_text, near_duplicates, order_minhash, packing, quality_rules, secret_scan, toxicity
 from reportlake.llm.fingerprints import fingerprint_documents, minhash_classes
 from reportlake.llm.mixing import in_mixed_order, period_schedule, pfair_mix
 from reportlake.llm.queries import op2_secret_scan
@@ -376,3 +376,14 @@ def test_toxic_words_are_learned():
 @pytest.mark.parametrize("n, want", [(0, [0]), (64, [0]), (65, [0, 1]), (200, [0, 52, 104, 136])])
 def test_windows_cover_the_text(n, want):
     assert toxicity.window_starts(n) == want
+
+
+def test_classes_joined_by_two_members_that_lead_none(spark, monkeypatch):
+    """1 ~ 3, 2 ~ 4 and 3 ~ 4 only: the classes of 1 and 2 meet by their second members."""
+    texts = {uid: " ".join(f"w{i}" for i in range(at, at + 104)) for uid, at in [(1, 0), (3, 10), (4, 20), (2, 30)]}
+    plain = spark.createDataFrame([(u, bytes([u]), t) for u, t in texts.items()], "id long, digest binary, text string")
+    once = spark.createDataFrame([(u, bytes([u]), [7]) for u in texts], "uid long, digest binary, keys array<long>")
+    members = spark.createDataFrame([(7, u, 1) for u in texts], "key long, uid long, lo long")
+    monkeypatch.setattr(near_duplicates, "_rare_items", lambda items: items.selectExpr("7L AS key", "uid"))
+    links = near_duplicates._links(members, once, plain, order_minhash.kmers, order_minhash.near, 1)
+    assert {(max(r), min(r)) for r in links.collect()} == {(3, 1), (4, 2), (4, 3)}
