@@ -5,8 +5,10 @@ earlier occurrences, so repeats count.  One sketch hashes all items by one
 permutation, samples the ``LENGTH`` least, and keeps them in text order: two
 texts share the sketch only if they share those 5-mers in the same order, which
 follows edit similarity where plain MinHash is blind to order.  Each text has
-``SKETCHES`` independent sketches, the keys of its buckets.  A candidate pair is
-verified by a banded alignment of the two 5-mer sequences.
+``SKETCHES`` independent sketches, the keys of its buckets.  Texts of up to ``EXACT``
+5-mers, of which a sketch would hold most or all, have their least items by one order
+as keys instead (prefix filter): two that are near share one with certainty.  A
+candidate pair is verified by a banded alignment of the two 5-mer sequences.
 """
 
 from __future__ import annotations
@@ -19,9 +21,9 @@ from pyspark.sql import DataFrame
 from reportlake.llm.near_duplicates import near_duplicate_classes
 from reportlake.llm.shingles import mix, shingle_hashes
 
-#: Sampled k-mers of a sketch and sketches of a text.  At a similarity of 0.8 a
-#: sketch agrees with probability about 0.8 ** 8 = 0.17, two of 40 with 0.994; at 0.5
-#: two agree with probability 0.01.
+#: Sampled k-mers of a sketch and sketches of a text.  At a similarity of 0.8 two of
+#: 40 sketches agree with probability 0.987 where a pair has 65 5-mers in all, 0.994
+#: from some 500 on; at 0.5 with 0.01.
 LENGTH = 8
 SKETCHES = 40
 
@@ -31,6 +33,10 @@ SHARED = 2
 #: Near duplicates have at least this similarity.
 SIMILARITY = 0.8
 
+#: Two near texts of at most so many 5-mers are always candidates.  A text of up to
+#: ``SIMILARITY * EXACT`` 5-mers is near no longer one, so it needs no sketches.
+EXACT = 64
+
 _rng = np.random.default_rng(20240607)
 _ODD = _rng.integers(0, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, SKETCHES, dtype=np.uint64)
@@ -65,10 +71,29 @@ def order_sketches(hashes: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def prefix_keys(hashes: np.ndarray) -> np.ndarray:
+    """``SHARED`` keys for each of the least items of one text, as many as near texts can differ in and one more.
+
+    Near texts share one of them, and with it as many keys as a candidate pair needs.
+    """
+    items = np.sort(occurrence_labelled(hashes))[:len(hashes) - int(np.ceil(SIMILARITY * len(hashes) - 1e-9)) + 1]
+    nth = np.arange(1, SHARED + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
+    return mix(items[:, None] + nth).ravel().view(np.int64)
+
+
+def text_keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys of one text from its k-mer hashes in text order."""
+    if len(hashes) > EXACT:
+        return order_sketches(hashes)
+    if len(hashes) <= SIMILARITY * EXACT:
+        return prefix_keys(hashes)
+    return np.concatenate((order_sketches(hashes), prefix_keys(hashes)))
+
+
 def sign(texts: Sequence[str]) -> list[np.ndarray]:
     """Keys of each text; a text without words has none."""
     hashes, at = shingle_hashes(texts)
-    return [order_sketches(hashes[a:b]) if b > a else np.zeros(0, np.int64) for a, b in zip(at[:-1], at[1:])]
+    return [text_keys(hashes[a:b]) if b > a else np.zeros(0, np.int64) for a, b in zip(at[:-1], at[1:])]
 
 
 def aligned(a: Sequence[int], b: Sequence[int], band: int) -> int:

@@ -387,3 +387,19 @@ def test_classes_joined_by_two_members_that_lead_none(spark, monkeypatch):
     monkeypatch.setattr(near_duplicates, "_rare_items", lambda items: items.selectExpr("7L AS key", "uid"))
     links = near_duplicates._links(members, once, plain, order_minhash.kmers, order_minhash.near, 1)
     assert {(max(r), min(r)) for r in links.collect()} == {(3, 1), (4, 2), (4, 3)}
+
+
+def test_near_copies_of_short_texts_are_candidates():
+    """Any two near texts of up to 64 5-mers share the keys that a candidate pair needs."""
+    rnd = random.Random(3)
+    near = 0
+    for n in [5, 6, 9, 10, 12, 15, 20, 30, 45, 55, 60] * 6:
+        a = sentence(rnd, n).split()
+        at = rnd.randrange(n + 1)
+        for b in (a[:at] + ["new"] + a[at:], a + ["new"], a[1:], a[:at] + a[at + 1:], a[:-1] + ["new"], a + a[-1:]):
+            x, y = order_minhash.kmers([" ".join(a), " ".join(b)])
+            if order_minhash.near(x, y):
+                near += 1
+                p, q = order_minhash.sign([" ".join(a), " ".join(b)])
+                assert len(set(p.tolist()) & set(q.tolist())) >= order_minhash.SHARED
+    assert near > 100
