@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from reportlake.llm.mixing import in_mixed_order, pfair_mix
 from reportlake.llm.near_duplicates import digest
 from reportlake.llm.order_minhash import order_minhash_classes
-from reportlake.llm.packing import pack_documents
+from reportlake.llm.packing import in_file_order, pack_documents
 from reportlake.llm.secret_scan import redact_secrets
 from reportlake.llm.toxicity import score_documents, train_on
 from reportlake.session import stage
@@ -61,8 +61,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The bin of every piece of every document."""
-    return pack_documents(docs)
+    """The bin of every piece of every document.
+
+    Documents are packed by runs of their order in the files, which is the mixture, and
+    the bins of a run come before those of the next one.
+    """
+    return pack_documents(in_file_order(docs, "__place"), place_col="__place")
 
 
 STAGES = [

@@ -7,8 +7,9 @@ never share a bin.  Bins are ordered by residual space and carry bitmaps of thei
 sources and clusters; a document takes the tightest bin that fits, and the search
 goes on to the successor until one has neither of its bits set.
 
-Documents are dealt into blocks of about ``BLOCK_DOCS`` by a hash; a block is
-packed by one task from narrow rows, longest document first.
+Documents are dealt into blocks of about ``BLOCK_DOCS`` by a hash, or where their
+order counts by runs of it; a block is packed by one task from narrow rows, longest
+document first.  Bins are numbered by blocks.
 """
 
 from __future__ import annotations
@@ -18,9 +19,12 @@ from collections import Counter
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reportlake.session import stage
+
 #: Bytes a bin holds.
 CAPACITY = 8192
 
@@ -81,12 +85,35 @@ def pack(sizes: Sequence[int], sources: Sequence[object], clusters: Sequence[obj
     return out
 
 
+def in_file_order(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the place of each row (long, from 0) in the order of its Parquet files in column ``name``.
+
+    Files are in the order of their part numbers, then paths.  Rows that do not come
+    straight from files are written first, in the order they have.
+    """
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = stage(docs, "in-order")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(*names, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    part = F.regexp_extract("__file", r"/part-(\d+)[^/]*$", 1)
+    # One row per file.
+    files = rows.groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(F.expr("try_cast(part AS long)"), "__file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.withColumn("part", part).select("__file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    return rows.join(files, "__file").select(*names, (F.col("__start") + F.col("__row")).alias(name))
+
+
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
-                   source_col: str = "source", cluster_col: str | None = None, block_docs: int = BLOCK_DOCS) -> DataFrame:
+                   source_col: str = "source", cluster_col: str | None = None, block_docs: int = BLOCK_DOCS,
+                   place_col: str | None = None) -> DataFrame:
     """One row per piece: id, source, piece, piece_start, piece_bytes, bin, bin_start.
 
     ``cluster_col`` names the cluster of duplicates of a row; by default equal
-    texts are a cluster.  Pieces of one document cover its bytes and the separator,
+    texts are a cluster.  ``place_col`` gives each row its place from 0 (see
+    ``in_file_order``): then every ``block_docs`` places are packed together, and their
+    bins come before those of later places.  Pieces of one document cover its bytes and the separator,
     gapless and in order.  Null and empty texts are one separator long; rows
     without a source share a source, rows with a null in ``cluster_col`` are in no
     cluster; repeated rows are packed as often as they occur (apart, if they have a
@@ -95,9 +122,13 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     cluster = F.md5(text) if cluster_col is None else F.col(cluster_col).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-                       (F.octet_length(text) + 1).cast("long").alias("size"), cluster.alias("cluster"))
-    n_blocks = max(1, -(-docs.count() // block_docs))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "cluster", "size"), F.lit(n_blocks)))
+                       (F.octet_length(text) + 1).cast("long").alias("size"), cluster.alias("cluster"),
+                       *([] if place_col is None else [F.col(place_col).alias("place")]))
+    if place_col is None:
+        n_blocks = max(1, -(-docs.count() // block_docs))
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "cluster", "size"), F.lit(n_blocks)))
+    else:
+        rows = rows.withColumn("block", F.expr(f"place div {block_docs}")).drop("place")
     kind = dict(rows.dtypes)["id"]
     columns = ["id", "source", "piece", "piece_start", "piece_bytes", "bin", "bin_start"]
 

@@ -403,3 +403,20 @@ def test_near_copies_of_short_texts_are_candidates():
                 p, q = order_minhash.sign([" ".join(a), " ".join(b)])
                 assert len(set(p.tolist()) & set(q.tolist())) >= order_minhash.SHARED
     assert near > 100
+
+
+def test_bins_follow_the_mixture(spark, tmp_path, monkeypatch):
+    """Runs of 2000 documents of the mixture are packed one after another; without the mixing stage bins differ."""
+    docs = spark.range(5000).selectExpr(
+        "id AS doc_id", "concat('text ', id) AS text", "if(id % 3 = 0, 'hot', concat('s', id % 7)) AS source").repartition(3)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    packing_alone = corpus_pipeline.STAGES[-1:]
+
+    def rows_of(stages):
+        monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+        return sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect()))
+
+    mixed = rows_of(corpus_pipeline.STAGES[-2:])
+    assert rows_of(packing_alone) != mixed
+    order = [r.doc_id for r in pfair_mix(docs).orderBy("mix_slot", "mix_place").collect()]
+    assert {r[0]: r[5] >> 32 for r in mixed} == {d: i // 2000 for i, d in enumerate(order)}
