@@ -53,12 +53,22 @@ DROP_WORDS = frozenset(
     "breadcrumbs sidebar aside footer cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription "
     "social share sharing related recommended comment comments commentlist discussion respond replies reply disqus login signup search "
     "toolbar pagination pager widget skip masthead topbar alert".split())
+#: Within an article only classes that are one of these words as a whole mark a part
+#: that is no text; ids there are slugs of headings as a rule.
+INNER_CLASSES = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation breadcrumb breadcrumbs "
+    "sidebar cookie cookies gdpr popup modal newsletter subscribe social share sharing related recommended comments commentlist disqus "
+    "toolbar pagination pager".split())
+#: Elements of running text; within an article, only advertisements among them go by class.
+RUNNING = TEXT_BLOCK | frozenset(["section"])
+ADVERT_CLASSES = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored share comments commentlist disqus".split())
 COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z))", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _PART = re.compile(r"[a-z0-9]+")
+_COMMENT_ID = re.compile(r"(?:div-)?(?:comment|reply)[-_]?\d+")
 
 
 class Element:
@@ -76,6 +86,14 @@ class Element:
                     self._attrs.setdefault(k.lower(), unescape(v[1:-1] if v[:1] in "\"'" else v) if v else "")
         return self._attrs
 
+    def classes(self) -> set[str]:
+        return set(self.attrs.get("class", "").lower().split())
+
+    def is_comment(self) -> bool:
+        """Whether an article is a reader's comment: by words of its class, or a numbered id; other ids are slugs."""
+        return (bool(COMMENT_WORDS & set(_PART.findall(self.attrs.get("class", "").lower())))
+                or _COMMENT_ID.fullmatch(self.attrs.get("id", "").lower()) is not None)
+
     def words(self) -> set[str]:
         a = self.attrs
         return set(_PART.findall(f"{a.get('class', '')} {a.get('id', '')}".lower())) if a else set()
@@ -173,10 +191,14 @@ def _dropped(e: Element, inside: bool) -> bool:
         return True
     if not e.raw or e.tag in ("html", "body"):
         return False
-    a, words = e.attrs, e.words()
+    a = e.attrs
     if e.tag in ("article", "main"):
-        return bool(words & COMMENT_WORDS)
-    return (bool(words & DROP_WORDS) or not inside and "header" in words or a.get("role", "").lower() in DROP_ROLES
+        return e.is_comment()
+    if inside:
+        named = e.classes() & (ADVERT_CLASSES if e.tag in RUNNING else INNER_CLASSES)
+    else:
+        named = e.words() & (DROP_WORDS | {"header"})
+    return (bool(named) or a.get("role", "").lower() in DROP_ROLES
             or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
             or "display:none" in a.get("style", "").replace(" ", "").lower())
 
@@ -190,7 +212,7 @@ def _main_parts(root: Element) -> list[Element]:
             for c in reversed(e.children):
                 if isinstance(c, Element) and c.tag not in RAW:
                     todo.append(c)
-            if e.tag == wanted and not e.words() & COMMENT_WORDS:
+            if e.tag == wanted and not e.is_comment():
                 found.append(e)
         inner = set()
         for e in found:

@@ -326,6 +326,14 @@ def test_html():
     assert html_text.main_text(plain) == "Site name Text one two Imprint"
 
 
+def test_article_text_is_not_dropped_by_loose_words():
+    page = ('<body><article id="reply-to-critics"><h1>Title</h1><section id="discussion"><p>One</p></section><h2 id="related-work">Two</h2>'
+            '<h2 id="search">Three</h2><p class="alert">Four</p><div class="widget">Five</div><div id="reply-to-critics">Six</div>'
+            '<div class="search-trees">Seven</div><div class="ad">Buy</div><p class="big ad">Buy</p><div class="share">Share</div>'
+            '<section class="comments">me too</section></article><article id="comment-7">no</article><article class="comment">no</article></body>')
+    assert html_text.main_text(page) == "Title One Two Three Four Five Six Seven"
+
+
 def test_site_templates(spark):
     def page(i):
         return f"<body><div id=top>Site name</div><div><p>Text {i}</p><p>two {i}</p></div><div class=x>Imprint</div></body>"
