@@ -54,7 +54,15 @@ BASE_RULES = (
 
 #: Further kinds in common use.
 MORE_RULES = (
-    SecretRule("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    # The whole block up to its end line; without one, up to the last line of the key.  Line
+    # ends may be written as \\n, as in JSON.
+    SecretRule(
+        "private_key",
+        r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+        r"(?:(?:(?!-----BEGIN )[\s\S]){0,20000}?-----END [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+        r"|(?:(?:(?:\s|\\[nr])*(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset):[^\n\\]*)*"
+        r"(?:(?:\s|\\[nr]|[>#*\"'])*[A-Za-z0-9+/=]{24,})+"
+        r"(?:(?:\s|\\[nr]|[>#*\"'])+[A-Za-z0-9+/]+={0,2}(?=\s*(?:\n|\Z)|\\n|[\"']))?)?)"),
     SecretRule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     SecretRule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),

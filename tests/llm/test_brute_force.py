@@ -187,6 +187,20 @@ def test_secrets(spark, tmp_path):
     assert clean[7] == texts[7] and clean[9] == "[SECRET]" and not any(base_spans(t) for t in clean.values())
 
 
+@pytest.mark.parametrize("end", ["\n-----END RSA PRIVATE KEY-----", ""])
+@pytest.mark.parametrize("head", ["", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C\n\n"])
+def test_redacted_keys_leave_no_lines(spark, end, head):
+    rnd = random.Random(1)
+    lines = ["".join(rnd.choice("ABCDxyz0123+/") for _ in range(n)) for n in (64, 64, 64, 30)] + ["Ab0+=="]
+    key = "-----BEGIN RSA PRIVATE KEY-----\n" + head + "\n".join(lines) + end
+    texts = [f"before\n{key}\nNot a part of it.\n{key}\nafter that", "a=" + key.replace("\n", "\\n") + '"; rest of it',
+             "-----BEGIN PRIVATE KEY----- is a line\nof it"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = [r.text for r in secret_scan.redact_secrets(docs).orderBy("doc_id").collect()]
+    assert not any(line in t for t in clean for line in lines)
+    assert clean == ["before\n[SECRET]\nNot a part of it.\n[SECRET]\nafter that", 'a=[SECRET]"; rest of it', "[SECRET] is a line\nof it"]
+
+
 def test_trigram_queries_are_necessary():
     assert secret_scan.trigram_query("[0-9a-f]{24,}") is True
     assert secret_scan.trigrams_of(secret_scan.trigram_query("AKIA[A-Z0-9]+")) == {b"aki", b"kia"}
