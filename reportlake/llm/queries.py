@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and the pipeline, and their SQL."""
+"""The registered queries of the operators, and their SQL."""
 
 from __future__ import annotations
 
@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportlake.llm import sql
 from reportlake.llm.common import table
 from reportlake.llm.fingerprints import fingerprint_documents
 from reportlake.llm.html_text import extract_main_text
+from reportlake.llm.merkle import FIELDS, folded, leaf_hash, merkle_manifest, path_hash
 from reportlake.llm.mixing import pfair_mix
 from reportlake.llm.order_minhash import order_minhash_classes
 from reportlake.llm.packing import pack_documents
@@ -89,6 +91,20 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and the root that its row gives after tampering.
+
+    Tampering deletes the line ends of texts whose id has an even checksum; a null id has none.
+    """
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    altered = leaf_hash([text if f == "text" else F.col(f) for f in FIELDS])
+    found = merkle_manifest(table(spark, sf_dir, "documents"), carry={"altered": altered})
+    found = found.select("doc_id", "leaf", "subroot", "root", path_hash(F.col("path")).alias("proof_sha256"),
+                         folded(F.col("altered"), F.col("path")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_secret_scan": op2_secret_scan,
@@ -100,6 +116,9 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_html_text": op10_html_text,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op13_merkle_manifest": sql.MERKLE,
+}
