@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from reportlake.llm import sql
 from reportlake.llm.common import table
+from reportlake.llm.filter_audit import audit_documents
 from reportlake.llm.fingerprints import fingerprint_documents
 from reportlake.llm.html_text import extract_main_text
 from reportlake.llm.merkle import FIELDS, folded, leaf_hash, merkle_manifest, path_hash
@@ -91,6 +92,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from the documents of a language, in every order of the filters."""
+    return audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, and the root that its row gives after tampering.
 
@@ -116,9 +122,11 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_html_text": op10_html_text,
+    "op12_filter_audit": op12_filter_audit,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 SQL: dict[str, str] = {
+    "op12_filter_audit": sql.AUDIT,
     "op13_merkle_manifest": sql.MERKLE,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from reportlake.llm.filter_audit import CAPITAL_SHARE, DISTINCT_SHARE, MIN_WORDS
 from reportlake.llm.merkle import FAN, FIELDS
 
 
@@ -70,3 +71,42 @@ SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transfo
        folded_root, folded_root = root AS verified
 FROM folded
 """.replace("upper_beside", "upper__beside")
+
+
+AUDIT = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+tested AS (
+  SELECT doc_id, part,
+         (len(words) < {MIN_WORDS})::INT AS a,
+         (100 * len(list_distinct(words)) < {DISTINCT_SHARE} * len(words))::INT AS b,
+         (100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > {CAPITAL_SHARE} * len(text))::INT AS c,
+         regexp_matches(text, '[#$%&*|]')::INT AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS e FROM texts),
+marks AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+masks AS (
+  SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+  FROM tested LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM letters p, letters q, letters r, letters s, letters t
+  WHERE (p.bit | q.bit | r.bit | s.bit | t.bit) = 31),
+steps AS (
+  SELECT filter_order, step, l.bit, (SELECT sum(m.bit) FROM letters m WHERE contains(left(filter_order, (step - 1)::INT), m.x)) AS earlier
+  FROM orders, range(1, 6) s(step) JOIN letters l ON l.x = substr(filter_order, step, 1)),
+audit AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (mask & (bit | coalesce(earlier, 0)) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (mask & bit > 0 AND mask & coalesce(earlier, 0) = 0), 0) AS removed,
+         coalesce(sum(n) FILTER (mask & bit > 0 AND mask & coalesce(earlier, 0) > 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (mask & bit > 0 AND mask & coalesce(earlier, 0) = 0), 0) AS good_lost,
+         coalesce(sum(bad) FILTER (mask & bit > 0 AND mask & coalesce(earlier, 0) = 0), 0) AS toxic_lost
+  FROM masks, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM audit
+"""
