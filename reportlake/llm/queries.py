@@ -15,6 +15,7 @@ from reportlake.llm.merkle import FIELDS, folded, leaf_hash, merkle_manifest, pa
 from reportlake.llm.mixing import pfair_mix
 from reportlake.llm.order_minhash import order_minhash_classes
 from reportlake.llm.packing import pack_documents
+from reportlake.llm.quality_classifier import quality_scores
 from reportlake.llm.quality_rules import quality
 from reportlake.llm.secret_scan import BASE_RULES, scan_secrets
 from reportlake.llm.sharding import propagate_shards
@@ -92,6 +93,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from trusted good documents and unlabelled ones."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes from the documents of a language, in every order of the filters."""
     return audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -122,6 +128,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_mixing": op9_mixing,
     "op10_html_text": op10_html_text,
+    "op11_quality_classifier": op11_quality_classifier,
     "op12_filter_audit": op12_filter_audit,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
