@@ -2,9 +2,14 @@
 
 Shared by the MinHash and the Order MinHash operators.  Exact copies collapse to
 one text first (128-bit digest).  Texts that share a key share a bucket.  A
-bucket is never expanded into all its pairs.  In the first round a text is checked
-against the least member of its buckets, since most buckets of a class repeat the
-same pair.  Texts whose buckets still hold several classes then meet by their
+bucket of the first keys is never expanded into all its pairs.  In the first round a
+text is checked against the least member of its buckets, since most buckets of a class
+repeat the same pair.  Texts whose buckets still hold several classes are unsettled.
+Many of them are alike but not near (a family that has drifted apart), and first keys do
+not tell those from near ones.  So unsettled texts get a second, steeper family of keys
+(``Steep``), which near texts still share and others rarely do.  A text first asks the
+first members of other classes with which it shares most of these keys, then, when
+classes have grown, members of different classes in a bucket are checked.  Texts too short for steep keys meet by their
 rarest items: near texts share ``OVERLAP`` of the items of each, so of any common
 order of all items they share one of the first of both (prefix filter), and texts
 that share no more than a frequent passage do not meet.  Members are checked against
@@ -17,6 +22,7 @@ components.  All state is in tables below ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -43,6 +49,10 @@ OVERLAP = 0.8
 #: Leaders of a group in the first round of leaders.
 LEADERS = 32
 
+#: Members of other classes that an unsettled text asks in a round of closest ones, and such rounds.
+CLOSEST = 3
+CLOSEST_ROUNDS = 2
+
 #: (texts) -> an array of keys (int64) for each text.
 Signer = Callable[[Sequence[str]], list[np.ndarray]]
 
@@ -53,6 +63,20 @@ Preparer = Callable[[Sequence[str]], list[np.ndarray]]
 Verifier = Callable[[np.ndarray, np.ndarray], bool]
 
 
+@dataclass(frozen=True)
+class Steep:
+    """Second keys of unsettled texts: ``keys`` of the items of a text, for texts of more than
+    ``above`` items; texts of up to ``exact`` items are settled by their rarest items.
+    ``bits`` sums a text up in ``words`` 64-bit words: near texts differ in ``apart`` of their bits at most."""
+
+    keys: Callable[[np.ndarray], np.ndarray]
+    bits: Callable[[np.ndarray], np.ndarray]
+    words: int
+    apart: int
+    above: int
+    exact: int
+
+
 def digest(text_col: str):
     return F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
 
@@ -177,7 +201,7 @@ def _verified(pairs: DataFrame, keys: DataFrame, items: DataFrame, verify: Verif
 
 
 def near_duplicate_classes(docs: DataFrame, sign: Signer, prepare: Preparer, verify: Verifier, id_col: str = "doc_id",
-                           text_col: str = "text", shared: int = 1) -> DataFrame:
+                           text_col: str = "text", shared: int = 1, steep: Steep | None = None) -> DataFrame:
     """One row per row of ``docs``: id, digest of the text, class_id, is_kept.
 
     class_id is the least id of the class, over copies and near duplicates; ids
@@ -199,7 +223,7 @@ def near_duplicate_classes(docs: DataFrame, sign: Signer, prepare: Preparer, ver
     buckets = keyed.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("key", "lo")
     members = stage(keyed.join(buckets, "key"), "members")
 
-    links = _links(members, once, plain, prepare, verify, shared)
+    links = _links(members, once, plain, prepare, verify, shared, steep)
     label = (components(links).select(F.col("node").alias("uid"), "label") if links is not None
              else spark.createDataFrame([], "uid long, label long"))
     classes = stage(once.select("uid", "digest").join(label, "uid", "left")
@@ -231,7 +255,67 @@ def _near_labels(links: DataFrame) -> DataFrame:
     return stage(label, "labels")
 
 
-def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Preparer, verify: Verifier, shared: int) -> DataFrame | None:
+def _steep_keys(items: DataFrame, steep: Steep) -> DataFrame:
+    """Staged (key, uid, n): the steep keys of each text, with its number of items; keys of one text are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, at = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
+            keys = [np.unique(steep.keys(values[a:b])) for a, b in zip(at[:-1], at[1:])]
+            if keys:
+                each = [len(k) for k in keys]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys)), pa.array(np.repeat(batch.column(0).to_numpy(), each)),
+                     pa.array(np.repeat(np.diff(at), each).astype(np.int32))], names=["key", "uid", "n"])
+
+    keyed = stage(items.select("uid", "items").mapInArrow(run, "key long, uid long, n int"), "steep-keys")
+    several = keyed.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("key")
+    return stage(keyed.join(several, "key"), "steep")
+
+
+def _in_open_buckets(keyed: DataFrame, label: DataFrame) -> DataFrame:
+    """``keyed`` with the class of each text, and ``lo`` (label, uid), its first member, for buckets of several classes."""
+    m = keyed.join(label, "uid", "left").select("key", "uid", "n", F.coalesce("label", "uid").alias("label"))
+    first = m.groupBy("key").agg(F.min(F.struct("label", "uid")).alias("lo"), F.max("label").alias("hi")).where("lo.label < hi")
+    return m.join(first.select("key", "lo"), "key")
+
+
+def _closest(keyed: DataFrame, label: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each text and the ``CLOSEST`` first members of other classes that share most of its steep keys."""
+    asked = _in_open_buckets(keyed, label).where("label != lo.label").groupBy("uid", F.col("lo.uid").alias("lo")).agg(F.count(F.lit(1)).alias("n"))
+    # A text has as many rows here as keys at most.
+    nth = F.row_number().over(Window.partitionBy("uid").orderBy(F.desc("n"), "lo"))
+    best = asked.withColumn("nth", nth).where(F.col("nth") <= CLOSEST)
+    return best.select(F.greatest("uid", "lo").alias("a"), F.least("uid", "lo").alias("b")).distinct()
+
+
+def _bits(items: DataFrame, steep: Steep) -> DataFrame:
+    """Staged (uid, b0, b1, ...): the bits of each text."""
+    names = [f"b{i}" for i in range(steep.words)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, at = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
+            bits = [steep.bits(values[a:b]) for a, b in zip(at[:-1], at[1:])]
+            if bits:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(w) for w in np.stack(bits, axis=1)]], names=["uid", *names])
+
+    return stage(items.select("uid", "items").mapInArrow(run, ", ".join(["uid long", *[f"{b} long" for b in names]])), "steep-bits")
+
+
+def _steep_pairs(keyed: DataFrame, label: DataFrame, bits: DataFrame, apart: int) -> DataFrame:
+    """Pairs (a, b) of texts of different classes that share a steep key and could be near by their numbers of items and their bits."""
+    one = stage(_in_open_buckets(keyed, label).drop("lo").join(bits, "uid"), "steep-open")
+    names = [c for c in one.columns if c != "key"]
+    two = one.select("key", *[F.col(c).alias(f"{c}2") for c in names])
+    differ = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}2"))) for b in bits.columns[1:]), F.lit(0))
+    both = one.join(two, "key").where((F.col("uid") > F.col("uid2")) & (F.col("label") != F.col("label2"))
+                                      & (F.least("n", "n2") >= OVERLAP * F.greatest("n", "n2")) & (differ <= apart))
+    return both.select(F.col("uid").alias("a"), F.col("uid2").alias("b")).distinct()
+
+
+def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Preparer, verify: Verifier, shared: int,
+           steep: Steep | None = None) -> DataFrame | None:
     """Verified pairs (a, b) of uids that connect all classes; None if there are no candidates.
 
     Each later round takes 64 times as many leaders of every open group, so the number
@@ -248,15 +332,28 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Prepa
     pairs = members.where("uid != lo").groupBy(F.col("uid").alias("a")).agg(F.min("lo").alias("b"))
     tested = stage(pairs, "pairs")
     links = stage(_verified(tested, keys, items, verify, shared), "links")
-    m = members.join(_near_labels(links), "uid", "left").select("key", "uid", F.coalesce("label", "uid").alias("label"))
+    label = components(links).withColumnRenamed("node", "uid") if steep else _near_labels(links)
+    m = members.join(label, "uid", "left").select("key", "uid", F.coalesce("label", "uid").alias("label"))
     m = stage(m, "first-classes")
     several = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    unsettled = m.join(several, "key").select("uid").distinct()
+    unsettled = stage(items.join(m.join(several, "key").select("uid").distinct(), "uid"), "unsettled")
+    if steep is not None:
+        long = unsettled.where(F.size("items") > steep.above)
+        keyed, bits = _steep_keys(long, steep), _bits(long, steep)
+        # Members of large classes find together by their closest ones first, so that few pairs of two classes are left.
+        for last in [False] * CLOSEST_ROUNDS + [True]:
+            found = _steep_pairs(keyed, label, bits, steep.apart) if last else _closest(keyed, label)
+            new = stage(found.join(tested, ["a", "b"], "left_anti"), "steep-pairs")
+            links = links.unionByName(stage(_verified(new, keys, items, verify, 1), "links"))
+            tested = tested.unionByName(new)
+            label = components(links).withColumnRenamed("node", "uid")
+        unsettled = unsettled.where(F.size("items") <= steep.exact)
     # led marks members that have met all others at their item.
-    members = stage(_rare_items(stage(items.join(unsettled, "uid"), "unsettled")).withColumn("led", F.lit(False)), "rare")
+    members = stage(_rare_items(unsettled).withColumn("led", F.lit(False)), "rare")
     leaders = LEADERS
     while True:
-        label = _near_labels(links) if leaders == LEADERS else components(links).withColumnRenamed("node", "uid")
+        if leaders > LEADERS:
+            label = components(links).withColumnRenamed("node", "uid")
         m = members.join(label, "uid", "left").select("key", "uid", "led", F.coalesce("label", "uid").alias("label"))
         # An item with one class, or with leaders only, is done.
         open_ = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("led").alias("all_led"))
