@@ -6,8 +6,8 @@ pages that have each.  A subtree on at least ``SHARE`` of a host's pages (and
 subtrees, a host has at most ``1 / SHARE`` times that many template subtrees, so
 the list that is joined to its pages is bounded.  Pass two deletes them, and what
 is not part of an article by its element or class, and joins the blocks left.
-The paragraphs of an article are never counted: a passage that many articles of
-a host share is text.
+Paragraphs, headings, list items and table cells are never counted by themselves: a
+passage that many articles of a host share is text.
 """
 
 from __future__ import annotations
@@ -45,20 +45,25 @@ IMPLIED_END = {
     "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}),
     "option": ({"option"}, {"select", "datalist"}), "body": ({"head"}, {"html"}),
 }
+#: Elements that are no template, however often they recur.
+UNCOUNTED = TEXT_BLOCK | frozenset("html body head article main".split())
 DROP_TAGS = frozenset(
     "head nav aside footer form menu dialog script style noscript template iframe svg canvas object embed button select textarea "
     "input label audio video map noembed noframes title".split())
-DROP_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation breadcrumb "
-    "breadcrumbs sidebar aside footer cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription "
-    "social share sharing related recommended comment comments commentlist discussion respond replies reply disqus login signup search "
-    "toolbar pagination pager widget skip masthead topbar alert".split())
 #: Within an article only classes that are one of these words as a whole mark a part
 #: that is no text; ids there are slugs of headings as a rule.
 INNER_CLASSES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation breadcrumb breadcrumbs "
     "sidebar cookie cookies gdpr popup modal newsletter subscribe social share sharing related recommended comments commentlist disqus "
     "toolbar pagination pager".split())
+#: On a page without an article, classes and ids that are one of these as a whole, by itself or
+#: with a word of place or shape before or behind it, mark such a part.
+PAGE_WORDS = INNER_CLASSES | frozenset(
+    "menu banner header footer masthead topbar notice notices consent overlay login signup widget respond".split())
+_PLACE = "site|page|main|top|bottom|left|right|global|primary|secondary|mobile|user|web"
+_SHAPE = "bar|box|wrapper|wrap|container|block|list|menu|area|links|link|inner|outer|content|form|top|bottom|left|right"
+_WORD = f"(?:{'|'.join(sorted(PAGE_WORDS, key=len, reverse=True))})"
+_PAGE_PART = re.compile(rf"(?:(?:{_PLACE})[-_]?)?{_WORD}(?:[-_]{_WORD})*(?:[-_]?(?:{_SHAPE}))?")
 #: Elements of running text; within an article, only advertisements among them go by class.
 RUNNING = TEXT_BLOCK | frozenset(["section"])
 ADVERT_CLASSES = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored share comments commentlist disqus".split())
@@ -94,9 +99,9 @@ class Element:
         return (bool(COMMENT_WORDS & set(_PART.findall(self.attrs.get("class", "").lower())))
                 or _COMMENT_ID.fullmatch(self.attrs.get("id", "").lower()) is not None)
 
-    def words(self) -> set[str]:
-        a = self.attrs
-        return set(_PART.findall(f"{a.get('class', '')} {a.get('id', '')}".lower())) if a else set()
+    def page_part(self) -> bool:
+        """Whether class or id name a part of a page that is no text."""
+        return any(_PAGE_PART.fullmatch(w) for w in [*self.classes(), self.attrs.get("id", "").lower()])
 
 
 def parse(html: str) -> Element:
@@ -161,19 +166,17 @@ def parse(html: str) -> Element:
 def subtree_hashes(root: Element) -> set[int]:
     """Hash every element by tag, class, id, text and children; return those that are counted.
 
-    Counted are block elements outside articles, and within articles those that
-    hold no running text of their own kind (divisions, lists, asides).
+    Counted are block elements but those of running text (divisions, lists, asides).
     """
     counted: set[int] = set()
     # Depth first without recursion: pages may nest without bound.
-    todo: list[tuple[Element, bool, bool]] = [(root, False, False)]
+    todo: list[tuple[Element, bool]] = [(root, False)]
     while todo:
-        e, inside, done = todo.pop()
-        here = inside or e.tag in ("article", "main")
+        e, done = todo.pop()
         if not done:
-            todo.append((e, inside, True))
+            todo.append((e, True))
             if e.tag not in RAW:
-                todo += [(c, here, False) for c in e.children if isinstance(c, Element)]
+                todo += [(c, False) for c in e.children if isinstance(c, Element)]
             continue
         a = e.attrs
         h = xxhash.xxh64(f"{e.tag}|{a.get('class', '')}|{a.get('id', '')}")
@@ -181,7 +184,7 @@ def subtree_hashes(root: Element) -> set[int]:
             h.update(c.hash.to_bytes(8, "little") if isinstance(c, Element) else " ".join(c.split()))
             h.update(b"|")
         e.hash = h.intdigest()
-        if e.tag in BLOCK and e.tag not in ("html", "body", "head", "article", "main") and not (inside and e.tag in TEXT_BLOCK):
+        if e.tag in BLOCK and e.tag not in UNCOUNTED:
             counted.add(e.hash - (1 << 63))
     return counted
 
@@ -194,39 +197,26 @@ def _dropped(e: Element, inside: bool) -> bool:
     a = e.attrs
     if e.tag in ("article", "main"):
         return e.is_comment()
-    if inside:
-        named = e.classes() & (ADVERT_CLASSES if e.tag in RUNNING else INNER_CLASSES)
-    else:
-        named = e.words() & (DROP_WORDS | {"header"})
-    return (bool(named) or a.get("role", "").lower() in DROP_ROLES
+    named = e.classes() & (ADVERT_CLASSES if e.tag in RUNNING else INNER_CLASSES)
+    return (bool(named) or not inside and e.page_part() or a.get("role", "").lower() in DROP_ROLES
             or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
             or "display:none" in a.get("style", "").replace(" ", "").lower())
 
 
 def _main_parts(root: Element) -> list[Element]:
-    """The outermost articles; without one the main elements; without one the page."""
-    for wanted in ("article", "main"):
-        found, todo = [], [root]
-        while todo:
-            e = todo.pop()
-            for c in reversed(e.children):
-                if isinstance(c, Element) and c.tag not in RAW:
-                    todo.append(c)
-            if e.tag == wanted and not e.is_comment():
-                found.append(e)
-        inner = set()
-        for e in found:
-            todo = list(e.children)
-            while todo:
-                c = todo.pop()
-                if isinstance(c, Element):
-                    if c.tag == wanted:
-                        inner.add(id(c))
-                    todo += c.children
-        found = [e for e in found if id(e) not in inner]
-        if found:
-            return found
-    return [root]
+    """The outermost articles and main elements; without one the page.
+
+    What stands in a menu, sidebar or footer is none: such an element, or one whose class as a
+    whole says so, is not searched.  A main element holds its articles and what is around them.
+    """
+    found, todo = [], [root]
+    while todo:
+        e = todo.pop()
+        if e.tag in ("article", "main") and not e.is_comment():
+            found.append(e)
+        elif e is root or e.tag not in RAW and not _dropped(e, True):
+            todo += [c for c in reversed(e.children) if isinstance(c, Element)]
+    return found or [root]
 
 
 def main_text(html: str, templates: frozenset[int] | set[int] = frozenset()) -> str:
@@ -253,21 +243,17 @@ def main_text(html: str, templates: frozenset[int] | set[int] = frozenset()) ->
                 parts.append(x)
             elif x.tag == "br":
                 parts.append(" ")
-            elif not _dropped(x, inside) and not (x is not top and _is_template(x, inside, templates)):
+            elif not _dropped(x, inside) and not (x is not top and _is_template(x, templates)):
                 if x.tag in BLOCK:
                     flush()
                     todo.append(None)
-                if x.tag == "header":
-                    todo += [c for c in reversed(x.children) if isinstance(c, Element) and re.fullmatch("h[1-6]|hgroup|div", c.tag)]
-                else:
-                    todo += reversed(x.children)
+                todo += reversed(x.children)
         flush()
     return " ".join(blocks)
 
 
-def _is_template(e: Element, inside: bool, templates) -> bool:
-    return (e.hash - (1 << 63) in templates and e.tag not in ("html", "body", "article", "main")
-            and not (inside and e.tag in TEXT_BLOCK))
+def _is_template(e: Element, templates) -> bool:
+    return e.hash - (1 << 63) in templates and e.tag not in UNCOUNTED
 
 
 def host_of(url):
