@@ -59,7 +59,7 @@ MORE_RULES = (
     SecretRule(
         "private_key",
         r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
-        r"(?:(?:(?!-----BEGIN )[\s\S]){0,20000}?-----END [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+        r"(?:(?:[^-]++|-(?!----BEGIN |----END [A-Z ]{0,30}PRIVATE KEY))*+-----END [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
         r"|(?:(?:(?:\s|\\[nr])*(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset):[^\n\\]*)*"
         r"(?:(?:\s|\\[nr]|[>#*\"'])*[A-Za-z0-9+/=]{24,})+"
         r"(?:(?:\s|\\[nr]|[>#*\"'])+[A-Za-z0-9+/]+={0,2}(?=\s*(?:\n|\Z)|\\n|[\"']))?)?)"),
