@@ -32,9 +32,6 @@ STRIDE = 52
 TOXIC_DOCS = 800
 OTHER_DOCS = 1600
 
-#: Most windows of one sampled document that training looks at, evenly spread.
-DOC_WINDOWS = 200
-
 #: A text is toxic from this score on.
 THRESHOLD = 0.7
 
@@ -254,10 +251,13 @@ def _windows(codes: np.ndarray, offsets: np.ndarray, pad: int) -> tuple[np.ndarr
 
 def _coded(texts: Sequence[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(distinct words, number of each word, offsets of the texts)."""
-    words = [words_of(t) for t in texts]
-    offsets = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)
-    coded = pa.array([w for ws in words for w in ws], pa.string()).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), offsets
+    known: dict[str, int] = {}
+    codes = []
+    for t in texts:  # a text at a time: only numbers stay of its words
+        words = words_of(t)
+        codes.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words)))
+    offsets = np.concatenate(([0], np.cumsum([len(c) for c in codes]))).astype(np.int64)
+    return list(known), np.concatenate(codes) if codes else np.zeros(0, np.int32), offsets
 
 
 # --- training -----------------------------------------------------------------------------
@@ -310,11 +310,6 @@ def train(texts: Sequence[str], toxic: Sequence[bool], seed: int = 11, rounds: i
     vocabulary = Vocabulary(words)
     pad = len(words)
     at, docs = _windows(codes, offsets, pad)
-    # Of very long documents an even spread of windows.
-    number = np.arange(len(docs)) - np.searchsorted(docs, docs)
-    many = np.bincount(docs, minlength=len(texts))[docs]
-    step = -(-many // DOC_WINDOWS)
-    at, docs = at[number % step == 0], docs[number % step == 0]
 
     back = r.random(len(texts)) < 0.2  # documents kept back for calibration
     if not (toxic & back).any() or not (~toxic & back).any():
@@ -323,7 +318,7 @@ def train(texts: Sequence[str], toxic: Sequence[bool], seed: int = 11, rounds: i
     word_doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
     use = fit[word_doc]
     # Documents that have each word; an n-gram counts with each rare word that has it.
-    pairs = _distinct(codes[use] * len(texts) + word_doc[use])
+    pairs = _distinct(codes[use].astype(np.int64) * len(texts) + word_doc[use])
     of_word, bad = pairs // len(texts), toxic[pairs % len(texts)]
     hits, rest = np.bincount(of_word[bad], minlength=len(words)), np.bincount(of_word[~bad], minlength=len(words))
 
@@ -450,7 +445,8 @@ def train_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """Train on at most ``toxic_docs`` and ``other_docs`` labelled documents that are not held out.
 
     Ids are chosen by a hash, among all labels; only the texts of those come to the driver.
-    Null labels and ids are left out; an id with several labels counts as toxic if one says so.
+    Null labels and ids are left out; an id with several labels counts as toxic if one says so,
+    and of an id with several texts one is taken (the least by its digest).
     """
     own = (labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic")).where("id IS NOT NULL AND toxic IS NOT NULL")
            .where(~held_out(F.col("id"))).groupBy("id").agg((F.max("toxic") == 1).alias("toxic")))
@@ -458,7 +454,8 @@ def train_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     few = [own.where("toxic").orderBy("h", "id").limit(toxic_docs), own.where(~F.col("toxic")).orderBy("h", "id").limit(other_docs)]
     chosen = F.broadcast(few[0].unionByName(few[1]).select("id", "toxic"))  # toxic_docs + other_docs rows at most
     got = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
-           .join(chosen, "id").orderBy("id", F.md5("text")).limit(2 * (toxic_docs + other_docs)).toArrow())
+           .join(chosen, "id").groupBy("id", "toxic").agg(F.min(F.struct(F.md5("text").alias("h"), "text")).alias("t"))
+           .orderBy("id").select("toxic", F.col("t.text").alias("text")).toArrow())
     return train(got.column("text").to_pylist(), got.column("toxic").to_pylist()) if got.num_rows else None
 
 
