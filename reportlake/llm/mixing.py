@@ -22,6 +22,9 @@ BLOCK_DOCS = 64
 #: Weights are rounded to this many parts, one part a source at least.
 GRAIN = 1000
 
+#: Columns that are added.
+OUT = ("mix_block", "mix_place", "mix_release", "mix_deadline", "mix_slot")
+
 #: Default targets: shares to this power, which lifts small sources.
 TEMPER = 0.7
 
@@ -74,10 +77,10 @@ def pfair_mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "
     slots stay empty and the others keep their proportions; no row is dropped or
     repeated.  Documents without a source form a source of their own; sources
     missing in ``weights`` get the least share; rows equal in all columns are
-    interchangeable; columns of ``docs`` named mix_* are replaced; an empty table
-    gives no rows.
+    interchangeable; columns of ``docs`` with these five names are replaced; an empty
+    table gives no rows.
     """
-    names = [c for c in docs.columns if not c.startswith("mix_")]
+    names = [c for c in docs.columns if c not in OUT]
     # Columns go by position inside, so that no name of theirs meets one of ours.
     own = [f"__c{i}" for i in range(len(names))]
     rows = docs.select(*[F.col(f"`{c}`") for c in names]).toDF(*own)
@@ -98,7 +101,7 @@ def pfair_mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "
     out = dealt.join(turns, F.col(source).eqNullSafe(F.col("__source")) & (F.col("turn_k") == F.col("k")))
     start = F.col("turn") * F.col("period")
     return out.select(*own, "block", "place", start + F.col("release"), start + F.col("deadline"), start + F.col("slot")).toDF(
-        *names, "mix_block", "mix_place", "mix_release", "mix_deadline", "mix_slot")
+        *names, *OUT)
 
 
 def in_mixed_order(mixed: DataFrame) -> DataFrame:

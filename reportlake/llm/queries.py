@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +50,8 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UTF-8 bytes and tokens of every document."""
+    import public_tokenizers  # the vocabulary files; no other operator needs them
+
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
