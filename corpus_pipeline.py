@@ -24,6 +24,15 @@ from reportlake.session import stage
 ORACLE_SQL = None
 
 
+def aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns named c0, c1, ..., and those names by the old ones.
+
+    Whatever columns documents have, none meets a name that an operator uses.
+    """
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*plain), dict(zip(docs.columns, plain))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold.
 
@@ -31,8 +40,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out.  Null and empty texts are not toxic.  All columns and rows kept are unchanged.
     """
     net = train_on(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return score_documents(docs, net).where("toxicity = 0").select(*names)
+    plain, at = aside(docs)
+    kept = score_documents(plain, net, at["doc_id"], at["text"]).where("toxicity = 0")
+    return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,24 +50,30 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Of rows equal in id and text one stays.  Empty and null texts are one class.
     """
-    classes = stage(order_minhash_classes(docs), "classes")
-    kept = classes.where("is_kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__kept"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept"))
-    found = docs.withColumn("__digest", digest("text")).join(kept, same, "left_semi")
-    if not classes.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():
-        found = found.dropDuplicates(["doc_id", "__digest"])  # only where a row is repeated
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain, at = aside(docs)
+    doc_id = at["doc_id"]
+    classes = stage(order_minhash_classes(plain, doc_id, at["text"]), "classes")
+    kept = classes.where("is_kept").select(F.col(doc_id).alias("__id"), F.col("digest").alias("__kept"))
+    same = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept"))
+    found = plain.withColumn("__digest", digest(at["text"])).join(kept, same, "left_semi")
+    if not classes.groupBy(doc_id, "digest").count().where("count > 1").isEmpty():
+        found = found.dropDuplicates([doc_id, "__digest"])  # only where a row is repeated
+    return found.select(*plain.columns).toDF(*docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced by a mark; n_chars follows.  No row goes."""
-    clean = redact_secrets(docs)
-    return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    plain, at = aside(docs)
+    text, n_chars = F.col(at["text"]), F.col(at["n_chars"])
+    clean = redact_secrets(plain, text_col=at["text"])
+    return clean.withColumn(at["n_chars"], F.when(text.isNull(), n_chars).otherwise(F.length(text).cast("long"))).toDF(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order in which their sources mix to the target weights."""
-    return in_mixed_order(pfair_mix(docs)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain, at = aside(docs)
+    mixed = pfair_mix(plain, id_col=at["doc_id"], source_col=at["source"])
+    return in_mixed_order(mixed).select(*plain.columns).toDF(*docs.columns)
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +82,8 @@ def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents are packed by runs of their order in the files, which is the mixture, and
     the bins of a run come before those of the next one.
     """
-    return pack_documents(in_file_order(docs, "__place"), place_col="__place")
+    places = in_file_order(docs.select("doc_id", "text", "source"), "__place")
+    return pack_documents(places, place_col="__place")
 
 
 STAGES = [
