@@ -223,9 +223,8 @@ def near_duplicate_classes(docs: DataFrame, sign: Signer, prepare: Preparer, ver
     buckets = keyed.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("key", "lo")
     members = stage(keyed.join(buckets, "key"), "members")
 
-    links = _links(members, once, plain, prepare, verify, shared, steep)
-    label = (components(links).select(F.col("node").alias("uid"), "label") if links is not None
-             else spark.createDataFrame([], "uid long, label long"))
+    found = _settled(members, once, plain, prepare, verify, shared, steep)
+    label = spark.createDataFrame([], "uid long, label long") if found is None else found[1]
     classes = stage(once.select("uid", "digest").join(label, "uid", "left")
                     .select("digest", F.coalesce("label", "uid").alias("label")), "classes")
     rows = signed.select("id", "digest").join(classes, "digest")
@@ -245,16 +244,6 @@ def _keep_one(tagged: DataFrame) -> DataFrame:
     return tagged.where(~same).select("id", "digest", F.col("first.id").alias("class_id"), F.lit(False).alias("is_kept")).unionByName(kept)
 
 
-def _near_labels(links: DataFrame) -> DataFrame:
-    """(uid, label): the least uid within a few links.  Equal labels mean one class; the reverse need not hold."""
-    both = links.union(links.select("b", "a"))
-    label = both.groupBy(F.col("a").alias("uid")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
-    for _ in range(2):
-        far = label.select(F.col("uid").alias("label"), F.col("label").alias("far"))
-        label = label.join(far, "label").select("uid", F.col("far").alias("label"))
-    return stage(label, "labels")
-
-
 def _steep_keys(items: DataFrame, steep: Steep) -> DataFrame:
     """Staged (key, uid, n): the steep keys of each text, with its number of items; keys of one text are left out."""
 
@@ -314,9 +303,20 @@ def _steep_pairs(keyed: DataFrame, label: DataFrame, bits: DataFrame, apart: int
     return both.select(F.col("uid").alias("a"), F.col("uid2").alias("b")).distinct()
 
 
-def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Preparer, verify: Verifier, shared: int,
-           steep: Steep | None = None) -> DataFrame | None:
-    """Verified pairs (a, b) of uids that connect all classes; None if there are no candidates.
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """(uid, label) after further ``links`` (a, b): only classes that these join are looked at again."""
+    ends = [label.select(F.col("uid").alias(e), F.col("label").alias(f"of_{e}")) for e in "ab"]
+    named = links.join(ends[0], "a", "left").join(ends[1], "b", "left").select(
+        F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    whole = components(named.where("a != b").distinct()).select(F.col("node").alias("label"), F.col("label").alias("root"))
+    single = links.select(F.explode(F.array("a", "b")).alias("uid")).distinct().join(label, "uid", "left_anti").withColumn("label", F.col("uid"))
+    both = label.select("uid", "label").unionByName(single)
+    return stage(both.join(whole, "label", "left").select("uid", F.coalesce("root", "label").alias("label")), "labels")
+
+
+def _settled(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Preparer, verify: Verifier, shared: int,
+             steep: Steep | None = None) -> tuple[DataFrame, DataFrame] | None:
+    """(verified pairs (a, b) of uids that connect all classes, (uid, label) of the classes); None if there are no candidates.
 
     Each later round takes 64 times as many leaders of every open group, so the number
     of rounds grows with the logarithm of the largest group.  A group is done when it
@@ -332,7 +332,7 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Prepa
     pairs = members.where("uid != lo").groupBy(F.col("uid").alias("a")).agg(F.min("lo").alias("b"))
     tested = stage(pairs, "pairs")
     links = stage(_verified(tested, keys, items, verify, shared), "links")
-    label = components(links).withColumnRenamed("node", "uid") if steep else _near_labels(links)
+    label = components(links).withColumnRenamed("node", "uid")
     m = members.join(label, "uid", "left").select("key", "uid", F.coalesce("label", "uid").alias("label"))
     m = stage(m, "first-classes")
     several = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
@@ -344,22 +344,20 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Prepa
         for last in [False] * CLOSEST_ROUNDS + [True]:
             found = _steep_pairs(keyed, label, bits, steep.apart) if last else _closest(keyed, label)
             new = stage(found.join(tested, ["a", "b"], "left_anti"), "steep-pairs")
-            links = links.unionByName(stage(_verified(new, keys, items, verify, 1), "links"))
             tested = tested.unionByName(new)
-            label = components(links).withColumnRenamed("node", "uid")
+            new = stage(_verified(new, keys, items, verify, 1), "links")
+            links, label = links.unionByName(new), _joined(label, new)
         unsettled = unsettled.where(F.size("items") <= steep.exact)
     # led marks members that have met all others at their item.
     members = stage(_rare_items(unsettled).withColumn("led", F.lit(False)), "rare")
     leaders = LEADERS
     while True:
-        if leaders > LEADERS:
-            label = components(links).withColumnRenamed("node", "uid")
         m = members.join(label, "uid", "left").select("key", "uid", "led", F.coalesce("label", "uid").alias("label"))
         # An item with one class, or with leaders only, is done.
         open_ = m.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("led").alias("all_led"))
         m = stage(m.join(open_.where("lo < hi AND NOT all_led").select("key"), "key"), "open")
         if m.isEmpty():
-            return links
+            return links, label
         # The next leaders: first one member of each class, then a second one of each, and so on.
         rest = m.where("NOT led").withColumn("nth", F.row_number().over(Window.partitionBy("key", "label").orderBy("uid")))
         rest = rest.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("nth", "uid")))
@@ -369,8 +367,9 @@ def _links(members: DataFrame, once: DataFrame, plain: DataFrame, prepare: Prepa
         asked = rest.join(lead, "key").where("label != lead AND (uid > lo OR NOT leads)")
         asked = asked.select(F.greatest("uid", "lo").alias("a"), F.least("uid", "lo").alias("b")).distinct()
         new = stage(asked.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(stage(_verified(new, keys, items, verify, shared), "links"))
         tested = tested.unionByName(new)
+        new = stage(_verified(new, keys, items, verify, shared), "links")
+        links, label = links.unionByName(new), _joined(label, new)
         led = m.where("led").select("key", "uid", "led").unionByName(rest.select("key", "uid", F.col("leads").alias("led")))
         members = stage(led, "members")
         leaders *= 64

@@ -407,8 +407,9 @@ def test_classes_joined_by_two_members_that_lead_none(spark, monkeypatch):
     once = spark.createDataFrame([(u, bytes([u]), [7]) for u in texts], "uid long, digest binary, keys array<long>")
     members = spark.createDataFrame([(7, u, 1) for u in texts], "key long, uid long, lo long")
     monkeypatch.setattr(near_duplicates, "_rare_items", lambda items: items.selectExpr("7L AS key", "uid"))
-    links = near_duplicates._links(members, once, plain, order_minhash.kmers, order_minhash.near, 1)
+    links, label = near_duplicates._settled(members, once, plain, order_minhash.kmers, order_minhash.near, 1)
     assert {(max(r), min(r)) for r in links.collect()} == {(3, 1), (4, 2), (4, 3)}
+    assert {(r.uid, r.label) for r in label.collect()} == {(1, 1), (2, 1), (3, 1), (4, 1)}
 
 
 def test_near_copies_of_short_texts_are_candidates():
