@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportlake.functions.sqlx import let
 from reportlake.operators.decode import PAGE_KEYS, explode_cells, explode_rows
 
 MODULE_KEYS = ("report_key", "module")
@@ -44,6 +45,21 @@ def page_meta(decoded: DataFrame, paginated: DataFrame | None = None) -> DataFra
     return meta
 
 
+def stop_before() -> Column:
+    """Why a module stops before a page (NULL: the page is used)."""
+    return (
+        F.when(F.col("status").isin(*AUTH_STATUS), F.lit("auth_failed"))
+        .when(F.col("status") != 200, F.lit("http_error"))
+        .when(F.col("bad_json"), F.lit("bad_json"))
+        .when(F.col("n_rows") == 0, F.lit("no_rows"))
+    )
+
+
+def stop_after() -> Column:
+    """Why a module ends with a page (NULL: more pages follow)."""
+    return F.when(~F.col("paginated"), F.lit("single_shot")).when(~F.col("has_tokens"), F.lit("no_tokens"))
+
+
 def page_plan(meta: DataFrame, dedupe_boundary: bool = True) -> tuple[DataFrame, DataFrame]:
     """Decide, for every landed page, whether it is used and whether its first row is dropped.
 
@@ -61,17 +77,8 @@ def page_plan(meta: DataFrame, dedupe_boundary: bool = True) -> tuple[DataFrame,
     nxt = meta.select(*MODULE_KEYS, (F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("has_next"))
     prv = meta.select(*MODULE_KEYS, (F.col("page_no") + 1).alias("page_no"), F.col("last_key").alias("prev_last"))
     p = meta.join(nxt, k, "left").join(prv, k, "left")
-    before = (
-        F.when(F.col("status").isin(*AUTH_STATUS), F.lit("auth_failed"))
-        .when(F.col("status") != 200, F.lit("http_error"))
-        .when(F.col("bad_json"), F.lit("bad_json"))
-        .when(F.col("n_rows") == 0, F.lit("no_rows"))
-    )
-    after = (
-        F.when(~F.col("paginated"), F.lit("single_shot"))
-        .when(~F.col("has_tokens"), F.lit("no_tokens"))
-        .when(F.col("has_next").isNull(), F.lit("landing_end"))
-    )
+    before = stop_before()
+    after = F.coalesce(stop_after(), F.when(F.col("has_next").isNull(), F.lit("landing_end")))
     event = (
         F.when(before.isNotNull(), F.struct(F.col("page_no").alias("page_no"), F.lit(0).alias("prio"), before.alias("reason")))
         .when(after.isNotNull(), F.struct(F.col("page_no").alias("page_no"), F.lit(1).alias("prio"), after.alias("reason")))
@@ -119,6 +126,11 @@ def module_status(pages: DataFrame, mods: DataFrame, modules: DataFrame | None =
         "stop_reason",
         "failed",
     )
+    return status_of(st, modules)
+
+
+def status_of(st: DataFrame, modules: DataFrame | None = None) -> DataFrame:
+    """E6/E9/F1 from (report_key, module, n_rows, n_pages, stop_reason, failed); ``modules`` as in ``module_status``."""
     if modules is not None:
         st = modules.select(*MODULE_KEYS).join(st, list(MODULE_KEYS), "left").fillna(
             {"n_rows": 0, "n_pages": 0, "stop_reason": "no_pages", "failed": False}
@@ -131,11 +143,13 @@ def module_status(pages: DataFrame, mods: DataFrame, modules: DataFrame | None =
         .when(F.col("stop_reason") == "landing_end", F.lit("incomplete"))
         .otherwise(F.lit("ok"))
     )
+    rows = F.when(F.col("failed"), F.lit(0)).otherwise(F.col("n_rows")).cast("bigint")
+    pages = F.when(F.col("failed"), F.lit(0)).otherwise(F.col("n_pages")).cast("int")
     return st.select(
         *MODULE_KEYS,
         status.alias("status"),
-        "n_rows",
-        "n_pages",
+        rows.alias("n_rows"),
+        pages.alias("n_pages"),
         F.col("stop_reason").alias("detail"),
     )
 
@@ -152,32 +166,40 @@ def assembled_rows(decoded: DataFrame, pages: DataFrame) -> DataFrame:
     return rows.where(~(F.col("drop_first") & (F.col("pos") == 0))).drop("drop_first")
 
 
-_TYPE_MAP = (
-    "CASE WHEN t = 'BIGINT' THEN 'bigint' "
-    "WHEN t = 'DOUBLE' OR t = 'FLOAT' OR t LIKE 'DECIMAL%' THEN 'double' "
-    "WHEN t = 'BOOLEAN' THEN 'boolean' "
+#: Integers stay exact, as BIGINT or, with some of 19 and more digits, as DECIMAL(38,0); of
+#: more than 38 digits they are text.  Any number with a fraction makes the column DOUBLE.
+_MERGE = (
+    "CASE WHEN size(ts) = 0 THEN 'string' "
+    "WHEN forall(ts, t -> t = 'BIGINT') THEN 'bigint' "
+    "WHEN forall(ts, t -> t = 'BIGINT' OR t RLIKE '^DECIMAL.(19|[23][0-9]),0.$') THEN 'decimal(38,0)' "
+    "WHEN forall(ts, t -> t IN ('BIGINT', 'DOUBLE', 'FLOAT') OR t LIKE 'DECIMAL%') THEN 'double' "
+    "WHEN forall(ts, t -> t = 'BOOLEAN') THEN 'boolean' "
     "ELSE 'string' END"
 )
 
 
+def merged_type(types: str) -> Column:
+    """The Spark type of a column from the VARIANT types of its values (an array column)."""
+    return F.expr(let([("ts", f"`{types}`")], _MERGE))
+
+
 def infer_schema(rows: DataFrame) -> DataFrame:
     """Per (report_key, module, col): first-seen order and a Spark type.
 
     Columns appear in order of first appearance; the type is the merge of the
-    VARIANT types of all values (BIGINT -> bigint; DOUBLE / DECIMAL -> double;
-    BOOLEAN; everything else, including mixed types, -> string).
+    VARIANT types of all values (``merged_type``; at most some 40 of them a column).
     """
     cells = explode_cells(rows)
     agg = cells.groupBy(*MODULE_KEYS, "col").agg(
         F.min(F.struct("page_no", "pos", "field_idx")).alias("first_seen"),
-        F.expr("schema_of_variant_agg(value)").alias("t"),
+        F.collect_set(F.when(F.col("value").isNotNull(), F.call_function("schema_of_variant", F.col("value")))).alias("variant_types"),
     )
     return agg.select(
         *MODULE_KEYS,
         "col",
         "first_seen",
-        F.col("t").alias("variant_type"),
-        F.expr(_TYPE_MAP).alias("spark_type"),
+        "variant_types",
+        merged_type("variant_types").alias("spark_type"),
     )
 
 

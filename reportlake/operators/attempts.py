@@ -10,9 +10,9 @@ for every request, the attempt that ended it:
 * 429/500/502/503/504 are retried while ``attempt < max_retries``, then end it;
 * any other status ends it at once.
 
-A request with no ending attempt yet is ``pending``.  One aggregate per
-request; a request has at most ``max_retries + 1`` attempts, so groups are
-bounded.
+A request with no ending attempt yet is ``pending``.  One hash aggregate over
+attempt numbers and one join on (request, attempt), which is unique in a log; a
+request has at most ``max_retries + 1`` attempts, so groups are bounded.
 """
 
 from __future__ import annotations
@@ -51,19 +51,20 @@ def resolve_attempts(
     """E5: one row per request: the ending attempt (status, body), its outcome,
     and the number of attempts logged; ``outcome = 'pending'`` when none ended it."""
     extra = [c for c in ("retry_after", "body") if c in attempts.columns]
-    term = is_terminal(max_retries)
-    ending = F.struct("attempt", "status", *extra)
+    # Only numbers are aggregated; the ending attempt's header and body come by one join on its unique key.
     agg = attempts.groupBy(*keys).agg(
-        F.min_by(F.when(term, ending), F.when(term, F.col("attempt"))).alias("e"),
+        F.min(F.when(is_terminal(max_retries), F.col("attempt"))).alias("attempt"),
         F.count(F.lit(1)).cast("int").alias("n_attempts"),
     )
-    return agg.select(
+    ending = attempts.where(is_terminal(max_retries)).select(*keys, "attempt", "status", *extra)
+    found = agg.join(ending, [*keys, "attempt"], "left")
+    return found.select(
         *keys,
-        F.col("e.attempt").alias("attempt"),
-        F.col("e.status").alias("status"),
-        *[F.col(f"e.{c}").alias(c) for c in extra],
+        "attempt",
+        "status",
+        *extra,
         "n_attempts",
-        F.when(F.col("e").isNull(), F.lit("pending")).otherwise(outcome_of(F.col("e.status"))).alias("outcome"),
+        F.when(F.col("attempt").isNull(), F.lit("pending")).otherwise(outcome_of(F.col("status"))).alias("outcome"),
     )
 
 

@@ -55,12 +55,12 @@ ENVELOPE_DDL = (
     "RT:variant,ValueDicts:map<string,variant>>>>>>>>"
 )
 
-# Masks as text, read only from bodies that have an integer a VARIANT cannot keep.
-MASK_DDL = (
+# Masks and values as text, read only from bodies that have an integer a VARIANT cannot keep.
+TEXT_DDL = (
     "results array<struct<result:struct<data:struct<dsr:struct<DS:array<struct<PH:array<struct<"
-    "DM0:array<struct<R:string,`Ø`:string>>>>>>>>>>>"
+    "DM0:array<struct<R:string,`Ø`:string,C:array<string>>>>>>>>>>>>"
 )
-WIDE_MASK = r'"(R|Ø)"\s*:\s*[0-9]{39}'
+WIDE_INTEGER = r"[0-9]{39}"
 
 PAGE_KEYS = ("report_key", "module", "page_no")
 
@@ -100,6 +100,13 @@ def _descriptor_bad(data: str) -> str:
     return f"exists(coalesce({data}.descriptor.Select, array()), x -> {item_bad})"
 
 
+def _exact_values(values: str, texts: str) -> str:
+    """The values of an entry; integers of more digits than a VARIANT keeps (they come as doubles) as their text."""
+    listed = f"try_variant_get({values}, '$', 'array<variant>')"
+    exact = "CASE WHEN s RLIKE '^-?[0-9]{39,}$' AND schema_of_variant(v) = 'DOUBLE' THEN cast(s AS variant) ELSE v END"
+    return f"CASE WHEN {texts} IS NULL THEN {listed} ELSE zip_with({listed}, {texts}, (v, s) -> {exact}) END"
+
+
 def _entries(dm0: str, texts: str) -> str:
     """D3/D4 + parse of every entry's keys (S, C, R, Ø) in one pass over each object.
 
@@ -113,7 +120,7 @@ def _entries(dm0: str, texts: str) -> str:
     stage2 = (
         f"transform({stage1}, (es, p) -> named_struct('es', es, 'tx', get({texts}, p), "
         f"'sa', CASE WHEN {s_present} THEN {s_arr} END, "
-        "'ca', CASE WHEN es.C IS NOT NULL THEN try_variant_get(es.C, '$', 'array<variant>') END, "
+        f"'ca', CASE WHEN es.C IS NOT NULL THEN {_exact_values('es.C', f'get({texts}, p).C')} END, "
         "'rt', CASE WHEN es.R IS NOT NULL THEN schema_of_variant(es.R) END, "
         "'zt', CASE WHEN es.`Ø` IS NOT NULL THEN schema_of_variant(es.`Ø`) END))"
     )
@@ -147,18 +154,25 @@ def _dict_key(f: str, i: str) -> str:
     )
 
 
-def _raw(x: str, i: str, narrow: bool = False) -> str:
+def _guessed(f: str, i: str) -> str:
+    """V2: field ``f`` (position i) reads a dictionary that neither its DN nor its code names."""
+    has = lambda k: f"coalesce(map_contains_key(g.dicts, {k}), false)"
+    named = f"coalesce({f}.DN, '') <> '' AND {has(f + '.DN')} OR {f}.N IS NOT NULL AND {has(f + '.N')}"
+    return f"NOT ({named}) AND coalesce({has(_dict_key(f, i))}, false)"
+
+
+def _raw(x: str, i: str, words: str | None = None) -> str:
     """The value field i of emitted entry x reads (NULL for repeat,
-    null bit, missing or JSON null), before dictionaries.  ``narrow``: all masks of the page
-    fit one 63-bit word (pages of at most 63 fields), so simpler bit tests."""
+    null bit, missing or JSON null), before dictionaries.  Without ``words`` all masks of the
+    page fit one 63-bit word (pages of at most 63 fields), so simpler bit tests do."""
     f = f"get(get(h.schemas, {x}.sidx + 1), {i})"
     ec = f"get(g.ents, {x}.p).c"
-    if narrow:
+    if words is None:
         taken = f"((shiftright({x}.r.lo | {x}.z.lo, {i}) & 1L) = 1L)"
         rank = f"bit_count(~({x}.r.lo | {x}.z.lo) & (shiftleft(1L, {i}) - 1L))"
     else:
-        taken = word_bit(f"{x}.tw", i)
-        rank = word_rank(f"{x}.tw", f"{x}.tb", i)
+        taken = word_bit(f"{words}.tw", i)
+        rank = word_rank(f"{words}.tw", f"{words}.tb", i)
     cv = f"get({ec}, {rank})"
     direct = f"try_element_at(try_variant_get(get(g.dm0, {x}.p), '$', 'map<string,variant>'), {f}.N)"
     # JSON nulls become SQL NULL here, so plain fields need no second pass
@@ -188,7 +202,9 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     """Decode every page of ``responses`` into a page-level row.
 
     Output columns (besides the input columns in ``keep``, default all but body):
-    ``n_entries`` entries in DM0, ``n_rows`` decoded rows, ``bad_pos`` /
+    ``n_entries`` entries in DM0, ``n_rows`` decoded rows, ``n_skipped`` matrix entries
+    passed over (D4), ``n_guessed`` fields of its schemas that read a dictionary neither
+    their DN nor their code names (V2), ``bad_pos`` /
     ``bad_reason`` first malformed entry (D14), ``bad_json`` body unreadable
     (A2), ``envelope_ok``, ``restart_tokens`` JSON text (D15), ``has_tokens``
     (Python truthiness), ``schemas`` per-schema column names (deduplicated,
@@ -205,8 +221,8 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     if keep is None:
         keep = tuple(c for c in responses.columns if c != body_col)
     env = F.from_json(F.col(body_col), ENVELOPE_DDL)
-    texts = F.when(F.col(body_col).rlike(WIDE_MASK), F.expr(
-        f"get(get(get(from_json({quoted(body_col)}, '{MASK_DDL}').results, 0).result.data.dsr.DS, 0).PH, 0).DM0"))
+    texts = F.when(F.col(body_col).rlike(WIDE_INTEGER), F.expr(
+        f"get(get(get(from_json({quoted(body_col)}, '{TEXT_DDL}').results, 0).result.data.dsr.DS, 0).PH, 0).DM0"))
     df = responses.select(*keep, env.alias("_env"), F.col(body_col), F.col(body_col).isNull().alias("_nobody"), texts.alias("_texts"))
     df = df.select(
         *keep,
@@ -222,8 +238,15 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         f"'desc_bad', coalesce({_descriptor_bad('_data')}, false), "
         "'dicts', coalesce(_ds.ValueDicts, map()), "
         "'dnames', map_keys(coalesce(_ds.ValueDicts, map())), "
-        # a dictionary that is not an array reads as NULL, and only it: its cells stay as they are
-        "'dvals', transform(map_values(coalesce(_ds.ValueDicts, map())), d -> try_variant_get(d, '$', 'array<variant>')), "
+        # a text as dictionary is looked up by character; other dictionaries that are no array read as NULL
+        "'dvals', transform(map_values(coalesce(_ds.ValueDicts, map())), d -> CASE WHEN schema_of_variant(d) = 'STRING' "
+        "THEN transform(filter(split(variant_get(d, '$', 'string'), ''), c -> c <> ''), c -> cast(c AS variant)) "
+        "ELSE try_variant_get(d, '$', 'array<variant>') END), "
+        # from 0 up to here a look-up fails (V3): objects by their size, numbers and booleans always, others never
+        "'dlim', transform(map_values(coalesce(_ds.ValueDicts, map())), d -> CASE "
+        "WHEN d IS NULL OR is_variant_null(d) OR schema_of_variant(d) = 'STRING' OR startswith(schema_of_variant(d), 'ARRAY') THEN 0L "
+        "WHEN startswith(schema_of_variant(d), 'OBJECT') THEN cast(size(try_variant_get(d, '$', 'map<string,variant>')) AS bigint) "
+        "ELSE 9223372036854775807L END), "
         "'dm0', coalesce(get(_ds.PH, 0).DM0, array()), "
         "'ents', " + _entries("coalesce(get(_ds.PH, 0).DM0, array())", "_texts") + ", "
         "'n_all', coalesce(size(get(_ds.PH, 0).DM0), 0))"
@@ -269,12 +292,10 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
         f"'bad', p < pre_bad AND NOT x.skip AND {L} > 0 AND ({full_bad(L)}), "
         "'r', x.r, 'z', x.z))"
     )
-    # pages with a schema of more than 63 fields: masks as words, on the emitted entries
+    # pages with a schema of more than 63 fields: masks as words, beside the emitted entries
     widened = let(
-        [("rw", f"CASE WHEN wide THEN {mask_words('x.r', 'nmax')} ELSE cast(array() AS array<bigint>) END"),
-         ("tw", f"CASE WHEN wide THEN zip_with(rw, {mask_words('x.z', 'nmax')}, (a, b) -> a | b) ELSE cast(array() AS array<bigint>) END")],
-        "named_struct('p', x.p, 'sidx', x.sidx, 'L', x.L, 'reset', x.reset, 'r', x.r, 'z', x.z, "
-        f"'rw', rw, 'tw', tw, 'tb', {words_below('tw')})",
+        [("rw", mask_words("x.r", "nmax")), ("tw", f"zip_with(rw, {mask_words('x.z', 'nmax')}, (a, b) -> a | b)")],
+        f"named_struct('rw', rw, 'tw', tw, 'tb', {words_below('tw')})",
     )
     h = let(
         [
@@ -288,22 +309,24 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
             ("schemas", "concat(array(dflt), transform(ch, c -> c.s))"),
             ("lens", "transform(schemas, s -> size(s))"),
             ("nmax", "coalesce(array_max(lens), 0)"),
-            ("wide", "nmax > 63"),
             ("wl", flags),
             ("fb0", "array_position(transform(wl, x -> x.bad), true)"),
             ("first_bad", "least(pre_bad, CASE WHEN fb0 > 0 THEN fb0 - 1 ELSE g.n_all END)"),
+            ("em", "filter(wl, x -> NOT g.desc_bad AND x.p < first_bad AND NOT x.skip AND x.L > 0)"),
         ],
         "named_struct('schemas', schemas, 'scols', " + scols + ", "
         # per (schema, field): index of its dictionary in the page's list (-1: none);
         # indexes, not copies, so many schema changes do not copy dictionaries
         "'sdidx', transform(" + dkeys + ", ks -> transform(ks, k -> coalesce(array_position(g.dnames, k), 0) - 1)), "
         "'first_bad', CASE WHEN first_bad < g.n_all THEN first_bad END, "
+        "'skipped', size(filter(wl, x -> x.skip AND x.p < first_bad)), "
+        "'guessed', aggregate(transform(schemas, s -> size(filter(transform(s, (f, i) -> " + _guessed("f", "i") + "), y -> y))), 0, (a, n) -> a + n), "
         "'why', " + let([("x", "get(g.ents, first_bad)")],
                         "CASE WHEN g.desc_bad THEN 'bad_descriptor' WHEN x IS NULL THEN NULL "
                         "WHEN NOT x.obj THEN 'entry_not_object' "
                         "WHEN x.s_bad THEN 'bad_schema' WHEN NOT x.r.ok THEN 'bad_repeat_mask' "
                         "WHEN x.c_bad THEN 'bad_values' WHEN NOT x.z.ok THEN 'bad_null_mask' END") + ", "
-        "'em', transform(filter(wl, x -> NOT g.desc_bad AND x.p < first_bad AND NOT x.skip AND x.L > 0), x -> " + widened + "))",
+        "'em', em, 'wm', transform(CASE WHEN nmax > 63 THEN em ELSE slice(em, 1, 0) END, x -> " + widened + "))",
     )
     df = df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens", "_g",
@@ -311,46 +334,58 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     )
 
     # stage values: per field, raw values -> dictionary -> carry; then rows
+    def raw(narrow: bool) -> str:
+        return "transform(em, x -> " + _raw("x", "i") + ")" if narrow else "transform(em, (x, q) -> " + _raw("x", "i", "get(h.wm, q)") + ")"
+
     def carried(narrow: bool, with_types: bool) -> str:
-        rbit = "((shiftright(get(h.em, q).r.lo, i) & 1L) = 1L)" if narrow else word_bit("get(h.em, q).rw", "i")
+        rbit = "((shiftright(get(em, q).r.lo, i) & 1L) = 1L)" if narrow else word_bit("get(h.wm, q).rw", "i")
         run_carry = let(
-            [("st", "filter(" + seq("n") + ", q -> NOT (q > 0 AND NOT get(h.em, q).reset AND " + rbit + "))")],
+            [("st", "filter(" + seq("n") + ", q -> NOT (q > 0 AND NOT get(em, q).reset AND " + rbit + "))")],
             "flatten(transform(st, (s, k) -> array_repeat(get(res, s), coalesce(get(st, k + 1), n) - s)))",
         )
-        raw = "transform(h.em, x -> " + _raw("x", "i", narrow) + ")"
         # fields without a dictionary in any schema of the page only need null normalisation
-        plain = raw
-        looked = "zip_with(h.em, " + raw + ", (x, v) -> " + _resolve("x", "v", "i") + ")"
+        looked = "zip_with(em, " + raw(narrow) + ", (x, v) -> " + _resolve("x", "v", "i") + ")"
         has_dict = "exists(h.sdidx, ds -> coalesce(get(ds, i), -1) >= 0)"
-        any_r = "((shiftright(rany.lo, i) & 1L) = 1L)" if narrow else word_bit("rany.w", "i")
+        any_r = "((shiftright(rany, i) & 1L) = 1L)" if narrow else word_bit("wany", "i")
         # (schema, VARIANT type) pairs of the field's own values: the carry only
         # copies these values, so they are the types of all its cells (E8 input)
         types = (
-            "array_distinct(filter(zip_with(h.em, res, (x, v) -> CASE WHEN v IS NOT NULL THEN "
+            "array_distinct(filter(zip_with(em, res, (x, v) -> CASE WHEN v IS NOT NULL THEN "
             "named_struct('s', x.sidx, 't', schema_of_variant(v)) END), y -> y IS NOT NULL))"
             if with_types else None
         )
         return (
             "transform(" + seq("nf") + ", i -> " + let(
-                [("res", f"CASE WHEN {has_dict} THEN {looked} ELSE {plain} END")],
+                [("res", f"CASE WHEN {has_dict} THEN {looked} ELSE {raw(narrow)} END")],
                 # a field with no repeat bit anywhere in the page needs no carry pass
                 (f"named_struct('v', CASE WHEN {any_r} THEN {run_carry} ELSE res END, 't', {types})"
                  if with_types else f"named_struct('v', CASE WHEN {any_r} THEN {run_carry} ELSE res END)"),
             ) + ")"
         )
 
+    # V3: the first emitted entry with an integer whose dictionary is there but cannot be looked up
+    def refused(narrow: bool) -> str:
+        fails = (
+            "CASE WHEN v IS NOT NULL AND schema_of_variant(v) = 'BIGINT' AND variant_get(v, '$', 'bigint') >= 0 AND variant_get(v, '$', 'bigint') < "
+            "coalesce(get(g.dlim, get(get(h.sdidx, get(h.em, q).sidx + 1), i)), 0L) THEN q END"
+        )
+        return f"array_min(transform({seq('nf')}, i -> array_min(transform({raw(narrow)}, (v, q) -> {fails}))))"
+
     rows = (
-        "transform(h.em, (x, q) -> named_struct('pos', q, 'sidx', x.sidx, "
+        "transform(em, (x, q) -> named_struct('pos', q, 'sidx', x.sidx, "
         "'vals', transform(get(h.scols, x.sidx + 1).idx, j -> get(get(cv, j), q))))"
     )
+    suspect = "exists(g.dlim, d -> d > 0)"
+    cut = let([("em", "h.em")], f"CASE WHEN nf <= 63 THEN {refused(True)} ELSE {refused(False)} END")
     vals = let(
         [
             ("g", "_g"),
             ("h", "_h"),
-            ("n", "size(h.em)"),
             ("nf", "coalesce(array_max(transform(h.em, x -> x.L)), 0)"),
-            ("rany", "aggregate(h.em, named_struct('lo', 0L, 'w', cast(array() AS array<bigint>)), (a, x) -> named_struct("
-             "'lo', a.lo | x.r.lo, 'w', zip_with(a.w, x.rw, (p, q) -> coalesce(p, 0L) | coalesce(q, 0L))))"),
+            ("em", f"CASE WHEN {suspect} THEN slice(h.em, 1, coalesce({cut}, size(h.em))) ELSE h.em END"),
+            ("n", "size(em)"),
+            ("rany", "aggregate(em, 0L, (a, x) -> a | x.r.lo)"),
+            ("wany", "aggregate(h.wm, cast(array() AS array<bigint>), (a, x) -> zip_with(a, x.rw, (p, q) -> coalesce(p, 0L) | coalesce(q, 0L)))"),
             ("cvs", f"CASE WHEN nf <= 63 THEN {carried(True, with_types)} ELSE {carried(False, with_types)} END"),
             ("cv", "transform(cvs, c -> c.v)"),
         ],
@@ -359,8 +394,11 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     df = df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens",
         F.expr("_g.n_all").alias("n_entries"),
-        F.expr("_h.first_bad").alias("bad_pos"),
-        F.expr("_h.why").alias("bad_reason"),
+        F.expr("_h.skipped").alias("n_skipped"),
+        F.expr("_h.guessed").alias("n_guessed"),
+        F.expr("_h.first_bad").alias("_bad_pos"),
+        F.expr("_h.why").alias("_why"),
+        F.expr("CASE WHEN exists(_g.dlim, d -> d > 0) THEN transform(_h.em, x -> x.p) END").alias("_places"),
         F.expr("transform(_h.scols, s -> s.names)").alias("schemas"),
         F.expr("transform(_h.scols, s -> s.idx)").alias("schema_fields"),
         F.expr(vals).alias("_v"),
@@ -370,8 +408,11 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     else:
         # no wrapper struct: the rows array is not copied by an extra projection
         rows_col, types_col = F.col("_v"), F.lit(None).cast("array<array<struct<s:int,t:string>>>")
+    refused_at = F.get("_places", F.size(rows_col))  # an entry was left out: its dictionary cannot be looked up
     df = df.select(
-        *keep, "bad_json", "envelope_ok", "restart_tokens", "n_entries", "bad_pos", "bad_reason",
+        *keep, "bad_json", "envelope_ok", "restart_tokens", "n_entries", "n_skipped", "n_guessed",
+        F.coalesce(refused_at, "_bad_pos").alias("bad_pos"),
+        F.when(refused_at.isNotNull(), F.lit("bad_dictionary")).otherwise(F.col("_why")).alias("bad_reason"),
         "schemas", "schema_fields", rows_col.alias("rows"), types_col.alias("field_types"),
     )
     has_tokens = (
@@ -381,7 +422,7 @@ def decode_pages(responses: DataFrame, body_col: str = "body", keep: tuple[str,
     return df.select(
         *keep, "bad_json", "envelope_ok", "restart_tokens",
         F.expr(has_tokens).alias("has_tokens"),
-        "n_entries", "bad_pos", "bad_reason", "schemas", "schema_fields", "field_types", "rows",
+        "n_entries", "n_skipped", "n_guessed", "bad_pos", "bad_reason", "schemas", "schema_fields", "field_types", "rows",
         F.size("rows").alias("n_rows"),
         F.expr(_row_key("get(rows, 0)")).alias("first_key"),
         F.expr(_row_key("get(rows, size(rows) - 1)")).alias("last_key"),

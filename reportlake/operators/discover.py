@@ -9,49 +9,77 @@ report with a third of all captures is not sent to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportlake.functions.jsonspan import raw_value
+from reportlake.functions.jsonx import strict_json_ok
 from reportlake.functions.protocol import DEFAULT_MODEL_ID, RESOURCE_KEY_HEADER
 from reportlake.functions.ranking import group_row_number
 from reportlake.session import json_parity, stage
 from reportlake.sources.captures import header_value
 
+CMD_KEYS = ("queries", 0, "Query", "Commands", 0, "SemanticQueryDataShapeCommand")
 CMD_PATH = "$.queries[0].Query.Commands[0].SemanticQueryDataShapeCommand"
 
+#: Characters of a body up to which its command is taken out as it stands; that of a longer
+#: body is written anew (numbers may change their form, ``2.50`` to ``2.5``).
+RAW_CHARS = 16 << 20
+
+#: What is read of a body that is too large for one VARIANT: only these parts.
+LARGE_DDL = (
+    "queries array<struct<"
+    "Query:struct<Commands:array<struct<SemanticQueryDataShapeCommand:struct<"
+    "Query:struct<From:array<variant>,Select:array<variant>>,"
+    "Binding:struct<DataReduction:struct<Primary:map<string,variant>>>>>>>,"
+    "ApplicationContext:struct<DatasetId:variant,Sources:array<struct<ReportId:variant,VisualId:variant>>>>>, "
+    "modelId variant"
+)
+
+
+def parsed(body: str) -> Column:
+    """The body as a VARIANT; null if it is no JSON, or too large."""
+    return F.call_function("try_parse_json", F.col(body))
+
+
+def _large(body: str, as_variant: str) -> Column:
+    """The parts of a body that is one JSON value but too large for a VARIANT (else null)."""
+    return F.when(F.col(as_variant).isNull() & strict_json_ok(F.col(body)), F.from_json(F.col(body), LARGE_DDL))
+
 
 def report_config(captures: DataFrame, key_header: str = RESOURCE_KEY_HEADER) -> DataFrame:
-    """Config of each report from its *first* capture (lowest ``pos``).
+    """Config of each report from its *first* capture (lowest ``pos``, unique in a report).
 
     ``model_id`` is the body's ``modelId`` when the key is present, else the
     default.  ``error`` is set when the first capture has no application
-    context (the whole report's discovery then fails).
+    context (the whole report's discovery then fails).  Only positions are
+    aggregated; the first captures' bodies come by one join on (report_key, pos).
     """
     json_parity(captures.sparkSession)
-    first = captures.groupBy("report_key").agg(
-        F.min_by(F.struct("url", "headers", "body", "pos"), F.col("pos")).alias("f")
-    )
-    b = F.call_function("try_parse_json", F.col("f.body"))
-    ctx = "$.queries[0].ApplicationContext"
+    first = captures.groupBy("report_key").agg(F.min("pos").alias("pos"))
+    df = captures.join(first, ["report_key", "pos"]).select("report_key", "pos", "url", "headers", "body", parsed("body").alias("_b"))
+    df = df.select("report_key", "pos", "url", "headers", "_b", _large("body", "_b").alias("_l"))
+    ctx, large = "$.queries[0].ApplicationContext", "get(_l.queries, 0).ApplicationContext"
 
-    def path(p, t="string"):
-        return F.call_function("try_variant_get", b, F.lit(p), F.lit(t))
+    def part(path: str, of_large: str) -> Column:
+        return F.expr(f"coalesce(try_variant_get(_b, '{path}'), {of_large})")
 
-    def present(p):
-        return F.call_function("try_variant_get", b, F.lit(p)).isNotNull()
-
-    ok = present(f"{ctx}.DatasetId") & present(f"{ctx}.Sources[0].ReportId") & present(f"{ctx}.Sources[0].VisualId")
-    return first.select(
+    df = df.select(
+        "report_key", "pos", "url", "headers",
+        part(f"{ctx}.DatasetId", f"{large}.DatasetId").alias("_d"),
+        part(f"{ctx}.Sources[0].ReportId", f"get({large}.Sources, 0).ReportId").alias("_r"),
+        part(f"{ctx}.Sources[0].VisualId", f"get({large}.Sources, 0).VisualId").alias("_v"),
+        part("$.modelId", "_l.modelId").alias("_m"),
+    )
+    return df.select(
         "report_key",
-        path(f"{ctx}.DatasetId").alias("dataset_id"),
-        path(f"{ctx}.Sources[0].ReportId").alias("report_id"),
-        path(f"{ctx}.Sources[0].VisualId").alias("visual_id"),
-        F.coalesce(header_value(F.col("f.headers"), key_header), F.lit("")).alias("resource_key"),
-        F.col("f.url").alias("url"),
-        F.when(present("$.modelId"), path("$.modelId", "bigint")).otherwise(F.lit(DEFAULT_MODEL_ID)).cast("bigint").alias("model_id"),
+        *[F.expr(f"try_variant_get({c}, '$', 'string')").alias(n) for c, n in (("_d", "dataset_id"), ("_r", "report_id"), ("_v", "visual_id"))],
+        F.coalesce(header_value(F.col("headers"), key_header), F.lit("")).alias("resource_key"),
+        "url",
+        F.when(F.col("_m").isNotNull(), F.expr("try_variant_get(_m, '$', 'bigint')")).otherwise(F.lit(DEFAULT_MODEL_ID)).cast("bigint").alias("model_id"),
         F.create_map().cast("map<string,string>").alias("extra_headers"),
-        F.col("f.pos").alias("first_capture"),
-        F.when(~ok, F.lit("no_application_context")).alias("error"),
+        F.col("pos").alias("first_capture"),
+        F.when(F.expr("_d IS NULL OR _r IS NULL OR _v IS NULL"), F.lit("no_application_context")).alias("error"),
     )
 
 
@@ -73,8 +101,7 @@ def _select_columns() -> str:
     )
     item = f"element_at(transform(array({ex}), ex -> {_SELECT_ITEM}), 1)"
     return (
-        "filter(transform(coalesce(try_variant_get(cmd, '$.Query.Select', 'array<variant>'), array()), "
-        f"it -> {item}), s -> s.alias IS NOT NULL AND s.prop IS NOT NULL)"
+        f"filter(transform(coalesce(_sel, array()), it -> {item}), s -> s.alias IS NOT NULL AND s.prop IS NOT NULL)"
     )
 
 
@@ -83,21 +110,27 @@ def analyse_captures(captures: DataFrame) -> DataFrame:
 
     Adds ``reject`` (``no_command``, ``subquery_source``, ``bad_source`` for a
     source without a name, ``no_columns``) -- NULL when the capture yields a
-    module.  A pure projection: no shuffle.  The name
-    of a capture without entities needs its index among the report's captures;
-    that is attached later by ``name_captures``.
+    module.  A pure projection: no shuffle, and no text of the query in it
+    (``query_templates`` fetches that of the modules kept).  The name of a capture
+    without entities needs its index among the report's captures; that is attached
+    later by ``name_captures``.  Of a body too large for one VARIANT the parts needed
+    are read by themselves, and its shape is that of its text, keys in their order.
     """
     json_parity(captures.sparkSession)
-    b = F.call_function("try_parse_json", F.col("body"))
-    df = captures.select(
-        "report_key",
-        "pos",
-        F.call_function("try_variant_get", b, F.lit(CMD_PATH)).alias("cmd"),
-        F.get_json_object("body", CMD_PATH).alias("query_template"),
+    df = captures.select("report_key", "pos", "body", parsed("body").alias("_b"))
+    df = df.select("report_key", "pos", "body", F.expr(f"try_variant_get(_b, '{CMD_PATH}')").alias("cmd"), _large("body", "_b").alias("_l"))
+    big = "get(get(_l.queries, 0).Query.Commands, 0).SemanticQueryDataShapeCommand"
+    window = "try_variant_get(cmd, '$.Binding.DataReduction.Primary.Window') IS NOT NULL"
+    df = df.select(
+        "report_key", "pos", "cmd",
+        F.expr(f"CASE WHEN _l IS NULL THEN try_variant_get(cmd, '$.Query.From', 'array<variant>') ELSE {big}.Query.From END").alias("_from"),
+        F.expr(f"CASE WHEN _l IS NULL THEN try_variant_get(cmd, '$.Query.Select', 'array<variant>') ELSE {big}.Query.Select END").alias("_sel"),
+        F.expr(f"CASE WHEN _l IS NULL THEN cmd IS NOT NULL AND try_variant_get(cmd, '$.Query') IS NOT NULL ELSE {big}.Query IS NOT NULL END").alias("_query"),
+        F.expr(f"CASE WHEN _l IS NULL THEN {window} ELSE coalesce(map_contains_key({big}.Binding.DataReduction.Primary, 'Window'), false) END").alias("paginated"),
+        F.expr(f"CASE WHEN _l IS NOT NULL THEN get_json_object(body, '{CMD_PATH}') END").alias("_text"),
     )
-    froms = "coalesce(try_variant_get(cmd, '$.Query.From', 'array<variant>'), array())"
     ents = (
-        f"transform({froms}, x -> named_struct('name', try_variant_get(x, '$.Name', 'string'), "
+        "transform(coalesce(_from, array()), x -> named_struct('name', try_variant_get(x, '$.Name', 'string'), "
         "'entity', try_variant_get(x, '$.Entity', 'string'), 'has_entity', try_variant_get(x, '$.Entity') IS NOT NULL))"
     )
     df = df.withColumn("_ents", F.expr(ents)).withColumn("select_columns", F.expr(_select_columns()))
@@ -108,7 +141,7 @@ def analyse_captures(captures: DataFrame) -> DataFrame:
     )
     df = df.withColumn("from_entities", from_entities)
     reject = (
-        F.when(F.col("cmd").isNull() | F.expr("try_variant_get(cmd, '$.Query') IS NULL"), F.lit("no_command"))
+        F.when(~F.col("_query"), F.lit("no_command"))
         .when(F.expr("exists(_ents, e -> NOT e.has_entity)"), F.lit("subquery_source"))
         .when(F.expr("exists(_ents, e -> e.name IS NULL)"), F.lit("bad_source"))
         .when(F.size("select_columns") == 0, F.lit("no_columns"))
@@ -118,16 +151,23 @@ def analyse_captures(captures: DataFrame) -> DataFrame:
         "pos",
         "from_entities",
         "select_columns",
-        "query_template",
         F.array_join(F.array_sort(F.array_distinct(F.map_values("from_entities"))), "_").alias("entity_part"),
         F.array_join(F.expr("transform(select_columns, s -> s.prop)"), "_").alias("column_part"),
         # V4: the key-sorted text alone would equate 1 and 1.0; the type string keeps them apart.
-        F.sha2(F.concat_ws("|", F.to_json("cmd"), F.call_function("schema_of_variant", F.col("cmd"))), 256).alias("shape_key"),
-        F.expr("try_variant_get(cmd, '$.Binding.DataReduction.Primary.Window') IS NOT NULL").alias("paginated"),
+        F.sha2(F.coalesce(F.col("_text"), F.concat_ws("|", F.to_json("cmd"), F.call_function("schema_of_variant", F.col("cmd")))), 256).alias("shape_key"),
+        "paginated",
         reject.alias("reject"),
     )
 
 
+def query_templates(captures: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The query of each chosen capture (report_key, pos), as it stands in its body: adds ``query_template``."""
+    found = captures.select("report_key", "pos", "body").join(chosen.select("report_key", "pos"), ["report_key", "pos"])
+    written = F.get_json_object("body", CMD_PATH)
+    template = F.when(F.length("body") <= RAW_CHARS, raw_value("body", CMD_KEYS)).otherwise(written)
+    return chosen.join(found.select("report_key", "pos", template.alias("query_template")), ["report_key", "pos"])
+
+
 def name_captures(captures: DataFrame, analysed: DataFrame) -> DataFrame:
     """Base module name = entities + '_' + properties, lower-case, spaces -> '_'.
 
@@ -154,13 +194,12 @@ def name_captures(captures: DataFrame, analysed: DataFrame) -> DataFrame:
 
 
 def dedupe_shapes(analysed: DataFrame) -> DataFrame:
-    """First capture of each distinct query shape per report."""
+    """First capture of each distinct query shape per report.
+
+    Only positions are aggregated; the rest of the first captures comes by one join."""
     usable = analysed.where(F.col("reject").isNull()).drop("reject")
-    cols = [c for c in usable.columns if c not in ("report_key", "shape_key")]
-    first = usable.groupBy("report_key", "shape_key").agg(
-        F.min_by(F.struct(*cols), F.col("pos")).alias("m")
-    )
-    return first.select("report_key", "shape_key", "m.*")
+    first = usable.groupBy("report_key", "shape_key").agg(F.min("pos").alias("pos"))
+    return usable.join(first, ["report_key", "shape_key", "pos"])
 
 
 def suffix_names(mods: DataFrame) -> DataFrame:
@@ -177,37 +216,55 @@ def suffix_names(mods: DataFrame) -> DataFrame:
     )
     clash = named.groupBy("report_key", "name").agg((F.count(F.lit(1)) > 1).alias("name_clash"))
     return named.join(clash, ["report_key", "name"]).select(
-        "report_key", "pos", "name", "from_entities", "select_columns", "query_template",
+        "report_key", "pos", "name", "from_entities", "select_columns", *(["query_template"] if "query_template" in mods.columns else []),
         "shape_key", "paginated", F.concat(F.col("name"), F.lit(".csv")).alias("output_filename"), "name_clash",
     )
 
 
-def discover(captures: DataFrame, key_header: str = RESOURCE_KEY_HEADER, materialize: bool = True) -> dict[str, DataFrame]:
-    """Captures (report_key, pos, url, headers, body) -> tables.
+def discover(captures: DataFrame, key_header: str = RESOURCE_KEY_HEADER, materialize: bool = True,
+             reports: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Captures (report_key, pos, url, headers, body; pos unique in a report) -> tables.
 
     Returns ``report_config``, ``modules``, ``rejects`` (report_key, pos, reason)
     and ``report_discovery`` (report_key, n_captures, n_modules, status, detail)
     where a report without usable modules or without application context is
-    ``failed`` (C12).  With ``materialize`` the per-capture analysis is written
-    once to the shared checkpoint folder (it feeds several branches).
+    ``failed`` (C12).  ``reports``: (report_key) or (report_key, problem) of all reports there are;
+    those without a capture are listed too, as ``failed`` with their problem or ``no_captures``.
+    With ``materialize`` the per-capture analysis is written once to the shared checkpoint
+    folder (it feeds several branches), and so are the few captures whose text is needed,
+    so the source is read twice.
     """
     analysed = analyse_captures(captures)
     if materialize:
         analysed = stage(analysed, "captures-analysed")
-    analysed = name_captures(captures, analysed)
-    modules = suffix_names(dedupe_shapes(analysed))
-    config = report_config(captures, key_header)
+    keys = analysed.select("report_key", "pos")
+    first = keys.groupBy("report_key").agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n_captures"))
+    kept = dedupe_shapes(name_captures(keys, analysed))
+    if materialize:
+        kept = stage(kept, "captures-kept")
+    needed = captures.join(kept.select("report_key", "pos").unionByName(first.select("report_key", "pos")).distinct(), ["report_key", "pos"], "left_semi")
+    if materialize:
+        needed = stage(needed, "captures-needed")
+    modules = suffix_names(query_templates(needed, kept))
+    config = report_config(needed, key_header)
     rejects = analysed.where(F.col("reject").isNotNull()).select("report_key", "pos", F.col("reject").alias("reason"))
-    n_caps = captures.groupBy("report_key").agg(F.count(F.lit(1)).alias("n_captures"))
-    n_mods = modules.groupBy("report_key").agg(F.count(F.lit(1)).alias("n_modules"))
+    n_mods = kept.groupBy("report_key").agg(F.count(F.lit(1)).alias("n_modules"))
+    seen = first.select("report_key", "n_captures")
+    if reports is not None:
+        problem = F.first("problem") if "problem" in reports.columns else F.lit(None).cast("string")
+        seen = seen.join(reports.groupBy("report_key").agg(problem.alias("problem")), "report_key", "full")
+    else:
+        seen = seen.withColumn("problem", F.lit(None).cast("string"))
     status = (
-        n_caps.join(n_mods, "report_key", "left")
+        seen.join(n_mods, "report_key", "left")
         .join(config.select("report_key", "error"), "report_key", "left")
         .select(
             "report_key",
-            "n_captures",
+            F.coalesce("n_captures", F.lit(0)).alias("n_captures"),
             F.coalesce("n_modules", F.lit(0)).alias("n_modules"),
-            F.when(F.col("error").isNotNull(), F.col("error"))
+            F.when(F.col("problem").isNotNull(), F.col("problem"))
+            .when(F.col("n_captures").isNull(), F.lit("no_captures"))
+            .when(F.col("error").isNotNull(), F.col("error"))
             .when(F.coalesce("n_modules", F.lit(0)) == 0, F.lit("no_usable_modules")).alias("detail"),
         )
         .withColumn("status", F.when(F.col("detail").isNull(), F.lit("ok")).otherwise(F.lit("failed")))

@@ -1,9 +1,10 @@
 """Request payloads for replaying captured queries: C13, C14, C15.
 
-A payload is built for every (module, next-page request) row at once: an
-equi-join of modules with their report's config, then a JSON edit of the
-template through ``map<string,variant>`` -- the template column itself is
-never changed.
+A payload is built for every (module, next-page request) row at once: an equi-join of
+modules with their report's config, then text: the captured template goes into the
+payload as it stands, but for the paging window, which is spliced in at its place
+(``functions.jsonspan``).  So numbers, key order, escapes and blanks of a query are
+those of the capture.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportlake.functions.jsonspan import spliced
+from reportlake.functions.jsonx import strict_json_ok
 from reportlake.functions.protocol import DATA_VOLUME, PAGE_SIZE, PAYLOAD_VERSION
 from reportlake.session import json_parity
 
@@ -35,42 +38,23 @@ def window_config(page_size: Column | int = PAGE_SIZE, restart_tokens: Column |
     return F.call_function("to_variant_object", F.when(truthy, with_tokens).otherwise(base))
 
 
-_FALSY = "('null', '[]', '{}', '\"\"', '0', 'false', '0.0')"
-
-
-def _as_map(v: str) -> str:
-    """A VARIANT object as map<string,variant>; falsy or missing -> empty map."""
-    return (
-        f"CASE WHEN {v} IS NULL OR to_json({v}) IN {_FALSY} THEN map() "
-        f"ELSE try_variant_get({v}, '$', 'map<string,variant>') END"
-    )
-
-
 def apply_window(template_col: str, window_col: str) -> Column:
-    """C14: the command with ``Binding.DataReduction.Primary`` replaced by ``{"Window": w}``.
+    """C14: the command text with ``Binding.DataReduction.Primary`` replaced by ``{"Window": w}``.
 
-    An empty ``Binding`` becomes ``{}``; an empty ``DataReduction`` becomes
-    ``{"DataVolume": 3}``; other keys are kept.  Arguments are column names of
-    the template JSON text and of the window VARIANT.
+    A missing or empty ``Binding`` or ``DataReduction`` is made, the latter with
+    ``"DataVolume":3``; every other character stays.  Arguments are column names of the template
+    and of the window, both JSON text.  A template that is no JSON object, or has something else
+    than an object on the way, gives null.
     """
-    expr = f"""
-    element_at(transform(array(named_struct('cmd', try_parse_json(`{template_col}`), 'w', `{window_col}`)), s ->
-      element_at(transform(array(named_struct(
-          'c', {_as_map('s.cmd')},
-          'b', {_as_map("try_variant_get(s.cmd, '$.Binding')")},
-          'd', try_variant_get(s.cmd, '$.Binding.DataReduction'))), t ->
-        to_variant_object(map_concat(
-          map_filter(t.c, (k, v) -> k <> 'Binding'),
-          map('Binding', to_variant_object(map_concat(
-            map_filter(t.b, (k, v) -> k <> 'DataReduction'),
-            map('DataReduction', to_variant_object(map_concat(
-              map_filter(CASE WHEN t.d IS NULL OR to_json(t.d) IN {_FALSY}
-                              THEN map('DataVolume', parse_json('{DATA_VOLUME}'))
-                              ELSE try_variant_get(t.d, '$', 'map<string,variant>') END,
-                         (k, v) -> k <> 'Primary'),
-              map('Primary', to_variant_object(map('Window', s.w)))))))))))), 1)), 1)
-    """
-    return F.expr(expr)
+    path = ("Binding", "DataReduction", "Primary")
+    edited = spliced(template_col, path, window_col, ("", f"'\"DataVolume\":{DATA_VOLUME},'"))
+    return F.when(strict_json_ok(F.col(template_col)), edited)
+
+
+def _text(value: Column) -> Column:
+    """A string as JSON text; null is ``null``."""
+    listed = F.to_json(F.array(value.cast("string")))
+    return F.substring(listed, 2, F.length(listed) - 2)
 
 
 def build_payloads(
@@ -89,32 +73,16 @@ def build_payloads(
     json_parity(requests.sparkSession)
     cfg = config.select("report_key", "dataset_id", "report_id", "visual_id", "model_id")
     df = requests.join(cfg, "report_key", "inner")
-    df = df.withColumn("__tpl", F.col("query_template"))
+    cmd = F.when(strict_json_ok(F.col("query_template")), F.col("query_template"))
     if window is not None:
-        df = df.withColumn("__win", window)
-        edited = apply_window("__tpl", "__win")
-        cmd = edited if not paginated_only else F.when(
-            is_paginated("query_template"), edited
-        ).otherwise(F.call_function("try_parse_json", F.col("__tpl")))
-    else:
-        cmd = F.call_function("try_parse_json", F.col("__tpl"))
-    payload = F.struct(
-        F.lit(PAYLOAD_VERSION).alias("version"),
-        F.array(
-            F.struct(
-                F.struct(F.array(F.struct(cmd.alias("SemanticQueryDataShapeCommand"))).alias("Commands")).alias("Query"),
-                F.struct(
-                    F.col("dataset_id").alias("DatasetId"),
-                    F.array(F.struct(F.col("report_id").alias("ReportId"), F.col("visual_id").alias("VisualId"))).alias("Sources"),
-                ).alias("ApplicationContext"),
-            )
-        ).alias("queries"),
-        F.array().cast("array<string>").alias("cancelQueries"),
-        F.col("model_id").alias("modelId"),
-    )
-    ok = F.call_function("try_parse_json", F.col("__tpl")).isNotNull()
+        df = df.withColumn("__win", F.concat(F.lit('{"Window":'), F.to_json(window), F.lit("}")))
+        edited = apply_window("query_template", "__win")
+        cmd = F.when(is_paginated("query_template"), edited).otherwise(cmd) if paginated_only else edited
     # an unreadable template gives no payload (NULL) rather than a made-up command
-    return df.withColumn("payload", F.when(ok, F.to_json(payload))).drop(
-        "__tpl", "__win", "dataset_id", "report_id", "visual_id", "model_id"
+    payload = F.concat(
+        F.lit(f'{{"version":"{PAYLOAD_VERSION}","queries":[{{"Query":{{"Commands":[{{"SemanticQueryDataShapeCommand":'), cmd,
+        F.lit('}]},"ApplicationContext":{"DatasetId":'), _text(F.col("dataset_id")),
+        F.lit(',"Sources":[{"ReportId":'), _text(F.col("report_id")), F.lit(',"VisualId":'), _text(F.col("visual_id")),
+        F.lit('}]}}],"cancelQueries":[],"modelId":'), F.coalesce(F.col("model_id").cast("string"), F.lit("null")), F.lit("}"),
     )
-
+    return df.withColumn("payload", payload).drop("__win", "dataset_id", "report_id", "visual_id", "model_id")

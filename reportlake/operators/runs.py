@@ -93,17 +93,20 @@ def exit_code(report_status_df: DataFrame) -> int:
     return 0 if not report_status_df.where(F.col("status") == "ok").isEmpty() else 1
 
 
-def failure_message(module_status: DataFrame, report_key: str, order_col: str | None = None) -> str | None:
-    """``"k/n module(s) failed: a, b"`` for one report, or None when nothing failed.
+def failure_messages(module_status: DataFrame, order_col: str | None = None) -> DataFrame:
+    """(report_key, message) of every report with failed modules: ``"k/n module(s) failed: a, b"``.
 
-    Counts come from an aggregate; only the failed names of that report (in
-    ``order_col`` order when given) reach the driver, and only when some failed.
+    Names stand in the order of ``order_col`` (of themselves without one).
     """
-    st = module_status.where(F.col("report_key") == report_key)
-    counts = st.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "failed").alias("k")).first()
-    if not counts or not counts.k:
-        return None
-    failed = st.where(F.col("status") == "failed")
-    failed = failed.orderBy(order_col) if order_col else failed.orderBy("module")
-    names = [r.module for r in failed.select("module").collect()]
-    return f"{counts.k}/{counts.n} module(s) failed: {', '.join(names)}"
+    failed = F.col("status") == "failed"
+    order = F.col(order_col) if order_col else F.col("module")
+    names = F.sort_array(F.collect_list(F.when(failed, F.struct(order.alias("o"), "module"))))
+    found = module_status.groupBy("report_key").agg(F.count(F.lit(1)).alias("n"), F.count_if(failed).alias("k"), names.alias("names"))
+    listed = F.array_join(F.transform("names", lambda x: x["module"]), ", ")
+    return found.where("k > 0").select("report_key", F.format_string("%d/%d module(s) failed: %s", "k", "n", listed).alias("message"))
+
+
+def failure_message(module_status: DataFrame, report_key: str, order_col: str | None = None) -> str | None:
+    """the message of one report, or None when nothing failed."""
+    row = failure_messages(module_status.where(F.col("report_key") == report_key), order_col).first()
+    return row.message if row else None

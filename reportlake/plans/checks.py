@@ -21,16 +21,19 @@ from reportlake.operators.assemble import typed_columns
 from reportlake.functions.protocol import PAGE_SIZE, VIEW_URL_PREFIX
 from reportlake.operators.attempts import resolve_attempts, with_retry_delay
 from reportlake.operators.discover import discover, report_config
+from reportlake.operators.frontier import issue, next_requests, read_ledger
 from reportlake.operators.payloads import build_payloads, is_paginated, window_config
-from reportlake.operators.runs import bulk_summary, report_status, select_modules
-from reportlake.session import scratch_dir
-from reportlake.sinks.tables import load_catalog, report_dirs, save_catalog, write_module_csv
+from reportlake.operators.runs import bulk_summary, failure_messages, report_status, run_summary, select_modules
+from reportlake.session import scratch_dir, stage
+from reportlake.sinks.tables import load_catalog, report_dirs, save_catalog, write_module_csv, write_rows_by_report
 from reportlake.sources.captures import filter_captures, har_entries, header_value
-from reportlake.sources.urls import extract_view_urls, resource_key
+from reportlake.sources.urls import extract_view_urls, numbered_urls, read_texts, resource_key
+from reportlake.streaming.assembly import Assembly
 from reportlake.streaming.incremental import start_incremental_decode
-from reportlake.operators.decode import decode_pages, explode_rows, quarantine
+from reportlake.operators.decode import decode_pages, explode_rows, quarantine, stage_pages
 from reportlake.functions.sqlx import json_value
 from reportlake.plans.extract import extract, staged_rows, typed_from_json
+from reportlake.plans.jobs import discover_har, run_bulk
 from reportlake.plans.encode import Field, build_pages, descriptor_json, encode_entries, encode_table
 
 CHECKS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -315,12 +318,8 @@ def q_column_names(spark, sf_dir):
 # 2.E page assembly, attempts, schema
 # ---------------------------------------------------------------------------
 
-@check("Q_boundary", """
-SELECT event_id, user_id, event_type FROM events
-""")
-def q_boundary(spark, sf_dir):
-    """One module, pages of 100 events; each page starts with the last row of
-    the previous page (as the service repeats it); tokens on all but the last page."""
+def boundary_responses(spark, sf_dir):
+    """One module, pages of 100 events, each starting with the last row of the page before."""
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.expr("event_id div 100").alias("p"))
     last_page = ev.agg(F.max("p")).first()[0]
     edge = (
@@ -337,8 +336,28 @@ def q_boundary(spark, sf_dir):
     ]
     rt = F.when(F.first("p") < F.lit(last_page), F.concat(F.lit("[["), F.max("event_id").cast("string"), F.lit("]]")))
     pages = encode_table(rows, ["p"], ["o", "event_id"], fields, rt=rt)
-    ex = extract(responses_of(pages, "events", "events", F.col("p") + 1))
-    return ex.table("events", "events")
+    return responses_of(pages, "events", "events", F.col("p") + 1)
+
+
+@check("Q_boundary", """
+SELECT event_id, user_id, event_type FROM events
+""")
+def q_boundary(spark, sf_dir):
+    """One module, pages of 100 events; each page starts with the last row of
+    the previous page (as the service repeats it); tokens on all but the last page."""
+    return extract(boundary_responses(spark, sf_dir)).table("events", "events")
+
+
+@check("Q_paging_state", SQL["Q_boundary"])
+def q_paging_state(spark, sf_dir):
+    """S1 with state: the pages of Q_boundary land in three batches, in no order; each is
+    assembled once, and the boundary rows are told across batches."""
+    pages = stage(boundary_responses(spark, sf_dir), "landed")
+    assembly = Assembly(spark, scratch_dir(spark, "assembly"))
+    for batch in range(3):
+        landed = pages.where(F.pmod(F.xxhash64("page_no"), F.lit(3)) == batch)
+        assembly.advance(stage_pages(decode_pages(landed, with_types=True)), batch)
+    return assembly.result().table("events", "events")
 
 
 @check("Q_page_stop", """
@@ -727,6 +746,53 @@ def q_payload(spark, sf_dir):
     )
 
 
+_TOP = """'{"Query":{},"Binding":{"DataReduction":{"Primary":{"Top":{}}}}}'"""
+_WINDOW = """'{"Query":{},"Binding":{"DataReduction":{"Primary":{"Window":{"Count":500}}}}}'"""
+
+
+@check("Q_next_requests", """
+WITH p AS (SELECT user_id, event_id, event_type, event_id % 11 <> 0 AS landed,
+                  row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS page_no FROM events),
+s AS (SELECT user_id, min(page_no) FILTER (NOT landed OR event_type IN ('error', 'purchase') OR user_id % 10 = 0) AS stop, max(page_no) AS n
+      FROM p GROUP BY 1),
+w AS (SELECT s.user_id, coalesce(stop, n + 1) AS page_no FROM s LEFT JOIN p ON p.user_id = s.user_id AND p.page_no = s.stop
+      WHERE stop IS NULL OR NOT landed)
+SELECT w.user_id AS module, w.page_no, p.event_id AS token, CASE WHEN w.user_id % 10 <> 0 THEN 20000 END AS cnt
+FROM w LEFT JOIN p ON p.user_id = w.user_id AND p.page_no = w.page_no - 1
+WHERE w.user_id % 7 <> 0
+UNION ALL
+SELECT c_custkey, 1, NULL, CASE WHEN c_custkey % 10 <> 0 THEN 20000 END FROM customer
+WHERE c_custkey % 7 <> 0 AND c_custkey NOT IN (SELECT user_id FROM events)
+""")
+def q_next_requests(spark, sf_dir):
+    """module = user, one page per event, those with event_id % 11 = 0 not landed; status 500
+    for 'error', no tokens for 'purchase', else the event's id; users % 10 = 0 are single shot.
+    Customers that are no user have landed nothing.  Requests of modules % 7 = 0 were issued before."""
+    ev = group_row_number(table(spark, sf_dir, "events"), ["user_id"], "event_id", "page_no").where("event_id % 11 <> 0")
+    fields = [Field("M0", "e.user_id", "user_id", repeat=None), Field("M1", "e.event_id", "event_id", repeat=None)]
+    entries = encode_entries(ev, ["user_id", "page_no"], ["event_id"], fields).join(
+        ev.select("user_id", "page_no", "event_type"), ["user_id", "page_no"])
+    rt = F.when(F.first("event_type") != "purchase", F.concat(F.lit("[["), F.first("event_id").cast("string"), F.lit("]]")))
+    pages = build_pages(entries, ["user_id", "page_no"], ["_rn"], descriptor_json(fields), rt=rt, extra={"event_type": F.first("event_type")})
+    resp = responses_of(pages, "events", F.col("user_id"), F.col("page_no"), status=F.when(F.col("event_type") == "error", 500).otherwise(200))
+    ids = table(spark, sf_dir, "events").select("user_id").union(table(spark, sf_dir, "customer").select("c_custkey")).distinct()
+    modules = ids.select(F.lit("events").alias("report_key"), F.col("user_id").cast("string").alias("name"),
+                         F.expr(f"CASE WHEN user_id % 10 = 0 THEN {_TOP} ELSE {_WINDOW} END").alias("query_template"),
+                         (F.col("user_id") % 10 != 0).alias("paginated"))
+    config = report_config(ids.limit(1).select(
+        F.lit("events").alias("report_key"), F.lit(0).alias("pos"), F.expr(QUERY_URL).alias("url"),
+        F.array().cast("array<struct<name:string,value:string>>").alias("headers"), F.expr(_capture_body(_TOP)).alias("body")))
+    progress = extract(resp, modules.withColumnRenamed("name", "module")).progress()
+    ledger = scratch_dir(spark, "ledger")
+    issue(spark, next_requests(modules.where("name % 7 = 0"), config, progress, page_size=20000), ledger, 0)
+    out = issue(spark, next_requests(modules, config, progress, read_ledger(spark, ledger), page_size=20000), ledger, 1)
+    window = "$.queries[0].Query.Commands[0].SemanticQueryDataShapeCommand.Binding.DataReduction.Primary.Window"
+    return out.select(
+        F.col("module").cast("bigint").alias("module"), F.col("page_no").cast("bigint").alias("page_no"),
+        F.get_json_object("payload", f"{window}.RestartTokens[0][0]").cast("bigint").alias("token"),
+        F.get_json_object("payload", f"{window}.Count").cast("int").alias("cnt"))
+
+
 @check("Q_module_selection", """
 SELECT p_partkey, p_name FROM part WHERE p_brand = 'Brand#13'
 """)
@@ -946,3 +1012,255 @@ def q_csv_text(spark, sf_dir):
     write_module_csv(typed, path)
     return (spark.read.schema("c_custkey bigint, note string, solvent boolean").option("header", True).option("escape", '"')
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+# ---------------------------------------------------------------------------
+# queries as captured, exact numbers, odd dictionaries
+# ---------------------------------------------------------------------------
+
+_REPLAYED = ('{"version":"1.0.0","queries":[{"Query":{"Commands":[{"SemanticQueryDataShapeCommand":',
+             '}]},"ApplicationContext":{"DatasetId":"ds","Sources":[{"ReportId":"rep","VisualId":"vis"}]}}],"cancelQueries":[],"modelId":598501}')
+#: A command with blanks, number forms and escapes that writing it anew would change: before, between and after two numbers.
+_FORMS = ('{ "Query" : {"From":[{"Type":0, "Name":"p","Entity":"Parts"}],\t"Select":[{"Column":{"Expression":{"SourceRef":{"Source":"p"}},'
+          '"Property":"x"}}], "Where":[ 2.50, 1e3, -0.0, "\\u00e9\\"}{", ', '.10, ', ' ] }, "Z":[1 , {"Binding":{"DataReduction":7}}]')
+#: What follows it by part: a window, no reduction, no binding, no primary part.
+_BINDINGS = (', "Binding" : { "DataReduction":{"DataVolume":4, "Primary": {"Window": {"Count": 500}} , "Extra":1.0} , "Version":1 } }',
+             ', "Binding":{"DataReduction": null, "Version":1}}', ' }', ', "Binding":{"DataReduction":{ "Extra":1.0 }}}\n')
+_PRIMARY = '{"Window":{"Count":30000}}'
+_REBOUND = (f', "Binding" : {{ "DataReduction":{{"DataVolume":4, "Primary": {_PRIMARY} , "Extra":1.0}} , "Version":1 }} }}',
+            f', "Binding":{{"DataReduction": {{"DataVolume":3,"Primary":{_PRIMARY}}}, "Version":1}}}}',
+            f' ,"Binding":{{"DataReduction":{{"DataVolume":3,"Primary":{_PRIMARY}}}}}}}',
+            f', "Binding":{{"DataReduction":{{ "Extra":1.0 ,"Primary":{_PRIMARY}}}}}}}')
+
+
+def _cases(texts) -> str:
+    return "CASE p_size % 4 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(texts)) + " END"
+
+
+@check("Q_payload_verbatim", f"""
+SELECT p_partkey, '{_REPLAYED[0]}' || '{_FORMS[0]}' || p_size || '{_FORMS[1]}' || p_partkey || '{_FORMS[2]}'
+       || {_cases(_REBOUND)} || '{_REPLAYED[1]}' AS payload FROM part
+""")
+def q_payload_verbatim(spark, sf_dir):
+    """C14: a report per part whose captured command has blanks, ``2.50``, ``1e3``, escapes and a
+    decoy of the binding; its payload is that text but for the window."""
+    pa = table(spark, sf_dir, "part")
+    binding = F.lit(None).cast("string")
+    for i, b in enumerate(_BINDINGS):
+        binding = F.when(F.col("p_size") % 4 == i, F.lit(b)).otherwise(binding)
+    cmd = F.concat(F.lit(_FORMS[0]), F.col("p_size").cast("string"), F.lit(_FORMS[1]), F.col("p_partkey").cast("string"), F.lit(_FORMS[2]), binding)
+    body = F.concat(F.lit('{"modelId":598501, "queries":[{"ApplicationContext":{"DatasetId":"ds","Sources":[{"ReportId":"rep","VisualId":"vis"}]},'
+                          '"Query":{"Commands":[{"SemanticQueryDataShapeCommand":'), cmd, F.lit("}]}}]}"))
+    caps = pa.select(F.col("p_partkey").cast("string").alias("report_key"), F.col("p_partkey").alias("pos"), F.expr(QUERY_URL).alias("url"),
+                     F.array().cast("array<struct<name:string,value:string>>").alias("headers"), body.alias("body"))
+    found = discover(caps)
+    out = build_payloads(found["modules"], found["report_config"], window_config(), paginated_only=False)
+    # A command is the JSON value itself: blanks after it are not part of it.
+    return out.select(F.col("report_key").cast("bigint").alias("p_partkey"), "payload")
+
+
+@check("Q_exact_numbers", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE '1234567890' || lpad(o_orderkey::VARCHAR, 10, '0') END AS big,
+       repeat('9', 32) || lpad(o_orderkey::VARCHAR, 10, '0') AS huge FROM orders
+""")
+def q_exact_numbers(spark, sf_dir):
+    """Integers of 20 digits (some rows) and of 42 digits come back to the last digit."""
+    od = table(spark, sf_dir, "orders").withColumn("p", F.expr("o_orderkey div 1000"))
+    digits = "lpad(cast(o_orderkey AS string), 10, '0')"
+    entry = f"""concat('{{"C":[', cast(o_orderkey AS string), ',', CASE WHEN o_orderkey % 2 = 0 THEN cast(o_orderkey AS string)
+      ELSE concat('1234567890', {digits}) END, ',', repeat('9', 32), {digits}, ']}}')"""
+    last = od.agg(F.max("p")).first()[0]
+    rt = F.when(F.first("p") < F.lit(last), F.lit("[[1]]"))
+    pages = custom_pages(od, ["p"], ["o_orderkey"], entry, desc(("M0", "o.o_orderkey"), ("M1", "o.big"), ("M2", "o.huge")), rt=rt)
+    at = pages.select("p").distinct()
+    pages = pages.join(group_row_number(at, [], "p", "n"), "p")
+    found = extract(responses_of(pages, "orders", "orders", F.col("n"))).table("orders", "orders")
+    return found.select("o_orderkey", F.col("big").cast("string").alias("big"), "huge")
+
+
+_DICTS = """CASE p % 3 WHEN 0 THEN '{"D1":["d0","d1","d2"]}' WHEN 1 THEN '{"D1":{"a":1,"b":2}}' ELSE '{"D1":"xyz"}' END"""
+
+
+@check("Q_bad_dictionary", """
+WITH e AS (SELECT event_id, event_id // 100 AS p, event_id % 100 AS pos, event_id % 7 AS v,
+                  min(CASE WHEN event_id % 7 < 2 THEN event_id END) OVER (PARTITION BY event_id // 100) AS cut FROM events)
+SELECT event_id, CASE WHEN v > 2 OR p % 3 = 1 THEN v::VARCHAR WHEN p % 3 = 0 THEN 'd' || v ELSE substr('xyz', v::INT + 1, 1) END AS label,
+       CAST(NULL AS VARCHAR) AS reason FROM e WHERE p % 3 <> 1 OR event_id < coalesce(cut, event_id + 1)
+UNION ALL
+SELECT cut, NULL, 'bad_dictionary' FROM e WHERE p % 3 = 1 GROUP BY p, cut HAVING cut IS NOT NULL
+""")
+def q_bad_dictionary(spark, sf_dir):
+    """Pages of 100 events; the dictionary of a page is an array, an object or a text.  A
+    number below an object's size cannot be looked up: the page ends before it, with a reason."""
+    ev = table(spark, sf_dir, "events").withColumn("p", F.expr("event_id div 100"))
+    entry = f"""concat('{{"C":[', {jv("event_id")}, ',', cast(event_id % 7 AS string), ']}}')"""
+    pages = build_pages(ev.select("p", "event_id", F.expr(entry).alias("entry"), F.expr(_DICTS).alias("dicts")),
+                        ["p"], ["event_id"], desc(("M0", "e.event_id"), ("M1", "e.label")))
+    dec = stage(decode_pages(responses_of(pages, "events", "events", F.col("p") + 1)), "decoded")
+    rows = typed_columns(explode_rows(dec), {"event_id": "bigint", "label": "string"}).withColumn("reason", F.lit(None).cast("string"))
+    firsts = ev.groupBy("p").agg(F.min("event_id").alias("first"))
+    bad = quarantine(dec).join(firsts.withColumn("page_no", (F.col("p") + 1).cast("int")), "page_no")
+    return rows.unionByName(bad.select((F.col("first") + F.col("pos")).alias("event_id"), F.lit(None).cast("string").alias("label"), "reason"))
+
+
+# ---------------------------------------------------------------------------
+# unreadable sources, bulk runs, failures
+# ---------------------------------------------------------------------------
+
+@check("Q_bad_pages", """
+SELECT p + 1 AS page_no, CASE p % 4 WHEN 1 THEN 'bad_json' WHEN 2 THEN 'http' ELSE 'rows' END AS outcome, CASE WHEN p % 4 IN (0, 3) THEN count(*) ELSE 0 END AS n_rows
+FROM (SELECT event_id // 100 AS p FROM events) GROUP BY p
+""")
+def q_bad_pages(spark, sf_dir):
+    """A2: the bodies of pages % 4 = 1 are cut short, those of % 4 = 2 came with an HTTP error and are
+    no JSON either; only the former are quarantined."""
+    ev = table(spark, sf_dir, "events").withColumn("p", F.expr("event_id div 100"))
+    fields = [Field("M0", "e.event_id", "event_id", repeat=None)]
+    pages = encode_table(ev, ["p"], ["event_id"], fields)
+    kind = F.col("p") % 4
+    pages = pages.withColumn("body", F.when(kind == 1, F.expr("substr(body, 1, length(body) - 1)")).when(kind == 2, F.lit("Bad gateway")).otherwise(F.col("body")))
+    dec = stage(decode_pages(responses_of(pages, "events", "events", F.col("p") + 1, status=F.when(kind == 2, 502).otherwise(200))), "decoded")
+    bad = quarantine(dec).select("page_no", "reason")
+    return dec.join(bad, "page_no", "left").select(
+        F.col("page_no").cast("bigint").alias("page_no"),
+        F.coalesce("reason", F.when(F.col("status") != 200, F.lit("http")).otherwise(F.lit("rows"))).alias("outcome"), F.col("n_rows").cast("bigint").alias("n_rows"))
+
+
+@check("Q_url_files", """
+WITH t AS (SELECT c_nationkey AS f, c_custkey AS k, 'https://app.example.com/view?r=' || c_mktsegment || (c_custkey % 50) AS url FROM customer),
+u AS (SELECT url, min(lpad(f::VARCHAR, 3, '0') || lpad(k::VARCHAR, 12, '0')) AS seen FROM t GROUP BY url)
+SELECT url, row_number() OVER (ORDER BY seen) AS url_index FROM u
+""")
+def q_url_files(spark, sf_dir):
+    """A3/C4: a text file per nation, a line per customer with its URL; distinct URLs numbered by first appearance."""
+    cu = table(spark, sf_dir, "customer")
+    line = F.concat(F.lit("- "), F.lit(VIEW_URL_PREFIX), F.col("c_mktsegment"), (F.col("c_custkey") % 50).cast("string"), F.lit(" <now>"))
+    texts = cu.groupBy("c_nationkey").agg(F.sort_array(F.collect_list(F.struct("c_custkey", line.alias("line")))).alias("ls"))
+    base = scratch_dir(spark, "urls")
+    (texts.select(F.lpad(F.col("c_nationkey").cast("string"), 3, "0").alias("nation"), F.array_join(F.transform("ls", lambda x: x["line"]), "\n").alias("value"))
+     .write.partitionBy("nation").text(base))
+    found = read_texts(spark, f"{base}/*/*.txt")
+    return numbered_urls(extract_view_urls(found))
+
+
+@check("Q_lenient_key", "SELECT c_custkey, CASE WHEN c_custkey % 5 = 4 THEN NULL ELSE c_name END AS resource_key FROM customer")
+def q_lenient_key(spark, sf_dir):
+    """R with a trailing comma, with blanks and dashes inside, with text after its padding, plain; or cut short (% 5 = 4)."""
+    cu = table(spark, sf_dir, "customer")
+    full = F.base64(F.to_json(F.struct(F.col("c_name").alias("k"))).cast("binary"))
+    full = F.when(F.col("c_custkey") % 5 == 2, F.base64(F.concat(F.to_json(F.struct(F.col("c_name").alias("k"))), F.lit(" ")).cast("binary"))).otherwise(full)
+    bare = F.regexp_replace(full, "=+$", "")
+    r = (F.when(F.col("c_custkey") % 5 == 0, F.concat(full, F.lit(",")))
+         .when(F.col("c_custkey") % 5 == 1, F.concat(F.substring(full, 1, 5), F.lit("%20-"), F.substring(full, 6, 10_000)))
+         .when(F.col("c_custkey") % 5 == 2, F.when(full.endswith("="), F.concat(full, F.lit("QUJD"))).otherwise(full))
+         .when(F.col("c_custkey") % 5 == 3, bare).otherwise(F.substring("c_mktsegment", 1, 1)))
+    key, _ = resource_key(F.concat(F.lit(VIEW_URL_PREFIX), r))
+    return cu.select("c_custkey", key.alias("resource_key"))
+
+
+@check("Q_har_reports", """
+SELECT c_nationkey AS doc, CASE WHEN c_nationkey % 4 = 0 THEN 0 WHEN c_nationkey % 4 = 1 THEN 0 ELSE count(*) END AS n_captures,
+       CASE c_nationkey % 4 WHEN 0 THEN 'unreadable_har' WHEN 1 THEN 'no_captures' END AS detail, CASE WHEN c_nationkey % 4 < 2 THEN 'failed' ELSE 'ok' END AS status
+FROM customer GROUP BY c_nationkey
+""")
+def q_har_reports(spark, sf_dir):
+    """A HAR file per nation, an entry per customer; files of nations % 4 = 0 are cut short,
+    those of % 4 = 1 hold GET requests only.  Every file has its line in the discovery report."""
+    cu = table(spark, sf_dir, "customer")
+    frm = """'[{"Name":"c","Entity":"Customers","Type":0}]'"""
+    cmd = f"""concat('{{"Query":{{"From":', {frm}, ',"Select":[', {_column_item('c', jv('c_name'))}, ']}}}}')"""
+    req = F.struct(F.when(F.col("c_nationkey") % 4 == 1, F.lit("GET")).otherwise(F.lit("POST")).alias("method"), F.expr(QUERY_URL).alias("url"),
+                   F.array().cast("array<struct<name:string,value:string>>").alias("headers"),
+                   F.struct(F.expr(_capture_body(cmd)).alias("text")).alias("postData"))
+    docs = cu.groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("c_custkey", req.alias("request")))).alias("es"))
+    text = F.to_json(F.struct(F.struct(F.expr("transform(es, x -> struct(x.request AS request))").alias("entries")).alias("log")))
+    cut = F.when(F.col("c_nationkey") % 4 == 0, F.expr("substr(t, 1, length(t) - 2)")).otherwise(F.col("t"))
+    base = scratch_dir(spark, "har")
+    (docs.select("c_nationkey", text.alias("t")).select(F.lpad(F.col("c_nationkey").cast("string"), 3, "0").alias("doc"), cut.alias("value"))
+     .write.partitionBy("doc").text(base))
+    found = discover_har(spark, f"{base}/*/*.txt")["report_discovery"]
+    return found.select(F.regexp_extract("report_key", "doc=0*([0-9]+)/", 1).cast("int").alias("doc"), F.col("n_captures").cast("bigint").alias("n_captures"), "detail", "status")
+
+
+@check("Q_bulk_run", """
+WITH o AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_orderkey % 30 = 1 AS landed FROM orders),
+r AS (SELECT o_custkey, o_custkey % 6 = 0 AS nokey, count(*) FILTER (o_orderkey % 5 <> 0) AS caps, count(*) FILTER (o_orderkey % 5 <> 0 AND o_orderstatus <> 'F') AS mods,
+             count(*) FILTER (o_orderkey % 5 <> 0 AND o_orderstatus <> 'F' AND landed) AS good FROM o GROUP BY 1)
+SELECT o_custkey, CASE WHEN nokey OR mods = 0 THEN 'failed' ELSE 'ok' END AS status, CASE WHEN nokey THEN 0 ELSE mods END AS n_modules,
+       CASE WHEN nokey THEN 'no_r_param' WHEN caps = 0 THEN 'no_captures' WHEN mods = 0 THEN 'no_usable_modules' END AS detail,
+       CASE WHEN nokey OR mods = 0 THEN 0 ELSE good END AS n_rows
+FROM r
+""")
+def q_bulk_run(spark, sf_dir):
+    """A URL per customer (without key for % 6 = 0) in one text; a capture per order with the
+    customer's key (none for order % 5 = 0), unusable for status 'F'; a response page of one row per
+    order % 30 = 1.  From URL text, captures and responses to statuses and CSV rows."""
+    od = table(spark, sf_dir, "orders")
+    r = F.regexp_replace(F.base64(F.to_json(F.struct(F.concat(F.lit("key-"), F.col("o_custkey").cast("string")).alias("k"))).cast("binary")), "=+$", "")
+    url = F.concat(F.lit(VIEW_URL_PREFIX), F.when(F.col("o_custkey") % 6 == 0, F.concat(F.lit("&id="), F.col("o_custkey").cast("string"))).otherwise(r))
+    cu = od.select("o_custkey", url.alias("url")).distinct()
+    texts = cu.select(F.lit("list").alias("source"), (F.col("o_custkey") % 8).alias("part"), "url").groupBy("source", "part").agg(
+        F.concat_ws("\n", F.collect_list("url")).alias("text")).select(F.concat("source", F.col("part").cast("string")).alias("source"), "text")
+    frm = """CASE WHEN o_orderstatus = 'F' THEN '[{"Name":"s","Expression":{"Subquery":{}},"Type":2}]' ELSE '[{"Name":"o","Entity":"Orders","Type":0}]' END"""
+    cmd = f"""concat('{{"Query":{{"From":', {frm}, ',"Select":[', {_column_item('o', jv("concat('k', cast(o_orderkey AS string))"))}, ']}}}}')"""
+    header = F.struct(F.lit("x-resourcekey").alias("name"), F.concat(F.lit("key-"), F.col("o_custkey").cast("string")).alias("value"))
+    caps = od.where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("pos"), F.expr(QUERY_URL).alias("url"), F.array(header).alias("headers"),
+                                                  F.expr(_capture_body(cmd)).alias("body"))
+    pages = encode_table(od.where("o_orderkey % 30 = 1"), ["o_custkey", "o_orderkey"], ["o_orderkey"], [Field("M0", "o.key", "o_orderkey", repeat=None)])
+    resp = responses_of(pages.join(cu, "o_custkey"), F.col("url"), F.concat(F.lit("orders_k"), F.col("o_orderkey").cast("string")), 1)
+    out = scratch_dir(spark, "bulk")
+    result = run_bulk(texts, caps, resp, out)
+    rows = result.run.status.groupBy(F.col("report_key").alias("url")).agg(F.sum("n_rows").alias("n_rows"))
+    st = result.report_status.join(rows, "url", "left").join(cu, "url")
+    return st.select("o_custkey", "status", F.col("n_modules").cast("bigint").alias("n_modules"), "detail", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"))
+
+
+@check("Q_failures", """
+WITH m AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'failed' ELSE 'ok' END AS status FROM orders)
+SELECT o_custkey, count(*) FILTER (status = 'failed') || '/' || count(*) || ' module(s) failed: ' ||
+       string_agg('m' || o_orderkey, ', ' ORDER BY o_orderkey) FILTER (status = 'failed') AS message,
+       CASE WHEN bool_and(status = 'failed') THEN 1 ELSE 0 END AS exit_code
+FROM m GROUP BY 1 HAVING count(*) FILTER (status = 'failed') > 0
+""")
+def q_failures(spark, sf_dir):
+    """report = customer, module = order, failed for order % 3 = 0: the message of each
+    report with failures, and its exit code (1 only if all its modules failed)."""
+    st = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("report_key"), F.concat(F.lit("m"), F.col("o_orderkey").cast("string")).alias("module"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit("failed")).otherwise(F.lit("ok")).alias("status"), F.lit(None).cast("string").alias("detail"),
+        F.col("o_orderkey").alias("module_order"))
+    found = failure_messages(st, "module_order").join(run_summary(st), "report_key")
+    return found.select(F.col("report_key").alias("o_custkey"), "message", F.col("all_failed").cast("int").alias("exit_code"))
+
+
+@check("Q_report_rows", """
+SELECT s_nationkey, s_suppkey, s_name FROM supplier
+""")
+def q_report_rows(spark, sf_dir):
+    """report = nation, and reports share a folder by region of ten keys; every row is read back
+    with its own report key."""
+    su = table(spark, sf_dir, "supplier")
+    pages = encode_table(su, ["s_nationkey"], ["s_suppkey"], [Field("M0", "s.s_suppkey", "s_suppkey", repeat=None), Field("M1", "s.s_name", "s_name", repeat=None)])
+    ex = extract(responses_of(pages, F.col("s_nationkey"), "a module/of ten", 1))
+    dirs = su.select(F.col("s_nationkey").cast("string").alias("report_key"), F.concat(F.lit("folder "), F.expr("s_nationkey div 10").cast("string")).alias("report_dir")).distinct()
+    path = scratch_dir(spark, "rows")
+    write_rows_by_report(ex.rows, dirs, path)
+    back = spark.read.schema("report_key string, row_json string").json(path)
+    return back.select(F.col("report_key").cast("int").alias("s_nationkey"), F.get_json_object("row_json", "$.s_suppkey").cast("bigint").alias("s_suppkey"),
+                       F.get_json_object("row_json", "$.s_name").alias("s_name"))
+
+
+@check("Q_decode_counters", """
+SELECT event_id // 100 AS module, count(*) FILTER (event_type = 'view') AS n_skipped, CASE event_id // 100 % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 ELSE 2 END AS n_guessed,
+       CAST(0 AS BIGINT) AS n_cut FROM events GROUP BY event_id // 100
+""")
+def q_decode_counters(spark, sf_dir):
+    """A module per page of 100 events; 'view' events are matrix entries; dictionaries are found by
+    position in modules % 3 = 0, by name in % 3 = 1, and by position and by code in % 3 = 2."""
+    ev = table(spark, sf_dir, "events").withColumn("p", F.expr("event_id div 100"))
+    entry = f"""CASE WHEN event_type = 'view' THEN '{{"X":[1]}}' ELSE concat('{{"C":[', {jv("event_id")}, ',1]}}') END"""
+    dicts = """CASE p % 3 WHEN 0 THEN '{"D1":["a"]}' WHEN 1 THEN '{"M1":["a"]}' ELSE '{"D0":["a"],"D1":["b"]}' END"""
+    pages = build_pages(ev.select("p", "event_id", F.expr(entry).alias("entry"), F.expr(dicts).alias("dicts")),
+                        ["p"], ["event_id"], desc(("M0", "e.event_id"), ("M1", "e.n")))
+    found = extract(responses_of(pages, "events", F.col("p"), 1)).counters()
+    return found.select(F.col("module").cast("bigint").alias("module"), "n_skipped", F.col("n_guessed").cast("int").alias("n_guessed"), "n_cut")

@@ -20,36 +20,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportlake.operators.assemble import MODULE_KEYS, module_status, page_meta, page_plan
+from reportlake.operators.assemble import MODULE_KEYS, merged_type, module_status, page_meta, page_plan
 from reportlake.operators.decode import PAGE_KEYS, decode_pages, quarantine, stage_pages
 from reportlake.functions.sqlx import quoted
 from reportlake.session import exact_case, stage
 
-_MERGE = (
-    "CASE WHEN size(ts) = 0 THEN 'string' "
-    "WHEN forall(ts, t -> t = 'BIGINT') THEN 'bigint' "
-    "WHEN forall(ts, t -> t IN ('BIGINT', 'DOUBLE', 'FLOAT') OR t LIKE 'DECIMAL%') THEN 'double' "
-    "WHEN forall(ts, t -> t = 'BOOLEAN') THEN 'boolean' "
-    "ELSE 'string' END"
-)
-
-
 @dataclass
-class Extraction:
-    staged: DataFrame      # one row per landed page (meta, col_types, rows_json)
-    pages: DataFrame       # per page: keep, drop_first
-    modules: DataFrame     # per module: stop_page, stop_reason, failed
+class ModuleTables:
+    """Rows of modules with the columns they have; base of batch and incremental results."""
+
     schema: DataFrame      # per (report_key, module, col): order, spark_type
     rows: DataFrame        # kept rows: keys, pos, row_json
 
-    def status(self, expected: DataFrame | None = None) -> DataFrame:
-        """Per-module status table."""
-        return module_status(self.pages, self.modules, expected)
-
-    def quarantine(self) -> DataFrame:
-        """Pages cut by a malformed entry, with an unreadable descriptor, or not JSON."""
-        return quarantine(self.staged)
-
     def columns(self, report_key: str, module: str) -> list[tuple[str, str]]:
         sch = self.schema.where((F.col("report_key") == report_key) & (F.col("module") == module))
         return [(r.col, r.spark_type) for r in sch.orderBy("first_seen").select("col", "spark_type").collect()]
@@ -64,6 +46,32 @@ class Extraction:
             return typed.select(*(["page_no", "pos"] if with_order else []), *[F.col("_t").getField(c).alias(c) for c, _ in cols])
 
 
+@dataclass
+class Extraction(ModuleTables):
+    staged: DataFrame      # one row per landed page (meta, col_types, rows_json)
+    pages: DataFrame       # per page: keep, drop_first
+    modules: DataFrame     # per module: stop_page, stop_reason, failed
+
+    def status(self, expected: DataFrame | None = None) -> DataFrame:
+        """Per-module status table."""
+        return module_status(self.pages, self.modules, expected)
+
+    def quarantine(self) -> DataFrame:
+        """Pages cut by a malformed entry, with an unreadable descriptor, or not JSON."""
+        return quarantine(self.staged)
+
+    def counters(self) -> DataFrame:
+        """Per module: matrix entries passed over (D4), fields read by a guessed dictionary (V2), pages cut short."""
+        return self.staged.groupBy(*MODULE_KEYS).agg(
+            F.sum("n_skipped").alias("n_skipped"), F.sum("n_guessed").alias("n_guessed"), F.count_if(F.col("bad_pos").isNotNull()).alias("n_cut"))
+
+    def progress(self) -> DataFrame:
+        """Per module: the page it waits for, the restart tokens of the last kept page, why it stopped."""
+        last = self.staged.select(*MODULE_KEYS, F.col("page_no").alias("stop_page"), "restart_tokens")
+        return self.modules.join(last, [*MODULE_KEYS, "stop_page"], "left").select(
+            *MODULE_KEYS, (F.col("stop_page") + 1).cast("int").alias("next_page"), "restart_tokens", "stop_reason", "failed")
+
+
 def typed_from_json(rows: DataFrame, columns: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows with ``row_json`` -> typed columns for a known column -> type list."""
     ddl = ", ".join(f"{quoted(c)} {t}" for c, t in columns.items())
@@ -133,7 +141,7 @@ def extract(
             F.min(F.struct("page_no", F.col("ct.k").alias("k"))).alias("first_seen"),
             F.array_distinct(F.flatten(F.collect_set("ct.types"))).alias("ts"),
         )
-        .select(*MODULE_KEYS, "col", "first_seen", F.col("ts").alias("variant_types"), F.expr(_MERGE).alias("spark_type"))
+        .select(*MODULE_KEYS, "col", "first_seen", F.col("ts").alias("variant_types"), merged_type("ts").alias("spark_type"))
     )
     rows = (
         staged.select(*PAGE_KEYS, "rows_json")

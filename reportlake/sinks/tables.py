@@ -123,17 +123,20 @@ def write_rows_by_report(rows: DataFrame, dirs: DataFrame, path: str) -> None:
 
     ``rows``: (report_key, module, page_no, pos, row_json) as produced by
     ``plans.extract``; ``dirs``: (report_key, report_dir).  Output is JSON lines
-    under ``path/report_dir=.../module=...``; no loop over modules.
+    under ``path/__report_dir=.../__report=.../__module=...``, each with its report key and module
+    (``__report`` is a hash of the key): reports that share a folder name stay apart.
+    Only the folders of the reports written are replaced; no loop over modules.
     """
-    out = rows.join(dirs.select("report_key", "report_dir").dropDuplicates(["report_key"]), "report_key", "left").withColumn(
-        "report_dir", F.coalesce("report_dir", F.col("report_key"))
-    )
+    out = rows.join(dirs.select("report_key", "report_dir").dropDuplicates(["report_key"]), "report_key", "left")
+    named = out.select(
+        safe_name(F.coalesce("report_dir", "report_key")).alias("__report_dir"), F.substring(F.md5("report_key"), 1, 16).alias("__report"),
+        safe_name(F.col("module")).alias("__module"), "report_key", "module", "page_no", "pos", "row_json")
     (
-        out.select("report_dir", "module", "page_no", "pos", "row_json")
-        .repartition("report_dir", "module", "page_no")
-        .sortWithinPartitions("page_no", "pos")
+        named.repartition("report_key", "module", "page_no")
+        .sortWithinPartitions("__report_dir", "__report", "__module", "page_no", "pos")
         .write.mode("overwrite")
-        .partitionBy("report_dir", "module")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("__report_dir", "__report", "__module")
         .json(path)
     )
 

@@ -17,16 +17,28 @@ HAR_DDL = (
 def read_har_texts(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """A1: HAR files -> (source, text).  One whole file per row (a HAR is one JSON
     document); ``multiline=False`` reads one HAR document per line."""
-    reader = spark.read.option("wholetext", multiline)
-    df = reader.text(path)
+    df = spark.read.text(path, wholetext=multiline)
     return df.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text"))
 
 
+def har_problem(text_col: str = "text") -> Column:
+    """A1: why a HAR text gives no entries at all: it is no JSON, or no object (NULL: it is read)."""
+    t = F.col(text_col)
+    return F.when(t.isNull() | ~t.rlike("^\\s*\\{") | ~strict_json_ok(t), F.lit("unreadable_har"))
+
+
+def har_reports(texts: DataFrame, text_col: str = "text", key_cols: tuple[str, ...] = ("source",)) -> DataFrame:
+    """One row per HAR text: keys, ``problem`` (NULL where it could be read)."""
+    return texts.select(*key_cols, har_problem(text_col).alias("problem"))
+
+
 def har_entries(texts: DataFrame, text_col: str = "text", key_cols: tuple[str, ...] = ("source",)) -> DataFrame:
-    """A1: (keys, HAR text) -> one row per log entry, keeping its position."""
+    """A1: (keys, HAR text) -> one row per log entry, keeping its position.
+
+    A text that is cut short or no JSON object gives no entry at all (``har_reports`` lists it)."""
     har = F.from_json(F.col(text_col), HAR_DDL)
     return (
-        texts.select(*key_cols, F.posexplode_outer(har["log"]["entries"]).alias("pos", "e"))
+        texts.where(har_problem(text_col).isNull()).select(*key_cols, F.posexplode_outer(har["log"]["entries"]).alias("pos", "e"))
         .where(F.col("e").isNotNull())
         .select(
             *key_cols,

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reportlake.functions.protocol import VIEW_URL_PREFIX
+from reportlake.functions.ranking import group_row_number
 
 
 def view_url_pattern(prefix: str = VIEW_URL_PREFIX) -> str:
@@ -19,7 +20,7 @@ def view_url_pattern(prefix: str = VIEW_URL_PREFIX) -> str:
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """A3: whole text files -> (source, text)."""
-    df = spark.read.option("wholetext", True).text(path)
+    df = spark.read.text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text"))
 
 
@@ -37,18 +38,35 @@ def extract_view_urls(texts: DataFrame, prefix: str = VIEW_URL_PREFIX, order_col
     return matches.groupBy("url").agg(F.min(F.struct(*order_cols, "idx")).alias("first_seen"))
 
 
+def numbered_urls(urls: DataFrame) -> DataFrame:
+    """``extract_view_urls`` over texts with their source: (url, url_index), counted in order of first appearance.
+
+    URLs are numbered within their source, and sources (text files) one after the other by name.
+    """
+    at = urls.select("url", F.col("first_seen.source").alias("source"), F.col("first_seen.idx").alias("idx"))
+    ranked = group_row_number(at, ["source"], "idx", "nth")
+    before = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    start = at.groupBy("source").agg(F.count(F.lit(1)).alias("n")).select("source", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return ranked.join(start, "source").select("url", (F.col("start") + F.col("nth")).alias("url_index"))
+
+
 def resource_key(url: Column | str) -> tuple[Column, Column]:
     """Decode the ``r`` query parameter -> (key, reason).
 
     ``r`` is URL-decoded with a literal ``+`` kept (deviation V8: form decoding
     would turn it into a space and corrupt the base64), padded, base64-decoded,
-    parsed as JSON; the key is its ``k``.  Failures give NULL and a reason.
+    parsed as JSON; the key is its ``k``.  Characters outside the base64 alphabet are
+    passed over, and what follows a complete padding is not read, as lenient decoders
+    do.  Failures give NULL and a reason.
     """
     u = F.col(url) if isinstance(url, str) else url
     r_raw = F.call_function("try_parse_url", u, F.lit("QUERY"), F.lit("r"))
     r = F.call_function("try_url_decode", F.replace(r_raw, F.lit("+"), F.lit("%2B")))
     padded = F.concat(r, F.call_function("repeat", F.lit("="), F.pmod(-F.length(r), F.lit(4))))
-    raw = F.call_function("try_to_binary", padded, F.lit("base64"))
+    plain = F.regexp_replace(padded, "[^A-Za-z0-9+/=]", "")
+    ended = F.regexp_extract(plain, "^((?:[A-Za-z0-9+/]{4})*+(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=))", 1)
+    whole = F.when(plain.rlike("^(?:[A-Za-z0-9+/]{4})*+=*$"), F.rtrim(plain, F.lit("=")))
+    raw = F.call_function("try_to_binary", F.when(ended != "", ended).otherwise(whole), F.lit("base64"))
     text = raw.cast("string")
     parsed = F.call_function("try_parse_json", text)
     key_v = F.call_function("try_variant_get", parsed, F.lit("$.k"))

@@ -37,11 +37,25 @@ def test_only_indexes_inside_a_dictionary_are_looked_up(spark, cell, read):
     assert decoded_rows(spark, body) == [{"City": read, "Tonnes": 44}]
 
 
-def test_one_malformed_dictionary_leaves_the_others(spark):
-    entries = [{"S": [{"N": "G0", "DN": "D0"}, {"N": "G1", "DN": "D1"}], "C": [1, 0]}]
-    for bad in ({"x": 1}, None, 7, "text"):
-        body = wrap(page(entries, {"D0": ["Oslo", "Lima"], "D1": bad}))
-        assert decoded_rows(spark, body) == [{"City": "Lima", "Tonnes": 0}], bad
+@pytest.mark.parametrize("odd, tonnes", [(None, [5, 0, 1, 9]), ("text", [5, "t", "e", 9]), ("", [5, 0, 1, 9]), ({}, [5, 0, 1, 9])])
+def test_odd_dictionaries_that_can_be_looked_up(spark, odd, tonnes):
+    entries = [{"S": [{"N": "G0", "DN": "D0"}, {"N": "G1", "DN": "D1"}], "C": [1, 5]}, {"C": [0, 0]}, {"C": [0, 1]}, {"C": [0, 9]}]
+    rows = decoded_rows(spark, wrap(page(entries, {"D0": ["Oslo", "Lima"], "D1": odd})))
+    assert [r["Tonnes"] for r in rows] == tonnes and [r["City"] for r in rows] == ["Lima", "Oslo", "Oslo", "Oslo"]
+
+
+@pytest.mark.parametrize("odd, kept", [({"x": 1}, 1), ({"x": 1, "y": 2, "z": 3}, 1), (7, 0), (True, 0)])
+def test_a_dictionary_that_cannot_be_looked_up_ends_the_page(spark, odd, kept):
+    """The page ends before the first number that the dictionary should hold; other dictionaries are read."""
+    entries = [{"S": [{"N": "G0", "DN": "D0"}, {"N": "G1", "DN": "D1"}], "C": [1, 5]}, {"C": [0, 0]}, {"X": [1]}, {"C": [0, "plain"]}]
+    df = spark.createDataFrame([("r", "m", 1, 200, wrap(page(entries, {"D0": ["Oslo", "Lima"], "D1": odd})))],
+                               "report_key string, module string, page_no int, status int, body string")
+    dec = decode_pages(df, with_types=True)
+    row = dec.select("n_rows", "bad_pos", "bad_reason", "n_skipped").first()
+    assert tuple(row) == (kept, kept, "bad_dictionary", 1)
+    assert [r.reason for r in quarantine(dec).collect()] == ["bad_dictionary"]
+    negative = [{"S": [{"N": "G1", "DN": "D1"}], "C": [-1]}]
+    assert decoded_rows(spark, wrap(page(negative, {"D1": odd}))) == [{"Tonnes": -1}]
 
 
 def test_schema_changes_inside_a_page(spark):
