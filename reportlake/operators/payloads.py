@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from reportlake.functions.jsonspan import spliced
 from reportlake.functions.jsonx import strict_json_ok
 from reportlake.functions.protocol import DATA_VOLUME, PAGE_SIZE, PAYLOAD_VERSION
-from reportlake.session import json_parity
+from reportlake.session import json_parity, spread
 
 
 def is_paginated(template_json: Column | str) -> Column:
@@ -72,7 +72,7 @@ def build_payloads(
     """
     json_parity(requests.sparkSession)
     cfg = config.select("report_key", "dataset_id", "report_id", "visual_id", "model_id")
-    df = requests.join(cfg, "report_key", "inner")
+    df = spread(requests.join(cfg, "report_key", "inner"))
     cmd = F.when(strict_json_ok(F.col("query_template")), F.col("query_template"))
     if window is not None:
         df = df.withColumn("__win", F.concat(F.lit('{"Window":'), F.to_json(window), F.lit("}")))

@@ -92,3 +92,28 @@ def test_failure_message(spark):
                                "report_key string, module string, status string, module_order int")
     assert failure_message(st, "r", "module_order") == "2/3 module(s) failed: a, c"
     assert failure_message(st, "q") is None
+
+
+def test_costly_steps_run_in_many_tasks(spark, tmp_path):
+    """Captures of one small file are analysed, cut and turned into payloads by many tasks, not by one."""
+    import glob
+    import os
+
+    from reportlake.operators.discover import discover, query_templates
+    from reportlake.session import checkpoint_root, task_count
+
+    command = '{"Query":{"From":[{"Name":"p","Entity":"Parts","Type":0}],"Select":[{"Column":{"Expression":{"SourceRef":{"Source":"p"}},"Property":"x"}}]}}'
+    body = ('{"queries":[{"Query":{"Commands":[{"SemanticQueryDataShapeCommand":' + command + '}]},'
+            '"ApplicationContext":{"DatasetId":"d","Sources":[{"ReportId":"r","VisualId":"v"}]}}]}')
+    one = spark.range(400).coalesce(1)
+    caps = one.selectExpr("cast(id AS string) AS report_key", "id AS pos", "'u' AS url",
+                          "cast(array() AS array<struct<name:string,value:string>>) AS headers", f"'{body}' AS body")
+    before = set(glob.glob(f"{checkpoint_root(spark)}/captures-analysed-*"))
+    found = discover(caps)
+    new, = set(glob.glob(f"{checkpoint_root(spark)}/captures-analysed-*")) - before
+    assert len([f for f in os.listdir(new) if f.endswith(".parquet")]) > spark.sparkContext.defaultParallelism
+    chosen = found["modules"].select("report_key", "pos")
+    asked = build_payloads(found["modules"], found["report_config"])
+    assert asked.count() == 400 and asked.where("payload IS NULL").isEmpty()
+    assert asked.rdd.getNumPartitions() >= task_count(spark)
+    assert "RepartitionByExpression [report_key" in query_templates(caps, chosen)._jdf.queryExecution().optimizedPlan().toString()
