@@ -3,6 +3,7 @@
 import glob
 
 from conftest import depot_page, page, responses, wrap
+from pyspark.sql import functions as F
 
 from reportlake.plans.extract import extract, staged_rows
 from reportlake.session import scratch_dir
@@ -99,3 +100,27 @@ def test_incremental_decode_feeds_the_assembly(spark):
     got = [tuple(r)[2:] for r in ex.table("r", "m", with_order=True).orderBy("page_no", "pos").collect()]
     # the first row of page 4 is the last one of page 3
     assert got == [("Oslo", 0), ("Lima", 1), ("Oslo", 1), ("Lima", 2), ("Oslo", 2), ("Lima", 3), ("Bern", 50)]
+
+
+def test_modules_without_older_files_are_written_by_many_tasks_and_added(spark, tmp_path, monkeypatch):
+    """Small modules are written by many tasks; only a folder that is there already is replaced part by part."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from reportlake.plans.extract import extract
+    from reportlake.sinks.tables import write_module_csvs
+
+    body = wrap(page([{"C": [3]}]), [{"Value": "M0", "Name": "T.n"}])
+    pages = spark.range(60).coalesce(1).select(F.lit("r").alias("report_key"), F.concat(F.lit("m"), F.col("id").cast("string")).alias("module"),
+                                               F.lit(1).alias("page_no"), F.lit(200).alias("status"), F.lit(body).alias("body"))
+    modes, mode = [], DataFrameWriter.mode
+    monkeypatch.setattr(DataFrameWriter, "mode", lambda self, m: (modes.append(m), mode(self, m))[1])
+    base = str(tmp_path / "out")
+    for wanted in ("append", "overwrite"):
+        ex = extract(pages)
+        modes.clear()
+        status = write_module_csvs(ex, None, base)
+        assert [m for m in modes if m][-1] == wanted
+        assert status.where("status = 'ok' AND output_path IS NOT NULL").count() == 60
+        files = [p.name for p in tmp_path.glob("out/*/*/*/part-*.csv")]
+        assert len(files) == 60 and len({f.split("-")[1] for f in files}) > 4
+        assert spark.read.option("header", True).csv(base).where("n = 3").count() == 60
