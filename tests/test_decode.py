@@ -203,3 +203,14 @@ def test_decode_plan_has_no_shuffle_and_parses_once(spark):
     # the second one reads masks as text, from bodies that have such masks only;
     # an inferred filter under the explode would repeat the whole decode expression
     assert plan.count("from_json(") <= 2
+
+
+def test_quarantine_decodes_a_page_once(spark):
+    """The filter of the quarantine table does not bring copies of the decode with it."""
+    from reportlake.operators.decode import decode_pages, quarantine
+
+    pages = spark.createDataFrame([("r", "m", 1, 200, "{")], "report_key string, module string, page_no int, status int, body string")
+    table = quarantine(decode_pages(pages))
+    assert [tuple(r) for r in table.collect()] == [("r", "m", 1, None, "bad_json")]
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Filter" in line and "from_json" in line]
