@@ -5,6 +5,7 @@ import json
 import pytest
 from conftest import DEPOT_COLUMNS, decoded_rows, depot_page, entries_of, page, responses, wrap
 
+from reportlake.functions.sqlx import let
 from reportlake.operators.decode import decode_pages, explode_rows, quarantine
 
 FOUR = [{"N": "G0"}, {"N": "G1"}, {"N": "G2"}, {"N": "G3"}]
@@ -214,3 +215,22 @@ def test_quarantine_decodes_a_page_once(spark):
     assert [tuple(r) for r in table.collect()] == [("r", "m", 1, None, "bad_json")]
     plan = table._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.split("\n") if "Filter" in line and "from_json" in line]
+
+
+def test_a_bound_value_is_not_copied_with_each_binding(spark):
+    sql = let([("a", "2"), ("b", "a * 3"), ("c", "cast(NULL AS int)")], "named_struct('s', a + b, 'c', c)")
+    assert "transform(" not in sql  # it copies its results, which made the decode of a page cost many copies of its rows
+    assert spark.sql(f"SELECT {sql} AS r").first().r.asDict() == {"s": 8, "c": None}
+
+
+def test_cells_beside_null_items_far_indexes_and_short_lists(spark):
+    select = [{"Value": "G0", "Name": "t.a", "DN": "D0"}, {"Value": "G1", "Name": "t.b"}, {"Value": "G2", "Name": "t.c"}]
+    entries = [
+        {"C": [1, None, "x"], "S": [{"N": "G0", "DN": "D0"}, {"N": "G1"}, {"N": "G2"}]},
+        {"C": [99999999999], "G1": 7},
+        {"C": ["5"], "R": 6},
+        {"C": [-1, 1.5], "R": 4},
+    ]
+    got = decoded_rows(spark, wrap(page(entries, {"D0": ["p", None, "q"]}), select))
+    assert got == [{"a": None, "b": None, "c": "x"}, {"a": 99999999999, "b": 7, "c": None},
+                   {"a": "5", "b": 7, "c": None}, {"a": -1, "b": 1.5, "c": None}]
