@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from reportlake.operators.decode import decode_pages, stage_pages
+from reportlake.operators.decode import PAGE_KEYS, decode_pages, stage_pages
+from reportlake.session import spread
 
 RESPONSES_SCHEMA = T.StructType([
     T.StructField("report_key", T.StringType()),
@@ -50,8 +51,9 @@ def start_incremental_decode(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # One folder per micro-batch, overwritten: a retried batch replaces its
-        # own output instead of appending twice.
-        decoded_for_storage(decode_pages(batch, with_types=True)).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        # own output instead of appending twice.  The files of a batch may be few, so its pages
+        # are dealt over many tasks.
+        decoded_for_storage(decode_pages(spread(batch, *PAGE_KEYS), with_types=True)).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

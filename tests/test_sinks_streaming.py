@@ -102,6 +102,14 @@ def test_incremental_decode_feeds_the_assembly(spark):
     assert got == [("Oslo", 0), ("Lima", 1), ("Oslo", 1), ("Lima", 2), ("Oslo", 2), ("Lima", 3), ("Bern", 50)]
 
 
+def test_pages_of_one_landed_file_are_decoded_by_many_tasks(spark):
+    base = scratch_dir(spark, "stream")
+    responses(spark, [("m", i + 1, depot_page([("Oslo", i)])) for i in range(40)]).coalesce(1).write.json(f"{base}/landing")
+    start_incremental_decode(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt").awaitTermination()
+    assert len(glob.glob(f"{base}/out/batch_id=0/part-*")) > 4
+    assert staged_rows(spark.read.parquet(f"{base}/out")).count() == 40
+
+
 def test_modules_without_older_files_are_written_by_many_tasks_and_added(spark, tmp_path, monkeypatch):
     """Small modules are written by many tasks; only a folder that is there already is replaced part by part."""
     from pyspark.sql.readwriter import DataFrameWriter
