@@ -5,7 +5,7 @@ import json
 import pytest
 from conftest import DEPOT_COLUMNS, decoded_rows, depot_page, entries_of, page, responses, wrap
 
-from reportlake.functions.sqlx import let
+from reportlake.functions.sqlx import let, mask_struct
 from reportlake.operators.decode import decode_pages, explode_rows, quarantine
 
 FOUR = [{"N": "G0"}, {"N": "G1"}, {"N": "G2"}, {"N": "G3"}]
@@ -234,3 +234,8 @@ def test_cells_beside_null_items_far_indexes_and_short_lists(spark):
     got = decoded_rows(spark, wrap(page(entries, {"D0": ["p", None, "q"]}), select))
     assert got == [{"a": None, "b": None, "c": "x"}, {"a": 99999999999, "b": 7, "c": None},
                    {"a": "5", "b": 7, "c": None}, {"a": -1, "b": 1.5, "c": None}]
+
+
+def test_a_mask_is_read_once_and_without_a_cast_of_the_variant():
+    sql = mask_struct("v", "t").split("ELSE")[1]  # the branch of a BIGINT
+    assert "variant_get" not in sql and sql.count("to_json(v)") == 1
